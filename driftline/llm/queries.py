@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, mixing, ppm
+from . import exact_dedup, minhash, mixing, ppm, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,5 +29,9 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ppm_score, op2_mix_sources, op3_exact_dedup, op5_minhash_near_dedup)}
+def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ppm_score, op2_mix_sources, op3_exact_dedup, op5_minhash_near_dedup, op10_remove_repeats)}
 ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE}
