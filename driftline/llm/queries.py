@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, mixing, ppm, substring
+from . import exact_dedup, minhash, mixing, packing, ppm, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,5 +33,9 @@ def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ppm_score, op2_mix_sources, op3_exact_dedup, op5_minhash_near_dedup, op10_remove_repeats)}
+def op4_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ppm_score, op2_mix_sources, op3_exact_dedup, op4_pack_nnls, op5_minhash_near_dedup, op10_remove_repeats)}
 ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE}
