@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, mixing, packing, ppm, substring
+from . import exact_dedup, hnsw, html_extract, langid, minhash, mixing, packing, ppm, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +28,22 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language(_table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op9_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -37,5 +52,5 @@ def op4_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ppm_score, op2_mix_sources, op3_exact_dedup, op4_pack_nnls, op5_minhash_near_dedup, op10_remove_repeats)}
+QUERIES = {f.__name__: f for f in (op1_ppm_score, op2_mix_sources, op3_exact_dedup, op4_pack_nnls, op5_minhash_near_dedup, op6_language_gru, op7_toxicity, op8_main_text, op9_hnsw_search, op10_remove_repeats)}
 ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE}
