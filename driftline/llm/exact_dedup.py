@@ -1,6 +1,7 @@
 """Exact dedup by a content sort, in DataFrame functions only.
 
-Sampled splitters range-partition the normalised text together with a salt of the id, an external
+Sampled splitters range-partition the normalised text (its first characters, then its digest)
+together with a salt of the id, an external
 sort places equal texts next to each other, and the window over the sorted run compares each text
 with its neighbour in full. The salt lets the splitters cut a run of copies that holds a large part
 of all rows; the pieces of a run, a row each, meet afterwards by the SHA-256 of the text.
@@ -15,6 +16,8 @@ from .common import ascii_lower
 
 #: A run of copies is cut into as many pieces at most. Pieces, not rows, are merged later.
 SALTS = 4096
+#: Characters of a text that the splitters see; texts with equal ones are told apart by digest, then in full.
+HEAD = 64
 
 
 def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "max", salts: int = SALTS) -> DataFrame:
@@ -28,18 +31,19 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     best = F.max if keep == "max" else F.min
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"))
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    run = Window.partitionBy("norm", "salt").orderBy(F.col("doc_id").desc_nulls_last() if keep == "max" else F.col("doc_id").asc_nulls_last())
+    # Splitters are made from the first bytes and the digest: whole texts would be sampled to the driver.
+    named = rows.withColumn("text_sha256", F.sha2(F.col("norm").cast("binary"), 256))
+    salted = named.select("doc_id", "norm", "text_sha256", F.substring("norm", 1, HEAD).alias("head"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
+    run = Window.partitionBy("head", "text_sha256", "salt", "norm").orderBy(F.col("doc_id").desc_nulls_last() if keep == "max" else F.col("doc_id").asc_nulls_last())
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = (
-        salted.repartitionByRange("norm", "salt")
-        .select("norm", F.row_number().over(run).alias("rn"), F.first("doc_id").over(whole).alias("best"), F.count(F.lit(1)).over(whole).alias("n"))
+        salted.repartitionByRange("head", "text_sha256", "salt")
+        .select("text_sha256", F.row_number().over(run).alias("rn"), F.first("doc_id").over(whole).alias("best"), F.count(F.lit(1)).over(whole).alias("n"))
         .where("rn = 1")
-        .select(F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), "best", "n")
+        .select("text_sha256", "best", "n")
     )
     groups = heads.groupBy("text_sha256").agg(best("best").alias("keep_id"), F.sum("n").alias("group_size"))
-    named = rows.select("doc_id", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"))
-    return named.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return named.select("doc_id", "text_sha256").join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def apply_exact_dedup(docs: DataFrame, **options) -> DataFrame:
