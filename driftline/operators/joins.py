@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import DAY, ordered
+from ..schema import DAY
 
 
 def coefficients(stores: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
@@ -98,6 +98,3 @@ def nearest_node(points_: DataFrame, nodes: DataFrame, cell: float = 1.0) -> Dat
     best = F.array_min(F.transform("nodes", lambda n: F.struct(((n["x"] - F.col("x")) * (n["x"] - F.col("x")) + (n["y"] - F.col("y")) * (n["y"] - F.col("y"))).alias("d2"), n["node"].alias("node"))))
     return points_.join(table).withColumn("_b", F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), best)).drop("nodes").withColumn("node", F.col("_b.node")).withColumn("d2", F.col("_b.d2")).drop("_b")
 
-
-def running(df: DataFrame) -> DataFrame:
-    return df.withColumn("i", F.row_number().over(ordered()) - 1)

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..schema import DAY, SECOND, ordered, per_probe
 
-_SOURCE = Window.partitionBy("probe").orderBy("seq")
+def _source() -> WindowSpec:
+    return Window.partitionBy("probe").orderBy("seq")
 
 
 def sampling_frequency(df: DataFrame) -> DataFrame:
     """Rows per second of each probe by source order: rows per time step, without steps beyond three
     deviations of the median; and the numbers of equal and of decreasing steps."""
-    d = df.withColumn("_d", F.col("t") - F.lag("t").over(_SOURCE))
+    d = df.withColumn("_d", F.col("t") - F.lag("t").over(_source()))
     steps = d.groupBy("probe").agg(F.count_if(F.col("_d") == 0).alias("equal"), F.count_if(F.col("_d") < 0).alias("decreasing"))
-    runs = d.withColumn("_r", F.sum(F.when(F.col("_d") != 0, 1).otherwise(0)).over(_SOURCE)).groupBy("probe", "_r").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t"))
+    runs = d.withColumn("_r", F.sum(F.when(F.col("_d") != 0, 1).otherwise(0)).over(_source())).groupBy("probe", "_r").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t"))
     rate = runs.withColumn("_step", F.lead("t").over(Window.partitionBy("probe").orderBy("_r")) - F.col("t")).where("_step > 0").withColumn("f", F.col("n") * SECOND / F.col("_step"))
     mid = rate.groupBy("probe").agg(F.median("f").alias("_m"), F.stddev_pop("f").alias("_s"))
     fs = rate.join(mid, "probe").where(F.abs(F.col("f") - F.col("_m")) <= 3 * F.col("_s")).groupBy("probe").agg(F.avg("f").alias("fs"))
@@ -60,10 +61,10 @@ def without_inversions(df: DataFrame) -> DataFrame:
     subsequence of the whole is one of each part. Parts in order need no Python at all; the others
     go to it one by one, so a group is as long as a disorder reaches, not as a probe.
     """
-    upto = F.max("t").over(_SOURCE.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min("t").over(_SOURCE.rowsBetween(0, Window.unboundedFollowing))
+    upto = F.max("t").over(_source().rowsBetween(Window.unboundedPreceding, -1))
+    after = F.min("t").over(_source().rowsBetween(0, Window.unboundedFollowing))
     cut = F.when(upto.isNull() | (upto <= after), 1).otherwise(0)
-    parts = df.withColumn("_cut", cut).withColumn("_part", F.sum("_cut").over(_SOURCE)).drop("_cut")
+    parts = df.withColumn("_cut", cut).withColumn("_part", F.sum("_cut").over(_source())).drop("_cut")
     size = F.count(F.lit(1)).over(Window.partitionBy("probe", "_part"))
     sized = parts.withColumn("_size", size)
     judged = _by_chunk(sized.where("_size > 1"), longest_increasing, "ok")
@@ -73,7 +74,7 @@ def without_inversions(df: DataFrame) -> DataFrame:
 
 def spread_repeats(df: DataFrame, freq: float) -> DataFrame:
     """T4: rows with one time are spread by 1/freq from the first; closer where the run would pass the next time."""
-    d = df.withColumn("_run", F.sum(F.when(F.col("t") != F.lag("t").over(_SOURCE), 1).otherwise(0)).over(_SOURCE))
+    d = df.withColumn("_run", F.sum(F.when(F.col("t") != F.lag("t").over(_source()), 1).otherwise(0)).over(_source()))
     w = Window.partitionBy("probe", "_run")
     d = d.withColumns({"_k": F.row_number().over(w.orderBy("seq")) - 1, "_n": F.count(F.lit(1)).over(w)})
     following = F.min(F.when(F.col("_k") == 0, F.col("t"))).over(Window.partitionBy("probe").orderBy("_run").rangeBetween(1, 1))
@@ -85,13 +86,13 @@ def day_jumps(df: DataFrame) -> DataFrame:
     """T5: steps of a day, up or down (within ten median steps, at least ten seconds), bound stretches that are
     a day off: between the first and second jump, the third and fourth, and so on. A stretch moves
     against its first jump."""
-    d = df.withColumn("_d", F.col("t") - F.lag("t").over(_SOURCE))
+    d = df.withColumn("_d", F.col("t") - F.lag("t").over(_source()))
     mid = d.groupBy("probe").agg((F.greatest(F.median("_d"), F.lit(float(SECOND))) * 10).alias("_tol"))
     j = d.join(mid, "probe")
     up = (F.col("_d") > DAY - F.col("_tol")) & (F.col("_d") <= DAY + F.col("_tol"))
     down = (F.col("_d") < -DAY + F.col("_tol")) & (F.col("_d") >= -DAY - F.col("_tol"))
-    j = j.withColumn("_j", F.when(up, 1).when(down, -1).otherwise(0)).withColumn("_n", F.sum(F.abs("_j")).over(_SOURCE))
-    sign = F.last(F.when((F.col("_j") != 0) & (F.col("_n") % 2 == 1), F.col("_j")), True).over(_SOURCE)
+    j = j.withColumn("_j", F.when(up, 1).when(down, -1).otherwise(0)).withColumn("_n", F.sum(F.abs("_j")).over(_source()))
+    sign = F.last(F.when((F.col("_j") != 0) & (F.col("_n") % 2 == 1), F.col("_j")), True).over(_source())
     return j.withColumn("_sign", sign).withColumn("t", F.when(F.col("_n") % 2 == 1, F.col("t") - F.col("_sign") * DAY).otherwise(F.col("t"))).drop("_d", "_tol", "_j", "_n", "_sign")
 
 
@@ -135,7 +136,7 @@ def linear_with_shifts(df: DataFrame, freq: float, accuracy: int) -> DataFrame:
 
 def filled_times(df: DataFrame, bad: str, freq: float) -> DataFrame:
     """Bad times by interpolation over rows; at the ends by steps of 1/freq."""
-    w = _SOURCE
+    w = _source()
     x = df.withColumn("_i", F.row_number().over(w)).withColumn("_g", F.when(~F.col(bad), F.struct("_i", "t")))
     x = x.withColumns({"_p": F.last("_g", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.first("_g", True).over(w.rowsBetween(0, Window.unboundedFollowing))})
     inner = F.col("_p.t") + (F.col("_n.t") - F.col("_p.t")) * ((F.col("_i") - F.col("_p._i")) / F.nullif(F.col("_n._i") - F.col("_p._i"), F.lit(0)))
