@@ -1 +1,66 @@
+"""Structured Streaming forms (R1-R5). Watermarks bound the state; each takes and returns streams."""
 
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ..schema import SECOND, micros
+from ..sources.text import header_schema
+
+
+def ingest(spark: SparkSession, path: str, header: str, *, files_per_trigger: int = 100) -> DataFrame:
+    """New files only; the checkpoint remembers the rest."""
+    return spark.readStream.schema(header_schema(header)).option("maxFilesPerTrigger", files_per_trigger).option("mode", "DROPMALFORMED").csv(path)
+
+
+def bins(stream: DataFrame, seconds: int, columns: Sequence[str], late: str = "10 minutes") -> DataFrame:
+    """Tumbling means as data arrives. stream(probe, ts TIMESTAMP_NTZ or TIMESTAMP, ...)."""
+    w = F.window("ts", f"{seconds} seconds")
+    return stream.withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in columns]).select("probe", F.col("window.start").alias("ts"), "rows", *columns)
+
+
+def sliding(stream: DataFrame, length: int, hop: int, column: str, late: str = "10 minutes") -> DataFrame:
+    """Sliding windows with their ordered values, for a spectrum of each."""
+    w = F.window("ts", f"{length} seconds", f"{hop} seconds")
+    out = stream.withWatermark("ts", late).groupBy("probe", w).agg(F.sort_array(F.collect_list(F.struct("ts", column))).alias("_s"))
+    return out.select("probe", F.col("window.start").alias("w_start"), F.transform("_s", lambda r: r[column]).alias("values"))
+
+
+def sessions(stream: DataFrame, gap: str, late: str = "10 minutes") -> DataFrame:
+    """Bursts on arrival: rows less than gap apart."""
+    w = F.session_window("ts", gap)
+    return stream.withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows")).select("probe", F.col("session_window.start").alias("t_start"), F.col("session_window.end").alias("t_end"), "rows")
+
+
+def resolved_times(stream: DataFrame, freq: float) -> DataFrame:
+    """R2: repeated times of low-resolution clocks spread by 1/freq across chunks. The state of a probe is the
+    last raw time and how many rows had it; rows before it are late and go."""
+    schema = "probe string, seq long, t long"
+
+    def run(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, n = state.get if state.exists else (-(1 << 62), 0)
+        rows = pd.concat(list(chunks)).sort_values(["t", "seq"])
+        rows = rows[rows["t"] >= last]
+        if not len(rows):
+            return
+        t = rows["t"].to_numpy()
+        first = np.concatenate([[True], t[1:] != t[:-1]])
+        k = np.arange(len(t)) - np.maximum.accumulate(np.where(first, np.arange(len(t)), 0))
+        k = k + np.where(t == last, n, 0)
+        state.update((int(t[-1]), int(k[-1]) + 1))
+        yield pd.DataFrame({"probe": key[0], "seq": rows["seq"], "t": t + np.rint(k * SECOND / freq).astype("int64")})
+
+    timed = stream.withColumn("t", micros(F.col("ts"))).select("probe", "seq", "t")
+    return timed.groupBy("probe").applyInPandasWithState(run, schema, "last long, n long", "append", GroupStateTimeout.NoTimeout)
+
+
+def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """All that is there now, to Parquet; the next call goes on from the checkpoint."""
+    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.parquet(path)
