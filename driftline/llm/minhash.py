@@ -7,10 +7,10 @@ place on a ring, the second gives the values, and coordinate k reads them shifte
 Links are found without emitting the pairs of a bucket:
 1. every class is compared in full with the smallest class it shares a bucket with;
 2. then with the smallest class of each of its other buckets, unless both are already connected;
-3. buckets that still hold classes of several components get all pairs between components: their
-   members are cut into blocks, block pairs compare signatures in numpy, and what may pass is
-   compared in full.
-Steps 1 and 2 send one row per class and bucket. Components are settled by min-label steps on the
+3. buckets that still hold classes of several components are cut into blocks; a pair of blocks
+   compares its members' signatures in numpy, then the full sets of what may pass, and returns the
+   few links that join its components up.
+Steps 1 and 2 send one row per class and bucket; step 3 as many rows per class as its bucket has blocks. Components are settled by min-label steps on the
 verified links. With 32 bands of 4 coordinates a pair at similarity 0.75 shares a bucket with
 probability 1 - 6e-6, and more above.
 """
@@ -100,22 +100,67 @@ def _full_sets(width: int):
     return run
 
 
-def _block_pairs(floor: float):
-    """Pairs of classes in different components whose signatures leave the similarity possible."""
+def intersections(left: list[np.ndarray], right: list[np.ndarray], chunk: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets: products of 0/1 matrices over
+    `chunk` shared shingles at a time. Sums stay whole in single precision below 2^24."""
+    sides, shared = [], np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)))
+    for sets in (left, right):
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        place = np.minimum(np.searchsorted(shared, flat), max(0, len(shared) - 1))
+        hit = shared[place] == flat if len(shared) else np.zeros(len(flat), bool)
+        order = np.argsort(place[hit], kind="stable")
+        sides.append((place[hit][order], row[hit][order], len(sets)))
+    total = np.zeros((len(left), len(right)))
+    for at in range(0, len(shared), chunk):
+        parts = []
+        for place, row, n in sides:
+            lo, hi = np.searchsorted(place, [at, at + chunk])
+            m = np.zeros((n, min(chunk, len(shared) - at)), np.float32)
+            m[row[lo:hi], place[lo:hi] - at] = 1
+            parts.append(m)
+        total += parts[0] @ parts[1].T
+    return total.astype(np.int64)
+
+
+def _block_links(bands: int, floor: float):
+    """Links between components inside a pair of blocks of one bucket, as many as join them up.
+
+    A pair of classes is looked at in the first of the bands that they share only, and where sizes and
+    signatures leave the similarity possible; full sets decide.
+    """
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ids, comp = table.column("class").to_numpy(), table.column("comp").to_numpy()
-        block, n = table.column("block").to_numpy(), table.column("n_shingles").to_numpy()
-        sig = np.stack(table.column("sig").to_numpy()) if table.num_rows else np.zeros((0, 1))
+        table = table.sort_by("class")
+        ids, comp, n, block = (table.column(c).to_numpy() for c in ("class", "comp", "n_shingles", "block"))
+        band = table.column("band")[0].as_py()
+        sig = np.stack(table.column("sig").to_numpy()).reshape(len(ids), bands, -1)
         i, j = key[-2].as_py(), key[-1].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        found = []
-        for r in left:
-            other = right[(comp[right] != comp[r]) & ((ids[right] > ids[r]) if i == j else True)]
-            fits = other[(np.minimum(n[other], n[r]) * 100 >= PERCENT * np.maximum(n[other], n[r]))]
-            if len(fits):
-                near = fits[(sig[fits] == sig[r]).mean(axis=1) >= floor]
-                found += [(min(ids[r], ids[o]), max(ids[r], ids[o])) for o in near]
+        wanted = np.zeros((len(left), len(right)), bool)
+        for r, x in enumerate(left):
+            same = sig[right] == sig[x]
+            ok = (comp[right] != comp[x]) & (same.mean(axis=(1, 2)) >= floor) & (same.all(axis=2).argmax(axis=1) == band)
+            ok &= np.minimum(n[right], n[x]) * 100 >= PERCENT * np.maximum(n[right], n[x])
+            wanted[r] = ok & (right > x) if i == j else ok
+        rows, columns = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
+        found: list[tuple[int, int]] = []
+        if len(rows):
+            sets = table.column("shingles").to_numpy()
+            left, right, wanted = left[rows], right[columns], wanted[np.ix_(rows, columns)]
+            common = intersections([sets[k] for k in left], [sets[k] for k in right])
+            link = wanted & (common * 100 >= PERCENT * (n[left][:, None] + n[right] - common))
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while parent.setdefault(x, x) != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            for r, c in zip(*np.nonzero(link)):
+                p, q = root(int(comp[left[r]])), root(int(comp[right[c]]))
+                if p != q:
+                    parent[max(p, q)] = min(p, q)
+                    found.append((int(ids[left[r]]), int(ids[right[c]])))
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -170,7 +215,7 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, bands: int = BANDS,
     classes = materialise(classes, "classes")
     buckets = classes.select("class", F.posexplode(F.array(*[F.xxhash64(F.lit(b), F.slice("sig", b * rows + 1, rows)) for b in range(bands)])).alias("band", "value"))
     shared = buckets.groupBy("band", "value").agg(F.min("class").alias("pivot"), F.max("class").alias("most")).where("pivot < most")
-    members = materialise(buckets.join(shared.select("band", "value", "pivot"), ["band", "value"]).select("class", "pivot", F.xxhash64("band", "value").alias("bucket")), "buckets")
+    members = materialise(buckets.join(shared.select("band", "value", "pivot"), ["band", "value"]).select("class", "pivot", "band", F.xxhash64("band", "value").alias("bucket")), "buckets")
     stars = materialise(members.where("class > pivot").select("class", "pivot").distinct(), "stars")
     wanted = members.select("class").distinct()
     # Ids may repeat with other texts; the class's set is the one whose row made it.
@@ -193,14 +238,15 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, bands: int = BANDS,
     # Step 3: buckets whose members are still in several components.
     placed = members.join(labels, "class")
     open_buckets = placed.groupBy("bucket").agg(F.min("comp").alias("c"), F.max("comp").alias("d"), F.count(F.lit(1)).alias("members")).where("c < d and members > 2")
-    inside = placed.join(open_buckets.select("bucket", "members"), "bucket").join(classes.select("class", "n_shingles", "sig"), "class")
+    inside = placed.join(open_buckets.select("bucket", "members"), "bucket").join(classes.select("class", "n_shingles", "sig"), "class").join(full, "class")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    cut = inside.select("bucket", "class", "comp", "n_shingles", "sig", blocks.alias("blocks"), F.pmod(F.xxhash64("class"), blocks).cast("int").alias("block"))
+    kept = ["bucket", "band", "class", "comp", "n_shingles", "sig", "shingles"]
+    cut = inside.select(*kept, blocks.alias("blocks"), F.pmod(F.xxhash64("class"), blocks).cast("int").alias("block"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
-    dealt = cut.select("bucket", "class", "comp", "n_shingles", "sig", "block", F.explode(pairs).alias("ij")).select("*", "ij.i", "ij.j").drop("ij")
-    # 128 coordinates at similarity 0.75 agree on fewer than 51% with probability below 1e-9.
-    maybe = dealt.groupBy("bucket", "i", "j").applyInArrow(_block_pairs(0.5), "a long, b long").distinct()
-    labels = components(materialise(verified(maybe), "verified"), labels)
+    dealt = cut.select(*kept, "block", F.explode(pairs).alias("ij")).select("*", "ij.i", "ij.j").drop("ij")
+    # 128 coordinates at similarity 0.75 agree on fewer than half with probability below 1e-9.
+    joining = dealt.groupBy("bucket", "i", "j").applyInArrow(_block_links(bands, 0.5), "a long, b long")
+    labels = components(materialise(joining, "verified"), labels)
     by_class = classes.join(labels, "class", "left").select("hi", "lo", "n_shingles", F.coalesce("comp", "class").alias("component_id"))
     joined = sets.select("doc_id", "n_shingles", "hi", "lo").join(by_class, ["hi", "lo", "n_shingles"], "left")
     component = F.coalesce("component_id", "doc_id")
