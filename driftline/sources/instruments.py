@@ -33,7 +33,7 @@ def clock(date: Column, time: Column, order: str, separator: str) -> Column:
 
 def inclinometer(df: DataFrame, invert_magnetometer: bool = False) -> DataFrame:
     """L1."""
-    out = df.withColumn("t", parts_time(*[F.col(c).try_cast("int") for c in ("yyyy", "mm", "dd", "HH", "MM")], F.col("SS").try_cast("double"))).drop("yyyy", "mm", "dd", "HH", "MM", "SS")
+    out = df.withColumn("t", parts_time(*[F.col(c).try_cast("int") for c in ("year", "month", "day", "hour", "minute")], F.col("second").try_cast("double"))).drop("year", "month", "day", "hour", "minute", "second")
     return out.withColumns({c: -F.col(c) for c in ("Mx", "My", "Mz")}) if invert_magnetometer else out
 
 

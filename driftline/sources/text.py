@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..schema import nan_to_null
 
 #: Record fields by kind: inclinometer (i, b), with pressure (p, d), wave gauge (w).
-DATE = ("yyyy", "mm", "dd", "HH", "MM", "SS")
+DATE = ("year", "month", "day", "hour", "minute", "second")
 VECTOR = ("Ax", "Ay", "Az", "Mx", "My", "Mz")
 KINDS = {
     "i": (*DATE, *VECTOR, "Temp", "Battery"),
