@@ -55,12 +55,17 @@ def trig_speed(r: Column, coefs: Column, terms: int) -> Column:
     return F.when(r.isNull(), F.lit(None)).when(squared > 0, F.sqrt(squared)).otherwise(0.0)
 
 
-def speed(r: Column, coefs: Column, terms: int, limit_deg: Column) -> Column:
-    """Speed by inclination (radians); beyond the limit a line with the slope there, at most 10."""
+def line_end(coefs: Column, terms: int, limit_deg: Column) -> tuple[Column, Column, Column]:
+    """(limit in radians, speed there, slope there, at most 10): once per probe, not per row."""
     x0 = F.radians(limit_deg)
     at, before = trig_speed(x0, coefs, terms), trig_speed(x0 - 0.01, coefs, terms)
     slope = (at - before) / 0.01
     slope = F.least(F.when((slope == 0) | slope.isNull() | F.isnan(slope) | (F.abs(slope) == float("inf")), STEEPEST).otherwise(slope), F.lit(STEEPEST))
+    return x0, at, slope
+
+
+def speed(r: Column, coefs: Column, terms: int, x0: Column, at: Column, slope: Column) -> Column:
+    """Speed by inclination (radians); beyond the limit a line with the slope there (see line_end)."""
     return F.when(r < x0, trig_speed(r, coefs, terms)).when(r.isNotNull(), at + (r - x0) * slope)
 
 

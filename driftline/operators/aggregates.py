@@ -29,8 +29,8 @@ def binned(df: DataFrame, seconds: int, columns: Sequence[str]) -> DataFrame:
     size = seconds * SECOND
     span = df.groupBy("probe").agg(F.min("t").alias("_t0"), F.max("t").alias("_t1")).withColumn("_day0", F.floor(F.col("_t0") / DAY) * DAY)
     rows = df if DAY % size == 0 else df.join(span.select("probe", "_day0"), "probe")
-    means = [F.avg(c).alias(c) for c in columns]
-    out = rows.groupBy("probe", bin_start(seconds).alias("t")).agg(F.count(F.lit(1)).alias("rows"), F.sum("t").alias("_sum_t"), *means, *[F.count(c).alias(f"_n_{c}") for c in columns], *[F.sum(c).alias(f"_s_{c}") for c in columns])
+    out = rows.groupBy("probe", bin_start(seconds).alias("t")).agg(F.count(F.lit(1)).alias("rows"), F.sum("t").alias("_sum_t"), *[F.count(c).alias(f"_n_{c}") for c in columns], *[F.sum(c).alias(f"_s_{c}") for c in columns])
+    out = out.withColumns({c: F.col(f"_s_{c}") / F.nullif(F.col(f"_n_{c}"), F.lit(0)) for c in columns})
     out = out.join(span, "probe").withColumn("_one", F.col("_t1") - F.col("_t0") < size)
     w = per_probe()
     out = out.withColumn("_mean_rows", F.avg("rows").over(w)).where(F.col("_one") | (F.col("rows") > F.col("_mean_rows") / 10))

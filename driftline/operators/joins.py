@@ -30,8 +30,9 @@ def neighbours(queries: DataFrame, data: DataFrame, value: str) -> DataFrame:
     both = data.select("probe", "t", F.struct(F.col("t").alias("t"), F.col(value).alias("v")).alias("_r"), F.lit(None).cast("long").alias("qid")).unionByName(
         queries.select("probe", "t", F.lit(None).cast(f"struct<t:bigint,v:{dict(data.dtypes)[value]}>").alias("_r"), F.col("qid").cast("long").alias("qid")))
     w = Window.partitionBy("probe").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    a = Window.partitionBy("probe").orderBy("t").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    seen = both.withColumns({"_b": F.last("_r", True).over(w), "_a": F.first("_r", True).over(a)}).where("qid is not null")
+    # The following side runs over descending time: frames that end at UNBOUNDED FOLLOWING are quadratic.
+    a = Window.partitionBy("probe").orderBy(F.col("t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = both.withColumns({"_b": F.last("_r", True).over(w), "_a": F.last("_r", True).over(a)}).where("qid is not null")
     return seen.select("probe", "qid", "t", F.col("_b.t").alias("before_t"), F.col("_b.v").alias("before_v"), F.col("_a.t").alias("after_t"), F.col("_a.v").alias("after_v"))
 
 

@@ -25,6 +25,11 @@ def sampling_frequency(df: DataFrame) -> DataFrame:
     return steps.join(fs, "probe", "left").select("probe", "fs", "equal", "decreasing")
 
 
+def _backwards() -> WindowSpec:
+    """For what follows a row: a frame that ends at UNBOUNDED FOLLOWING is rebuilt for every row."""
+    return Window.partitionBy("probe").orderBy(F.col("seq").desc()).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def longest_increasing(times: np.ndarray) -> np.ndarray:
     """Mask of a longest non-decreasing subsequence (patience piles with back links)."""
     tails = np.empty(len(times), np.int64)
@@ -62,7 +67,7 @@ def without_inversions(df: DataFrame) -> DataFrame:
     go to it one by one, so a group is as long as a disorder reaches, not as a probe.
     """
     upto = F.max("t").over(_source().rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min("t").over(_source().rowsBetween(0, Window.unboundedFollowing))
+    after = F.min("t").over(_backwards())
     cut = F.when(upto.isNull() | (upto <= after), 1).otherwise(0)
     parts = df.withColumn("_cut", cut).withColumn("_part", F.sum("_cut").over(_source())).drop("_cut")
     size = F.count(F.lit(1)).over(Window.partitionBy("probe", "_part"))
@@ -138,7 +143,7 @@ def filled_times(df: DataFrame, bad: str, freq: float) -> DataFrame:
     """Bad times by interpolation over rows; at the ends by steps of 1/freq."""
     w = _source()
     x = df.withColumn("_i", F.row_number().over(w)).withColumn("_g", F.when(~F.col(bad), F.struct("_i", "t")))
-    x = x.withColumns({"_p": F.last("_g", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.first("_g", True).over(w.rowsBetween(0, Window.unboundedFollowing))})
+    x = x.withColumns({"_p": F.last("_g", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.last("_g", True).over(_backwards())})
     inner = F.col("_p.t") + (F.col("_n.t") - F.col("_p.t")) * ((F.col("_i") - F.col("_p._i")) / F.nullif(F.col("_n._i") - F.col("_p._i"), F.lit(0)))
     tail = F.coalesce(F.col("_p.t") + (F.col("_i") - F.col("_p._i")) * SECOND / freq, F.col("_n.t") - (F.col("_n._i") - F.col("_i")) * SECOND / freq)
     return x.withColumn("t", F.when(~F.col(bad), F.col("t")).otherwise(F.floor(F.coalesce(inner, tail) + 0.5).cast("long"))).drop("_i", "_g", "_p", "_n")

@@ -42,14 +42,16 @@ def velocity(df: DataFrame, coefs: DataFrame, *, harmonics: int = 2, g_minus_1:
     if despike:
         df = despiked_counts(df, {c: A_SPIKE if c[0] == "A" else M_SPIKE for c in VECTORS})
     rest = [c for c in df.columns if c not in VECTORS and c not in ("probe", "t", "seq")]
-    x = df.join(coefs.select("probe", "Ag", "Cg", "Ah", "Ch", "kVabs", "azimuth_shift_deg"), "probe")
+    ends = physics.line_end(F.col("kVabs"), harmonics, F.element_at("kVabs", -1))
+    per_probe_ = coefs.select("probe", "Ag", "Cg", "Ah", "Ch", "kVabs", "azimuth_shift_deg", *[c.alias(n) for n, c in zip(("_x0", "_at", "_slope"), ends)])
+    x = df.join(per_probe_, "probe")
     gs = physics.calibrate(tuple(F.col(c) for c in VECTORS[:3]), F.col("Ag"), F.col("Cg"))
     hs = physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))
     x = x.withColumns({n: c for n, c in zip(("Gx", "Gy", "Gz", "Hx", "Hy", "Hz"), (*gs, *hs))})
     g, h = tuple(F.col(c) for c in ("Gx", "Gy", "Gz")), tuple(F.col(c) for c in ("Hx", "Hy", "Hz"))
     r = F.when(F.abs(physics.norm(g) - 1) <= g_minus_1, physics.inclination(g))
     x = x.withColumn("_r", r)
-    speed = physics.speed(F.col("_r"), F.col("kVabs"), harmonics, F.element_at("kVabs", -1))
+    speed = physics.speed(F.col("_r"), F.col("kVabs"), harmonics, F.col("_x0"), F.col("_at"), F.col("_slope"))
     facing = F.when(physics.norm(h) - 1 < h_minus_1, physics.direction(g, h, F.col("azimuth_shift_deg"))).otherwise(0.0)
     x = x.withColumns({"Vabs": speed, "Vdir": facing, "inclination": F.degrees("_r")})
     v, u = physics.components(F.col("Vabs"), F.col("Vdir"))

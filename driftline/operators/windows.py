@@ -40,11 +40,13 @@ def spikes(df: DataFrame, column: str, most: float, up_only: bool = False) -> Da
 def filled(df: DataFrame, column: str, bad: Column | None = None, x: str | None = None, partition: Sequence[str] = ()) -> DataFrame:
     """NULL or bad values by linear interpolation over row position (or x); constant at the ends."""
     w = Window.partitionBy("probe", *partition).orderBy("t", "seq")
+    # The same order backwards: a frame from the row to the end would be rebuilt for every row.
+    back = Window.partitionBy("probe", *partition).orderBy(F.col("t").desc(), F.col("seq").desc())
     pos = F.row_number().over(w).cast("double") if x is None else F.col(x).cast("double")
     y = F.col(column).cast("double") if bad is None else F.when(~F.coalesce(bad, F.lit(False)), F.col(column).cast("double"))
     r = df.withColumn("_x", pos).withColumn("_y", y)
     known = F.when(F.col("_y").isNotNull(), F.struct("_x", "_y"))
-    r = r.withColumn("_p", F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.first(known, True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    r = r.withColumn("_p", F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.last(known, True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
     line = F.col("_p._y") + (F.col("_n._y") - F.col("_p._y")) * ((F.col("_x") - F.col("_p._x")) / F.nullif(F.col("_n._x") - F.col("_p._x"), F.lit(0.0)))
     return r.withColumn(column, F.coalesce(F.col("_y"), line, F.col("_p._y"), F.col("_n._y"))).drop("_x", "_y", "_p", "_n")
 
