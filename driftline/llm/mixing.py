@@ -35,9 +35,9 @@ def targets(sizes: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: fl
     ranked = sizes.withColumn("rank", F.row_number().over(order)).withColumn("weight", weight)
     caps = ranked.withColumn("cap", most * F.col("source_size")).withColumn("ratio", F.col("cap") / F.col("weight"))
     before = level.rowsBetween(Window.unboundedPreceding, -1)
-    rest = level.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     left = share * F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    stepped = caps.withColumn("step", left / F.sum("weight").over(rest))
+    rest = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
+    stepped = caps.withColumn("step", left / rest)
     # The first source whose cap lies above its share sets the level for all that follow.
     reached = F.min(F.when(F.col("step") < F.col("ratio"), F.struct("ratio", "rank", "step"))).over(everything)["step"]
     return stepped.select("source", "source_size", F.coalesce(F.least(F.col("cap"), reached * F.col("weight")), F.col("cap")).cast("double").alias("target"))

@@ -148,10 +148,12 @@ def solve(histogram: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     left = histogram.astype(np.int64).copy()
     left[0] = 0
     counts = np.zeros(len(combos), np.int64)
-    for whole in (True, False):  # the rounded solution, then whatever of it still fits
-        for j in np.argsort(-x, kind="stable").tolist():
-            if x[j] <= 0 and whole:
-                break
+    by_count, by_parts = np.argsort(-x, kind="stable"), np.argsort((combos > 0).sum(1), kind="stable")
+    # The rounded solution, what of it still fits, and then any combination that does, pairs first.
+    for order, whole in ((by_count[: (x > 0).sum()], True), (by_count[: (x > 0).sum()], False), (by_parts, False)):
+        if order is by_parts:
+            order = order[((left[combos[order]] > 0) | (combos[order] == 0)).all(axis=1)]
+        for j in order.tolist():
             lengths, times = np.unique(combos[j][combos[j] > 0], return_counts=True)
             n = int((left[lengths] // times).min())
             n = min(n, int(x[j])) if whole else n
