@@ -26,7 +26,7 @@ from .common import id_residue
 BUCKETS = 1 << 17
 DIM = 8
 NGRAMS = (3, 4, 5, 6)
-SPAN, HOP = 16, 8
+SPAN, HOP = 6, 3
 PER_CLASS = 1000
 EPOCHS = 100
 #: Distinct words whose scores a task keeps.
