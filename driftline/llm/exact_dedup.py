@@ -48,10 +48,13 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 def apply_exact_dedup(docs: DataFrame, **options) -> DataFrame:
     """The rows of docs that stay, with their columns. Of repeated rows with the staying id one stays."""
-    once = docs.withColumn("_sha", F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256))
-    staying = exact_dedup(docs, **options).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_s")).distinct()
-    joined = once.join(staying, once["doc_id"].cast("long").eqNullSafe(staying["_id"]) & (once["_sha"] == staying["_s"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    # One key for the join and for repeated rows, so that the texts are shuffled once for both.
+    def key(doc_id, sha):
+        return F.concat_ws(":", sha, doc_id.cast("long").cast("string"))
+
+    sha = F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256)
+    staying = exact_dedup(docs, **options).where("kept").select(key(F.col("doc_id"), F.col("text_sha256")).alias("_key")).distinct()
+    return docs.withColumn("_key", key(F.col("doc_id"), sha)).join(staying, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
 
 
 #: DuckDB SQL for the query.
