@@ -19,23 +19,28 @@ def ingest(spark: SparkSession, path: str, header: str, *, files_per_trigger: in
     return spark.readStream.schema(header_schema(header)).option("maxFilesPerTrigger", files_per_trigger).option("mode", "DROPMALFORMED").csv(path)
 
 
+def _timed(stream: DataFrame) -> DataFrame:
+    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ is read in the session's zone, which should be UTC."""
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def bins(stream: DataFrame, seconds: int, columns: Sequence[str], late: str = "10 minutes") -> DataFrame:
     """Tumbling means as data arrives. stream(probe, ts TIMESTAMP_NTZ or TIMESTAMP, ...)."""
     w = F.window("ts", f"{seconds} seconds")
-    return stream.withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in columns]).select("probe", F.col("window.start").alias("ts"), "rows", *columns)
+    return _timed(stream).withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in columns]).select("probe", F.col("window.start").alias("ts"), "rows", *columns)
 
 
 def sliding(stream: DataFrame, length: int, hop: int, column: str, late: str = "10 minutes") -> DataFrame:
     """Sliding windows with their ordered values, for a spectrum of each."""
     w = F.window("ts", f"{length} seconds", f"{hop} seconds")
-    out = stream.withWatermark("ts", late).groupBy("probe", w).agg(F.sort_array(F.collect_list(F.struct("ts", column))).alias("_s"))
+    out = _timed(stream).withWatermark("ts", late).groupBy("probe", w).agg(F.sort_array(F.collect_list(F.struct("ts", column))).alias("_s"))
     return out.select("probe", F.col("window.start").alias("w_start"), F.transform("_s", lambda r: r[column]).alias("values"))
 
 
 def sessions(stream: DataFrame, gap: str, late: str = "10 minutes") -> DataFrame:
     """Bursts on arrival: rows less than gap apart."""
     w = F.session_window("ts", gap)
-    return stream.withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows")).select("probe", F.col("session_window.start").alias("t_start"), F.col("session_window.end").alias("t_end"), "rows")
+    return _timed(stream).withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows")).select("probe", F.col("session_window.start").alias("t_start"), F.col("session_window.end").alias("t_end"), "rows")
 
 
 def resolved_times(stream: DataFrame, freq: float) -> DataFrame:
