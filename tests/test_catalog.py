@@ -6,6 +6,13 @@ import pytest
 from driftline.plans.catalog import ORACLES, QUERIES
 
 TABLES = "events orders documents embeddings".split()
+#: sf0.01: at sf0.001 the probes' steps are hours, so ten of them exceed the day that T5 looks for.
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def sf_dir():
+    return SF_DIR
 
 
 def rows(found):
