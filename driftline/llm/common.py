@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Text bytes that one Python group holds; groups are dealt by hash, so none is much larger.
 BATCH_BYTES = 8 << 20
+#: Text bytes that numpy works on at a time; a longer text is a slice of its own.
+SLICE_BYTES = 1 << 20
 _LOCAL: dict[str, str] = {}
 
 
@@ -62,3 +68,15 @@ def batched(docs: DataFrame, batch_bytes: int, *keep: Column) -> tuple[DataFrame
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     batch = F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(count)).cast("int").alias("batch")
     return docs.select(batch, *keep, text.alias("text")), count
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int = 512, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of at most `rows` rows and about `most` bytes in the given text column."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        upto = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + most, "right"))))
+        yield batch.slice(at, upto - at)
+        at = upto

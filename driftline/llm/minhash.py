@@ -25,14 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import materialise
+from .common import materialise, slices
 
 WIDTH = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
 RING = 1 << 18
-#: Members of a bucket that one block holds in step 3.
+#: Members of a bucket, and shingles of their sets, that one block holds in step 3.
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
 _SET_SCHEMA = "doc_id long, n_shingles long, hi long, lo long, sig array<int>"
 
 
@@ -63,8 +64,7 @@ def _signatures(width: int, coordinates: int, ring: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _ring(coordinates, ring)
         for big in batches:
-            for at in range(0, big.num_rows, 512):
-                b = big.slice(at, 512)
+            for b in slices(big, 1):
                 n, hi, lo, sigs = [], [], [], []
                 for s in shingle_sets(_bytes(b.column(1)), width):
                     n.append(len(s))
@@ -90,8 +90,7 @@ def _signatures(width: int, coordinates: int, ring: int):
 def _full_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for at in range(0, big.num_rows, 256):
-                b = big.slice(at, 256)
+            for b in slices(big, 1):
                 sets = shingle_sets(_bytes(b.column(1)), width)
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
@@ -236,10 +235,10 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, bands: int = BANDS,
     others = stars.join(closest, ["class", "pivot"], "left_anti")
     labels = components(materialise(verified(apart(others.select(F.col("pivot").alias("a"), F.col("class").alias("b")), labels)), "verified"), labels)
     # Step 3: buckets whose members are still in several components.
-    placed = members.join(labels, "class")
-    open_buckets = placed.groupBy("bucket").agg(F.min("comp").alias("c"), F.max("comp").alias("d"), F.count(F.lit(1)).alias("members")).where("c < d and members > 2")
-    inside = placed.join(open_buckets.select("bucket", "members"), "bucket").join(classes.select("class", "n_shingles", "sig"), "class").join(full, "class")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    placed = members.join(labels, "class").join(classes.select("class", "n_shingles"), "class")
+    open_buckets = placed.groupBy("bucket").agg(F.min("comp").alias("c"), F.max("comp").alias("d"), F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("held")).where("c < d and members > 2")
+    inside = placed.join(open_buckets.select("bucket", "members", "held"), "bucket").join(classes.select("class", "sig"), "class").join(full, "class")
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.least(F.col("held") / BLOCK_SHINGLES, F.col("members")))).cast("int")
     kept = ["bucket", "band", "class", "comp", "n_shingles", "sig", "shingles"]
     cut = inside.select(*kept, blocks.alias("blocks"), F.pmod(F.xxhash64("class"), blocks).cast("int").alias("block"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))

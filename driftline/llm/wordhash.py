@@ -38,8 +38,8 @@ def words(texts: list[bytes], seed: int = 1) -> tuple[np.ndarray, np.ndarray, np
     table, base = _odd(seed, 256), _odd(seed + 1)
     inverse = np.uint64(pow(int(base), -1, 1 << 64))
     hashes = np.empty(len(start), np.uint64)
-    # Sums restart every few MB, at a word: the power tables stay small.
-    cut, step = 0, 1 << 22
+    # Sums restart about every MB, at a word: the power tables stay small.
+    cut, step = 0, 1 << 20
     while cut < len(start):
         upto = max(cut + 1, int(np.searchsorted(start, start[cut] + step)))
         low, high = start[cut], end[upto - 1]
