@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import per_probe
+from ..scratch import allow_checkpoints
 from .aggregates import sphere_cells
 
 FIT_SCHEMA = "probe string, A array<array<double>>, b array<double>"
@@ -87,6 +88,7 @@ def calibrated(df: DataFrame, *, bins: int = 200, passes: int = 10, first: float
     """Fit on cell means, drop rows beyond a shrinking limit, fit again; a probe stops before a limit
     that would take more than `most` of its rows. The limits of all passes are known, so the share of
     rows beyond each comes from one aggregate per pass; only per-probe numbers move between passes."""
+    allow_checkpoints(df.sparkSession)
     fit = fit_ellipsoid(sphere_cells(df, bins))
     kept = df.withColumn("_stop", F.lit(False))
     for k in range(passes):

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import streaming
 from ..functions import physics
 from ..operators import aggregates, calibrate, filters, joins, spectrum, store, timefix, velocity, windows
-from ..schema import DAY, SECOND, rounded
+from ..schema import DAY, SECOND, micros, rounded
+from ..scratch import scratch_path
 from ..sources import instruments, text
 from .fixtures import AZIMUTH, GAIN_A, GAIN_M, SPEED, coefs, ctes, table
 
@@ -495,7 +497,10 @@ def x5(get):
 
 
 # ---- stored tables ------------------------------------------------------------------------------
-@query("k1_formatted", ("raw",), "SELECT probe, strftime(make_timestamp(CAST(ceil(t / 1000000.0::DOUBLE) AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS Time, Temp FROM raw")
+_FORMATTED = "SELECT probe, strftime(make_timestamp(CAST(ceil(t / 1000000.0::DOUBLE) AS BIGINT) * 1000000), '%Y-%m-%d %H:%M:%S') AS Time, Temp FROM raw"
+
+
+@query("k1_formatted", ("raw",), _FORMATTED)
 def k1(get):
     return store.formatted(get("raw"), ["Temp"])
 
@@ -617,3 +622,118 @@ def l20(get):
 @query("l14_first_per_time", ("raw_dup",), "SELECT probe, seq FROM raw_dup QUALIFY row_number() OVER (PARTITION BY probe, t ORDER BY seq) = 1")
 def l14(get):
     return instruments.first_per_time(get("raw_dup")).select("probe", "seq")
+
+
+@query("s4_edge_rows", ("raw",), "SELECT concat(probe, '.csv') AS file, count(*) AS \"rows\", arg_min(t, seq) AS first_t, arg_min(Temp, seq) AS first_Temp, arg_max(t, seq) AS last_t, arg_max(Temp, seq) AS last_Temp FROM raw GROUP BY probe")
+def s4(get):
+    return text.edge_rows(get("raw"), F.concat("probe", F.lit(".csv")), ["t", "Temp"])
+
+
+@query("s5_discovered", ("load_log",), "SELECT concat('/d/', probe, '.csv') AS path, probe FROM load_log WHERE changed % 2 <> 0")
+def s5(get):
+    ending = F.when(F.col("changed") % 2 == 0, "coef.csv").otherwise(".csv")
+    return text.discovered(get("load_log").select(F.concat(F.lit("/d/"), "probe", ending).alias("path"))).select("path", "probe")
+
+
+# ---- recovery and calibration -------------------------------------------------------------------
+@query("p10_recovered_overscale", ("raw",), f"SELECT probe, seq, {r6('CASE WHEN seq % 17 = 0 THEN sqrt(greatest(0.0, m - Ay * Ay - Az * Az)) ELSE Ax END', 'Ax')} FROM (SELECT *, max(CASE WHEN seq % 17 <> 0 THEN Ax * Ax + Ay * Ay + Az * Az END) OVER (PARTITION BY probe) AS m FROM raw)")
+def p10(get):
+    x = get("raw").withColumn("overscaled", F.col("seq") % 17 == 0)
+    return velocity.recovered_overscale(x, "Ax", ("Ay", "Az")).select("probe", "seq", *rd("Ax"))
+
+
+@query("p11_recovered_magnetometer", ("raw",), f"""WITH g AS (SELECT probe, t, seq, CASE WHEN seq % 19 <> 0 THEN Mx END AS Hx, My AS Hy, Mz AS Hz FROM raw), m AS (SELECT probe, median(sqrt(Hx * Hx + Hy * Hy + Hz * Hz)) AS h FROM g GROUP BY probe),
+ s AS (SELECT *, coalesce(sign(last_value(Hx IGNORE NULLS) OVER (PARTITION BY probe ORDER BY t, seq ROWS UNBOUNDED PRECEDING)), 1) AS k FROM g)
+SELECT s.probe, seq, {r6('coalesce(Hx, sqrt(greatest(0.0, h * h - Hy * Hy - Hz * Hz)) * k)', 'Hx')} FROM s JOIN m ON s.probe = m.probe""")
+def p11(get):
+    x = get("raw").select("probe", "t", "seq", F.when(F.col("seq") % 19 != 0, F.col("Mx")).alias("Hx"), F.col("My").alias("Hy"), F.col("Mz").alias("Hz"))
+    return velocity.recovered_magnetometer(x).select("probe", "seq", *rd("Hx"))
+
+
+@query("a13_calibrated")
+def a13(get):
+    f = calibrate.calibrated(get("sphere"), passes=4)
+    return f.select("probe", *[rounded(F.col("b")[i]).alias(f"b{i}") for i in range(3)], *[rounded(F.col("A")[i][i]).alias(f"A{i}{i}") for i in range(3)])
+
+
+# ---- stores that are written and read again -----------------------------------------------------
+@query("k1_files", ("raw",), _FORMATTED)
+def k1_files(get):
+    raw = get("raw")
+    spark, path = raw.sparkSession, scratch_path(raw.sparkSession, "tsv")
+    store.write_tsv(raw, path, ["Temp"], 0)
+    return spark.read.option("sep", "\t").option("header", True).csv(path).select("probe", "Time", F.col("Temp").cast("double").alias("Temp"))
+
+
+@query("k6_sorted_store", ("raw",), "SELECT probe, t, seq, Temp FROM raw")
+def k6(get):
+    raw = get("raw").select("probe", "t", "seq", "Temp")
+    path = scratch_path(raw.sparkSession, "sorted")
+    store.sorted_store(raw, path)
+    return raw.sparkSession.read.parquet(path)
+
+
+@query("k11_staged", ("raw", "load_log"), "SELECT r.probe, r.seq FROM raw r JOIN load_log l ON r.probe = l.probe WHERE NOT 3 <= l.changed")
+def k11(get):
+    raw, log = get("raw"), get("load_log")
+    path = scratch_path(raw.sparkSession, "stage")
+    store.append(raw.where("false").select("probe", "t", "seq"), path)
+    wanted = log.select("probe", "file", F.lit(3).cast("long").alias("changed"))
+    return store.staged(raw.sparkSession, path, wanted, log, lambda new: raw.join(new.select("probe").distinct(), "probe", "left_semi").select("probe", "t", "seq")).select("probe", "seq")
+
+
+# ---- streams ------------------------------------------------------------------------------------
+#: What the watermark has passed once all rows are read: ten minutes before the last one.
+_LATE = "e AS (SELECT max(t) - 600000000 AS late FROM raw)"
+GAP = 10 * HOUR + 1000
+
+
+def streamed(name: str, sql: str):
+    """A stream over the events that are there now, run to its end; the query is what it wrote."""
+
+    def add(f: Callable[[DataFrame], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # A stream needs a folder or a pattern: a lone file's path is no base path.
+            path = f"{sf_dir}/events*.parquet"
+            events = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(path)
+            probe = F.concat(F.lit("i"), F.lpad((F.col("user_id") % 10).cast("string"), 2, "0")).alias("probe")
+            out = f(events.select(probe, "ts", F.col("event_id").alias("seq"), ((F.col("event_id") % 1500).cast("double") / 100 + 5).alias("Temp")))
+            return streaming.run_to_end(out, scratch_path(spark, name), scratch_path(spark, f"{name}-state"))
+
+        QUERIES[name] = run
+        ORACLES[name] = ctes("raw") + (", " + sql[5:] if sql.startswith("WITH ") else "\n" + sql)
+        return f
+
+    return add
+
+
+@query("r1_ingest", ("raw",), "SELECT probe, CAST(seq AS DOUBLE) AS seq, Temp FROM raw")
+def r1(get):
+    raw = get("raw")
+    spark = raw.sparkSession
+    path = scratch_path(spark, "arrived")
+    raw.select("probe", "seq", "Temp").write.csv(path)
+    return streaming.run_to_end(streaming.ingest(spark, path, "probe(text),seq,Temp"), scratch_path(spark, "ingested"), scratch_path(spark, "ingest-state"))
+
+
+@streamed("r2_resolved_times", f"SELECT probe, seq, h + (row_number() OVER (PARTITION BY probe, h ORDER BY seq) - 1) * 10000000 AS t FROM (SELECT probe, seq, CAST(floor(t / {HOUR}) AS BIGINT) * {HOUR} AS h FROM raw)")
+def r2(stream):
+    return streaming.resolved_times(stream.withColumn("ts", F.date_trunc("hour", "ts")), 0.1)
+
+
+@streamed("r3_bins", f"WITH {_LATE} SELECT probe, t, n AS \"rows\", {r6('Temp')} FROM (SELECT probe, CAST(floor(t / {HOUR}) AS BIGINT) * {HOUR} AS t, count(*) AS n, avg(Temp) AS Temp FROM raw GROUP BY 1, 2), e WHERE t + {HOUR} <= late")
+def r3(stream):
+    return streaming.bins(stream, 3600, ["Temp"]).select("probe", micros(F.col("ts")).alias("t"), "rows", *rd("Temp"))
+
+
+@streamed("r4_sliding", f"WITH {_LATE} SELECT probe, w_start, count(*) AS n, arg_min(Temp, t) AS first_value, arg_max(Temp, t) AS last_value FROM (SELECT probe, t, Temp, unnest([(CAST(floor(t / {12 * HOUR}) AS BIGINT) - 1) * {12 * HOUR}, CAST(floor(t / {12 * HOUR}) AS BIGINT) * {12 * HOUR}]) AS w_start FROM raw), e WHERE w_start + {DAY} <= late GROUP BY 1, 2")
+def r4(stream):
+    s = streaming.sliding(stream, 86400, 43200, "Temp")
+    return s.select("probe", micros(F.col("w_start")).alias("w_start"), F.size("values").cast("long").alias("n"), F.element_at("values", 1).alias("first_value"), F.element_at("values", -1).alias("last_value"))
+
+
+@streamed("r5_sessions", f"""WITH {_LATE}, d AS (SELECT probe, t, sum(CASE WHEN t - l > {GAP} THEN 1 ELSE 0 END) OVER (PARTITION BY probe ORDER BY t, seq) AS k FROM (SELECT probe, t, seq, lag(t) OVER (PARTITION BY probe ORDER BY t, seq) AS l FROM raw))
+SELECT probe, min(t) AS t_start, max(t) + {GAP} AS t_end, count(*) AS "rows" FROM d, e GROUP BY probe, k, late HAVING max(t) + {GAP} <= late""")
+def r5(stream):
+    s = streaming.sessions(stream, f"{GAP // 1000} milliseconds")
+    return s.select("probe", micros(F.col("t_start")).alias("t_start"), micros(F.col("t_end")).alias("t_end"), "rows")
