@@ -22,7 +22,7 @@ from .common import materialise
 NEIGHBOURS = 16
 EF_BUILD, EF_SEARCH = 72, 320
 SHARD_ROWS = 1 << 14
-BLOCK = 256
+BLOCK = 2048
 K = 20
 
 
