@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import id_residue
+from .common import id_residue, slices
 
 BUCKETS = 1 << 17
 DIM = 8
@@ -30,7 +30,7 @@ SPAN, HOP = 6, 3
 PER_CLASS = 1000
 EPOCHS = 100
 #: Distinct words whose scores a task keeps.
-CACHE = 400_000
+CACHE = 100_000
 
 
 def subwords(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
@@ -186,8 +186,7 @@ def _score(model: Model):
 
         index, new = Cache(), []
         for big in batches:
-            for at in range(0, big.num_rows, 512):
-                b = big.slice(at, 512)
+            for b in slices(big, 2):
                 if len(index) > CACHE:
                     index, known = Cache(), np.zeros(0)
                 split = [tokens(t) for t in b.column(2).to_pylist()]
@@ -218,15 +217,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = PER_CLASS,
 def apply_toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of docs that are not predicted toxic, with their columns."""
     model = fit(*sample(docs, labels, lambda i: id_residue(i, 5) != 0, options.pop("per_class", PER_CLASS)), **options)
-    at = docs.columns.index("text")
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _score(model)
-        for b in batches:
-            n = b.num_rows
-            if n:
-                asked = pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, bool)), b.column(at)], ["doc_id", "held_out", "text"])
-                said = np.concatenate([x.column(3).to_numpy() for x in score(iter([asked]))])
-                yield b.filter(pa.array(said == 0))
-
-    return docs.mapInArrow(clean, docs.schema)
+    score = _score(model)
+
+    @F.arrow_udf("int")
+    def predicted(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # Only texts go to Python and only labels come back; rows stay in the JVM.
+        for t in texts:
+            blank = pa.nulls(len(t), pa.int64()), pa.nulls(len(t), pa.bool_())
+            asked = pa.RecordBatch.from_arrays([*blank, t], ["doc_id", "held_out", "text"])
+            yield pa.concat_arrays([pa.array([], pa.int32()), *(x.column(3) for x in score(iter([asked])))])
+
+    return docs.where(predicted(F.col("text").cast("string")) == 0)
