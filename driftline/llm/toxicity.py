@@ -38,7 +38,7 @@ def subwords(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np
     marked = [b"<" + w + b">" for w in words]
     data = np.frombuffer(b"".join(marked), np.uint8)
     length = np.fromiter(map(len, marked), np.int64, len(marked))
-    owner = np.repeat(np.arange(len(words)), length)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), length)
     left = np.repeat(np.cumsum(length), length) - np.arange(len(data))  # bytes to the word's end
     table, ids, owners = wordhash._odd(41, 256)[data], [], []
     value = np.zeros(len(data), np.uint64)
@@ -48,12 +48,12 @@ def subwords(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np
         value = value[: len(data) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + table[n - 1 :]
         if n in NGRAMS:
             inside = left[: len(value)] >= n
-            ids.append(wordhash.mix(value[inside] + np.uint64(n)) & np.uint64(buckets - 1))
+            ids.append((wordhash.mix(value[inside] + np.uint64(n)) & np.uint64(buckets - 1)).astype(np.int32))
             owners.append(owner[: len(value)][inside])
     whole = wordhash.words(marked)[0] if words else np.zeros(0, np.uint64)
-    ids.append(wordhash.mix(whole) & np.uint64(buckets - 1))
-    owners.append(np.arange(len(words)))
-    return np.concatenate(ids).astype(np.int64), np.concatenate(owners)
+    ids.append((wordhash.mix(whole) & np.uint64(buckets - 1)).astype(np.int32))
+    owners.append(np.arange(len(words), dtype=np.int32))
+    return np.concatenate(ids), np.concatenate(owners)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -120,17 +120,20 @@ def fit(texts: list[str | None], labels: list[int], *, epochs: int = EPOCHS, buc
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(1), 0.0, float(y[0]) if len(y) else 0.0)
-    split = [tokens(t) for t in texts]
     index: dict[bytes, int] = {}
-    word = np.fromiter((index.setdefault(w, len(index)) for ws in split for w in ws), np.int64)
-    counts = np.fromiter(map(len, split), np.int64, len(split))
+    # A text at a time: the driver never holds the words of all of them.
+    places = [np.fromiter((index.setdefault(w, len(index)) for w in tokens(t)), np.int32) for t in texts]
+    word, counts = np.concatenate(places), np.fromiter(map(len, places), np.int64, len(places))
     ids, owner = subwords(list(index), buckets)
     order = np.argsort(owner, kind="stable")
     ids, owner = ids[order], owner[order]
     seen, ids = np.unique(ids, return_inverse=True)  # only buckets that occur are trained
+    ids = ids.astype(np.int32)
     first = np.flatnonzero(np.diff(owner, prepend=-1))
     size = np.bincount(owner, minlength=len(index))
-    by_bucket = np.argsort(ids, kind="stable")
+    by_bucket = np.argsort(ids, kind="stable").astype(np.int32)
+    count = len(index)
+    del order, places, index
     bucket_first = np.flatnonzero(np.diff(ids[by_bucket], prepend=-1))
     start, end, text = _windows(counts)
     fresh = _fresh(word, counts)
@@ -147,7 +150,7 @@ def fit(texts: list[str | None], labels: list[int], *, epochs: int = EPOCHS, buc
         error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - y) * balance / len(y)
         g = weight * error[text]
         spread = np.bincount(start, g / SPAN, len(word) + 1) - np.bincount(end, g / SPAN, len(word) + 1)
-        per_word = np.bincount(word, np.cumsum(spread)[:-1] * fresh, len(index)) / size
+        per_word = np.bincount(word, np.cumsum(spread)[:-1] * fresh, count) / size
         per_bucket = np.add.reduceat(per_word[owner][by_bucket], bucket_first)
         grads = per_bucket[:, None] * softmax[None, :], per_bucket @ vectors, g.sum()
         # One scale for each kind of parameter: a bucket moves in proportion to its gradient, so chance
