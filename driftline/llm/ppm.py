@@ -1,12 +1,22 @@
-"""Prediction by partial matching over the bytes of tokens, trained on the corpus by Spark jobs.
+"""Prediction by partial matching over bytes, trained on the corpus by Spark jobs.
 
 A text is its lower-cased words and one end. A word is coded as its bytes and a space, the end as a
-line feed, so every text has one code and the code lengths are those of a proper model. The trie's
-contexts are the last `order` bytes of the token (zero bytes before its start); escapes follow
+line feed, so every text has one code and the code lengths are those of a proper model. Escapes follow
 method C (as many escapes as distinct symbols seen), and the symbols of the longer context are
 excluded from the shorter ones; below order 0 all symbols left are equally likely.
 
-Where the data goes:
+ppm_score_texts (the query) takes the contexts from the running bytes of the whole text, previous words
+and spaces included; only the text's start is padded by zero bytes. ppm_score is the narrower model
+whose contexts start anew at every token, so that a token has one code wherever it stands.
+
+Where the data of ppm_score_texts goes:
+* counts: (context, symbol) and token counts of a batch of documents, one row each per batch;
+* trie: (context, symbol) counts over all batches, dealt by the context's last two bytes. All longer and
+  shorter contexts that a code needs then lie in one group, whose memory follows its distinct rows; the
+  last byte and no context are a table of 65,792 counts that is sent along;
+* code lengths go back to the batches by (batch, context, symbol) rows.
+
+Where the data of ppm_score goes:
 * vocabulary: counts of the training tokens, one row per token and task before the shuffle;
 * trie: (context, symbol) counts, dealt by the last order-2 bytes of the context. All longer and
   shorter contexts that a code needs then lie in one group, of at most 2^24 cells; what is left
@@ -27,9 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_BYTES, batched, id_residue, materialise
+from .common import BATCH_BYTES, SLICE_BYTES, batched, id_residue, materialise
 
 ORDER = 4
+#: Context bytes of a running text; with the symbol, up to 6 fit the 64 bits of a row's key.
+TEXT_ORDER = 5
 SYMBOLS = 256
 END = b"\n"
 #: Distinct tokens that a task holds before it passes their counts on.
@@ -223,6 +235,192 @@ def ppm_score(docs: DataFrame, *, order: int = ORDER, held_out=None, batch_bytes
     return rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_batch_scores(total, distinct), schema)
 
 
+def _code(words: list[bytes], order: int) -> bytes:
+    """A text's bytes as they are coded, after the pad of its start."""
+    return bytes(order) + b"".join([w + b" " for w in words]) + END
+
+
+def _windows(codes: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Packed (context, symbol) of each coded byte of each text, and the text's index."""
+    data = np.frombuffer(b"".join(codes), np.uint8).astype(np.int64)
+    lengths = np.fromiter(map(len, codes), np.int64, len(codes))
+    packed = data.copy()
+    for k in range(1, order + 1):
+        packed[k:] |= data[:-k] << (8 * k)
+    inside = np.ones(len(data), bool)
+    inside[((np.cumsum(lengths) - lengths)[:, None] + np.arange(order)).ravel()] = False
+    return packed[inside], np.repeat(np.arange(len(codes)), lengths - order)
+
+
+def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of n of each."""
+    by = np.argsort(keys, kind="stable")
+    keys, n = keys[by], n[by]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    return keys[starts], np.add.reduceat(n, starts) if len(starts) else n
+
+
+def _text_slices(texts: pa.ChunkedArray, order: int) -> Iterator[tuple[int, list[list[bytes]], list[bytes]]]:
+    """First row, words and codes of consecutive texts of about SLICE_BYTES; a longer text is a slice of its own."""
+    first, words, codes, held = 0, [], [], 0
+    for k, text in enumerate(texts):
+        words.append(_tokens(text.as_py()))
+        codes.append(_code(words[-1], order))
+        held += len(codes[-1])
+        if held >= SLICE_BYTES:
+            yield first, words, codes
+            first, words, codes, held = k + 1, [], [], 0
+    if words:
+        yield first, words, codes
+
+
+def _batch_counts(order: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        # A null mark holds out nothing, as in the token model.
+        held = np.array([bool(h) for h in table.column("held_out").to_pylist()], bool)
+        seen, found = Counter({END: int((~held).sum())}), []
+        for first, words, codes in _text_slices(table.column("text"), order):
+            own = held[first : first + len(codes)]
+            for w, h in zip(words, own):
+                seen.update(dict.fromkeys(set(w).difference(seen), 0) if h else w)
+            grams, owner = _windows(codes, order)
+            # The mark in the lowest bit: one sort counts learnt and merely asked ones.
+            marked, n = np.unique((grams << 1) | own[owner], return_counts=True)
+            found.append(_sums(marked >> 1, np.where(marked & 1, 0, n)))
+        grams, n = _sums(*(np.concatenate(x) for x in zip(*found)))
+        tokens = len(seen)
+        return pa.table({
+            "batch": pa.array(np.full(tokens + len(grams), key[0].as_py(), np.int32)),
+            "token": pa.concat_arrays([pa.array(list(seen.keys()), pa.binary()), pa.nulls(len(grams), pa.binary())]),
+            "gram": pa.concat_arrays([pa.nulls(tokens, pa.int64()), pa.array(grams, pa.int64())]),
+            "n": pa.array(np.r_[np.fromiter(seen.values(), np.int64, tokens), n], pa.int64()),
+        })
+
+    return run
+
+
+class _Level:
+    """What was seen after the contexts of one length: rows (context, symbol) in order, with counts."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray):
+        self.keys, self.n = keys, n
+        self.contexts, starts = np.unique(keys >> 8, return_index=True)
+        self.kinds = np.diff(np.r_[starts, len(keys)])
+        self.total = np.add.reduceat(n, starts) if len(starts) else n
+        self.starts = starts
+
+    @staticmethod
+    def _at(known: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        if not len(known):
+            return np.zeros(len(asked), np.int64)
+        at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+        return np.where(known[at] == asked, values[at], 0)
+
+    def count(self, keys: np.ndarray) -> np.ndarray:
+        return self._at(self.keys, self.n, keys)
+
+    def of(self, values: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+        return self._at(self.contexts, values, contexts)
+
+
+def sparse_code_lengths(gram: np.ndarray, n: np.ndarray, lower: list[np.ndarray], depth: int, order: int) -> np.ndarray:
+    """log10 probability of each distinct (context, symbol), as code_lengths, in memory that follows the rows.
+
+    The symbols seen after a context were all seen after its shorter ones. So what a level excludes is
+    exactly what the level above has seen, and is summed once per context.
+    """
+    keep = n > 0
+    levels = [_Level(np.flatnonzero(c), c[c > 0].astype(np.int64)) for c in lower[:depth]]
+    for k in range(depth, order + 1):
+        levels.append(_Level(*_sums(gram[keep] & ((1 << 8 * (k + 1)) - 1), n[keep])))
+    out = np.zeros(len(gram))
+    top, context = levels[order], gram[keep] >> 8
+    out[keep] = np.log10(n[keep] / (top.of(top.total, context) + top.of(top.kinds, context)))
+    asked = gram[~keep]
+    log, done = np.zeros(len(asked)), np.zeros(len(asked), bool)
+    for k in range(order, -1, -1):
+        level, context = levels[k], (asked >> 8) & ((1 << 8 * k) - 1)
+        total, kinds = level.of(level.total, context), level.of(level.kinds, context)
+        if k < order and len(levels[k + 1].keys):
+            above = levels[k + 1]
+            outer = (asked >> 8) & ((1 << 8 * (k + 1)) - 1)
+            spent = np.add.reduceat(level.count(above.keys & ((1 << 8 * (k + 1)) - 1)), above.starts)
+            total, kinds = total - above.of(spent, outer), kinds - above.of(above.kinds, outer)
+        own = level.count(asked & ((1 << 8 * (k + 1)) - 1))
+        hit, escape = ~done & (own > 0), ~done & (own == 0) & (kinds > 0)
+        log[hit] += np.log10(own[hit] / (total[hit] + kinds[hit]))
+        log[escape] += np.log10(kinds[escape] / (total[escape] + kinds[escape]))
+        done |= hit
+    log[~done] -= math.log10(max(1, SYMBOLS - len(levels[0].keys)))
+    out[~keep] = log
+    return out
+
+
+def _tail_codes(lower: list[np.ndarray], depth: int, order: int):
+    def run(table: pa.Table) -> pa.Table:
+        gram, n = table.column("gram").to_numpy(), table.column("n").to_numpy()
+        return pa.table({"gram": gram, "log": sparse_code_lengths(gram, n, lower, depth, order)})
+
+    return run
+
+
+def _text_scores(total: int, distinct: int, order: int):
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        tokens = known.filter(known.column("token").is_valid())
+        index = dict(zip(tokens.column("token").to_pylist(), range(tokens.num_rows)))
+        c = tokens.column("c").to_numpy()
+        base = np.log10((c + 1) / (total + 1 * (distinct + 1)))
+        codes = known.filter(known.column("gram").is_valid())
+        gram, log = codes.column("gram").to_numpy(), codes.column("log").to_numpy()
+        by = np.argsort(gram)
+        gram, log = gram[by], log[by]
+        end, get = index.get(END), index.__getitem__
+        n, hits, bases, scores = [], [], [], []
+        for _, words, coded in _text_slices(docs.column("text"), order):
+            for w in words:
+                at = np.append(np.fromiter(map(get, w), np.int64, len(w)), end)
+                n.append(len(at))
+                hits.append(int((c[at] > 0).sum()))
+                bases.append(float(base[at].sum()))
+            grams, owner = _windows(coded, order)
+            scores.append(np.bincount(owner, weights=log[np.searchsorted(gram, grams)], minlength=len(coded)))
+        size = docs.num_rows
+        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(hits, pa.int64()), "train_tokens": pa.array(np.full(size, total, np.int64)), "base_score": pa.array(bases, pa.float64()), "score": pa.array(np.concatenate(scores) if scores else [], pa.float64())})
+
+    return run
+
+
+def ppm_score_texts(docs: DataFrame, *, order: int = TEXT_ORDER, held_out=None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """The columns of ppm_score, with the score by the contexts of the running text across its words.
+
+    held_out, null texts, repeated rows, no training rows, other columns and an empty table: as there.
+    """
+    if order < 1 or order > 6:
+        raise ValueError("order is 1 to 6: context and symbol are one LONG")
+    held = (id_residue(F.col("doc_id"), 7) == 2) if held_out is None else held_out
+    rows, _ = batched(docs, batch_bytes, F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"))
+    counts = materialise(rows.groupBy("batch").applyInArrow(_batch_counts(order), "batch int, token binary, gram long, n long"), "ppm-counts")
+    words, grams = counts.where("token is not null").select("batch", "token", "n"), counts.where("gram is not null").select("batch", "gram", "n")
+    vocabulary = materialise(words.groupBy("token").agg(F.sum("n").alias("c")), "ppm-vocabulary")
+    sums = vocabulary.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
+    total, distinct = int(sums[0] or 0), int(sums[1] or 0)
+    trie = materialise(grams.groupBy("gram").agg(F.sum("n").alias("n")), "ppm-trie")
+    depth = min(2, order - 1)
+    lower = []
+    if depth:
+        cells = np.zeros(SYMBOLS**depth)
+        for r in trie.groupBy(F.col("gram").bitwiseAND(F.lit(SYMBOLS**depth - 1)).alias("g")).agg(F.sum("n").alias("n")).toLocalIterator():
+            cells[r["g"]] = r["n"]
+        lower = [cells.reshape(-1, SYMBOLS).sum(0), cells][2 - depth :]
+    tail = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * depth) - 1)).alias("tail")
+    codes = trie.withColumn("tail", tail).groupBy("tail").applyInArrow(_tail_codes(lower, depth, order), "gram long, log double")
+    none = {t: F.lit(None).cast(t) for t in ("binary", "long", "double")}
+    by_gram = grams.join(codes, "gram").select("batch", none["binary"].alias("token"), none["long"].alias("c"), "gram", "log")
+    by_token = words.join(vocabulary, "token").select("batch", "token", "c", none["long"].alias("gram"), none["double"].alias("log"))
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return rows.groupBy("batch").cogroup(by_gram.union(by_token).groupBy("batch")).applyInArrow(_text_scores(total, distinct, order), schema)
+
+
 class Trie:
     """The same model in memory: for adaptive code lengths of single texts, and to test against."""
 

@@ -12,7 +12,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ppm.ppm_score(_table(spark, sf_dir, "documents"))
+    return ppm.ppm_score_texts(_table(spark, sf_dir, "documents"))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.llm import exact_dedup, hnsw, html_extract, langid, minhash, mixing, packing, ppm, substring, toxicity
+from driftline.llm import exact_dedup, hnsw, html_extract, langid, minhash, mixing, packing, ppm, queries, substring, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -55,6 +55,44 @@ def test_ppm_probabilities_add_up():
         assert sum(10 ** trie.symbol_log(context, s) for s in range(256)) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("order", [1, 2, 5, 6])
+def test_ppm_texts(spark, docs, empty, order):
+    rows = [(r["doc_id"], r["text"]) for r in docs.where("doc_id <> 5").collect()]
+    trie = ppm.Trie(order)
+
+    def windows(text):
+        coded = bytes(order) + b"".join(w.encode() + b" " for w in WORD.findall(low(text))) + b"\n"
+        return [(coded[k - order : k], coded[k]) for k in range(order, len(coded))]
+
+    for i, t in rows:
+        for context, symbol in windows(t) if residue(i, 7) != 2 else ():
+            for k in range(order + 1):
+                trie.seen.setdefault(context[k:], Counter())[symbol] += 1
+    few = docs.where("doc_id <> 5")
+    got = ppm.ppm_score_texts(few, order=order, batch_bytes=20_000).collect()
+    by = dict(rows)
+    assert len(got) == len(rows) and {r["held_out"] for r in got} == {True, False}
+    for r in got:
+        assert r["score"] == pytest.approx(sum(trie.symbol_log(*w) for w in windows(by[r["doc_id"]])))
+    plain = {tuple(r)[:6] for r in ppm.ppm_score(few).withColumn("base_score", F.round("base_score", 9)).collect()}
+    assert {(*tuple(r)[:5], round(r["base_score"], 9)) for r in got} == plain
+    assert ppm.ppm_score_texts(empty, order=order).count() == 0
+
+
+def test_ppm_query_depends_on_the_order_of_words(spark, tmp_path):
+    """A held-out text costs more when its words are shuffled: contexts go on across words."""
+    words = "the old man stands at the river and counts the boats that pass under a bridge of stone".split()
+    other = random.Random(4).sample(words, len(words))
+    rows = [(i, " ".join(words if i % 2 else words[::-1][:3] + words)) for i in range(60)] + [(1000, " ".join(words)), (1001, " ".join(other))]
+    held = [1000, 1001]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] for r in ppm.ppm_score_texts(df, held_out=F.col("doc_id").isin(held)).collect()}
+    assert scores[1000] > scores[1001] + 5
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    own = {r["doc_id"]: r["score"] for r in queries.op1_ppm_score(spark, str(tmp_path)).collect()}
+    assert own[1000] > own[1001] + 5
+
+
 def test_mix(spark, docs, empty):
     got = mixing.mix(docs).collect()
     sizes = Counter()
