@@ -89,13 +89,44 @@ def wide(df: DataFrame, probes: list[str], columns: list[str], key: str = "t") -
 def nearest_node(points_: DataFrame, nodes: DataFrame, cell: float = 1.0) -> DataFrame:
     """The node of each point with the smallest squared distance, smallest id on ties.
 
-    nodes is a station list: its rows become one array, whose size is checked, so no pairs are shuffled.
+    Nodes lie in square cells, each level's 4 x 4 to a cell of the level above. A point goes down from the
+    whole extent by equalities on cells and leaves those whose nodes are all farther than the farthest node
+    of another, so it meets few nodes, however far it lies from them. Levels are added until a cell has at
+    most 64 places or is smaller than `cell`. Only the extent and two counts go to the driver. Points
+    without a place (NULL, NaN) get NULL; nodes without one are left out.
     """
-    limit = 100_000
-    listed = nodes.where("x is not null and y is not null").limit(limit + 1).collect()
-    if len(listed) > limit:
-        raise ValueError(f"nearest_node takes a list of at most {limit} nodes")
-    table = F.broadcast(nodes.sparkSession.createDataFrame([([(int(r["node"]), float(r["x"]), float(r["y"])) for r in listed],)], "nodes array<struct<node:long,x:double,y:double>>"))
-    best = F.array_min(F.transform("nodes", lambda n: F.struct(((n["x"] - F.col("x")) * (n["x"] - F.col("x")) + (n["y"] - F.col("y")) * (n["y"] - F.col("y"))).alias("d2"), n["node"].alias("node"))))
-    return points_.join(table).withColumn("_b", F.when(F.col("x").isNotNull() & F.col("y").isNotNull(), best)).drop("nodes").withColumn("node", F.col("_b.node")).withColumn("d2", F.col("_b.d2")).drop("_b")
-
+    placed = lambda x, y: F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    plain = points_.drop("node", "d2")
+    at = nodes.select(F.col("x").cast("double").alias("_nx"), F.col("y").cast("double").alias("_ny"), F.col("node").cast("long").alias("node"))
+    at = at.where(placed("_nx", "_ny")).groupBy("_nx", "_ny").agg(F.min("node").alias("node"))
+    e = at.agg(F.min("_nx").alias("x0"), F.max("_nx").alias("x1"), F.min("_ny").alias("y0"), F.max("_ny").alias("y1"), F.count(F.lit(1)).alias("n")).first()
+    if not e["n"]:
+        return plain.withColumn("node", F.lit(None).cast("long")).withColumn("d2", F.lit(None).cast("double"))
+    side = max(e["x1"] - e["x0"], e["y1"] - e["y0"]) or 1.0
+
+    def cells(steps: int) -> DataFrame:
+        k = lambda v, low: F.least(F.floor((F.col(v) - low) / side * 4.0**steps), F.lit(4**steps - 1)).cast("long")
+        return at.withColumn("_cx", k("_nx", e["x0"])).withColumn("_cy", k("_ny", e["y0"]))
+
+    steps = 1
+    while steps < 12 and side / 4**steps > cell and (steps == 1 or e["n"] > 64 * 16**steps or cells(steps).groupBy("_cx", "_cy").count().agg(F.max("count")).first()[0] > 64):
+        steps += 1
+    fine = cells(steps)
+    found = plain.select(F.col("x").cast("double").alias("_x"), F.col("y").cast("double").alias("_y")).where(placed("_x", "_y")).distinct()
+    found = found.withColumn("_px", F.lit(0).cast("long")).withColumn("_py", F.lit(0).cast("long"))
+    for step in range(1, steps + 1):
+        up = 2 * (steps - step)
+        level = fine.groupBy(F.shiftright("_cx", up).alias("_kx"), F.shiftright("_cy", up).alias("_ky")).agg(F.min("_nx").alias("_x0"), F.max("_nx").alias("_x1"), F.min("_ny").alias("_y0"), F.max("_ny").alias("_y1"))
+        level = level.withColumn("_px", F.shiftright("_kx", 2)).withColumn("_py", F.shiftright("_ky", 2))
+        met = found.join(F.broadcast(level) if step <= 3 else level, ["_px", "_py"])
+        # Differences, squares and sums round monotonically, so the bounds hold for the rounded distances too.
+        near = lambda v, a, b: F.greatest(F.col(a) - F.col(v), F.col(v) - F.col(b), F.lit(0.0))
+        far = lambda v, a, b: F.greatest(F.col(v) - F.col(a), F.col(b) - F.col(v))
+        low = near("_x", "_x0", "_x1") * near("_x", "_x0", "_x1") + near("_y", "_y0", "_y1") * near("_y", "_y0", "_y1")
+        high = far("_x", "_x0", "_x1") * far("_x", "_x0", "_x1") + far("_y", "_y0", "_y1") * far("_y", "_y0", "_y1")
+        bound = met.select("_x", "_y", "_kx", "_ky", low.alias("_low"), F.min(high).over(Window.partitionBy("_x", "_y")).alias("_high"))
+        found = bound.where("_low <= _high").select("_x", "_y", F.col("_kx").alias("_px"), F.col("_ky").alias("_py"))
+    met = found.join(fine.withColumnsRenamed({"_cx": "_px", "_cy": "_py"}), ["_px", "_py"])
+    d2 = (F.col("_nx") - F.col("_x")) * (F.col("_nx") - F.col("_x")) + (F.col("_ny") - F.col("_y")) * (F.col("_ny") - F.col("_y"))
+    best = met.groupBy("_x", "_y").agg(F.min(F.struct(d2.alias("d2"), "node")).alias("_b")).select("_x", "_y", "_b.node", "_b.d2")
+    return plain.join(best, (F.col("x").cast("double") == F.col("_x")) & (F.col("y").cast("double") == F.col("_y")), "left").drop("_x", "_y")

@@ -193,6 +193,25 @@ def j4(get):
     return joins.points(get("query_times"), get("raw"), "Temp").select("probe", "qid", *rd("value"))
 
 
+#: The same over every order; query_times has a third of them.
+_NEAR_ALL = _NEAR.replace("query_times", "order_times")
+
+
+@query("j3_neighbours_of_all_orders", ("raw", "order_times"), f"WITH {_NEAR_ALL} SELECT probe, qid, bt AS before_t, bv AS before_v, a_t AS after_t, av AS after_v FROM n")
+def j3_all(get):
+    return joins.neighbours(get("order_times"), get("raw"), "Temp").select("probe", "qid", "before_t", "before_v", "after_t", "after_v")
+
+
+@query("j2_nearest_of_all_orders", ("raw", "order_times"), f"WITH {_NEAR_ALL} SELECT probe, qid, CASE WHEN a_t IS NULL OR t - bt < a_t - t THEN bt ELSE a_t END AS found_t, CASE WHEN a_t IS NULL OR t - bt < a_t - t THEN bv ELSE av END AS found_v, CASE WHEN a_t IS NULL OR t - bt < a_t - t THEN bt ELSE a_t END - t AS dt FROM n")
+def j2_all(get):
+    return joins.time_difference(joins.nearest(get("order_times"), get("raw"), "Temp")).select("probe", "qid", "found_t", "found_v", "dt")
+
+
+@query("j4_points_of_all_orders", ("raw", "order_times"), f"WITH {_NEAR_ALL} SELECT probe, qid, {r6('CASE WHEN a_t > bt THEN bv + (av - bv) * ((t - bt)::DOUBLE / (a_t - bt)) ELSE coalesce(bv, av) END', 'value')} FROM n")
+def j4_all(get):
+    return joins.points(get("order_times"), get("raw"), "Temp").select("probe", "qid", *rd("value"))
+
+
 @query("j6_within_intervals", ("raw", "intervals"), "SELECT r.probe, r.seq, i.run FROM raw r JOIN intervals i ON r.probe = i.probe AND r.t BETWEEN i.t_start AND i.t_end")
 def j6(get):
     return joins.within_intervals(get("raw"), get("intervals")).select("probe", "seq", "run")
@@ -215,6 +234,14 @@ def j8(get):
     return joins.nearest_node(raw.where("seq % 5 = 0").select("seq", (F.col("Mx") * 8).alias("x"), (F.col("My") * 8).alias("y")), nodes).select("seq", "node", "d2")
 
 
+@query("j8_nearest_node_of_all")
+def j8_all(get):
+    """Every row's point; a node is the mean place of 100 successive rows, so nodes grow with the rows. A cross join in SQL would too, squared."""
+    raw = get("raw")
+    nodes = raw.groupBy(F.floor(F.col("seq") / 100).alias("hundred")).agg(F.min("seq").alias("node"), F.avg("Ax").alias("x"), F.avg("Ay").alias("y"))
+    return joins.nearest_node(raw.select("seq", (F.col("Mx") * 8).alias("x"), (F.col("My") * 8).alias("y")), nodes).select("seq", "node", "d2")
+
+
 @query("j9_intersections", ("intervals", "load_log"), "SELECT i.probe, greatest(i.t_start, l.t_start) AS t_start, least(i.t_end, l.t_end) AS t_end FROM intervals i JOIN load_log l ON i.probe = l.probe AND i.t_start <= l.t_end AND l.t_start <= i.t_end")
 def j9(get):
     return joins.intersections(get("intervals"), get("load_log"))
