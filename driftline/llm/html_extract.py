@@ -2,11 +2,14 @@
 
 The standard library's parser streams a page's events into blocks. Each block has a ratio, its
 characters by its tags; a Gaussian smooths the ratios along the page, and blocks above the threshold
-(the ratios' standard deviation, at most the largest smoothed ratio) are the cluster of content. The
-regions that hold them are kept whole: the article or main element around them, or else the stretch
-from the first to the last of them with the headings before it, so a short paragraph between long
-ones stays. Elements that are never article text (menus, scripts, forms, adverts, comments and so on,
-by tag, role or class) are left out of both. A page is one row; only the parser is Python per row.
+(the ratios' standard deviation, at most the largest smoothed ratio) are the cluster of content. Two
+answers are formed of it: the article and main elements that hold its blocks, whole; and outside of
+these the stretch from its first to its last block, grown over the adjoining blocks to the ends of the
+container of both (a link list of another container ends it), with the headings before it. The one with
+more text that is no link is kept. Elements that are never article text (menus, scripts, forms, adverts,
+comments and so on, by tag, role or class) are left out of both; an article or main that only a name
+around it leaves out is taken instead when it alone has more text. A page is one row; only the parser is
+Python per row.
 """
 
 from __future__ import annotations
@@ -26,31 +29,39 @@ DROPPED = frozenset("aside button canvas dialog fieldset footer form head iframe
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 REGIONS = frozenset(("article", "main"))
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-#: Parts of class and id names.
+#: Where a stretch of text may end.
+CONTAINERS = frozenset("article blockquote body center details div html main section td".split())
+#: What an element's text is: kept; left out; left out by a name around it; in an article or main below such a name.
+KEPT, OUT, NAMED, REVIVED = range(4)
+#: Class and id names.
 NAMES = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline captcha comment comments consent cookie cookies copyright disqus dropdown gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion recommended related replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split())
 OUTSIDE = frozenset(("footer", "header"))
+#: Parts that a name may be joined with (comment-list, site-footer) and still be that name; others (no-sidebar, social-science) make another.
+PARTS = frozenset("area bar block bottom box button buttons container count inner item items left link links list outer right section site slot top wrap wrapper".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 STOPS = frozenset("ul ol dl table div section article main body html td th".split())
 
 
 class Blocks(HTMLParser):
-    """Collects (text, tags, left out, region, heading) of each block."""
+    """Collects (text, tags, what it is, region, heading, characters of links, containers) of each block."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []  # tag, left out, region
-        self.blocks: list[tuple[str, int, bool, int, bool]] = []
+        self.open: list[tuple[str, int, int, int]] = []  # tag, what its text is, region, number
+        self.blocks: list[tuple[str, int, int, int, bool, int, tuple[int, ...]]] = []
         self.text: list[str] = []
-        self.tags = self.regions = 0
+        self.tags = self.regions = self.linked = self.opened = 0
+        self.roots: set[int] = set()
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            out, region = (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
-            heading = any(tag in HEADINGS for tag, _, _ in self.open[-3:])
-            self.blocks.append((text, max(1, self.tags), out, region, heading))
+            out, region = (self.open[-1][1], self.open[-1][2]) if self.open else (KEPT, 0)
+            heading = any(o[0] in HEADINGS for o in self.open[-3:])
+            around = tuple(o[3] for o in self.open if o[0] in CONTAINERS)
+            self.blocks.append((text, max(1, self.tags), out, region, heading, min(self.linked, len(text)), around))
             self.tags = 0
-        self.text = []
+        self.text, self.linked = [], 0
 
     def pop(self, names: tuple[str, ...], stops: frozenset) -> bool:
         for i in range(len(self.open) - 1, -1, -1):
@@ -64,7 +75,7 @@ class Blocks(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
             self.flush()
-            if any(t == "p" for t, _, _ in self.open):
+            if any(o[0] == "p" for o in self.open):
                 self.pop(("p",), STOPS)
             if tag in CLOSES:
                 self.pop(CLOSES[tag], frozenset(("ul", "ol", "dl", "table")))
@@ -73,28 +84,40 @@ class Blocks(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        _, out, region = self.open[-1] if self.open else ("", False, 0)
+        _, out, region, _ = self.open[-1] if self.open else ("", KEPT, 0, 0)
         # A tag that is left out changes what its text belongs to, so text before it ends a block.
-        if not out and self.left_out(tag, dict(attrs), region):
+        mark = OUT if out == OUT else self.left_out(tag, dict(attrs), region)
+        if mark and out in (KEPT, REVIVED):
             if tag not in BLOCKS:
                 self.flush()
-            out = True
+            out = mark if out == KEPT else OUT
+        elif out == NAMED and mark == OUT:
+            out = OUT
+        elif out == NAMED and tag in REGIONS:
+            out, region = REVIVED, 0
         if tag in REGIONS and not region:
             self.regions += 1
             region = self.regions
-        self.open.append((tag, out, region))
+        self.opened += 1
+        if tag in ("html", "body"):
+            self.roots.add(self.opened)
+        self.open.append((tag, out, region, self.opened))
 
-    def left_out(self, tag: str, attrs: dict, region: int) -> bool:
+    def left_out(self, tag: str, attrs: dict, region: int) -> int:
         if tag in DROPPED or (tag == "header" and not region):
-            return True
+            return OUT
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
-            return True
+            return OUT
         if (attrs.get("role") or "").lower() in ROLES:
-            return True
+            return OUT
         if tag in REGIONS or tag in ("html", "body"):
-            return False
-        names = set(f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().replace("-", " ").replace("_", " ").split())
-        return bool(names & NAMES) or bool(not region and names & OUTSIDE)
+            return KEPT
+        names = NAMES if region else NAMES | OUTSIDE
+        for token in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split():
+            parts = [w for w in token.replace("_", "-").split("-") if w and not w.isdigit()]
+            if any(w in names for w in parts) and all(w in names or w in PARTS for w in parts):
+                return NAMED
+        return KEPT
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -103,13 +126,13 @@ class Blocks(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        names = [t for t, _, _ in self.open]
+        names = [o[0] for o in self.open]
         if tag not in names:
             if tag in BLOCKS:
                 self.flush()
             return
         at = len(names) - 1 - names[::-1].index(tag)
-        if tag in BLOCKS or self.open[at][1] != (self.open[at - 1][1] if at else False):
+        if tag in BLOCKS or self.open[at][1] != (self.open[at - 1][1] if at else KEPT):
             self.flush()
         elif any(t in BLOCKS for t in names[at + 1 :]):
             del self.open[at]  # an inline element that a block element overlaps: only it ends
@@ -118,6 +141,8 @@ class Blocks(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
+        if any(o[0] == "a" for o in self.open):
+            self.linked += len(" ".join(data.split()))
 
 
 def smooth(ratios: list[float], sigma: float) -> list[float]:
@@ -134,23 +159,64 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     parser.close()
     parser.flush()
     blocks = parser.blocks
+    chosen = _chosen(blocks, parser.roots, sigma)
+    revived: dict[int, list[int]] = {}
+    for i, b in enumerate(blocks):
+        if b[2] == REVIVED:
+            revived.setdefault(b[3], []).append(i)
+    if revived:
+        other = max(revived.values(), key=lambda own: _mass(blocks, own))
+        if _mass(blocks, other) > _mass(blocks, chosen):
+            chosen = other
+    return "\n".join(blocks[i][0] for i in chosen)
+
+
+def _mass(blocks: list[tuple], rows: list[int]) -> int:
+    """Characters that are no link."""
+    return sum(len(blocks[i][0]) - blocks[i][5] for i in rows)
+
+
+def _chosen(blocks: list[tuple], roots: set[int], sigma: float) -> list[int]:
     fit = [i for i, b in enumerate(blocks) if not b[2]]
     if not fit:
-        return ""
+        return []
     ratios = [0.0 if b[2] else len(b[0]) / b[1] for b in blocks]
     near = smooth(ratios, sigma)
     mean = sum(near) / len(near)
     threshold = min(math.sqrt(sum((x - mean) ** 2 for x in near) / len(near)), max(near[i] for i in fit))
     content = [i for i in fit if near[i] >= threshold]
-    regions = {blocks[i][3] for i in content}
-    if regions - {0}:
-        chosen = [i for i in fit if blocks[i][3] in regions - {0}]
-    else:
-        first, last = content[0], content[-1]
-        while first - 1 in fit and blocks[first - 1][4]:
-            first -= 1
-        chosen = [i for i in fit if first <= i <= last]
-    return "\n".join(blocks[i][0] for i in chosen)
+    regions = {blocks[i][3] for i in content} - {0}
+    inside = [i for i in fit if blocks[i][3] in regions]
+    content = [i for i in content if not blocks[i][3]]
+    if not content:
+        return inside
+    outside = _grown(blocks, roots, content)
+    # A stretch may hold regions; they count for both.
+    return inside if regions and _mass(blocks, inside) >= _mass(blocks, [i for i in outside if not blocks[i][3]]) else outside
+
+
+def _grown(blocks: list[tuple], roots: set[int], content: list[int]) -> list[int]:
+    """The stretch of the content blocks to the ends of the innermost container of them all."""
+    around = [blocks[i][6] for i in content]
+    common = next((k for k, own in enumerate(zip(*around)) if len(set(own)) > 1), min(map(len, around)))
+    common = around[0][common - 1] if common else 0
+    own = {a[-1] for a in around if a} - roots
+    first, last = content[0], content[-1]
+
+    def adjoins(i: int) -> bool:
+        """Left-out blocks are passed over."""
+        text, _, out, region, _, linked, path = blocks[i]
+        if common and common not in path or region:
+            return False
+        return bool(out) or 2 * linked <= len(text) or (bool(path) and path[-1] in own)
+
+    while first > 0 and adjoins(first - 1):
+        first -= 1
+    while last + 1 < len(blocks) and adjoins(last + 1):
+        last += 1
+    while first > 0 and not blocks[first - 1][2] and blocks[first - 1][4]:
+        first -= 1
+    return [i for i in range(first, last + 1) if not blocks[i][2]]
 
 
 def _extract(sigma: float):

@@ -288,6 +288,34 @@ def test_html(spark):
     assert got == [(1, "u", want, len(want)), (3, "v", "", 0), (4, "w", "plain text", 10), (4, "w", "plain text", 10)]
 
 
+def test_html_without_regions_keeps_short_ends_of_the_text():
+    menu = "<ul>" + "".join(f"<li><a href=/{k}>Menu item {k}</a></li>" for k in range(30)) + "</ul>"
+    body = [f"{k} " + "word " * 80 for k in range(8)]
+    ends = [f"Closing {k}" for k in range(4)]
+    text = "<p>Short opening.</p>" + "".join(f"<p>{b}</p>" for b in body) + "<ul>" + "".join(f"<li>{e}</li>" for e in ends) + "</ul>"
+    want = "\n".join(["Short opening.", *(b.strip() for b in body), *ends])
+    assert html_extract.main_text(f"<body>{menu}<div>{text}</div><div><p>Elsewhere</p></div></body>") == want
+    assert html_extract.main_text(f"<body>{menu}{text}</body>") == want
+
+
+def test_html_takes_the_heavier_of_regions_and_the_rest():
+    body = ["word " * 80 + str(k) for k in range(6)]
+    cards = "".join(f"<article><p>{'teaser ' * 12}{k}</p></article>" for k in range(3))
+    page = "<body><div>" + "".join(f"<p>{b}</p>" for b in body) + f"</div>{cards}</body>"
+    assert html_extract.main_text(page) == "\n".join(body)
+    assert html_extract.main_text(f"<body><div><p>{'aside ' * 12}</p></div><article><p>{body[0]}</p></article></body>") == body[0]
+
+
+def test_html_names():
+    text = "word " * 80 + "end"
+    assert html_extract.main_text(f"<body><div class=widget><article><p>{text}</p><div class=share>Share</div></article></div><p>Short.</p></body>") == text
+    assert html_extract.main_text(f"<body><article><p>{text}</p></article><div id=comments><article><p>me too</p></article></div></body>") == text
+    for name in ("no-sidebar", "social-science", "search-results-text"):
+        assert html_extract.main_text(f"<body><div class='{name}'><p>{text}</p></div></body>") == text
+    for name in ("comment-list", "site-footer", "ad-1"):
+        assert html_extract.main_text(f"<body><div><p>{text}</p></div><div class={name}><p>{text}</p></div></body>") == text
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(900, 12)).astype(np.float32) * rng.uniform(0.5, 2, (900, 1)).astype(np.float32)
