@@ -94,15 +94,14 @@ def _tokenise(path: str, window: int, end_id: int):
 
 
 def combinations(histogram: np.ndarray, window: int) -> np.ndarray:
-    """Rows (a, b, c), a >= b >= c >= 0, of lengths that occur, with a + b + c = window; lengths that
-    are a power of two also alone."""
+    """Rows (a, b, c), a >= b >= c >= 0, of lengths that occur, with a + b + c = window. No length is
+    alone: what these leave fills windows of the residual stream, and only its end is shorter."""
     here = np.flatnonzero(histogram[: window])
     here = here[here > 0]
     present = np.zeros(window + 1, bool)
     present[here] = True
-    alone = [(p, 0, 0) for p in (1 << k for k in range(window.bit_length())) if p < window and present[p]]
     pairs = here[present[window - here] & (2 * here >= window)]
-    found = [np.array(alone, np.int64).reshape(-1, 3), np.stack([pairs, window - pairs, 0 * pairs], 1)]
+    found = [np.stack([pairs, window - pairs, 0 * pairs], 1)]
     for c in here[3 * here <= window]:
         b = here[(here >= c) & (2 * here <= window - c)]
         b = b[present[window - c - b]]

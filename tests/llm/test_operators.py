@@ -180,6 +180,21 @@ def test_pack_plan_uses_each_length_at_most_as_often_as_it_occurs():
     assert (used[1:] * np.arange(1, 64)).sum() >= pairs
 
 
+def test_pack_fills_windows_with_short_rests(spark):
+    """Empty texts (1 token) and copies of a power of two of tokens share windows; only the last tail is shorter."""
+    rows = [(k, "") for k in range(700)] + [(1000 + k, "tok " * 200) for k in range(60)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    held = Counter()
+    for p in pieces:
+        held[p["sequence_id"]] += p["length"]
+    short = [n for n in held.values() if n < 1024]
+    assert sum(short) < 1024 and len(short) == len(set(short)) and all(n & (n - 1) == 0 for n in short)
+    h = np.zeros(1024, np.int64)
+    h[[1, 64, 512]] = 5000, 30_000, 7
+    combos, n = packing.solve(h, 1024)
+    assert all(c.sum() == 1024 for c in combos)
+
+
 def near_brute(rows):
     sets = {}
     for i, t in rows:
