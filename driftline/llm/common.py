@@ -70,13 +70,38 @@ def batched(docs: DataFrame, batch_bytes: int, *keep: Column) -> tuple[DataFrame
     return docs.select(batch, *keep, text.alias("text")), count
 
 
-def slices(batch: pa.RecordBatch, column: int, rows: int = 512, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of at most `rows` rows and about `most` bytes in the given text column."""
-    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(size, dtype=np.int64)
+def slices(batch: pa.RecordBatch, *columns: int, rows: int = 512, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of at most `rows` rows and about `most` bytes in the given text columns."""
+    size = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    ends = np.cumsum(size)
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
         upto = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + most, "right"))))
         yield batch.slice(at, upto - at)
         at = upto
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 1 << 15) -> Iterator[pa.Table]:
+    """Rows sorted by a number, in tables of about `rows` rows that end where the key changes."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        count += b.num_rows
+        if count < rows:
+            continue
+        keys = b.column(key).to_numpy()
+        changes = np.flatnonzero(keys[1:] != keys[:-1])
+        if len(changes):
+            cut = int(changes[-1]) + 1
+            yield pa.Table.from_batches([*held[:-1], b.slice(0, cut)])
+            held = [b.slice(cut)]
+        elif len(held) > 1 and held[-2].column(key)[-1].as_py() != keys[0]:
+            yield pa.Table.from_batches(held[:-1])
+            held = [b]
+        count = sum(x.num_rows for x in held)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import exact_dedup, hnsw, html_extract, langid, minhash, mixing, packing, ppm, substring, toxicity
 
@@ -45,7 +46,8 @@ def op9_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring.remove_repeats(_table(spark, sf_dir, "documents"))
+    found = substring.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op4_pack_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,181 +1,214 @@
-"""Substring dedup: repeated word windows by suffix groups that share a prefix.
+"""Substring dedup: repeated word windows by suffix trees that are partitioned by prefix.
 
-A window of 35 words starts a suffix of its text; two texts share the window where their suffixes
-share a path of depth 35 in the suffix tree, that is below one of its deep internal nodes. Only
-suffixes that can lie below such a node are moved:
+A window of 35 words starts a suffix of its text; it occurs twice where two suffixes go down the
+same path to depth 35, so below an internal node at that depth or deeper. Only suffixes that may lie
+below such a node are moved, with their words:
 
 1. In each window the smallest hashed run of 12 words is its anchor. Equal windows have equal
-   anchors, so a window whose anchor is unique is no repeat. One row per batch of documents and
+   anchors, so a window whose anchor occurs once is no repeat. One row per batch of documents and
    distinct anchor is counted.
-2. Suffixes whose anchor repeats are dealt into groups by a variable-length prefix: the anchor, or
-   where an anchor has more occurrences than a group should hold, the anchor and the window. In each
-   group the suffixes are sorted; neighbours that agree in all 35 words are the leaves below one deep
-   node, and a node with two leaves or more is a repeat. A batch sends a row per distinct suffix with
-   its number of leaves, so a passage in a third of all documents makes a row per batch.
-3. The repeats go back to the batches, which cover their words.
-
-The tree below a node of depth 35 is not built: which of its leaves differ later changes nothing.
-Paths are compared by 128-bit hashes of their 35 words.
+2. Suffixes are dealt into groups by a prefix of variable length. Neighbouring windows with one anchor
+   are one piece of text, and all their suffixes from the anchor on start with its 12 words: that is the group's
+   prefix. Where an anchor has more occurrences than a group should hold, each window is a piece of its own and
+   the prefix is all its 35 words. A batch sends a row per distinct piece, with its number of
+   occurrences, so a passage in a third of all documents makes a row per batch and window.
+3. A group's suffixes are named at depths 1, 2, 4, ... by pairs of shorter names, down to depth 35:
+   the order of the names is the order of the suffixes, and suffixes with one name are the
+   leaves below one node. The names come from the words themselves; hashes only deal rows out.
+4. Nodes with two leaves or more go back to the batches as the marks of their pieces; the stretches
+   of words that they cover are the maximal repeats.
+
+Below depth 35 the trees are not built: which of a node's leaves differ later changes nothing.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import BATCH_BYTES, batched
+from .common import BATCH_BYTES, batched, whole_groups
 
 WINDOW = 35
 ANCHOR = 12
-#: Occurrences of an anchor up to which its suffixes are one group.
+#: Occurrences of an anchor up to which its pieces are one group.
 GROUP_ROWS = 50_000
 
 
-def _bytes(table: pa.Table) -> list[bytes]:
-    return [t.encode("utf-8", "surrogatepass") for t in table.column("text").to_pylist()]
+def _windows(found: wordhash.Words, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First words of whole windows, first words of their anchors, and hashes of words and of anchor runs."""
+    hashed = wordhash.hashes(found.known)[found.number] if len(found.number) else np.zeros(0, np.uint64)
+    valid, runs = wordhash.inside(found.per_text, window), wordhash.runs(hashed, anchor, seed=5)
+    if not len(valid):
+        return valid, valid, hashed, runs
+    view = np.lib.stride_tricks.sliding_window_view(runs, window - anchor + 1)
+    place = np.concatenate([view[i : i + 65536].argmin(axis=1) for i in range(0, len(view), 65536)])
+    return valid, valid + place[valid], hashed, runs
 
 
-def _windows(texts: list[bytes], window: int, anchor: int):
-    """Word hashes, words per text, starts of whole windows, and the place of each window's anchor."""
-    hashes, start, end, per_text = wordhash.words(texts)
-    last = np.repeat(np.cumsum(per_text), per_text)
-    valid = np.flatnonzero(np.arange(len(hashes)) + window <= last)
-    runs = wordhash.runs(hashes, anchor, seed=5)
-    width = window - anchor + 1
-    if len(runs) < width or not len(valid):
-        return hashes, per_text, valid, valid, runs, start, end
-    view = np.lib.stride_tricks.sliding_window_view(runs, width)
-    place = np.concatenate([view[i : i + 65536].argmin(axis=1) for i in range(0, len(view), 65536)])
-    return hashes, per_text, valid, valid + place[valid], runs, start, end
+def _batch(key: tuple[pa.Scalar, ...], rows: int) -> pa.Array:
+    return pa.array(np.full(rows, key[0].as_py(), np.int32))
 
 
 def _anchors(window: int, anchor: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        _, _, _, place, runs, _, _ = _windows(_bytes(table), window, anchor)
+        _, place, _, runs = _windows(wordhash.words(table.column("text")), window, anchor)
         found, n = np.unique(runs[np.unique(place)], return_counts=True)
-        return pa.table({"batch": np.full(len(found), key[0].as_py(), np.int32), "anchor": found.view(np.int64), "n": n.astype(np.int64)})
+        return pa.table({"batch": _batch(key, len(found)), "anchor": found.view(np.int64), "n": n.astype(np.int64)})
+
+    return run
+
+
+def _repeated(limit: int):
+    """Rows of anchors that occur twice or more in all, and whether they are more than a group should hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "anchor"):
+            anchor = table.column("anchor").to_numpy()
+            starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+            total = np.repeat(np.add.reduceat(table.column("n").to_numpy(), starts), np.diff(np.r_[starts, len(anchor)]))
+            found = table.select(["batch", "anchor"]).append_column("large", pa.array(total > limit))
+            yield from found.filter(pa.array(total > 1)).combine_chunks().to_batches()
 
     return run
 
 
-def _paths(hashes: np.ndarray, window: int) -> np.ndarray:
-    return wordhash.runs(hashes, window, seed=21)
+class _Pieces:
+    """Pieces of a batch for the given anchors, the distinct ones in the order (anchor, text)."""
+
+    def __init__(self, found: wordhash.Words, anchors: pa.Table, window: int, anchor: int):
+        valid, place, hashed, runs = _windows(found, window, anchor)
+        wanted, index = np.unique(anchors.column("anchor").to_numpy(), return_index=True)
+        flags = anchors.column("large").to_numpy(zero_copy_only=False)[index]
+        own = runs[place].view(np.int64)
+        at = np.minimum(np.searchsorted(wanted, own), max(0, len(wanted) - 1))
+        hit = np.flatnonzero(wanted[at] == own) if len(wanted) and len(own) else np.zeros(0, np.int64)
+        starts, place, own, large = valid[hit], place[hit], own[hit], flags[at[hit]] if len(hit) else np.zeros(0, bool)
+        # Windows with one anchor follow each other; those of a large one stay alone.
+        new = np.ones(len(starts), bool)
+        new[1:] = (place[1:] != place[:-1]) | large[1:]
+        self.first = starts[new]
+        self.windows = np.diff(np.append(np.flatnonzero(new), len(starts)))
+        length = self.windows + window - 1 if len(self.first) else np.zeros(0, np.int64)
+        text = _joined(found, self.first, length).dictionary_encode()
+        self.index = text.indices.to_numpy()
+        one = np.zeros(len(text.dictionary), np.int64)
+        one[self.index] = np.arange(len(self.index))
+        self.anchor, self.large = own[new][one], large[new][one]
+        by = pa.table({"anchor": self.anchor, "text": text.dictionary, "place": np.arange(len(one))}).sort_by([("anchor", "ascending"), ("text", "ascending")]).column("place").to_numpy()
+        # The distinct pieces in order; a piece is known to others by its anchor and its rank there.
+        self.anchor, self.large, self.text = self.anchor[by], self.large[by], text.dictionary.take(pa.array(by))
+        back = np.empty(len(by), np.int64)
+        back[by] = np.arange(len(by))
+        self.index = back[self.index]
+        fresh = np.flatnonzero(np.r_[True, self.anchor[1:] != self.anchor[:-1]][: len(by)])
+        self.rank = np.arange(len(by)) - np.repeat(fresh, np.diff(np.append(fresh, len(by))))
+        self.n = np.bincount(self.index, minlength=len(by))
+        self.prefix = self.anchor.copy()
+        if self.large.any():
+            path = wordhash.runs(hashed, window, seed=21)[self.first[one][by[self.large]]]
+            self.prefix[self.large] = wordhash.mix(self.anchor[self.large].view(np.uint64) ^ path).view(np.int64)
+
+
+def _joined(found: wordhash.Words, first: np.ndarray, length: np.ndarray) -> pa.StringArray:
+    """The given runs of words as texts with one space between words."""
+    ends = np.cumsum(length)
+    index = np.repeat(first - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), found.known.take(pa.array(found.number[index])))
+    return pc.binary_join(lists, " ")
 
 
 def _suffixes(window: int, anchor: int):
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, anchors: pa.Table) -> pa.Table:
-        hashes, _, valid, place, runs, _, _ = _windows(_bytes(docs), window, anchor)
-        by = anchors.sort_by("anchor")
-        known, large = by.column("anchor").to_numpy().view(np.uint64), by.column("large").to_numpy(zero_copy_only=False)
-        order = np.argsort(known)
-        known, large = known[order], large[order]
-        own = runs[place]
-        at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
-        hit = np.flatnonzero(known[at] == own) if len(known) and len(own) else np.zeros(0, np.int64)
-        starts = valid[hit]
-        first, index, n = np.unique(_paths(hashes, window)[starts], return_index=True, return_counts=True)
-        second = wordhash.runs(hashes, window, seed=31)[starts][index]
-        prefix = own[hit][index]
-        prefix = np.where(large[at[hit]][index], wordhash.mix(prefix ^ first), prefix) if len(first) else prefix
-        return pa.table({"batch": np.full(len(first), key[0].as_py(), np.int32), "prefix": prefix.view(np.int64), "first": first.view(np.int64), "second": second.view(np.int64), "n": n.astype(np.int64)})
+        p = _Pieces(wordhash.words(docs.column("text")), anchors, window, anchor)
+        return pa.table({
+            "batch": _batch(key, len(p.n)), "prefix": p.prefix, "anchor": p.anchor, "large": pa.array(p.large), "rank": pa.array(p.rank, pa.int32()), "n": p.n, "piece": p.text,
+        })
 
     return run
 
 
-def _nodes(keys: list[str], out: list[str], large: int | None):
-    """Rows sorted by keys -> rows of keys that have two leaves or more in all. A key has at most a row per batch."""
-
-    def flush(held: list[pa.Table]) -> pa.RecordBatch | None:
-        table = pa.concat_tables(held).combine_chunks()
-        columns = [table.column(k).to_numpy() for k in keys]
-        new = np.zeros(table.num_rows, bool)
-        new[:1] = True
-        for c in columns:
-            new[1:] |= c[1:] != c[:-1]
-        starts = np.flatnonzero(new)
-        leaves = np.add.reduceat(table.column("n").to_numpy(), starts)
-        total = np.repeat(leaves, np.diff(np.append(starts, table.num_rows)))
-        stay = total >= 2
-        if not stay.any():
-            return None
-        arrays = [pa.array(table.column(c).to_numpy()[stay]) for c in out]
-        if large is not None:
-            arrays.append(pa.array(total[stay] > large))
-        return pa.RecordBatch.from_arrays(arrays, [*out, *(["large"] if large is not None else [])])
+def _trees(window: int):
+    """Pieces sorted by prefix -> the pieces with windows that occur twice, and which: bit k for their k-th."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        tail = None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            table = pa.Table.from_batches([b])
-            same = np.ones(b.num_rows, bool)
-            ends = []
-            for k in keys:
-                column = table.column(k).to_numpy()
-                same &= column == column[-1]
-                ends.append(column[-1])
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if cut or (tail is not None and ends != tail):
-                held.append(table.slice(0, cut))
-                found = flush(held)
-                held = []
-                if found is not None:
-                    yield found
-            held.append(table.slice(cut))
-            tail = ends
-        if held and (found := flush(held)) is not None:
-            yield found
+        for table in whole_groups(batches, "prefix"):
+            prefix = table.column("prefix").to_numpy()
+            group = np.cumsum(np.r_[False, prefix[1:] != prefix[:-1]])
+            text = table.column("piece").combine_chunks().dictionary_encode()
+            # Equal pieces of batches are one, with the sum of their occurrences.
+            both, index = np.unique(group * len(text.dictionary) + text.indices.to_numpy(), return_inverse=True)
+            leaves = np.bincount(index, weights=table.column("n").to_numpy())
+            group, distinct = both // len(text.dictionary), both % len(text.dictionary)
+            found = wordhash.words(text.dictionary.take(pa.array(distinct)))
+            windows = found.per_text - window + 1
+            owner = np.repeat(np.arange(len(both)), windows)
+            offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+            start = np.repeat(np.cumsum(found.per_text) - found.per_text, windows) + offset
+            # A node of depth `window` in the tree of a group: all leaves with one name there.
+            _, name = np.unique(wordhash.names(found.number, window)[start], return_inverse=True)
+            _, node = np.unique(group[owner] * (len(name) + 1) + name, return_inverse=True)
+            deep = np.bincount(node, weights=leaves[owner])[node] >= 2
+            mark = np.bincount(owner, weights=deep * 2.0**offset, minlength=len(both)).astype(np.int64)[index]
+            out = table.select(["batch", "anchor", "large", "rank"]).append_column("mark", pa.array(mark))
+            yield from out.filter(pa.array(mark > 0)).combine_chunks().to_batches()
 
     return run
 
 
-def _cover(window: int):
-    def run(docs: pa.Table, repeats: pa.Table) -> pa.Table:
-        texts = _bytes(docs)
-        hashes, start, end, per_text = wordhash.words(texts)
-        last = np.repeat(np.cumsum(per_text), per_text)
-        known = np.sort(repeats.column("first").to_numpy())
-        cover = np.zeros(len(hashes) + 1, np.int64)
-        if len(known):
-            paths = _paths(hashes, window).view(np.int64)
-            at = np.minimum(np.searchsorted(known, paths), len(known) - 1)
-            begins = np.flatnonzero((known[at] == paths) & (np.arange(len(paths)) + window <= last[: len(paths)]))
-            cover[begins] += 1
-            np.subtract.at(cover, begins + window, 1)
+def _cover(window: int, anchor: int):
+    def run(key: tuple[pa.Scalar, ...], docs: pa.Table, repeats: pa.Table) -> pa.Table:
+        found = wordhash.words(docs.column("text"))
+        p = _Pieces(found, repeats, window, anchor)
+        marks = np.zeros(len(p.n), np.int64)
+        if repeats.num_rows:
+            begin = np.searchsorted(p.anchor, repeats.column("anchor").to_numpy())
+            marks[begin + repeats.column("rank").to_numpy()] = repeats.column("mark").to_numpy()
+        offset = np.arange(int(p.windows.sum())) - np.repeat(np.cumsum(p.windows) - p.windows, p.windows)
+        repeated = np.repeat(marks[p.index], p.windows) >> offset & 1
+        begins = (np.repeat(p.first, p.windows) + offset)[repeated == 1]
+        cover = np.zeros(len(found.number) + 1, np.int64)
+        np.add.at(cover, begins, 1)
+        np.subtract.at(cover, begins + window, 1)
         gone = np.cumsum(cover)[:-1] > 0
-        removed, shas, at = [], [], 0
-        for text, n in zip(texts, per_text.tolist()):
-            mask = gone[at : at + n]
-            removed.append(int(mask.sum()))
-            words = text.split()
-            shas.append(hashlib.sha256(b" ".join(words if not removed[-1] else [w for w, g in zip(words, mask.tolist()) if not g])).hexdigest())
-            at += n
-        return pa.table({"doc_id": docs.column("doc_id"), "n_words": pa.array(per_text, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(shas, pa.string())})
+        ends = np.cumsum(found.per_text)
+        text = np.repeat(np.arange(len(ends)), found.per_text)
+        removed = np.bincount(text[gone], minlength=len(ends))
+        kept = np.concatenate([[0], np.cumsum(found.per_text - removed)])
+        words = found.known.take(pa.array(found.number[~gone]))
+        # Stretches of removed words in one text.
+        edge = np.flatnonzero(gone & ~np.r_[False, gone[:-1] & (text[1:] == text[:-1])][: len(gone)])
+        last = np.flatnonzero(gone & ~np.r_[gone[1:] & (text[1:] == text[:-1]), False][: len(gone)])
+        base = (ends - found.per_text)[text[edge]]
+        spans = pa.StructArray.from_arrays([pa.array(edge - base), pa.array(last + 1 - base)], ["first", "upto"])
+        per = np.concatenate([[0], np.cumsum(np.bincount(text[edge], minlength=len(ends)))])
+        return pa.table({
+            "doc_id": docs.column("doc_id"), "n_words": pa.array(found.per_text, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+            "kept": pc.binary_join(pa.ListArray.from_arrays(pa.array(kept, pa.int32()), words), " "), "spans": pa.ListArray.from_arrays(pa.array(per, pa.int32()), spans),
+        })
 
     return run
 
 
-def remove_repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 for each row of docs.
+def remove_repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, group_rows: int = GROUP_ROWS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """doc_id, n_words, n_removed, kept and spans for each row of docs.
 
     Words covered by a window of `window` words that also starts anywhere else, in the same text
-    included, are removed; all windows are judged on the input. A null text has no words. Repeated
-    rows repeat each other, so of rows with `window` words or more all words go. Other columns are
-    ignored; an empty table gives an empty result.
+    included, are removed; all windows are judged on the input. kept: the words that stay, joined by one
+    space; spans: the maximal stretches (first, upto) of word places that go. A null text has no words.
+    Repeated rows repeat each other, so of rows with `window` words or more all words go. Null ids are
+    kept as they are. Other columns are ignored; an empty table gives an empty result.
     """
     rows, _ = batched(docs, batch_bytes, F.col("doc_id").cast("long").alias("doc_id"))
     groups = rows.groupBy("batch")
-    anchors = groups.applyInArrow(_anchors(window, anchor), "batch int, anchor long, n long")
-    twice = anchors.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_nodes(["anchor"], ["batch", "anchor"], GROUP_ROWS), "batch int, anchor long, large boolean")
-    suffixes = groups.cogroup(twice.groupBy("batch")).applyInArrow(_suffixes(window, anchor), "batch int, prefix long, first long, second long, n long")
-    path = ["prefix", "first", "second"]
-    repeats = suffixes.repartition("prefix").sortWithinPartitions(*path).mapInArrow(_nodes(path, ["batch", "first"], None), "batch int, first long")
-    return groups.cogroup(repeats.groupBy("batch")).applyInArrow(_cover(window), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    counted = groups.applyInArrow(_anchors(window, anchor), "batch int, anchor long, n long")
+    twice = counted.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_repeated(group_rows), "batch int, anchor long, large boolean")
+    pieces = groups.cogroup(twice.groupBy("batch")).applyInArrow(_suffixes(window, anchor), "batch int, prefix long, anchor long, large boolean, rank int, n long, piece string")
+    marks = pieces.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_trees(window), "batch int, anchor long, large boolean, rank int, mark long")
+    schema = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<first: long, upto: long>>"
+    return groups.cogroup(marks.groupBy("batch")).applyInArrow(_cover(window, anchor), schema)

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -354,17 +355,61 @@ def test_nearest(spark):
     assert hnsw.nearest(df.where("false")).count() == 0
 
 
-def test_remove_repeats(spark, docs, empty):
-    extra = [(500, " ".join(["a b c d e"] * 20), "en", "a", "q"), (501, " ".join(f"u{k}" for k in range(36)), "en", "a", "q"), (502, " ".join(f"u{k}" for k in range(35)), "en", "a", "q"), (503, " ".join(f"u{k}" for k in range(34)), "en", "a", "q")]
-    all_ = docs.unionByName(spark.createDataFrame(extra, docs.schema))
-    rows = [(r["doc_id"], WORD.findall(r["text"] or "")) for r in all_.collect()]
-    seen = Counter(tuple(w[k : k + 35]) for _, w in rows for k in range(len(w) - 34))
+def thue_morse(n, a, b):
+    """n letters of the sequence in a and b; with its complement it collides under polynomials modulo 2^64."""
+    return [(a, b)[k.bit_count() % 2] for k in range(n)]
+
+
+def repeats_brute(rows):
+    words = [(i, WORD.findall(t or "")) for i, t in rows]
+    seen = Counter(tuple(w[k : k + 35]) for _, w in words for k in range(len(w) - 34))
     want = []
-    for i, w in rows:
+    for i, w in words:
         gone = [False] * len(w)
         for k in range(len(w) - 34):
             if seen[tuple(w[k : k + 35])] > 1:
                 gone[k : k + 35] = [True] * 35
-        want.append((i, len(w), sum(gone), hashlib.sha256(" ".join(x for x, g in zip(w, gone) if not g).encode()).hexdigest()))
-    assert sorted(tuple(r) for r in substring.remove_repeats(all_, batch_bytes=10_000).collect()) == sorted(want)
+        spans = [k for k in range(len(w) + 1) if (k > 0 and gone[k - 1]) != (k < len(w) and gone[k])]
+        want.append((i, len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g), list(zip(spans[::2], spans[1::2]))))
+    return want
+
+
+@pytest.mark.parametrize("group_rows", [50_000, 3])
+def test_remove_repeats(spark, docs, empty, group_rows):
+    extra = [" ".join(["a b c d e"] * 20), *(" ".join(f"u{k}" for k in range(n)) for n in (36, 35, 34))]
+    odd = ["".join(thue_morse(2048, "x", "y")), "".join(thue_morse(2048, "y", "x"))]
+    around = [f"v{k}" for k in range(20)]
+    extra += [" ".join([*around, w, *around[::-1]]) for w in odd]
+    extra += [" ".join(f"s{k}" for k in range(30)) + " " + x + " " + " ".join(thue_morse(2048, x, y)) for x, y in (("p", "q"), ("q", "p"))]
+    extra += ["ab c " * 20, "a bc " * 20]
+    all_ = docs.unionByName(spark.createDataFrame([(500 + k, t, "en", "a", "q") for k, t in enumerate(extra)], docs.schema))
+    all_ = all_.unionByName(spark.createDataFrame([(None, "n " * 3, "en", "a", "q")], docs.schema))
+    rows = [(r["doc_id"], r["text"]) for r in all_.collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[3])
+    got = [(*tuple(r)[:4], [tuple(s) for s in r["spans"]]) for r in substring.remove_repeats(all_, group_rows=group_rows, batch_bytes=10_000).collect()]
+    assert sorted(got, key=key) == sorted(repeats_brute(rows), key=key)
     assert substring.remove_repeats(empty).count() == 0
+
+
+def test_repeats_query(spark, tmp_path, docs):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = sorted((i, n, r, hashlib.sha256(k.encode()).hexdigest()) for i, n, r, k, _ in repeats_brute([(r["doc_id"], r["text"]) for r in docs.collect()]))
+    assert sorted(tuple(r) for r in queries.op10_remove_repeats(spark, str(tmp_path)).collect()) == want
+
+
+def test_names_of_runs():
+    from driftline.llm import wordhash
+
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(("ab", "c", "d", "e")) for _ in range(rng.randrange(60))) for _ in range(50)] + [" \t x  y\n", None, ""]
+    found = wordhash.words(pa.array(texts))
+    split = [(t or "").split() for t in texts]
+    flat = [w for own in split for w in own]
+    assert found.per_text.tolist() == [len(w) for w in split] and [found.known[int(k)].as_py() for k in found.number] == flat
+    for length in (1, 2, 3, 5, 12, 35):
+        named = wordhash.names(found.number, length)
+        runs = [tuple(flat[k : k + length]) for k in range(len(named))]
+        assert len({*zip(runs, named.tolist())}) == len({*runs}) == len({*named.tolist()})
+    owner, _, _ = wordhash.shingles(found, 5)
+    for k, w in enumerate(split):
+        assert (owner == k).sum() == (len({tuple(w[j : j + 5]) for j in range(len(w) - 4)}) if len(w) >= 5 else min(1, len(w)))
