@@ -1,18 +1,19 @@
 """MinHash near-dedup: circulant signatures, banding, exact Jaccard on full shingle sets.
 
-Rows with equal shingle sets form one class; all that follows is between classes, so copies cost one
-count each. Two permutations make the whole signature: the first (of the shingle's hash) picks a
-place on a ring, the second gives the values, and coordinate k reads them shifted by k.
+Rows with equal lower-cased texts form one class, known by the text's SHA-256; all that follows is between
+classes, so copies cost one count each. Two permutations make the whole signature: the first (of the
+shingle's hash) picks a place on a ring, the second gives the values, and coordinate k reads them shifted by k.
+Hashes only find candidates; set sizes and links come from the words of whole texts.
 
 Links are found without emitting the pairs of a bucket:
 1. every class is compared in full with the smallest class it shares a bucket with;
 2. then with the smallest class of each of its other buckets, unless both are already connected;
 3. buckets that still hold classes of several components are cut into blocks; a pair of blocks
-   compares its members' signatures in numpy, then the full sets of what may pass, and returns the
-   few links that join its components up.
-Steps 1 and 2 send one row per class and bucket; step 3 as many rows per class as its bucket has blocks. Components are settled by min-label steps on the
-verified links. With 32 bands of 4 coordinates a pair at similarity 0.75 shares a bucket with
-probability 1 - 6e-6, and more above.
+   compares the full sets of its members by matrix products, and returns the few links that join its components up.
+Steps 1 and 2 send one row per class and bucket, and the text of a class that many others are compared with once
+per SALT_ROWS of them; step 3 sends as many rows per class as its bucket has blocks. Components are settled by
+min-label steps on the verified links. With 32 bands of 4 coordinates a pair at similarity 0.75 shares a bucket
+with probability 1 - 6e-6, and more above.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import materialise, slices
+from .common import WORD, ascii_lower, materialise, slices
 
 WIDTH = 5
 PERCENT = 75
@@ -34,7 +35,10 @@ RING = 1 << 18
 #: Members of a bucket, and shingles of their sets, that one block holds in step 3.
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 20
-_SET_SCHEMA = "doc_id long, n_shingles long, hi long, lo long, sig array<int>"
+#: Classes that are compared with one copy of another's text.
+SALT_ROWS = 2000
+#: Rows of the ring that are read at a time.
+RING_ROWS = 4096
 
 
 def _ring(coordinates: int, ring: int) -> np.ndarray:
@@ -42,59 +46,68 @@ def _ring(coordinates: int, ring: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([values, values[:coordinates]]), coordinates)
 
 
-def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
-    """Sorted distinct hashes of the shingles of each lower-cased text; shorter texts are one shingle."""
-    hashes, _, _, per_text = wordhash.words(texts)
-    grams = wordhash.runs(hashes, width)
-    out, at = [], 0
-    for n in per_text.tolist():
-        if n >= width:
-            out.append(np.unique(grams[at : at + n - width + 1]))
-        else:
-            out.append(wordhash.runs(hashes[at : at + n], n, seed=11 + n) if n else np.zeros(0, np.uint64))
-        at += n
-    return out
-
-
-def _bytes(column: pa.Array) -> list[bytes]:
-    return [(t or "").encode("utf-8", "surrogatepass").lower() for t in column.to_pylist()]
-
-
 def _signatures(width: int, coordinates: int, ring: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _ring(coordinates, ring)
         for big in batches:
-            for b in slices(big, 1):
-                n, hi, lo, sigs = [], [], [], []
-                for s in shingle_sets(_bytes(b.column(1)), width):
-                    n.append(len(s))
-                    a, c = wordhash.mix(s), wordhash.mix(s ^ np.uint64(0x9E3779B97F4A7C15))
-                    hi.append(int(a.sum(dtype=np.uint64).view(np.int64)))
-                    lo.append(int(c.sum(dtype=np.uint64).view(np.int64)))
-                    place = (a & np.uint64(ring - 1)).astype(np.int64)
-                    sig = None
-                    for k in range(0, len(place), 4096):
-                        part = table[place[k : k + 4096]].min(axis=0)
-                        sig = part if sig is None else np.minimum(sig, part)
-                    sigs.append(sig)
-                flat = np.concatenate([s for s in sigs if s is not None] or [np.zeros(0, np.int32)])
-                ends = np.concatenate([[0], np.cumsum([0 if s is None else coordinates for s in sigs])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.ListArray.from_arrays(ends, flat)],
-                    ["doc_id", "n_shingles", "hi", "lo", "sig"],
-                )
+            for b in slices(big, 2):
+                found = wordhash.words(b.column(2))
+                owner, _, place = wordhash.shingles(found, width)
+                values = _shingle_hashes(found, place, owner, width)
+                n = np.bincount(owner, minlength=b.num_rows)
+                where = (wordhash.mix(values) & np.uint64(ring - 1)).astype(np.int64)
+                sigs = []
+                for text in np.split(where, np.cumsum(n)[:-1]):
+                    parts = [table[text[k : k + RING_ROWS]].min(axis=0) for k in range(0, len(text), RING_ROWS)]
+                    sigs += [np.minimum.reduce(parts)] if parts else []
+                ends = np.concatenate([[0], np.cumsum((n > 0) * coordinates)]).astype(np.int32)
+                flat = np.concatenate([*sigs, np.zeros(0, np.int32)])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "sha", "n_shingles", "sig"])
 
     return run
 
 
-def _full_sets(width: int):
+def _shingle_hashes(found: wordhash.Words, place: np.ndarray, owner: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the shingles at the given first words, the same in every batch."""
+    if not len(place):
+        return np.zeros(0, np.uint64)
+    hashed = wordhash.hashes(found.known)[found.number]
+    length = np.minimum(found.per_text[owner], width)
+    out = np.empty(len(place), np.uint64)
+    for k in np.unique(length).tolist():
+        out[length == k] = wordhash.runs(hashed, k, seed=11 + k)[place[length == k]]
+    return out
+
+
+def _sets(texts: pa.Array | pa.ChunkedArray, width: int) -> list[np.ndarray]:
+    """Sorted names of the distinct shingles of each text; equal names in any of them mean equal shingles."""
+    owner, name, _ = wordhash.shingles(wordhash.words(texts), width)
+    return np.split(name, np.cumsum(np.bincount(owner, minlength=len(texts)))[:-1])
+
+
+def similar(common: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return common * 100 >= PERCENT * (left + right - common)
+
+
+def _confirm(width: int):
+    """(a, b, text of a, text of b) -> the pairs that are similar on their full sets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
-            for b in slices(big, 1):
-                sets = shingle_sets(_bytes(b.column(1)), width)
-                ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(ends, flat)], ["class", "shingles"])
+            for b in slices(big, 2, 3):
+                # Many pairs have one text in common.
+                texts = pa.chunked_array([b.column(2), b.column(3)]).combine_chunks().dictionary_encode()
+                index = texts.indices.to_numpy().reshape(2, -1)
+                sets = _sets(texts.dictionary, width)
+                size = np.array([len(s) for s in sets])[index]
+                pair = np.arange(b.num_rows)
+                keys = np.concatenate([sets[k] for side in index for k in side])
+                owner = np.concatenate([np.repeat(pair, n) for n in size])
+                by = np.lexsort((keys, owner))
+                twice = (keys[by][1:] == keys[by][:-1]) & (owner[by][1:] == owner[by][:-1])
+                common = np.bincount(owner[by][1:][twice], minlength=b.num_rows)
+                ok = pa.array(similar(common, size[0], size[1]))
+                yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], ["a", "b"])
 
     return run
 
@@ -121,11 +134,11 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray], chunk: int =
     return total.astype(np.int64)
 
 
-def _block_links(bands: int, floor: float):
+def _block_links(bands: int, width: int):
     """Links between components inside a pair of blocks of one bucket, as many as join them up.
 
-    A pair of classes is looked at in the first of the bands that they share only, and where sizes and
-    signatures leave the similarity possible; full sets decide.
+    A pair of classes is looked at in the first of the bands that they share only, and where their
+    sizes leave the similarity possible.
     """
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -137,17 +150,19 @@ def _block_links(bands: int, floor: float):
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         wanted = np.zeros((len(left), len(right)), bool)
         for r, x in enumerate(left):
-            same = sig[right] == sig[x]
-            ok = (comp[right] != comp[x]) & (same.mean(axis=(1, 2)) >= floor) & (same.all(axis=2).argmax(axis=1) == band)
-            ok &= np.minimum(n[right], n[x]) * 100 >= PERCENT * np.maximum(n[right], n[x])
-            wanted[r] = ok & (right > x) if i == j else ok
+            ok = (comp[right] != comp[x]) & (np.minimum(n[right], n[x]) * 100 >= PERCENT * np.maximum(n[right], n[x]))
+            if i == j:
+                ok &= right > x
+            at = np.flatnonzero(ok)
+            ok[at] = (sig[right[at]] == sig[x]).all(axis=2).argmax(axis=1) == band
+            wanted[r] = ok
         rows, columns = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
         found: list[tuple[int, int]] = []
         if len(rows):
-            sets = table.column("shingles").to_numpy()
             left, right, wanted = left[rows], right[columns], wanted[np.ix_(rows, columns)]
-            common = intersections([sets[k] for k in left], [sets[k] for k in right])
-            link = wanted & (common * 100 >= PERCENT * (n[left][:, None] + n[right] - common))
+            sets = _sets(table.column("text").take(pa.array(np.concatenate([left, right]))), width)
+            common = intersections(sets[: len(left)], sets[len(left) :])
+            link = wanted & similar(common, n[left][:, None], n[right])
             parent: dict[int, int] = {}
 
             def root(x: int) -> int:
@@ -198,57 +213,77 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(labels.join(to, "comp", "left").select("class", F.coalesce("to", "comp").alias("comp")), "labels")
 
 
-def near_duplicates(docs: DataFrame, *, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of docs.
+def _compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """The pairs (a, b) of classes that are similar. Few a stand in many pairs: their texts are copied once per SALT_ROWS pairs."""
+    salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).cast("int").alias("salts"))
+    copies = salts.join(texts.select(F.col("class").alias("a"), F.col("text").alias("p")), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "p")
+    dealt = pairs.join(salts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"))
+    own = dealt.join(texts.select(F.col("class").alias("b"), F.col("text").alias("q")), "b")
+    return own.join(copies, ["a", "salt"]).select("a", "b", "p", "q").mapInArrow(_confirm(width), "a long, b long")
 
-    Shingles are runs of `width` words of lower-cased text; a shorter text is one shingle, and a text
-    without words (or null) has none and is linked with nothing. Rows are linked at similarity 0.75
-    or more; component_id is the smallest id reachable. Repeated rows are linked and share their
-    component; all with the component's id are kept. Other columns are ignored; an empty table gives
-    an empty result.
-    """
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = materialise(text.mapInArrow(_signatures(width, bands * rows, RING), _SET_SCHEMA), "signatures")
-    # A class: all rows with one set, named by its smallest id. Empty sets stay alone.
-    classes = sets.where("n_shingles > 0").groupBy("hi", "lo", "n_shingles").agg(F.min("doc_id").alias("class"), F.first("sig").alias("sig"))
-    classes = materialise(classes, "classes")
+
+def _sha(text: Column) -> Column:
+    """What a class is known by."""
+    return F.unhex(F.sha2(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))).cast("binary"), 256))
+
+
+def _linked(docs: DataFrame, width: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, sha, n_shingles) of each row, and of each class with words (sha, component_id, stays): a
+    component has one class that stays, with a row of the component's smallest id."""
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _sha(F.col("text")).alias("sha"), ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
+    sets = materialise(text.mapInArrow(_signatures(width, bands * rows, RING), "doc_id long, sha binary, n_shingles long, sig array<int>"), "signatures")
+    # A class: all rows with one lower-cased text. Empty sets stay alone.
+    classes = sets.where("n_shingles > 0").groupBy("sha").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+    # The table is written once, so the numbers given here stay.
+    classes = materialise(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     buckets = classes.select("class", F.posexplode(F.array(*[F.xxhash64(F.lit(b), F.slice("sig", b * rows + 1, rows)) for b in range(bands)])).alias("band", "value"))
     shared = buckets.groupBy("band", "value").agg(F.min("class").alias("pivot"), F.max("class").alias("most")).where("pivot < most")
     members = materialise(buckets.join(shared.select("band", "value", "pivot"), ["band", "value"]).select("class", "pivot", "band", F.xxhash64("band", "value").alias("bucket")), "buckets")
     stars = materialise(members.where("class > pivot").select("class", "pivot").distinct(), "stars")
     wanted = members.select("class").distinct()
-    # Ids may repeat with other texts; the class's set is the one whose row made it.
-    full = text.join(wanted, text["doc_id"] == wanted["class"], "left_semi").mapInArrow(_full_sets(width), "class long, shingles array<long>")
-    full = materialise(full.dropDuplicates(["class"]), "sets")
+    # One text of each class: that of a row with its smallest id.
+    asked = wanted.join(classes.select("class", "sha", "first_id"), "class").select("class", F.col("sha").alias("_sha"), "first_id")
+    full = text.join(asked, (text["sha"] == asked["_sha"]) & text["doc_id"].eqNullSafe(asked["first_id"])).select("class", "text")
+    full = materialise(full.dropDuplicates(["class"]), "texts")
     labels = wanted.select("class", F.col("class").alias("comp"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        a = full.select(F.col("class").alias("a"), F.col("shingles").alias("p"))
-        b = full.select(F.col("class").alias("b"), F.col("shingles").alias("q"))
-        both = pairs.join(a, "a").join(b, "b")
-        common = F.size(F.array_intersect("p", "q"))
-        fits = F.least(F.size("p"), F.size("q")) * 100 >= PERCENT * F.greatest(F.size("p"), F.size("q"))
-        return both.where(fits & (common * 100 >= PERCENT * (F.size("p") + F.size("q") - common))).select("a", "b")
-
     closest = stars.groupBy("class").agg(F.min("pivot").alias("pivot"))
-    labels = components(materialise(verified(closest.select(F.col("pivot").alias("a"), F.col("class").alias("b"))), "verified"), labels)
-    others = stars.join(closest, ["class", "pivot"], "left_anti")
-    labels = components(materialise(verified(apart(others.select(F.col("pivot").alias("a"), F.col("class").alias("b")), labels)), "verified"), labels)
+    first = materialise(_compared(closest.select(F.col("pivot").alias("a"), F.col("class").alias("b")), full, width), "verified")
+    labels = components(first, labels)
+    others = stars.join(closest, ["class", "pivot"], "left_anti").select(F.col("pivot").alias("a"), F.col("class").alias("b"))
+    apart_ = materialise(apart(others, labels), "apart")
+    labels = components(materialise(_compared(apart_, full, width), "verified"), labels)
     # Step 3: buckets whose members are still in several components.
     placed = members.join(labels, "class").join(classes.select("class", "n_shingles"), "class")
     open_buckets = placed.groupBy("bucket").agg(F.min("comp").alias("c"), F.max("comp").alias("d"), F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("held")).where("c < d and members > 2")
     inside = placed.join(open_buckets.select("bucket", "members", "held"), "bucket").join(classes.select("class", "sig"), "class").join(full, "class")
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.least(F.col("held") / BLOCK_SHINGLES, F.col("members")))).cast("int")
-    kept = ["bucket", "band", "class", "comp", "n_shingles", "sig", "shingles"]
+    kept = ["bucket", "band", "class", "comp", "n_shingles", "sig", "text"]
     cut = inside.select(*kept, blocks.alias("blocks"), F.pmod(F.xxhash64("class"), blocks).cast("int").alias("block"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")))
     dealt = cut.select(*kept, "block", F.explode(pairs).alias("ij")).select("*", "ij.i", "ij.j").drop("ij")
-    # 128 coordinates at similarity 0.75 agree on fewer than half with probability below 1e-9.
-    joining = dealt.groupBy("bucket", "i", "j").applyInArrow(_block_links(bands, 0.5), "a long, b long")
+    joining = dealt.groupBy("bucket", "i", "j").applyInArrow(_block_links(bands, width), "a long, b long")
     labels = components(materialise(joining, "verified"), labels)
-    by_class = classes.join(labels, "class", "left").select("hi", "lo", "n_shingles", F.coalesce("comp", "class").alias("component_id"))
-    joined = sets.select("doc_id", "n_shingles", "hi", "lo").join(by_class, ["hi", "lo", "n_shingles"], "left")
-    component = F.coalesce("component_id", "doc_id")
+    # A component is named by the smallest id of its classes.
+    by_class = classes.join(labels, "class", "left").select("sha", "first_id", F.coalesce("comp", "class").alias("comp"))
+    best = F.min(F.struct(F.col("first_id").isNull().alias("last"), "first_id", "sha"))
+    ids = by_class.groupBy("comp").agg(best.alias("best")).select("comp", F.col("best.first_id").alias("component_id"), F.col("best.sha").alias("own"))
+    return sets.drop("sig"), by_class.join(ids, "comp").select("sha", "component_id", (F.col("sha") == F.col("own")).alias("stays"))
+
+
+def near_duplicates(docs: DataFrame, *, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of docs.
+
+    Shingles are runs of `width` words of lower-cased text; a shorter text is one shingle, and a text
+    without words (or null) has none and is linked with nothing. Rows are linked at similarity 0.75
+    or more; component_id is the smallest id reachable. Repeated rows are linked and share their
+    component; all with the component's id are kept. An id may stand on rows with different texts: each row
+    is linked by its own text. A null id is no smallest id unless there is no other: then component_id is null
+    and the row is kept. Other columns are ignored; an empty table gives an empty result.
+    """
+    sets, linked = _linked(docs, width, bands, rows)
+    joined = sets.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("sha")).alias("sha")).join(linked, "sha", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
@@ -259,8 +294,18 @@ def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where("x <> y").select("a", "b")
 
 
-def apply_near_dedup(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that stay: one of each component, and every row without words; docs' columns."""
-    staying = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(staying, docs["doc_id"].cast("long").eqNullSafe(staying["_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+def apply_near_dedup(docs: DataFrame, *, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The rows of docs that stay, with their columns: one of each component, and every row without words.
+
+    A component's row has its smallest id (null only where all are null), and the least of its texts by SHA-256 where that id stands on
+    several; of repeated rows one stays. Rows without words are told apart by id and text.
+    """
+    _, linked = _linked(docs, width, bands, rows)
+    staying = linked.where("stays").select(F.col("sha").alias("_kept_sha"), F.col("component_id").alias("_kept_id"))
+    same = (_sha(docs["text"]) == staying["_kept_sha"]) & docs["doc_id"].cast("long").eqNullSafe(staying["_kept_id"])
+    # Repeated rows may differ in case and columns; the lower-cased text and the id make them one.
+    kept = docs.join(staying, same, "left_semi").unionByName(docs.where(~F.coalesce(docs["text"].cast("string"), F.lit("")).rlike(WORD)))
+    name = "_class"
+    while name in docs.columns:
+        name += "_"
+    return kept.withColumn(name, F.struct(_sha(F.col("text")), F.col("text").isNull())).dropDuplicates(["doc_id", name]).drop(name)

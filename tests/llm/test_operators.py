@@ -197,25 +197,37 @@ def test_pack_fills_windows_with_short_rests(spark):
 
 
 def near_brute(rows):
-    sets = {}
-    for i, t in rows:
+    """Rows may share ids; each is linked by its own text."""
+    sets = []
+    for _, t in rows:
         w = WORD.findall(low(t))
-        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
-    parent = {i: i for i in sets}
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
+    parent = list(range(len(rows)))
 
     def root(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    ids = [i for i in sets if sets[i]]
-    for a, x in enumerate(ids):
-        for y in ids[:a]:
+    some = [k for k in range(len(rows)) if sets[k]]
+    for a, x in enumerate(some):
+        for y in some[:a]:
             k = len(sets[x] & sets[y])
             if 100 * k >= 75 * (len(sets[x]) + len(sets[y]) - k):
-                p, q = root(x), root(y)
-                parent[max(p, q)] = min(p, q)
-    return {i: (len(sets[i]), root(i), root(i) == i) for i in sets}
+                parent[root(x)] = root(y)
+    best = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            best[root(k)] = min(i, best.get(root(k), i))
+    return [(i, len(sets[k]), best.get(root(k)), i == best.get(root(k))) for k, (i, _) in enumerate(rows)]
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: tuple((v is None, v if v is not None else 0) for v in r))
+
+
+def near_found(df):
+    return ordered(tuple(r) for r in minhash.near_duplicates(df).collect())
 
 
 def test_near_dedup(spark, docs, empty, monkeypatch):
@@ -227,15 +239,28 @@ def test_near_dedup(spark, docs, empty, monkeypatch):
             w[rnd.randrange(120)] = f"x{rnd.randrange(10**6)}"
         extra.append((1000 + i, " ".join(w), "en", "a", "q"))
     monkeypatch.setattr(minhash, "BLOCK", 50)
+    monkeypatch.setattr(minhash, "SALT_ROWS", 20)
     all_ = docs.unionByName(spark.createDataFrame(extra, docs.schema))
     rows = [(r["doc_id"], r["text"]) for r in all_.collect()]
-    found = minhash.near_duplicates(all_).collect()
-    assert len(found) == len(rows) and {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in found} == near_brute(rows)
+    assert near_found(all_) == ordered(near_brute(rows))
     kept = minhash.apply_near_dedup(docs)
     assert kept.columns == docs.columns
+    assert kept.count() == kept.select("doc_id").distinct().count()
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_of_repeated_and_null_ids_and_colliding_words(spark):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    x, y = "".join(thue_morse(2048, "x", "y")), "".join(thue_morse(2048, "y", "x"))
+    rows = [(5, a), (5, b), (9, a + " x"), (8, b + " y"), (12, a + " z"), (None, b + " n"), (None, "null and alone here"), (20, f"{x} tail"), (21, f"{y} tail"), (30, "A  b\tC d e F"), (31, "a b c d e f"), (None, "")]
+    got = near_found(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == ordered(near_brute(rows))
+    assert (8, 57, 5, False) in got and (None, 57, 5, False) in got and (21, 1, 21, True) in got
+    kept = minhash.apply_near_dedup(spark.createDataFrame([(*r, 1) for r in [*rows, (5, a), (5, a.upper())]], "doc_id long, text string, _class int"))
+    assert kept.columns == ["doc_id", "text", "_class"]
+    assert ordered((r["doc_id"], r["text"].lower()) for r in kept.collect()) == ordered([(5, a), (5, b), (None, "null and alone here"), (20, f"{x} tail"), (21, f"{y} tail"), (30, "a  b\tc d e f"), (None, "")])
+
+
 def test_intersections_in_chunks():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 300, 80).astype(np.uint64)) for _ in range(12)]
