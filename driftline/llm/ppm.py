@@ -1,28 +1,17 @@
 """Prediction by partial matching over bytes, trained on the corpus by Spark jobs.
 
 A text is its lower-cased words and one end. A word is coded as its bytes and a space, the end as a
-line feed, so every text has one code and the code lengths are those of a proper model. Escapes follow
-method C (as many escapes as distinct symbols seen), and the symbols of the longer context are
-excluded from the shorter ones; below order 0 all symbols left are equally likely.
+line feed, so every text has one code and the code lengths are those of a proper model. A symbol's context is
+the bytes before it in the whole text, previous words and spaces included; only the text's start is padded by
+zero bytes. Escapes follow method C (as many escapes as distinct symbols seen), and the symbols of the longer
+context are excluded from the shorter ones; below order 0 all symbols left are equally likely.
 
-ppm_score_texts (the query) takes the contexts from the running bytes of the whole text, previous words
-and spaces included; only the text's start is padded by zero bytes. ppm_score is the narrower model
-whose contexts start anew at every token, so that a token has one code wherever it stands.
-
-Where the data of ppm_score_texts goes:
+Where the data goes:
 * counts: (context, symbol) and token counts of a batch of documents, one row each per batch;
 * trie: (context, symbol) counts over all batches, dealt by the context's last two bytes. All longer and
   shorter contexts that a code needs then lie in one group, whose memory follows its distinct rows; the
   last byte and no context are a table of 65,792 counts that is sent along;
 * code lengths go back to the batches by (batch, context, symbol) rows.
-
-Where the data of ppm_score goes:
-* vocabulary: counts of the training tokens, one row per token and task before the shuffle;
-* trie: (context, symbol) counts, dealt by the last order-2 bytes of the context. All longer and
-  shorter contexts that a code needs then lie in one group, of at most 2^24 cells; what is left
-  (the last byte, and no context) is a table of 65,792 counts that is sent along;
-* code lengths go back to the tokens, and tokens to batches of documents, by (batch, token) rows:
-  a token makes one row per batch, however often it occurs.
 """
 
 from __future__ import annotations
@@ -37,17 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_BYTES, SLICE_BYTES, batched, id_residue, materialise
+from .common import SLICE_BYTES, batched, id_residue, materialise
 
-ORDER = 4
-#: Context bytes of a running text; with the symbol, up to 6 fit the 64 bits of a row's key.
-TEXT_ORDER = 5
+#: Context bytes; with the symbol, up to 6 fit the 64 bits of a row's key.
+ORDER = 5
 SYMBOLS = 256
 END = b"\n"
-#: Distinct tokens that a task holds before it passes their counts on.
-FLUSH = 200_000
-#: Tokens that share one request for code lengths.
-SHARE = 200_000
+#: Text bytes of a batch. What a batch sends is its distinct contexts, which grow slower than its text.
+BATCH_BYTES = 32 << 20
 
 
 def _tokens(text: str) -> list[bytes]:
@@ -55,186 +41,6 @@ def _tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["token", "n"])
-
-    for b in batches:
-        for text, held in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            words = _tokens(text or "")
-            if held:  # known or not, its tokens need a code
-                seen.update(dict.fromkeys(set(words).difference(seen), 0))
-                seen[END] += 0
-            else:
-                seen.update(words)
-                seen[END] += 1
-            if len(seen) > FLUSH:
-                yield out()
-                seen.clear()
-    if seen:
-        yield out()
-
-
-def _grams(tokens: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Packed (context, symbol) of each byte of each token, and the token's index."""
-    parts = [bytes(order) + (t if t == END else t + b" ") for t in tokens]
-    data = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    packed = data.copy()
-    for k in range(1, order + 1):
-        packed[k:] |= data[:-k] << (8 * k)
-    owner = np.repeat(np.arange(len(parts)), lengths)
-    inside = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths) >= order
-    return packed[inside], owner[inside]
-
-
-def _share_grams(order: int):
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        grams, owner = _grams(table.column("token").to_pylist(), order)
-        n = table.column("n").to_numpy()
-        unique, back = np.unique(grams, return_inverse=True)
-        # Sums of whole numbers below 2^53 are exact in double precision.
-        total = np.bincount(back, weights=n[owner], minlength=len(unique)).astype(np.int64)
-        return pa.table({"share": pa.array(np.full(len(unique), key[0].as_py(), np.int64)), "gram": unique, "n": total})
-
-    return run
-
-
-def code_lengths(context: np.ndarray, symbol: np.ndarray, n: np.ndarray, lower: list[np.ndarray], depth: int, order: int) -> np.ndarray:
-    """log10 probability of each (context, symbol). Rows hold all that was seen of these contexts;
-    n = 0: only asked for. lower: counts for contexts of 0, 1, ... bytes below the group's depth."""
-    out = np.zeros(len(n))
-    levels = []
-    for k in range(order, depth - 1, -1):
-        ids, index = np.unique(context & ((1 << 8 * k) - 1), return_inverse=True)
-        cells = np.zeros((len(ids), SYMBOLS))
-        np.add.at(cells, (index, symbol), n)
-        levels.append((cells, index))
-    for k in range(depth - 1, -1, -1):
-        levels.append((lower[k].reshape(-1, SYMBOLS), context & ((1 << 8 * k) - 1)))
-    top, index = levels[0]
-    total, kinds = top.sum(1)[index], (top > 0).sum(1)[index]
-    seen = n > 0
-    out[seen] = np.log10(n[seen] / (total[seen] + kinds[seen]))
-    for at in np.array_split(np.flatnonzero(~seen), max(1, (~seen).sum() // 4096 + 1)):
-        if not len(at):
-            continue
-        free, log, done = np.ones((len(at), SYMBOLS), bool), np.zeros(len(at)), np.zeros(len(at), bool)
-        rows = np.arange(len(at))
-        for cells, index in levels:
-            own = np.where(free, cells[index[at]], 0)
-            total, kinds = own.sum(1), (own > 0).sum(1)
-            hit = ~done & (own[rows, symbol[at]] > 0)
-            log[hit] += np.log10(own[rows, symbol[at]][hit] / (total[hit] + kinds[hit]))
-            done |= hit
-            escape = ~done & (kinds > 0)
-            log[escape] += np.log10(kinds[escape] / (total[escape] + kinds[escape]))
-            free &= ~(own > 0)
-        log[~done] -= np.log10(free.sum(1)[~done])
-        out[at] = log
-    return out
-
-
-def _group_codes(lower: list[np.ndarray], depth: int, order: int):
-    def run(table: pa.Table) -> pa.Table:
-        gram, n = table.column("gram").to_numpy(), table.column("n").to_numpy()
-        logs = code_lengths(gram >> 8, gram & 255, n, lower, depth, order)
-        return pa.table({"gram": gram, "log": logs})
-
-    return run
-
-
-def _share_codes(order: int):
-    def run(words: pa.Table, codes: pa.Table) -> pa.Table:
-        tokens = words.column("token").to_pylist()
-        grams, owner = _grams(tokens, order)
-        known, logs = codes.column("gram").to_numpy(), codes.column("log").to_numpy()
-        by = np.argsort(known)
-        value = logs[by][np.searchsorted(known[by], grams)]
-        return pa.table({"token": words.column("token"), "c": words.column("n"), "log": np.bincount(owner, weights=value, minlength=len(tokens))})
-
-    return run
-
-
-def train(docs: DataFrame, *, order: int = ORDER) -> tuple[DataFrame, int, int]:
-    """docs(text, held_out) -> (token, c, log) for every token of any document, N and V of training.
-
-    c: the token's count in training; log: its log10 probability by the trie.
-    """
-    counted = docs.select("text", "held_out").mapInArrow(_count_tokens, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    vocabulary = materialise(counted, "ppm-vocabulary")
-    sums = vocabulary.agg(F.sum("n"), F.count_if(F.col("n") > 0), F.count(F.lit(1))).first()
-    total, distinct, rows = int(sums[0] or 0), int(sums[1] or 0), int(sums[2])
-    shares = max(1, -(-rows // SHARE))
-    dealt = vocabulary.select(F.pmod(F.xxhash64("token"), F.lit(shares)).alias("share"), "token", "n")
-    asked = materialise(dealt.groupBy("share").applyInArrow(_share_grams(order), "share long, gram long, n long"), "ppm-grams")
-    trie = asked.groupBy("gram").agg(F.sum("n").alias("n"))
-    depth = max(0, order - 2)
-    lower = []
-    for k in range(depth):  # at most 256^(k+1) counts, k below 2
-        cells = np.zeros(SYMBOLS ** (k + 1))
-        mask = (1 << 8 * (k + 1)) - 1
-        for r in asked.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("g")).agg(F.sum("n").alias("n")).toLocalIterator():
-            cells[r["g"]] = r["n"]
-        lower.append(cells)
-    # gram = context bytes, then the symbol's; a group has its last `depth` context bytes in common.
-    tail = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * depth) - 1)).alias("tail")
-    codes = trie.withColumn("tail", tail).groupBy("tail").applyInArrow(_group_codes(lower, depth, order), "gram long, log double")
-    answers = asked.select("share", "gram").join(codes, "gram")
-    scored = dealt.groupBy("share").cogroup(answers.groupBy("share")).applyInArrow(_share_codes(order), "token binary, c long, log double")
-    return materialise(scored, "ppm-codes"), total, distinct
-
-
-def _batch_tokens(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    seen: set = {END}
-    for text in table.column("text").to_pylist():
-        seen.update(_tokens(text))
-    tokens = pa.array(list(seen), pa.binary())
-    return pa.table({"batch": pa.array(np.full(len(tokens), key[0].as_py(), np.int32)), "token": tokens})
-
-
-def _batch_scores(total: int, distinct: int):
-    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        index = dict(zip(known.column("token").to_pylist(), range(known.num_rows)))
-        c, log = known.column("c").to_numpy(), known.column("log").to_numpy()
-        base = np.log10((c + 1) / (total + 1 * (distinct + 1)))
-        end, get = index.get(END), index.__getitem__
-        n, hits, bases, scores = [], [], [], []
-        for text in docs.column("text").to_pylist():
-            words = _tokens(text)
-            at = np.fromiter(map(get, words), np.int64, len(words))
-            at = np.append(at, end)
-            n.append(len(at))
-            hits.append(int((c[at] > 0).sum()))
-            bases.append(float(base[at].sum()))
-            scores.append(float(log[at].sum()))
-        size = docs.num_rows
-        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(hits, pa.int64()), "train_tokens": pa.array(np.full(size, total, np.int64)), "base_score": pa.array(bases, pa.float64()), "score": pa.array(scores, pa.float64())})
-
-    return run
-
-
-def ppm_score(docs: DataFrame, *, order: int = ORDER, held_out=None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs.
-
-    held_out: a Column; its rows are scored but not learnt from (default: crc32 of the id modulo 7 is
-    2). A null text is empty and costs its end. Repeated rows are learnt and scored each. With no
-    training rows every symbol costs log10 256. Other columns are ignored; an empty table gives an
-    empty result.
-    """
-    if order < 1 or order > 4:
-        raise ValueError("order is 1 to 4: a group of contexts has at most 2^24 cells then")
-    held = (id_residue(F.col("doc_id"), 7) == 2) if held_out is None else held_out
-    rows, _ = batched(docs, batch_bytes, F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"))
-    codes, total, distinct = train(rows, order=order)
-    asked = rows.groupBy("batch").applyInArrow(_batch_tokens, "batch int, token binary")
-    answers = asked.join(codes, "token").select("batch", "token", "c", "log")
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_batch_scores(total, distinct), schema)
-
-
 def _code(words: list[bytes], order: int) -> bytes:
     """A text's bytes as they are coded, after the pad of its start."""
     return bytes(order) + b"".join([w + b" " for w in words]) + END
@@ -276,7 +82,7 @@ def _text_slices(texts: pa.ChunkedArray, order: int) -> Iterator[tuple[int, list
 
 def _batch_counts(order: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        # A null mark holds out nothing, as in the token model.
+        # A null mark holds out nothing.
         held = np.array([bool(h) for h in table.column("held_out").to_pylist()], bool)
         seen, found = Counter({END: int((~held).sum())}), []
         for first, words, codes in _text_slices(table.column("text"), order):
@@ -323,8 +129,9 @@ class _Level:
         return self._at(self.contexts, values, contexts)
 
 
-def sparse_code_lengths(gram: np.ndarray, n: np.ndarray, lower: list[np.ndarray], depth: int, order: int) -> np.ndarray:
-    """log10 probability of each distinct (context, symbol), as code_lengths, in memory that follows the rows.
+def code_lengths(gram: np.ndarray, n: np.ndarray, lower: list[np.ndarray], depth: int, order: int) -> np.ndarray:
+    """log10 probability of each distinct (context, symbol), in memory that follows the rows; n = 0: only asked for.
+    lower: counts for contexts of 0, 1, ... bytes below the group's depth.
 
     The symbols seen after a context were all seen after its shorter ones. So what a level excludes is
     exactly what the level above has seen, and is summed once per context.
@@ -359,7 +166,7 @@ def sparse_code_lengths(gram: np.ndarray, n: np.ndarray, lower: list[np.ndarray]
 def _tail_codes(lower: list[np.ndarray], depth: int, order: int):
     def run(table: pa.Table) -> pa.Table:
         gram, n = table.column("gram").to_numpy(), table.column("n").to_numpy()
-        return pa.table({"gram": gram, "log": sparse_code_lengths(gram, n, lower, depth, order)})
+        return pa.table({"gram": gram, "log": code_lengths(gram, n, lower, depth, order)})
 
     return run
 
@@ -390,10 +197,13 @@ def _text_scores(total: int, distinct: int, order: int):
     return run
 
 
-def ppm_score_texts(docs: DataFrame, *, order: int = TEXT_ORDER, held_out=None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """The columns of ppm_score, with the score by the contexts of the running text across its words.
+def ppm_score(docs: DataFrame, *, order: int = ORDER, held_out=None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs.
 
-    held_out, null texts, repeated rows, no training rows, other columns and an empty table: as there.
+    held_out: a Column; its rows are scored but not learnt from (default: crc32 of the id modulo 7 is
+    2; a null mark holds out nothing). A null text is empty and costs its end. Repeated rows are learnt and
+    scored each. With no training rows every symbol costs log10 256. Null ids are kept as they are. Other
+    columns are ignored; an empty table gives an empty result.
     """
     if order < 1 or order > 6:
         raise ValueError("order is 1 to 6: context and symbol are one LONG")
@@ -427,15 +237,14 @@ class Trie:
     def __init__(self, order: int = ORDER):
         self.order, self.seen = order, {}
 
-    def _contexts(self, token: bytes):
-        coded = bytes(self.order) + (token if token == END else token + b" ")
+    def contexts(self, text: str) -> Iterator[tuple[bytes, int]]:
+        coded = _code(_tokens(text), self.order)
         for i in range(self.order, len(coded)):
             yield coded[i - self.order : i], coded[i]
 
-    def learn(self, token: bytes, times: int = 1) -> None:
-        for context, symbol in self._contexts(token):
-            for k in range(self.order + 1):
-                self.seen.setdefault(context[k:], Counter())[symbol] += times
+    def learn(self, context: bytes, symbol: int, times: int = 1) -> None:
+        for k in range(self.order + 1):
+            self.seen.setdefault(context[k:], Counter())[symbol] += times
 
     def symbol_log(self, context: bytes, symbol: int) -> float:
         log, excluded = 0.0, set()
@@ -449,22 +258,22 @@ class Trie:
             excluded |= own.keys()
         return log - math.log10(SYMBOLS - len(excluded))
 
-    def token_log(self, token: bytes) -> float:
-        return sum(self.symbol_log(c, s) for c, s in self._contexts(token))
-
 
 def adaptive_score(docs: DataFrame, *, order: int = ORDER) -> DataFrame:
-    """doc_id, n_tokens and the adaptive score: each text is coded by what came before in it alone."""
+    """doc_id, n_tokens and the adaptive score of each row: a text is coded by its own bytes so far alone.
+
+    A null text is empty and costs its end; other columns are ignored; an empty table gives an empty result.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             n, logs = [], []
             for text in b["text"]:
-                trie, log, tokens = Trie(order), 0.0, [*_tokens(text or ""), END]
-                for t in tokens:
-                    log += trie.token_log(t)
-                    trie.learn(t)
-                n.append(len(tokens))
+                trie, log = Trie(order), 0.0
+                for context, symbol in trie.contexts(text or ""):
+                    log += trie.symbol_log(context, symbol)
+                    trie.learn(context, symbol)
+                n.append(len(_tokens(text or "")) + 1)
                 logs.append(log)
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": n, "score": logs})
 
