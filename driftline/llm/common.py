@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import shared_root
+
 #: ASCII white space, the word separators of every operator here.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -19,26 +20,20 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BATCH_BYTES = 8 << 20
 #: Text bytes that numpy works on at a time; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
-_LOCAL: dict[str, str] = {}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only in local mode without it."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL:
-        _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="spark-driftline-")
-    return _LOCAL[app]
+def free_name(columns: list[str], name: str) -> str:
+    """The name, with as many underscores after it as it takes to be none of the columns (case does not count)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: lineage ends here."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

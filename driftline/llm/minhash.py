@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import wordhash
-from .common import WORD, ascii_lower, materialise, slices
+from .common import WORD, ascii_lower, free_name, materialise, slices
 
 WIDTH = 5
 PERCENT = 75
@@ -305,7 +305,5 @@ def apply_near_dedup(docs: DataFrame, *, width: int = WIDTH, bands: int = BANDS,
     same = (_sha(docs["text"]) == staying["_kept_sha"]) & docs["doc_id"].cast("long").eqNullSafe(staying["_kept_id"])
     # Repeated rows may differ in case and columns; the lower-cased text and the id make them one.
     kept = docs.join(staying, same, "left_semi").unionByName(docs.where(~F.coalesce(docs["text"].cast("string"), F.lit("")).rlike(WORD)))
-    name = "_class"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs.columns, "_class")
     return kept.withColumn(name, F.struct(_sha(F.col("text")), F.col("text").isNull())).dropDuplicates(["doc_id", name]).drop(name)
