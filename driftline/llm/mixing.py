@@ -14,81 +14,94 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, n_words
+from .common import WORD, materialise, n_words
 
 #: Weights of the sources by code point, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
 
 
+def _ranked(sizes: DataFrame) -> DataFrame:
+    """sizes with rank, from 0 by source, null last: ranges of sources first, then places in a range."""
+    ranges = sizes.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id())
+    # Written once, so that a range stays what it is.
+    ranges = materialise(ranges, "sources")
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
+    return ranges.withColumn("place", place).join(offsets, "part").select(*sizes.columns, (F.col("offset") + F.col("place") - 1).alias("rank"))
+
+
 def targets(sizes: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """(source, source_size) -> the same with target: the budgets' water level, in closed form.
+    """(source, source_size) -> the same with target: level x weight, or most x source_size where that is less.
 
-    A source is full at most x its size. The level is the point where the full sources' caps and
-    level x weight of the others add up to share x all sizes; giving the excess of full sources to
-    the others by weight, again and again, ends at the same point. One row per source: the windows
-    here run over sources, not documents.
+    The level starts where the weights alone share all. Each pass settles the sources that are full at the level and
+    raises it by what they leave to the others; it ends when no more are full. A pass is one aggregate over the sources.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    level = Window.orderBy("ratio", "rank")
-    everything = Window.partitionBy()
-    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
-    ranked = sizes.withColumn("rank", F.row_number().over(order)).withColumn("weight", weight)
-    caps = ranked.withColumn("cap", most * F.col("source_size")).withColumn("ratio", F.col("cap") / F.col("weight"))
-    before = level.rowsBetween(Window.unboundedPreceding, -1)
-    left = share * F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    rest = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    stepped = caps.withColumn("step", left / rest)
-    # The first source whose cap lies above its share sets the level for all that follow.
-    reached = F.min(F.when(F.col("step") < F.col("ratio"), F.struct("ratio", "rank", "step"))).over(everything)["step"]
-    return stepped.select("source", "source_size", F.coalesce(F.least(F.col("cap"), reached * F.col("weight")), F.col("cap")).cast("double").alias("target"))
-
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.col("rank"), F.lit(len(weights))) + 1).cast("int"))
+    ranked = materialise(_ranked(sizes).select("source", "source_size", weight.alias("weight")), "weights")
+    cap = most * F.col("source_size")
+    total = ranked.agg(F.sum("source_size")).first()[0] or 0
+    level, full = 0.0, None
+    while True:
+        over = cap <= F.lit(level) * F.col("weight")
+        row = ranked.agg(F.count_if(over), F.coalesce(F.sum(F.when(over, cap)), F.lit(0.0)), F.coalesce(F.sum(F.when(~over, F.col("weight"))), F.lit(0.0))).first()
+        if row[0] == full or not row[2]:
+            break
+        full, level = row[0], (share * total - row[1]) / row[2]
+    target = F.when(F.lit(row[2] == 0), cap).otherwise(F.least(cap, F.lit(level) * F.col("weight")))
+    return ranked.select("source", "source_size", target.cast("double").alias("target"))
 
-def mix(docs: DataFrame, *, size: Column | None = None, seed: int = 42, **options) -> DataFrame:
-    """docs with size, source_size, target and taken (words of the row in the mix, repeats counted).
 
-    size defaults to the number of words. Null texts have size 0 and are never taken; null sources
-    form one source that comes last. Rows with equal keys (repeated ids) are ordered by size; equal
-    rows are alike, so reruns give the same rows. An empty table gives an empty result. Columns of
-    docs pass through under their names, so docs must not already have the four names above or ones
-    that start with _mix.
-    """
-    sized = docs.withColumn("size", n_words(F.col("text")) if size is None else size).withColumn("_mix_key", F.xxhash64("doc_id", F.lit(seed)))
-    count = sized.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+def _mixed(docs: DataFrame, keep: list[str], size: Column | None, seed: int, options: dict) -> DataFrame:
+    """(row, size, source_size, target, taken): row has the columns to keep, so their names cannot clash with others."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # Rows with one id are ordered by their texts; rows without id get the text's key.
+    content = F.xxhash64(text, F.lit(seed))
+    key = F.when(F.col("doc_id").isNull(), content).otherwise(F.xxhash64("doc_id", F.lit(seed)))
+    sized = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row"), F.col("source"), (n_words(F.col("text")) if size is None else size.cast("long")).alias("size"), key.alias("key"), content.alias("content"))
+    count = docs.count()
     ranges = max(1, math.isqrt(count))
-    unit = F.shiftrightunsigned("_mix_key", 11).cast("double") / float(1 << 53)
-    cut = sized.withColumn("_mix_range", F.floor(unit * ranges).cast("long")).withColumn("_mix_unit", unit)
-    per_range = cut.groupBy("source", "_mix_range").agg(F.sum("size").alias("_mix_sum"))
+    unit = F.shiftrightunsigned("key", 11).cast("double") / float(1 << 53)
+    cut = sized.withColumn("range", F.floor(unit * ranges).cast("long")).withColumn("unit", unit)
+    per_range = materialise(cut.groupBy("source", "range").agg(F.sum("size").alias("held")), "ranges")
     # Ranges are few; the same aggregate serves the sources' sizes and the offsets of the ranges.
-    per_source = targets(per_range.groupBy("source").agg(F.sum("_mix_sum").alias("source_size")), **options)
-    ahead = Window.partitionBy("source").orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.withColumn("_mix_offset", F.coalesce(F.sum("_mix_sum").over(ahead), F.lit(0)))
+    per_source = targets(per_range.groupBy("source").agg(F.sum("held").alias("source_size")), **options)
+    ahead = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.withColumn("offset", F.coalesce(F.sum("held").over(ahead), F.lit(0)))
     s, o = per_source.alias("s"), offsets.alias("o")
-    budget = o.join(s, F.col("o.source").eqNullSafe(F.col("s.source"))).select(
-        F.col("o.source").alias("_mix_source"), F.col("o._mix_range").alias("_mix_r"), "_mix_offset", "source_size", "target"
-    )
-    inside = Window.partitionBy("source", "_mix_range").orderBy("_mix_unit", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    run = cut.withColumn("_mix_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    joined = run.join(budget, run["source"].eqNullSafe(budget["_mix_source"]) & (run["_mix_range"] == budget["_mix_r"]))
+    budget = o.join(s, F.col("o.source").eqNullSafe(F.col("s.source"))).select(F.col("o.source").alias("of"), F.col("o.range").alias("at"), "offset", "source_size", "target")
+    inside = Window.partitionBy("source", "range").orderBy("unit", "key", "size", "content").rowsBetween(Window.unboundedPreceding, -1)
+    run = cut.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    joined = run.join(budget, run["source"].eqNullSafe(budget["of"]) & (run["range"] == budget["at"]))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     rest = F.floor(F.col("target")).cast("long") - passes * F.col("source_size")
-    last = F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("_mix_offset") - F.col("_mix_before")))
-    taken = joined.withColumn("taken", (passes * F.col("size") + last).cast("long"))
-    return taken.drop(*[c for c in taken.columns if c.startswith("_mix")])
+    last = F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("offset") - F.col("before")))
+    return joined.select("row", "size", "source_size", "target", (passes * F.col("size") + last).cast("long").alias("taken"))
+
+
+def mix(docs: DataFrame, *, size: Column | None = None, seed: int = 42, **options) -> DataFrame:
+    """doc_id, source, size, source_size, target and taken (words of the row in the mix, repeats counted) of each row of docs.
+
+    size defaults to the number of words. Null texts have size 0 and are never taken; null sources
+    form one source that comes last. Rows with one id are ordered by size and text, rows without id by their texts; equal
+    rows are alike, so reruns give the same rows. Other columns of docs are ignored, whatever their names. An empty table
+    gives an empty result.
+    """
+    return _mixed(docs, ["doc_id", "source"], size, seed, options).select("row.doc_id", "row.source", "size", "source_size", "target", "taken")
 
 
-def apply_mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix as rows with the columns of docs: a row for each whole pass over a document, and one
+def apply_mix(docs: DataFrame, *, size: Column | None = None, seed: int = 42, **options) -> DataFrame:
+    """The mix as rows with the columns of docs, under any names: a row for each whole pass over a document, and one
     with its first words where the budget cuts its last pass. n_chars follows a cut text."""
-    columns = docs.columns
-    mixed = mix(docs, **options)
+    mixed = _mixed(docs, docs.columns, size, seed, options)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
     cut = F.when(F.col("size") > 0, F.col("taken") - whole * F.col("size")).otherwise(0).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(cut > 0, F.array(cut)).otherwise(F.array().cast("array<int>")))
-    rows = mixed.withColumn("_cut", F.explode(copies))
+    rows = mixed.select("row", F.explode(copies).alias("cut"))
     # A cut text ends with its last taken word; the white space before and between words stays.
-    words = F.regexp_extract_all("text", F.lit(rf"([\x20\x09-\x0D]*{WORD})"), F.lit(1))
-    text = F.when(F.col("_cut") > 0, F.array_join(F.slice(words, 1, F.greatest(F.col("_cut"), F.lit(1))), "")).otherwise(F.col("text"))
-    out = rows.withColumn("text", text)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+    words = F.regexp_extract_all(F.col("row.text"), F.lit(rf"([\x20\x09-\x0D]*{WORD})"), F.lit(1))
+    text = F.when(F.col("cut") > 0, F.array_join(F.slice(words, 1, F.greatest(F.col("cut"), F.lit(1))), "")).otherwise(F.col("row.text"))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("cut") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return rows.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))

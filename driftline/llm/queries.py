@@ -17,8 +17,7 @@ def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,9 +85,9 @@ def test_ppm_query_depends_on_the_order_of_words(spark, tmp_path):
 
 def test_mix(spark, docs, empty):
     got = mixing.mix(docs).collect()
-    sizes = Counter()
+    sizes, texts = Counter(), {r["doc_id"]: r["text"] for r in docs.collect()}
     for r in got:
-        assert r["size"] == len(WORD.findall(r["text"] or "")) and 0 <= r["taken"] <= 2 * r["size"]
+        assert r["size"] == len(WORD.findall(texts[r["doc_id"]] or "")) and 0 <= r["taken"] <= 2 * r["size"]
         sizes[r["source"]] += r["size"]
     order = sorted((s for s in sizes if s is not None)) + [None]
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
@@ -113,16 +113,52 @@ def test_mix(spark, docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
-def test_exact_dedup(spark, docs, empty):
-    rows = [(r["doc_id"], low(r["text"])) for r in docs.collect()]
+def test_mix_of_clashing_columns_and_rows_alike_in_id_and_size(spark):
+    rows = [(k % 3 if k % 4 else None, f"{chr(97 + k)} b c", "a", 100 + k, -1.0, "q", "r", "x") for k in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, target double, source_size string, taken string, key string")
+    out = mixing.apply_mix(df)
+    assert out.columns == df.columns
+    got = sorted(map(str, out.collect()))
+    assert len(got) == 18 and {r["size"] for r in out.collect()} <= set(range(100, 112))
+    for other in (df.repartition(5), df.orderBy(F.desc("size"))):
+        assert sorted(map(str, mixing.apply_mix(other).collect())) == got
+
+
+def test_mix_of_many_sources(spark):
+    """The water level against the excess given on step by step."""
+    rnd = random.Random(5)
+    sizes = {f"s{k:03}": rnd.choice((0, 1, 5, 40, 300)) * rnd.randrange(1, 9) for k in range(90)}
+    found = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(sorted(sizes))}
+    full = set()
+    while True:
+        open_ = [s for s in sizes if s not in full]
+        left = 1.5 * sum(sizes.values()) - sum(2 * sizes[s] for s in full)
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        if not (over := {s for s in open_ if share[s] > 2 * sizes[s]}):
+            break
+        full |= over
+    assert found == pytest.approx({s: 2.0 * sizes[s] if s in full else share[s] for s in sizes})
+
+
+@pytest.mark.parametrize("run_rows", [20_000, 2])
+def test_exact_dedup(spark, docs, empty, run_rows):
+    head = "same first characters " * 5
+    extra = [(300 + k, head + str(k % 4), "en", "a", "q") for k in range(12)] + [(400 + k, "HOT" if k % 2 else "hot", "en", "a", "q") for k in range(9)] + [(None, "hot", "en", "a", "q"), (None, "alone", "en", "a", "q")]
+    all_ = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    rows = [(r["doc_id"], low(r["text"])) for r in all_.collect()]
     groups = {}
     for i, t in rows:
         groups.setdefault(t, []).append(i)
-    want = sorted((i, max(groups[t]), len(groups[t]), i == max(groups[t]), hashlib.sha256(t.encode()).hexdigest()) for i, t in rows)
-    assert sorted(tuple(r) for r in exact_dedup.exact_dedup(docs).collect()) == want
-    kept = exact_dedup.apply_exact_dedup(docs)
-    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(max(g) for g in groups.values())
-    assert exact_dedup.exact_dedup(empty).count() == 0
+    best = {t: max((i for i in g if i is not None), default=None) for t, g in groups.items()}
+    want = ordered((i, best[t], len(groups[t]), i == best[t], hashlib.sha256(t.encode()).hexdigest()) for i, t in rows)
+    assert ordered(tuple(r) for r in exact_dedup.exact_dedup(all_, run_rows=run_rows).collect()) == want
+    least = {r["doc_id"]: r["keep_id"] for r in exact_dedup.exact_dedup(all_, keep="min", run_rows=run_rows).collect()}
+    assert least[408] == 400 and least[1] == 0
+    kept = exact_dedup.apply_exact_dedup(all_.withColumn("_key", F.lit("q")), run_rows=run_rows)
+    assert kept.columns == [*docs.columns, "_key"]
+    assert ordered((r["doc_id"],) for r in kept.collect()) == ordered((i,) for i in best.values())
+    assert exact_dedup.exact_dedup(empty, run_rows=run_rows).count() == 0
 
 
 def test_pack(spark, docs, empty):
