@@ -15,8 +15,9 @@ Python per row.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,13 +43,41 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 STOPS = frozenset("ul ol dl table div section article main body html td th".split())
 
 
+#: A name around a whole page: its text counts where there is no other.
+WRAPPERS = frozenset("search widget widgets".split())
+
+
+class Block(NamedTuple):
+    text: str
+    tags: int
+    out: int
+    region: int
+    heading: bool
+    linked: int  # characters of links
+    inside: int  # number of the innermost container, 0 for none
+    wrapped: bool  # left out by the name of a wrapper only
+
+
+class Open(NamedTuple):
+    tag: str
+    out: int
+    region: int
+    around: int  # what the text around the element is
+    wrapped: bool
+
+
 class Blocks(HTMLParser):
-    """Collects (text, tags, what it is, region, heading, characters of links, containers) of each block."""
+    """Collects the blocks of a page. Open elements lie on a stack, with a stack of places for each tag, so an event costs no walk over them."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, int, int]] = []  # tag, what its text is, region, number
-        self.blocks: list[tuple[str, int, int, int, bool, int, tuple[int, ...]]] = []
+        self.open: list[Open | None] = []  # None: ended before the elements inside it
+        self.at: dict[str, list[int]] = {}
+        self.blocks_at: list[int] = []
+        self.containers: list[tuple[int, int]] = []  # place and number
+        self.outer: dict[int, int] = {0: 0}
+        self.ends: dict[int, int] = {}  # number of the last container inside
+        self.blocks: list[Block] = []
         self.text: list[str] = []
         self.tags = self.regions = self.linked = self.opened = 0
         self.roots: set[int] = set()
@@ -56,68 +85,91 @@ class Blocks(HTMLParser):
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            out, region = (self.open[-1][1], self.open[-1][2]) if self.open else (KEPT, 0)
-            heading = any(o[0] in HEADINGS for o in self.open[-3:])
-            around = tuple(o[3] for o in self.open if o[0] in CONTAINERS)
-            self.blocks.append((text, max(1, self.tags), out, region, heading, min(self.linked, len(text)), around))
+            last = self.open[-1] if self.open else Open("", KEPT, 0, KEPT, False)
+            heading = any(o is not None and o.tag in HEADINGS for o in self.open[-3:])
+            inside = self.containers[-1][1] if self.containers else 0
+            self.blocks.append(Block(text, max(1, self.tags), last.out, last.region, heading, min(self.linked, len(text)), inside, last.wrapped))
             self.tags = 0
         self.text, self.linked = [], 0
 
-    def pop(self, names: tuple[str, ...], stops: frozenset) -> bool:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in names:
-                del self.open[i:]
-                return True
-            if self.open[i][0] in stops:
-                return False
-        return False
+    def last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element with one of the tags, or -1."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
+    def cut(self, place: int) -> None:
+        """End all elements from the place on."""
+        while len(self.open) > place or (self.open and self.open[-1] is None):
+            ended = self.open.pop()
+            if ended is not None:
+                self.at[ended.tag].pop()
+        while self.blocks_at and self.blocks_at[-1] >= len(self.open):
+            self.blocks_at.pop()
+        while self.containers and self.containers[-1][0] >= len(self.open):
+            self.ends[self.containers.pop()[1]] = self.opened
+
+    def end_inner(self, tags: Iterable[str], stops: Iterable[str]) -> None:
+        place = self.last(tags)
+        if place > self.last(stops):
+            self.cut(place)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
             self.flush()
-            if any(o[0] == "p" for o in self.open):
-                self.pop(("p",), STOPS)
+            self.end_inner(("p",), STOPS)
             if tag in CLOSES:
-                self.pop(CLOSES[tag], frozenset(("ul", "ol", "dl", "table")))
+                self.end_inner(CLOSES[tag], ("ul", "ol", "dl", "table"))
         elif tag == "br":
             self.text.append(" ")
         self.tags += 1
         if tag in VOID:
             return
-        _, out, region, _ = self.open[-1] if self.open else ("", KEPT, 0, 0)
+        last = self.open[-1] if self.open else Open("", KEPT, 0, KEPT, False)
+        out, region, wrapped = last.out, last.region, last.wrapped
         # A tag that is left out changes what its text belongs to, so text before it ends a block.
-        mark = OUT if out == OUT else self.left_out(tag, dict(attrs), region)
+        mark, wrapper = (OUT, False) if out == OUT else self.left_out(tag, dict(attrs), region)
         if mark and out in (KEPT, REVIVED):
             if tag not in BLOCKS:
                 self.flush()
-            out = mark if out == KEPT else OUT
+            out, wrapped = (mark, wrapper) if out == KEPT else (OUT, False)
         elif out == NAMED and mark == OUT:
             out = OUT
         elif out == NAMED and tag in REGIONS:
             out, region = REVIVED, 0
+        elif out == NAMED and mark == NAMED:
+            wrapped = wrapped and wrapper
         if tag in REGIONS and not region:
             self.regions += 1
             region = self.regions
-        self.opened += 1
-        if tag in ("html", "body"):
-            self.roots.add(self.opened)
-        self.open.append((tag, out, region, self.opened))
+        place = len(self.open)
+        if tag in CONTAINERS:
+            self.opened += 1
+            self.outer[self.opened] = self.containers[-1][1] if self.containers else 0
+            self.containers.append((place, self.opened))
+            if tag in ("html", "body"):
+                self.roots.add(self.opened)
+        if tag in BLOCKS:
+            self.blocks_at.append(place)
+        self.at.setdefault(tag, []).append(place)
+        self.open.append(Open(tag, out, region, last.out, wrapped))
 
-    def left_out(self, tag: str, attrs: dict, region: int) -> int:
+    def left_out(self, tag: str, attrs: dict, region: int) -> tuple[int, bool]:
+        """What the element's text is, and whether only a wrapper's name says so."""
         if tag in DROPPED or (tag == "header" and not region):
-            return OUT
+            return OUT, False
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
-            return OUT
+            return OUT, False
         if (attrs.get("role") or "").lower() in ROLES:
-            return OUT
+            return OUT, False
         if tag in REGIONS or tag in ("html", "body"):
-            return KEPT
+            return KEPT, False
         names = NAMES if region else NAMES | OUTSIDE
+        found = []
         for token in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split():
             parts = [w for w in token.replace("_", "-").split("-") if w and not w.isdigit()]
-            if any(w in names for w in parts) and all(w in names or w in PARTS for w in parts):
-                return NAMED
-        return KEPT
+            own = [w for w in parts if w in names]
+            if own and all(w in names or w in PARTS for w in parts):
+                found += own
+        return (NAMED, all(w in WRAPPERS for w in found)) if found else (KEPT, False)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -126,22 +178,24 @@ class Blocks(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        names = [o[0] for o in self.open]
-        if tag not in names:
+        place = self.last((tag,))
+        if place < 0:
             if tag in BLOCKS:
                 self.flush()
             return
-        at = len(names) - 1 - names[::-1].index(tag)
-        if tag in BLOCKS or self.open[at][1] != (self.open[at - 1][1] if at else KEPT):
+        ended = self.open[place]
+        if tag in BLOCKS or ended.out != ended.around:
             self.flush()
-        elif any(t in BLOCKS for t in names[at + 1 :]):
-            del self.open[at]  # an inline element that a block element overlaps: only it ends
+        elif self.blocks_at and self.blocks_at[-1] > place:
+            # An inline element that a block element overlaps: only it ends.
+            self.open[place] = None
+            self.at[tag].pop()
             return
-        del self.open[at:]
+        self.cut(place)
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
-        if any(o[0] == "a" for o in self.open):
+        if self.at.get("a"):
             self.linked += len(" ".join(data.split()))
 
 
@@ -158,65 +212,74 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     parser.feed(html or "")
     parser.close()
     parser.flush()
+    parser.cut(0)
     blocks = parser.blocks
-    chosen = _chosen(blocks, parser.roots, sigma)
+    chosen = _chosen(blocks, parser, sigma)
     revived: dict[int, list[int]] = {}
     for i, b in enumerate(blocks):
-        if b[2] == REVIVED:
-            revived.setdefault(b[3], []).append(i)
+        if b.out == REVIVED:
+            revived.setdefault(b.region, []).append(i)
     if revived:
         other = max(revived.values(), key=lambda own: _mass(blocks, own))
         if _mass(blocks, other) > _mass(blocks, chosen):
             chosen = other
-    return "\n".join(blocks[i][0] for i in chosen)
+    if not _mass(blocks, chosen) and any(b.wrapped for b in blocks):
+        blocks = [b._replace(out=KEPT) if b.out == NAMED and b.wrapped else b for b in blocks]
+        chosen = _chosen(blocks, parser, sigma)
+    return "\n".join(blocks[i].text for i in chosen)
 
 
-def _mass(blocks: list[tuple], rows: list[int]) -> int:
+def _mass(blocks: list[Block], rows: list[int]) -> int:
     """Characters that are no link."""
-    return sum(len(blocks[i][0]) - blocks[i][5] for i in rows)
+    return sum(len(blocks[i].text) - blocks[i].linked for i in rows)
 
 
-def _chosen(blocks: list[tuple], roots: set[int], sigma: float) -> list[int]:
-    fit = [i for i, b in enumerate(blocks) if not b[2]]
+def _chosen(blocks: list[Block], page: Blocks, sigma: float) -> list[int]:
+    fit = [i for i, b in enumerate(blocks) if not b.out]
     if not fit:
         return []
-    ratios = [0.0 if b[2] else len(b[0]) / b[1] for b in blocks]
+    ratios = [0.0 if b.out else len(b.text) / b.tags for b in blocks]
     near = smooth(ratios, sigma)
     mean = sum(near) / len(near)
     threshold = min(math.sqrt(sum((x - mean) ** 2 for x in near) / len(near)), max(near[i] for i in fit))
     content = [i for i in fit if near[i] >= threshold]
-    regions = {blocks[i][3] for i in content} - {0}
-    inside = [i for i in fit if blocks[i][3] in regions]
-    content = [i for i in content if not blocks[i][3]]
+    regions = {blocks[i].region for i in content} - {0}
+    inside = [i for i in fit if blocks[i].region in regions]
+    content = [i for i in content if not blocks[i].region]
     if not content:
         return inside
-    outside = _grown(blocks, roots, content)
+    outside = _grown(blocks, page, content)
     # A stretch may hold regions; they count for both.
-    return inside if regions and _mass(blocks, inside) >= _mass(blocks, [i for i in outside if not blocks[i][3]]) else outside
+    return inside if regions and _mass(blocks, inside) >= _mass(blocks, [i for i in outside if not blocks[i].region]) else outside
 
 
-def _grown(blocks: list[tuple], roots: set[int], content: list[int]) -> list[int]:
+def _grown(blocks: list[Block], page: Blocks, content: list[int]) -> list[int]:
     """The stretch of the content blocks to the ends of the innermost container of them all."""
-    around = [blocks[i][6] for i in content]
-    common = next((k for k, own in enumerate(zip(*around)) if len(set(own)) > 1), min(map(len, around)))
-    common = around[0][common - 1] if common else 0
-    own = {a[-1] for a in around if a} - roots
+
+    def holds(container: int, other: int) -> bool:
+        return not container or container <= other <= page.ends[container]
+
+    common = blocks[content[0]].inside
+    for i in content:
+        while not holds(common, blocks[i].inside):
+            common = page.outer[common]
+    own = {blocks[i].inside for i in content} - page.roots - {0}
     first, last = content[0], content[-1]
 
     def adjoins(i: int) -> bool:
         """Left-out blocks are passed over."""
-        text, _, out, region, _, linked, path = blocks[i]
-        if common and common not in path or region:
+        b = blocks[i]
+        if not holds(common, b.inside) or b.region:
             return False
-        return bool(out) or 2 * linked <= len(text) or (bool(path) and path[-1] in own)
+        return bool(b.out) or 2 * b.linked <= len(b.text) or b.inside in own
 
     while first > 0 and adjoins(first - 1):
         first -= 1
     while last + 1 < len(blocks) and adjoins(last + 1):
         last += 1
-    while first > 0 and not blocks[first - 1][2] and blocks[first - 1][4]:
+    while first > 0 and not blocks[first - 1].out and blocks[first - 1].heading:
         first -= 1
-    return [i for i in range(first, last + 1) if not blocks[i][2]]
+    return [i for i in range(first, last + 1) if not blocks[i].out]
 
 
 def _extract(sigma: float):
