@@ -1,10 +1,11 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
-Equal vectors are one point with its smallest ids (as many as an answer can hold). Points are dealt
-by hash into shards of bounded size; a task builds a shard's graph and stores it as flat arrays: one
+Equal vectors are one point with its smallest ids (as many as an answer can hold). Points of one order of magnitude are
+dealt by hash into shards of bounded size; a task builds a shard's graph and stores it as flat arrays: one
 row of vectors, neighbour lists and ids. Blocks of queries meet every shard's row, and the shards'
 answers are merged by a rank per query. Largest inner product becomes nearest neighbour by one more
-coordinate, sqrt(M^2 - |x|^2) with M the largest norm, which is 0 for queries.
+coordinate, sqrt(M^2 - |x|^2) with M the largest norm of the shard, which is 0 for queries. Graphs are walked in
+single precision on vectors scaled by the shard's largest component; scores are those of the original vectors, in double precision.
 """
 
 from __future__ import annotations
@@ -156,36 +157,42 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def _build(norm: float, m: int, ef: int):
+def _build(m: int, ef: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         dim = key[0].as_py()
         table = table.sort_by([("first", "ascending")])
         x = _matrix(table.column("vector"), dim)
-        rest = np.sqrt(np.maximum(0, norm * norm - (x.astype(np.float64) ** 2).sum(1)))
-        graph = Graph(np.column_stack([x, rest]).astype(np.float32), m).build(ef)
+        graph = Graph(_lifted(x), m).build(ef)
         ids = table.column("ids").to_pylist()
         ends = np.cumsum([len(i) for i in ids])
         return pa.table({
-            "dim": pa.array([dim], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()), "norm_rest": pa.array([rest.astype(np.float32).tobytes()], pa.binary()),
+            "dim": pa.array([dim], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int64()),
             "vectors": pa.array([np.ascontiguousarray(x, np.float64).tobytes()], pa.binary()), "base": pa.array([graph.base.tobytes()], pa.binary()), "upper": pa.array([graph.flat()], pa.binary()),
             "ids": pa.array([np.array([i for own in ids for i in own], np.int64).tobytes()], pa.binary()), "ends": pa.array([ends.astype(np.int64).tobytes()], pa.binary()),
-        })
+        })
 
     return run
 
 
+def _lifted(x: np.ndarray) -> np.ndarray:
+    """Vectors of about one length, scaled to components of 1 at most, with the coordinate that makes them equally long."""
+    x = x / np.abs(x).max()
+    squares = (x**2).sum(1)
+    return np.column_stack([x, np.sqrt(squares.max() - squares)]).astype(np.float32)
+
+
 def _ask(k: int, m: int, ef: int):
     def run(key: tuple[pa.Scalar, ...], graphs: pa.Table, queries: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
         if graphs.num_rows and queries.num_rows:
             g, dim = graphs.to_pylist()[0], key[0].as_py()
             x = np.frombuffer(g["vectors"], np.float64).reshape(-1, dim)
-            graph = Graph.load(np.column_stack([x, np.frombuffer(g["norm_rest"], np.float32)]).astype(np.float32), g["base"], g["upper"], m)
+            graph = Graph.load(_lifted(x), g["base"], g["upper"], m)
             ids, ends = np.frombuffer(g["ids"], np.int64), np.frombuffer(g["ends"], np.int64)
             asked = _matrix(queries.column("vector"), dim).astype(np.float64)
             seen = np.full(len(x), -1, np.int64)
             for r, (query, q) in enumerate(zip(queries.column("query_id").to_pylist(), asked)):
-                found = graph.query(np.append(q, 0).astype(np.float32), k + 1, ef, seen, r)
+                found = graph.query(np.append(q / np.abs(q).max(), 0).astype(np.float32), k + 1, ef, seen, r)
                 scores = x[found] @ q
                 here = []
                 for n, s in zip(found, scores.tolist()):
@@ -204,26 +211,41 @@ def nearest(embeddings: DataFrame, *, k: int = K, every: int = 20, m: int = NEIG
 
     Vectors that are null, empty, all zero or hold a null or a non-finite component take no part,
     neither do null ids; vectors are searched among those of their own length. Repeated rows are one
-    candidate and one query. An empty table gives an empty result. Other columns are ignored.
+    candidate and one query; an id with several vectors has the least of them. An empty table gives an empty result.
+    Other columns are ignored.
     """
-    v = F.col(vector_col).cast("array<float>")
-    rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("vector")).where("vec_id is not null and size(vector) > 0")
+    rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).where("vec_id is not null and size(vector) > 0")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = rows.where(finite & F.exists("vector", lambda x: x != 0)).dropDuplicates(["vec_id"])
+    rows = rows.where(finite & F.exists("vector", lambda x: x != 0)).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     points = rows.withColumn("rn", F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))).where(F.col("rn") <= k + 1)
     points = materialise(points.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "points")
-    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    size = points.agg(F.count(F.lit(1)), F.max(squares)).first()
-    shards = max(1, -(-size[0] // shard_rows))
-    dealt = points.select(F.size("vector").alias("dim"), F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"), "vector", "ids", F.element_at("ids", 1).alias("first"))
-    schema = "dim int, shard int, norm_rest binary, vectors binary, base binary, upper binary, ids binary, ends binary"
-    graphs = materialise(dealt.groupBy("dim", "shard").applyInArrow(_build(math.sqrt(size[1] or 0.0), m, ef_build), schema), "graphs")
+    # Shards hold vectors within a factor of 256, so that single precision tells all of them apart.
+    band = F.floor(F.log2(F.array_max(F.transform("vector", F.abs))) / 8).cast("long")
+    sizes = points.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n")).select("band", F.ceil(F.col("n") / shard_rows).cast("long").alias("parts"))
+    # At most 262 bands: a double's exponents by eights.
+    parts = {r["band"]: (at, r["parts"]) for r, at in _running(sizes.orderBy("band").collect())}
+    shards = sum(n for _, n in parts.values())
+    first = F.create_map(*[F.lit(v) for b, (at, _) in parts.items() for v in (b, at)]) if parts else F.create_map(F.lit(0), F.lit(0))
+    count = F.create_map(*[F.lit(v) for b, (_, n) in parts.items() for v in (b, n)]) if parts else F.create_map(F.lit(0), F.lit(1))
+    shard = (F.element_at(first, band) + F.pmod(F.xxhash64("vector"), F.element_at(count, band))).cast("long")
+    dealt = points.select(F.size("vector").alias("dim"), shard.alias("shard"), "vector", "ids", F.element_at("ids", 1).alias("first"))
+    schema = "dim int, shard long, vectors binary, base binary, upper binary, ids binary, ends binary"
+    graphs = materialise(dealt.groupBy("dim", "shard").applyInArrow(_build(m, ef_build), schema), "graphs")
     asked = rows.where(F.col("vec_id") % every == 0)
     blocks = max(1, -(-asked.count() // BLOCK))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    queries = asked.select(F.size("vector").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"), F.col("vec_id").alias("query_id"), "vector")
+    queries = asked.select(F.size("vector").alias("dim"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(1, shards) - 1).cast("long"))).alias("shard"), block.alias("block"), F.col("vec_id").alias("query_id"), "vector")
     spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys = ["dim", "shard", "block"]
     found = spread.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(_ask(k, m, ef_search), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _running(rows: list) -> list[tuple]:
+    """Rows with the sum of the parts before each."""
+    out, at = [], 0
+    for r in rows:
+        out.append((r, at))
+        at += r["parts"]
+    return out

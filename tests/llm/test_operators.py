@@ -372,6 +372,31 @@ def test_html_takes_the_heavier_of_regions_and_the_rest():
     assert html_extract.main_text(f"<body><div><p>{'aside ' * 12}</p></div><article><p>{body[0]}</p></article></body>") == body[0]
 
 
+def test_html_of_deep_nesting_takes_time_in_proportion():
+    import time
+
+    def seconds(n):
+        page = "<body>" + "<div><b>" * n + "<p>text of the page</p>" + "</b></div>" * n
+        best = 9.0
+        for _ in range(3):
+            start = time.perf_counter()
+            assert html_extract.main_text(page) == "text of the page"
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    assert seconds(16_000) < 8 * seconds(4_000) + 0.1
+
+
+def test_html_in_odd_wrappers(spark, empty):
+    text = "word " * 80 + "end"
+    assert html_extract.main_text(f"<body><div class='search results'><h1>T</h1><p>{text}</p><p>Short.</p></div></body>") == f"T\n{text}\nShort."
+    assert html_extract.main_text(f"<body><div class=notice><p>{text}</p></div></body>") == ""
+    assert html_extract.main_text(f"<body><p>{text}</p><b><p>over</b>lapped</p><i>unclosed") == f"{text}\noverlapped\nunclosed"
+    pages = spark.createDataFrame([(None, None, "<p>x")], "page_id long, url string, html string")
+    assert [tuple(r) for r in html_extract.extract(pages).collect()] == [(None, None, "x", 1)]
+    assert html_extract.extract(pages.where("false")).count() == 0
+
+
 def test_html_names():
     text = "word " * 80 + "end"
     assert html_extract.main_text(f"<body><div class=widget><article><p>{text}</p><div class=share>Share</div></article></div><p>Short.</p></body>") == text
@@ -405,6 +430,25 @@ def test_nearest(spark):
     assert hnsw.nearest(df.where("false")).count() == 0
 
 
+def test_nearest_keeps_doubles_and_odd_ids(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(300, [1e200, 0.0, 0.0, 0.0, 0.0, 1.0]), (301, [1e-200] * 6), (None, [9.0] * 6), (7, x[7].tolist()), (7, [99.0] * 6), (302, [1.0, 2.0])]
+    got = {}
+    for r in hnsw.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    ids = [r[0] for r in rows[:202]]
+    m = np.array([r[1] for r in rows[:202]])
+    assert sorted(got) == sorted(i for i in ids if i % 20 == 0)
+    hits = 0
+    for q, own in got.items():
+        s = m @ m[ids.index(q)]
+        best = sorted((-v, i) for v, i in zip(s.tolist(), ids) if i != q)[:20]
+        hits += len({i for _, i in best} & {i for i, _ in own})
+        assert all(v == pytest.approx(s[ids.index(i)], rel=1e-12) for i, v in own)
+    assert hits >= 0.95 * 20 * len(got)
+
+
 def thue_morse(n, a, b):
     """n letters of the sequence in a and b; with its complement it collides under polynomials modulo 2^64."""
     return [(a, b)[k.bit_count() % 2] for k in range(n)]
