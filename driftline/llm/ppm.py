@@ -34,6 +34,8 @@ SYMBOLS = 256
 END = b"\n"
 #: Text bytes of a batch. What a batch sends is its distinct contexts, which grow slower than its text.
 BATCH_BYTES = 32 << 20
+#: Counts of slices that a task holds before it sums them up.
+HELD_ROWS = 1 << 20
 
 
 def _tokens(text: str) -> list[bytes]:
@@ -84,7 +86,7 @@ def _batch_counts(order: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         # A null mark holds out nothing.
         held = np.array([bool(h) for h in table.column("held_out").to_pylist()], bool)
-        seen, found = Counter({END: int((~held).sum())}), []
+        seen, found, rows = Counter({END: int((~held).sum())}), [], 0
         for first, words, codes in _text_slices(table.column("text"), order):
             own = held[first : first + len(codes)]
             for w, h in zip(words, own):
@@ -93,6 +95,10 @@ def _batch_counts(order: int):
             # The mark in the lowest bit: one sort counts learnt and merely asked ones.
             marked, n = np.unique((grams << 1) | own[owner], return_counts=True)
             found.append(_sums(marked >> 1, np.where(marked & 1, 0, n)))
+            rows += len(found[-1][0])
+            if rows > HELD_ROWS and len(found) > 1:
+                found = [_sums(*(np.concatenate(x) for x in zip(*found)))]
+                rows = 0
         grams, n = _sums(*(np.concatenate(x) for x in zip(*found)))
         tokens = len(seen)
         return pa.table({
