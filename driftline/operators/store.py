@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import DAY, SECOND, timestamp
+from .joins import within_intervals
 
 DIGITS = {"Vdir": 4, "inclination": 4, "Pressure": 3}
 WIDTHS = {"tinyint": 0, "smallint": 1, "int": 2, "bigint": 3, "float": 4, "double": 5}
@@ -120,6 +121,34 @@ def stored_range(df: DataFrame, t_start: int, t_end: int, columns: Sequence[str]
     return df.where(F.col("t").between(t_start, t_end)).select(*columns)
 
 
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges [t_start, t_end] of each probe with those that meet joined up."""
+    w = Window.partitionBy("probe").orderBy("t_start", "t_end")
+    far = F.max("t_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = ranges.withColumn("_far", far).withColumn("_g", F.sum(F.when(F.col("t_start") <= F.col("_far"), 0).otherwise(1)).over(w))
+    return numbered.groupBy("probe", "_g").agg(F.min("t_start").alias("t_start"), F.max("t_end").alias("t_end")).drop("_g")
+
+
+def stored_ranges(df: DataFrame, ranges: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in the union of their probe's ranges, each once: ranges that meet are one before the join."""
+    return within_intervals(df, merged_ranges(ranges)).select(*columns)
+
+
+def logged_between(log: DataFrame, t_start: int | None = None, t_end: int | None = None) -> DataFrame:
+    """Log rows as intervals, those that meet [t_start, t_end], cut to it; no limit where None. Pushed to the Parquet scan."""
+    x = log if t_start is None else log.where(F.col("t_end") >= t_start).withColumn("t_start", F.greatest("t_start", F.lit(t_start)))
+    return x if t_end is None else x.where(F.col("t_start") <= t_end).withColumn("t_end", F.least("t_end", F.lit(t_end)))
+
+
+def unions_by_columns(parts: Sequence[DataFrame]) -> list[DataFrame]:
+    """Parts with the same set of columns as one table, in the order in which the sets first occur."""
+    found: dict[frozenset[str], DataFrame] = {}
+    for part in parts:
+        key = frozenset(part.columns)
+        found[key] = found[key].unionByName(part) if key in found else part
+    return list(found.values())
+
+
 def tables_like(probes: DataFrame, pattern: str) -> DataFrame:
     """By substring, or by regular expression where the pattern has a *."""
     hit = F.col("probe").rlike(pattern) if "*" in pattern else F.col("probe").contains(pattern)

@@ -1,13 +1,13 @@
-"""Time correction (T1-T15). All but T3 and T7 are windows over (probe; seq) or (probe; t, seq)."""
+"""Time correction (T1-T15; T1 composes the others). All but T3 and T7 are windows over (probe; seq) or (probe; t, seq)."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..schema import DAY, SECOND, ordered, per_probe
+from ..schema import DAY, SECOND, ordered, per_probe, timestamp
 
 def _source() -> WindowSpec:
     return Window.partitionBy("probe").orderBy("seq")
@@ -77,7 +77,7 @@ def without_inversions(df: DataFrame) -> DataFrame:
         sized.where("_size > 1").drop("_part", "_size").join(judged, ["probe", "seq"]))
 
 
-def spread_repeats(df: DataFrame, freq: float) -> DataFrame:
+def spread_repeats(df: DataFrame, freq: float | Column) -> DataFrame:
     """T4: rows with one time are spread by 1/freq from the first; closer where the run would pass the next time."""
     d = df.withColumn("_run", F.sum(F.when(F.col("t") != F.lag("t").over(_source()), 1).otherwise(0)).over(_source()))
     w = Window.partitionBy("probe", "_run")
@@ -101,17 +101,24 @@ def day_jumps(df: DataFrame) -> DataFrame:
     return j.withColumn("_sign", sign).withColumn("t", F.when(F.col("_n") % 2 == 1, F.col("t") - F.col("_sign") * DAY).otherwise(F.col("t"))).drop("_d", "_tol", "_j", "_n", "_sign")
 
 
-def linear_between_holes(df: DataFrame, freq: float, hole: int = 20 * SECOND) -> DataFrame:
-    """Between holes longer than `hole`, equal steps from the first time: at the given frequency where the end
-    then lies within two steps of the real one, else at the rate that meets the end."""
+def linear_between_holes(df: DataFrame, freq: float | Column, hole: int = 20 * SECOND) -> DataFrame:
+    """Between holes longer than `hole`, steps of 1/freq from the first time, in three cases by where they end:
+    nearer than two holes to the real end, they are the times; short of it (rows were lost), only rows whose
+    time does not grow are moved, by steps after the last row that does; beyond it, the steps are made shorter,
+    so that rows that repeat the first or the last time do not count."""
     w = ordered()
     h = df.withColumn("_h", F.sum(F.when(F.col("t") - F.lag("t").over(w) > hole, 1).otherwise(0)).over(w))
-    p = Window.partitionBy("probe", "_h")
-    h = h.withColumns({"_k": F.row_number().over(p.orderBy("t", "seq")) - 1, "_n": F.count(F.lit(1)).over(p), "_s": F.min("t").over(p), "_e": F.max("t").over(p)})
-    ideal = F.lit(SECOND / freq)
-    error = F.abs(F.col("_s") + (F.col("_n") - 1) * ideal - F.col("_e"))
-    step = F.when((F.col("_n") < 2) | (error <= 2 * ideal), ideal).otherwise((F.col("_e") - F.col("_s")) / (F.col("_n") - 1))
-    return h.withColumn("t", (F.col("_s") + F.floor(F.col("_k") * step + 0.5)).cast("long")).drop("_h", "_k", "_n", "_s", "_e")
+    p, by = Window.partitionBy("probe", "_h"), Window.partitionBy("probe", "_h").orderBy("t", "seq")
+    h = h.withColumns({"_k": F.row_number().over(by) - 1, "_n": F.count(F.lit(1)).over(p), "_s": F.min("t").over(p), "_e": F.max("t").over(p), "_up": F.coalesce(F.col("t") > F.lag("t").over(by), F.lit(False))})
+    up = F.when(F.col("_up"), F.col("_k"))
+    h = h.withColumns({"_first": F.min(up).over(p), "_last": F.max(up).over(p), "_kept": F.coalesce(F.last(up, True).over(by), F.lit(0))})
+    ideal = SECOND / (F.lit(freq) if not isinstance(freq, Column) else freq)
+    error = F.col("_e") - F.col("_s") - (F.col("_n") - 1) * ideal
+    shorter = (F.col("_e") - F.col("_s")) / F.coalesce(F.col("_last") - F.col("_first") + 1, F.greatest(F.col("_n") - 1, F.lit(1)))
+    near, lost = F.abs(error) < 2 * hole, error > 0
+    start = F.when(near | ~lost, F.col("_s")).otherwise(F.col("t"))
+    steps = F.when(near, F.col("_k") * ideal).when(lost, (F.col("_k") - F.col("_kept")) * ideal).otherwise(F.col("_k") * shorter)
+    return h.withColumn("t", (start + F.floor(steps + 0.5)).cast("long")).drop("_h", "_k", "_n", "_s", "_e", "_up", "_first", "_last", "_kept")
 
 
 def linear_with_shifts(df: DataFrame, freq: float, accuracy: int) -> DataFrame:
@@ -139,7 +146,7 @@ def linear_with_shifts(df: DataFrame, freq: float, accuracy: int) -> DataFrame:
     return df.groupBy("probe", "burst").applyInPandas(run, ", ".join(f"`{c}` {k}" for c, k in kinds.items()))
 
 
-def filled_times(df: DataFrame, bad: str, freq: float) -> DataFrame:
+def filled_times(df: DataFrame, bad: str, freq: float | Column) -> DataFrame:
     """Bad times by interpolation over rows; at the ends by steps of 1/freq."""
     w = _source()
     x = df.withColumn("_i", F.row_number().over(w)).withColumn("_g", F.when(~F.col(bad), F.struct("_i", "t")))
@@ -199,3 +206,68 @@ def sliding_starts(df: DataFrame, length: int, overlap: float) -> DataFrame:
     hop = int(length * (1 - overlap))
     first = F.floor((F.col("t") - length) / hop) + 1
     return df.withColumn("w_start", F.explode(F.transform(F.sequence(first, F.floor(F.col("t") / hop)), lambda k: k * hop)))
+
+
+def shifted_from(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """T9, by pairs (probe, t_from, t_to): rows from t_from on, up to the probe's next t_from, move by t_to - t_from."""
+    nxt = F.lead("t_from").over(Window.partitionBy("probe").orderBy("t_from"))
+    spans = pairs.select("probe", "t_from", F.coalesce(nxt, F.lit((1 << 63) - 1)).alias("_until"), (F.col("t_to") - F.col("t_from")).alias("_by"))
+    near = (F.col("d.probe") == F.col("p.probe")) & (F.col("d.t") >= F.col("p.t_from")) & (F.col("d.t") < F.col("p._until"))
+    # A few pairs a probe: the join's equality is the probe.
+    joined = df.alias("d").join(spans.alias("p"), near, "left")
+    return joined.select(*[(F.col("d.t") + F.coalesce("p._by", F.lit(0))).alias("t") if c == "t" else F.col(f"d.{c}") for c in df.columns])
+
+
+def at_offset(t: Column, offset_s: float) -> Column:
+    """A UTC time as it reads at a fixed offset."""
+    return timestamp(t + F.lit(int(offset_s * SECOND)))
+
+
+def middle(a: Column, b: Column) -> Column:
+    """Mean of two times in whole seconds, as microseconds."""
+    return F.floor((F.floor(a / SECOND) + F.floor(b / SECOND)) / 2).cast("long") * SECOND
+
+
+def apart(a: Column, b: Column) -> Column:
+    """A - b in whole seconds."""
+    return (F.floor(a / SECOND) - F.floor(b / SECOND)).cast("long")
+
+
+def corrected_times(
+    df: DataFrame, *, mode: str = "increase", fs: float | None = None, shift: int = 0, t_min: int | None = None, t_max: int | None = None,
+    accuracy: int | None = None, hole: int = 1_500_000, most_error: int = 1_500_000,
+) -> DataFrame:
+    """Df with corrected t and ok (the row's time grows), by source order.
+
+    1. Times are shifted to UTC (T9). Those beyond t_min or t_max become that limit, with ok false, and take no part.
+    2. mode "none" ends here. Else NULL times and those outside a longest non-decreasing run (T3) are interpolated (T8); with
+       "delete_inversions" the latter are not ok.
+    3. With fs, rows of one time are spread by 1/fs (T4), or the series follows a line that steps where it is off by more than
+       accuracy (T7). Without, probes faster than 1 Hz by T2 become linear between holes (T6), but for
+       rows that would move by more than most_error.
+    4. Times that still do not grow are interpolated (T8).
+    """
+    x = df.withColumn("t", F.col("t") - shift)
+    low = F.coalesce(F.col("t") < t_min, F.lit(False)) if t_min is not None else F.lit(False)
+    high = F.coalesce(F.col("t") > t_max, F.lit(False)) if t_max is not None else F.lit(False)
+    outside = x.where(low | high).withColumn("t", F.when(low, F.lit(t_min)).otherwise(F.lit(t_max)).cast("long")).withColumn("ok", F.lit(False))
+    x = x.where(~(low | high))
+    if mode == "none":
+        return x.withColumn("ok", F.lit(True)).unionByName(outside)
+    judged = without_inversions(x.where("t is not null")).select("probe", "seq", F.col("ok").alias("_run"))
+    rate = sampling_frequency(x.where("t is not null")).select("probe", F.coalesce(F.lit(fs), F.col("fs"), F.lit(1.0)).alias("_fs"))
+    x = x.join(judged, ["probe", "seq"], "left").join(rate, "probe", "left").withColumn("_fs", F.coalesce("_fs", F.lit(float(fs or 1))))
+    x = filled_times(x.withColumn("_bad", F.col("t").isNull() | ~F.coalesce("_run", F.lit(False))), "_bad", F.col("_fs"))
+    dropped = ~F.coalesce("_run", F.lit(False)) & (F.lit(mode == "delete_inversions"))
+    x = x.withColumn("_dropped", dropped).drop("_bad", "_run")
+    if fs and accuracy:
+        x = linear_with_shifts(x.withColumn("burst", F.lit(0)), fs, accuracy).drop("burst")
+    elif fs:
+        x = spread_repeats(x, fs)
+    else:
+        line = linear_between_holes(x.withColumn("_before", F.col("t")), F.col("_fs"), hole)
+        x = line.withColumn("t", F.when((F.col("_fs") > 1) & (F.abs(F.col("t") - F.col("_before")) <= most_error), F.col("t")).otherwise(F.col("_before"))).drop("_before")
+    highest = F.max("t").over(_source().rowsBetween(Window.unboundedPreceding, -1))
+    x = filled_times(x.withColumn("_same", F.coalesce(F.col("t") <= highest, F.lit(False))), "_same", F.col("_fs"))
+    ok = F.coalesce(F.col("t") > F.lag("t").over(_source()), F.lit(True)) & ~F.col("_dropped")
+    return x.withColumn("ok", ok).select(*df.columns, "ok").unionByName(outside)

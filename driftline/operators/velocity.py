@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import physics
 from ..schema import VECTORS, ordered, per_probe
-from .windows import despiked_counts
+from .windows import battery_tail, burst_starts_nulled, despiked_counts, filled, smoothed_steps
 
 OVERSCALED = -32624.0
 A_SPIKE, M_SPIKE = 1500.0, 100.0
@@ -58,10 +58,108 @@ def velocity(df: DataFrame, coefs: DataFrame, *, harmonics: int = 2, g_minus_1:
     return x.select("probe", "t", "seq", "Vabs", "Vdir", v.alias("v"), u.alias("u"), "inclination", *rest)
 
 
-def pressure_old(df: DataFrame, p: Sequence[float], p_temp: Sequence[float], p_battery: Sequence[float]) -> DataFrame:
-    """Separate polynomials of counts, temperature and battery, summed."""
-    total = physics.horner(F.col("P_counts"), p) + physics.horner(F.col("Temp"), p_temp) + physics.horner(F.col("Battery"), p_battery)
-    return df.withColumn("Pressure", total)
+def recovered_counts_x(df: DataFrame, *, h_minus_1: float) -> DataFrame:
+    """P11 and W4 in counts: a lost Mx from My and Mz such that |Ah (M - Ch)| is the probe's median field below 1 + h_minus_1;
+    where that median is off by half and hardly any Mx is good, the field is 1 and all Mx are made anew. Of the two
+    solutions the lower one is taken. What is still missing in the three channels is interpolated. df has Ah and Ch."""
+    d = [F.col(c).cast("double") - F.col("Ch")[i] for i, c in enumerate(VECTORS[3:])]
+    a = [[F.col("Ah")[i][j] for j in range(3)] for i in range(3)]
+    strength = physics.norm(physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))) - 1
+    wanted = F.col("Mx").isNull() & (F.col("My").isNotNull() | F.col("Mz").isNotNull())
+    mid = df.withColumn("_s", strength).groupBy("probe").agg(F.median(F.when(F.col("_s") < h_minus_1, F.col("_s"))).alias("_m"), F.avg(wanted.cast("double")).alias("_share"))
+    anew = F.col("_m").isNull() | ((F.abs("_m") > 0.5) & (F.col("_share") > 0.95))
+    mid = mid.select("probe", anew.alias("_anew"), F.when(anew, 1.0).otherwise(F.col("_m") + 1).alias("_h"))
+    # |x a0 + q| = h for the first column a0 of Ah and what the other channels give, q.
+    q = [a[i][1] * d[1] + a[i][2] * d[2] for i in range(3)]
+    square = sum((a[i][0] * a[i][0] for i in (1, 2)), a[0][0] * a[0][0])
+    along = sum((a[i][0] * q[i] for i in (1, 2)), a[0][0] * q[0])
+    beyond = sum((q[i] * q[i] for i in (1, 2)), q[0] * q[0]) - F.col("_h") * F.col("_h")
+    lower = F.col("Ch")[0] - (along + F.sqrt(F.abs(along * along - square * beyond))) / square
+    x = df.join(mid, "probe").withColumn("Mx", F.when(F.col("Mx").isNotNull() & ~F.col("_anew"), F.col("Mx").cast("double")).otherwise(lower)).drop("_anew", "_h")
+    for c in VECTORS[3:]:
+        x = filled(x, c)
+    return x
+
+
+def recovered_gravity(df: DataFrame) -> DataFrame:
+    """P10 on calibrated gravity: where one of the counts Ax, Ay, Az is over-scaled, its component is what the other two leave of
+    a squared norm. That is 1, unless in more than a thousandth of the probe's rows the other two exceed it: then it is their
+    mean excess, or their largest where the mean is far below it, or 1 again where all exceed it by the same."""
+    over = [F.coalesce(F.col(c) == OVERSCALED, F.lit(False)) for c in VECTORS[:3]]
+    one = sum((o.cast("int") for o in over[1:]), over[0].cast("int")) == 1
+    names = ("Gx", "Gy", "Gz")
+    rest = [sum((F.col(n) * F.col(n) for n in names if n != own), F.lit(0.0)) for own in names]
+    x = df.withColumns({f"_r{i}": F.when(one & over[i], rest[i]) for i in range(3)})
+    big = [F.when(F.col(f"_r{i}") > 1, F.col(f"_r{i}")) for i in range(3)]
+    stats = [c for i in range(3) for c in (F.avg(F.coalesce(F.col(f"_r{i}") > 1, F.lit(False)).cast("double")).alias(f"_n{i}"), F.avg(big[i]).alias(f"_a{i}"), F.max(f"_r{i}").alias(f"_m{i}"))]
+    x = x.join(x.groupBy("probe").agg(*stats), "probe")
+    for i, own in enumerate(names):
+        r, mean, most = F.col(f"_r{i}"), F.col(f"_a{i}"), F.col(f"_m{i}")
+        many = F.col(f"_n{i}") > 0.001
+        whole = F.when(many & (most == mean), 1.0).when(many & (most - mean < (most - 1) / 2), mean).when(many, most).otherwise(1.0)
+        level = F.when((r > 1) & ~(many & (whole == most)), whole).otherwise(r)
+        x = x.withColumn(own, F.when(r.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), whole - level))).otherwise(F.col(own)))
+    return x.withColumn("overscaled", one).drop(*[f"_{k}{i}" for k in "rnam" for i in range(3)])
+
+
+def recovered_velocity(df: DataFrame, coefs: DataFrame, *, force_coefs: Sequence[float] | None = None, harmonics: int = 2, g_minus_1: float = 1.0, h_minus_1: float = 8.0, despike: bool = True) -> DataFrame:
+    """P12 as one step: W3, P11 with W4, P10, then inclination, speed and direction; the columns of velocity().
+
+    force_coefs: a polynomial of the force (P5) instead of the probe's series of the inclination. The inclination is that of
+    the recovered gravity; rows off the norm by more than g_minus_1 lose it unless they were recovered.
+    """
+    rest = [c for c in df.columns if c not in VECTORS and c not in ("probe", "t", "seq")]
+    x = despiked_counts(df, {c: A_SPIKE if c[0] == "A" else M_SPIKE for c in VECTORS}) if despike else df
+    # Whether a channel is over-scaled is read from the raw counts.
+    x = x.withColumns({f"_{c}": F.col(c) for c in VECTORS[:3]}) if not despike else x.join(df.select("probe", "t", "seq", *[F.col(c).alias(f"_{c}") for c in VECTORS[:3]]), ["probe", "t", "seq"])
+    ends = physics.line_end(F.col("kVabs"), harmonics, F.element_at("kVabs", -1))
+    x = x.join(coefs.select("probe", "Ag", "Cg", "Ah", "Ch", "kVabs", "azimuth_shift_deg", *[c.alias(n) for n, c in zip(("_x0", "_at", "_slope"), ends)]), "probe")
+    gs = physics.calibrate(tuple(F.col(c) for c in VECTORS[:3]), F.col("Ag"), F.col("Cg"))
+    x = x.withColumns(dict(zip(("Gx", "Gy", "Gz"), gs))).withColumns({c: F.col(f"_{c}") for c in VECTORS[:3]})
+    raw_norm = physics.norm(tuple(F.col(c) for c in ("Gx", "Gy", "Gz")))
+    x = recovered_gravity(x.withColumn("_bad", F.abs(raw_norm - 1) > g_minus_1))
+    x = recovered_counts_x(x, h_minus_1=h_minus_1)
+    hs = physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))
+    x = x.withColumns(dict(zip(("Hx", "Hy", "Hz"), hs)))
+    g, h = tuple(F.col(c) for c in ("Gx", "Gy", "Gz")), tuple(F.col(c) for c in ("Hx", "Hy", "Hz"))
+    x = x.withColumn("_r", F.when(~F.col("_bad") | F.col("overscaled"), physics.inclination(g)))
+    if force_coefs is None:
+        speed = physics.speed(F.col("_r"), F.col("kVabs"), harmonics, F.col("_x0"), F.col("_at"), F.col("_slope"))
+    else:
+        x = x.withColumn("_f", physics.force(F.col("_r")))
+        speed = physics.polynomial_speed(F.col("_f"), force_coefs)
+    x = x.withColumns({"Vabs": speed, "Vdir": physics.direction(g, h, F.col("azimuth_shift_deg")), "inclination": F.degrees("_r")})
+    v, u = physics.components(F.col("Vabs"), F.col("Vdir"))
+    return x.select("probe", "t", "seq", "Vabs", "Vdir", v.alias("v"), u.alias("u"), "inclination", *rest)
+
+
+def pressure_old(
+    df: DataFrame, p: Sequence[float], p_temp: Sequence[float] | None = None, p_battery: Sequence[float] | None = None, *,
+    battery_min: float | None = None, battery_ok_min: float | None = None, burst_period: int | None = None,
+) -> DataFrame:
+    """The polynomial p of the counts after the polynomials of temperature and battery were added to them.
+
+    The temperature is smoothed between its changes (W11), the battery's tail is made straight where battery_ok_min is given
+    (W12). With battery_min the battery counts as battery_min until it first falls to it. With burst_period the first two
+    values of each period become NULL (W10).
+    """
+    x, counts = df, F.col("P_counts").cast("double")
+    if p_temp is not None:
+        x = smoothed_steps(x.withColumn("_temp", F.col("Temp").cast("double")), "_temp")
+        counts = counts + physics.horner(F.col("_temp"), p_temp)
+    if p_battery is not None:
+        x = x.withColumn("_battery", F.col("Battery").cast("double"))
+        if battery_ok_min is not None:
+            x = battery_tail(x, "_battery", battery_ok_min)
+        change = physics.horner(F.col("_battery"), p_battery)
+        if battery_min is not None:
+            fallen = x.groupBy("probe").agg(F.min(F.when(F.col("_battery") <= battery_min, F.struct("t", "seq"))).alias("_fallen"))
+            x = x.join(fallen, "probe")
+            before = F.col("_fallen").isNull() | (F.struct("t", "seq") < F.col("_fallen"))
+            change = F.when(before, physics.horner(F.lit(float(battery_min)), p_battery)).otherwise(change)
+        counts = counts + change
+    x = x.withColumn("Pressure", physics.horner(counts, p)).drop("_temp", "_battery", "_fallen")
+    return x if burst_period is None else burst_starts_nulled(x, "Pressure", burst_period)
 
 
 def azimuth(coefs: DataFrame, declination: DataFrame | None = None) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..schema import SECOND, ordered, per_probe
 
+#: How far above the least good battery voltage the tail's line begins, ends and takes over.
+TAIL_MARKS = (0.08, 0.02, 0.001)
+
 
 def bursts(df: DataFrame, gap: int | None = None) -> DataFrame:
     """burst = number of gaps longer than `gap` microseconds so far. None: the smaller of the
@@ -95,14 +98,17 @@ def gaussian(column: str, sigma: float, w) -> Column:
     return total / F.nullif(weights, F.lit(0.0))
 
 
-def vector_despiked(df: DataFrame, columns: Sequence[str], offsets: Sequence[float] = (1.5, 2.0), blocks: Sequence[int] = (21, 7)) -> DataFrame:
-    """W5 forwards and backwards on each channel; ok = all channels survive."""
-    ok = F.lit(True)
+def vector_despiked(df: DataFrame, columns: Sequence[str], offsets: Sequence[float] = (1.5, 2.0), blocks: Sequence[int] = (21, 7), smooth: float | None = 4.0) -> DataFrame:
+    """W5 backwards, then forwards, on each channel in turn with smoothed deviations. Rows that a channel loses
+    are no part of the next channel's series; ok = the row is left after all of them."""
+    x = df.select("probe", "t", "seq", *[F.col(c).cast("double").alias(c) for c in columns])
     for c in columns:
-        df = sigma_despiked(df.withColumn(f"_{c}", F.col(c).cast("double")), f"_{c}", offsets, blocks)
-        df = sigma_despiked(df, f"_{c}", offsets, blocks, reverse=True)
-        ok = ok & F.col(f"_{c}").isNotNull()
-    return df.withColumn("ok", ok).drop(*[f"_{c}" for c in columns])
+        x = x.where(F.col(c).isNotNull())
+        for back in (True, False):
+            x = sigma_despiked(x, c, offsets, blocks, smooth, reverse=back)
+        x = x.where(F.col(c).isNotNull())
+    left = x.select("probe", "t", "seq", F.lit(True).alias("_ok"))
+    return df.join(left, ["probe", "t", "seq"], "left").withColumn("ok", F.coalesce("_ok", F.lit(False))).drop("_ok")
 
 
 def true_regions(df: DataFrame, flag: str) -> DataFrame:
@@ -138,17 +144,17 @@ def smoothed_steps(df: DataFrame, column: str) -> DataFrame:
 
 
 def battery_tail(df: DataFrame, column: str, least: float) -> DataFrame:
-    """After the first fall below `least`, the straight line of all rows before it goes on."""
-    w = ordered()
-    x = df.withColumn("_i", F.row_number().over(w))
-    first = F.min(F.when(F.col(column) < least, F.col("_i"))).over(per_probe())
-    x = x.withColumn("_f", first)
-    good = F.col("_f").isNull() | (F.col("_i") < F.col("_f"))
-    i, y = F.when(good, F.col("_i").cast("double")), F.when(good, F.col(column))
-    w2 = per_probe()
-    slope = F.regr_slope(y, i).over(w2)
-    base = F.avg(y).over(w2) - slope * F.avg(F.when(y.isNotNull(), i)).over(w2)
-    return x.withColumn(column, F.when(good, F.col(column)).otherwise(F.coalesce(base + slope * F.col("_i"), F.col(column)))).drop("_i", "_f")
+    """From the first row below least + 0.001 on, the value goes on from there with the slope between the
+    first rows below least + 0.08 and below least + 0.02; a probe whose two rows are one is left as it is."""
+    x = df.withColumn("_i", F.row_number().over(ordered()))
+
+    def below(limit: float) -> Column:
+        return F.min(F.when(F.col(column) < limit, F.struct(F.col("_i").alias("i"), F.col(column).alias("y"))))
+
+    marks = x.groupBy("probe").agg(*(below(least + more).alias(name) for more, name in zip(TAIL_MARKS, ("_a", "_b", "_c"))))
+    slope = (F.col("_b.y") - F.col("_a.y")) / F.nullif(F.col("_b.i") - F.col("_a.i"), F.lit(0))
+    tail = F.when(F.col("_i") >= F.col("_c.i"), F.col("_c.y") + (F.col("_i") - F.col("_c.i")) * slope)
+    return x.join(marks, "probe").withColumn(column, F.coalesce(tail, F.col(column))).drop("_i", "_a", "_b", "_c")
 
 
 def recovered_channel(df: DataFrame, lost: str, others: Sequence[str], helper: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,17 +102,78 @@ def p13(get):
     return get("raw").select("probe", "seq", rounded(physics.pressure(F.col("P_counts"), F.col("Temp"), [[1.5, 0.01], [0.002, 0.00001], [0.000000001, 0.0]]), 9).alias("Pressure"))
 
 
-@query("p14_pressure_old", ("raw",), f"SELECT probe, seq, {r6('0.001 * P_counts + 2 + 0.1 * Temp + 3 - 0.5 * Battery', 'Pressure')} FROM raw")
+_FILLED = """f AS (SELECT *, last_value(CASE WHEN y IS NOT NULL THEN i END IGNORE NULLS) OVER a AS pi, last_value(y IGNORE NULLS) OVER a AS py,
+  first_value(CASE WHEN y IS NOT NULL THEN i END IGNORE NULLS) OVER b AS ni, first_value(y IGNORE NULLS) OVER b AS ny FROM g
+ WINDOW a AS (PARTITION BY probe ORDER BY i ROWS UNBOUNDED PRECEDING), b AS (PARTITION BY probe ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+
+
+def _fill(column: str) -> str:
+    return f"CASE WHEN {column} IS NOT NULL THEN {column} WHEN pi IS NULL THEN ny WHEN ni IS NULL THEN py ELSE py + (ny - py) * ((i - pi)::DOUBLE / (ni - pi)) END"
+
+
+def _tail(least: float, source: str) -> str:
+    """W12 of the column Battery of a table with i."""
+    marks = ", ".join(f"min(CASE WHEN Battery < {least + m} THEN i END) AS i{n}, arg_min(CASE WHEN Battery < {least + m} THEN Battery END, CASE WHEN Battery < {least + m} THEN i END) AS y{n}" for m, n in zip(windows.TAIL_MARKS, "abc"))
+    return f"""k AS (SELECT probe AS kp, {marks} FROM {source} GROUP BY probe),
+ tail AS (SELECT {source}.*, CASE WHEN ic IS NOT NULL AND ib <> ia AND i >= ic THEN yc + (i - ic) * ((yb - ya) / (ib - ia)) ELSE Battery END AS bat FROM {source} JOIN k ON probe = kp)"""
+
+
+_PRESSURE = f"""x AS (SELECT probe, t, seq, P_counts, Battery, floor(Temp) AS z, row_number() OVER (PARTITION BY probe ORDER BY t, seq) AS i FROM raw),
+ g AS (SELECT *, CASE WHEN l IS NULL OR l <> z THEN z END AS y FROM (SELECT *, lag(z) OVER (PARTITION BY probe ORDER BY i) AS l FROM x)),
+ {_FILLED}, {_tail(5.3, 'f')},
+ m AS (SELECT probe AS mp, min(CASE WHEN bat <= 5.6 THEN i END) AS im FROM tail GROUP BY probe),
+ c AS (SELECT probe, t, seq, P_counts + (0.1 * ({_fill('y')}) + 3.0) + CASE WHEN im IS NULL OR i < im THEN -20.0 * 5.6 + 1.0 ELSE -20.0 * bat + 1.0 END AS q FROM tail JOIN m ON probe = mp)"""
+
+
+@query("p14_pressure_old", ("raw",), f"WITH {_PRESSURE} SELECT probe, seq, CASE WHEN row_number() OVER (PARTITION BY probe, floor(t / {DAY}) ORDER BY t, seq) > 2 THEN round((0.00000001 * q + 0.001) * q + 2.0, 6) + 0.0 END AS Pressure FROM c")
 def p14(get):
-    return velocity.pressure_old(get("raw"), [0.001, 2.0], [0.1, 3.0], [-0.5, 0.0]).select("probe", "seq", *rd("Pressure"))
+    x = get("raw").withColumn("Temp", F.floor("Temp").cast("double"))
+    p = velocity.pressure_old(x, [1e-8, 0.001, 2.0], [0.1, 3.0], [-20.0, 1.0], battery_min=5.6, battery_ok_min=5.3, burst_period=DAY)
+    return p.select("probe", "seq", *rd("Pressure"))
+
+
+FORCE = (0.01, 0.02, 0.17, 0.005)
 
 
-@query("p5_speed_by_force", ("raw",), f"""WITH f AS (SELECT probe, seq, sqrt(tan(a) / cos(a)) AS f, 0.01 * 1.99 * 1.99 * 1.99 + 0.02 * 1.99 * 1.99 + 0.17 * 1.99 + 0.005 AS v0, 0.01 * 1.89 * 1.89 * 1.89 + 0.02 * 1.89 * 1.89 + 0.17 * 1.89 + 0.005 AS v1 FROM (SELECT probe, seq, (seq % 1200) / 1000.0::DOUBLE AS a FROM raw) q)
-SELECT probe, seq, {r6('f', 'force')}, {r6('CASE WHEN f > 0.25 THEN CASE WHEN f < 1.99 THEN 0.01 * f * f * f + 0.02 * f * f + 0.17 * f + 0.005 ELSE v0 + (f - 1.99) * (v0 - v1) / 0.1 END END', 'speed')} FROM f""")
+def _at(x: float) -> float:
+    return ((FORCE[0] * x + FORCE[1]) * x + FORCE[2]) * x + FORCE[3]
+
+
+def _by_force(f: str) -> str:
+    """P5 in SQL: 15 nodes of the angle up to force 0.25, the polynomial, a line from the first hundredth whose speed is over 0.5."""
+    nodes = [physics.GOOD_INCLINATION * k / 14 for k in range(15)]
+    at = [math.sqrt(math.tan(a) / math.cos(a)) for a in nodes]
+    pieces = " ".join(f"WHEN {f} <= {b!r} THEN {p!r} + ({f} - {a!r}) * {(q - p) / (b - a)!r}" for a, b, p, q in zip(at, at[1:], nodes, nodes[1:]))
+    x0 = next(1 + k / 100 for k in range(300) if _at(1 + k / 100) > 0.5)
+    line = f"{_at(x0)!r} + ({f} - {x0!r}) * {(_at(x0) - _at(x0 - 0.1)) / 0.1!r}"
+    poly = f"(({FORCE[0]} * {f} + {FORCE[1]}) * {f} + {FORCE[2]}) * {f} + {FORCE[3]}"
+    return f"CASE WHEN {f} <= 0.25 THEN (CASE WHEN {f} <= {at[0]!r} THEN {nodes[0]!r} {pieces} ELSE {nodes[-1]!r} END) * {_at(0.25) / physics.GOOD_INCLINATION!r} WHEN {f} < {x0!r} THEN {poly} WHEN {f} IS NOT NULL THEN {line} END"
+
+
+_OVER = "Az = -32624"
+_RECOVERED = f"""lost AS (SELECT probe, t, seq, Ax, Ay, Az, CASE WHEN seq % 13 <> 0 THEN Mx END AS Mx, My, Mz FROM raw_over),
+ n AS (SELECT *, Ax * {GAIN_A} AS gx, Ay * {GAIN_A} AS gy, Az * {GAIN_A} AS gz, sqrt((Mx * Mx + My * My + Mz * Mz)) * {GAIN_M} - 1 AS hn FROM lost),
+ md AS (SELECT probe AS mp, median(CASE WHEN hn < 8 THEN hn END) + 1 AS hm, avg(CASE WHEN {_OVER} AND gx * gx + gy * gy > 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share,
+  avg(CASE WHEN {_OVER} AND gx * gx + gy * gy > 1 THEN gx * gx + gy * gy END) AS mean, max(CASE WHEN {_OVER} THEN gx * gx + gy * gy END) AS most FROM n GROUP BY probe),
+ w AS (SELECT *, CASE WHEN share > 0.001 THEN CASE WHEN most = mean THEN 1.0::DOUBLE WHEN most - mean < (most - 1) / 2 THEN mean ELSE most END ELSE 1.0::DOUBLE END AS whole FROM n JOIN md ON probe = mp),
+ r AS (SELECT * EXCLUDE (gz), CASE WHEN {_OVER} THEN sqrt(greatest(0.0, whole - CASE WHEN gx * gx + gy * gy > 1 AND NOT (share > 0.001 AND whole = most) THEN whole ELSE gx * gx + gy * gy END)) ELSE gz END AS gz,
+  abs(sqrt(gx * gx + gy * gy + gz * gz) - 1) > 1 AND NOT {_OVER} AS bad,
+  coalesce(Mx * {GAIN_M}, -sqrt(abs(hm * hm - (My * My + Mz * Mz) * {GAIN_M} * {GAIN_M}))) AS hx, My * {GAIN_M} AS hy, Mz * {GAIN_M} AS hz FROM w),
+ i AS (SELECT *, CASE WHEN NOT bad THEN atan2(sqrt(gx * gx + gy * gy), gz) END AS r FROM r), fo AS (SELECT *, sqrt(tan(r) / cos(r)) AS f FROM i)
+SELECT probe, t, seq, {r6(_by_force('f'), 'Vabs')}, {r6(f'{AZIMUTH} - degrees(atan2((gx * hy - gy * hx) * sqrt(gx * gx + gy * gy + gz * gz), hz * (gx * gx + gy * gy) - gz * (gx * hx + gy * hy)))', 'Vdir')}, {r6('degrees(r)', 'inclination')} FROM fo"""
+
+
+@query("p12_recovered", ("raw_over",), f"WITH {_RECOVERED}")
+def p12_recovered(get):
+    raw = get("raw_over").withColumn("Mx", F.when(F.col("seq") % 13 != 0, F.col("Mx")))
+    return velocity.recovered_velocity(raw, coefs(raw.sparkSession, raw), force_coefs=FORCE, despike=False).select("probe", "t", "seq", *rd("Vabs", "Vdir", "inclination"))
+
+
+@query("p5_speed_by_force", ("raw",), f"""WITH f AS (SELECT probe, seq, sqrt(tan(a) / cos(a)) AS f FROM (SELECT probe, seq, (seq % 1200) / 1000.0::DOUBLE AS a FROM raw) q)
+SELECT probe, seq, {r6('f', 'force')}, {r6(_by_force('f'), 'speed')} FROM f""")
 def p5(get):
-    k = [0.01, 0.02, 0.17, 0.005]
     f = get("raw").select("probe", "seq", physics.force((F.col("seq") % 1200) / F.lit(1000.0)).alias("f"))
-    return f.select("probe", "seq", rounded("f").alias("force"), rounded(F.when(F.col("f") > 0.25, physics.polynomial_speed(F.col("f"), k))).alias("speed"))
+    return f.select("probe", "seq", rounded("f").alias("force"), rounded(physics.polynomial_speed(F.col("f"), FORCE)).alias("speed"))
 
 
 ORACLES["p17_year_fraction"] = ("SELECT event_id, round(year(ts) + (dayofyear(ts) - 1) / CASE WHEN year(ts) % 4 = 0 THEN 366.0::DOUBLE ELSE 365.0::DOUBLE END, 6) AS y FROM events")
@@ -247,9 +309,31 @@ def j9(get):
     return joins.intersections(get("intervals"), get("load_log"))
 
 
-@query("j10_overlapping", ("intervals",), "SELECT probe, run FROM intervals WHERE t_start <= 1704500000000000 AND t_end > 1704300000000000")
+@query("j10_overlapping", ("days",), "SELECT probe, k, t_end FROM days, (SELECT min(t_start) AS a FROM days) WHERE t_start <= a + 777600000000 AND t_end > a + 432000000000")
 def j10(get):
-    return joins.overlapping(get("intervals"), 1704300000000000, 1704500000000000).select("probe", "run")
+    days = get("days")
+    a = days.agg(F.min("t_start")).first()[0]
+    return joins.overlapping(days, a + 5 * DAY, a + 9 * DAY).select("probe", "k", "t_end")
+
+
+@query("s7_stored_ranges", ("raw", "overlapping_ranges"), "SELECT probe, t, seq, Temp FROM raw r WHERE EXISTS (SELECT 1 FROM overlapping_ranges o WHERE o.probe = r.probe AND r.t BETWEEN o.t_start AND o.t_end)")
+def s7(get):
+    return store.stored_ranges(get("raw"), get("overlapping_ranges"), ["probe", "t", "seq", "Temp"])
+
+
+@query("s9_logged_between", ("days",), "SELECT probe, k, greatest(t_start, a + 432000000000) AS t_start, least(t_end, a + 777600000000) AS t_end FROM days, (SELECT min(t_start) AS a FROM days) WHERE t_start <= a + 777600000000 AND t_end >= a + 432000000000")
+def s9(get):
+    days = get("days")
+    a = days.agg(F.min("t_start")).first()[0]
+    return store.logged_between(days, a + 5 * DAY, a + 9 * DAY).select("probe", "k", "t_start", "t_end")
+
+
+@query("k12_unions_by_columns", ("raw",), "SELECT 'probe,seq,Temp' AS columns, probe, count(*) AS n FROM raw WHERE seq % 3 <> 1 GROUP BY probe UNION ALL SELECT 'probe,seq' AS columns, probe, count(*) AS n FROM raw WHERE seq % 3 = 1 GROUP BY probe")
+def k12(get):
+    raw = get("raw")
+    parts = [raw.where("seq % 3 = 0").select("probe", "seq", "Temp"), raw.where("seq % 3 = 1").select("probe", "seq"), raw.where("seq % 3 = 2").select("Temp", "probe", "seq")]
+    out = [u.groupBy("probe").agg(F.count(F.lit(1)).alias("n")).select(F.lit(",".join(u.columns)).alias("columns"), "probe", "n") for u in store.unions_by_columns(parts)]
+    return out[0].unionByName(out[1])
 
 
 @query("j1_coefficients", ("load_log",), "SELECT probe, CASE WHEN changed > 2 THEN 1.0 ELSE 2.0 END AS k, greatest(changed, 3) AS date FROM load_log")
@@ -354,10 +438,6 @@ def w2(get):
     return windows.spikes(get("raw_spiked"), "Ax", 1500).select("probe", "seq", "spike")
 
 
-def _fill(column: str) -> str:
-    return f"CASE WHEN {column} IS NOT NULL THEN {column} WHEN pi IS NULL THEN ny WHEN ni IS NULL THEN py ELSE py + (ny - py) * ((i - pi)::DOUBLE / (ni - pi)) END"
-
-
 @query("w3_despiked", ("raw_spiked",), f"""WITH {_SPIKE}, g AS (SELECT probe, seq, i, CASE WHEN NOT spike THEN Ax END AS y FROM sp),
  f AS (SELECT *, last_value(CASE WHEN y IS NOT NULL THEN i END IGNORE NULLS) OVER a AS pi, last_value(y IGNORE NULLS) OVER a AS py, first_value(CASE WHEN y IS NOT NULL THEN i END IGNORE NULLS) OVER b AS ni, first_value(y IGNORE NULLS) OVER b AS ny FROM g
  WINDOW a AS (PARTITION BY probe ORDER BY i ROWS UNBOUNDED PRECEDING), b AS (PARTITION BY probe ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) SELECT probe, seq, {r6(_fill('y'), 'Ax')} FROM f""")
@@ -412,9 +492,7 @@ def w11(get):
     return windows.smoothed_steps(get("raw").withColumn("y", F.floor("Temp").cast("double")), "y").select("probe", "seq", *rd("y"))
 
 
-@query("w12_battery_tail", ("raw",), f"""WITH x AS (SELECT probe, seq, Battery, row_number() OVER (PARTITION BY probe ORDER BY t, seq) AS i FROM raw), y AS (SELECT *, min(CASE WHEN Battery < 5.5 THEN i END) OVER (PARTITION BY probe) AS f FROM x),
- k AS (SELECT probe, regr_slope(Battery, i) AS s, regr_intercept(Battery, i) AS c FROM y WHERE f IS NULL OR i < f GROUP BY probe)
-SELECT y.probe, seq, {r6('CASE WHEN f IS NULL OR i < f THEN Battery ELSE coalesce(c + s * i, Battery) END', 'Battery')} FROM y LEFT JOIN k ON y.probe = k.probe""")
+@query("w12_battery_tail", ("raw",), f"WITH x AS (SELECT probe, seq, Battery, row_number() OVER (PARTITION BY probe ORDER BY t, seq) AS i FROM raw), {_tail(5.5, 'x')} SELECT probe, seq, {r6('bat', 'Battery')} FROM tail")
 def w12(get):
     return windows.battery_tail(get("raw"), "Battery", 5.5).select("probe", "seq", *rd("Battery"))
 
@@ -451,9 +529,50 @@ def t5(get):
     return timefix.day_jumps(get("raw_dayjump")).select("probe", "seq", "t")
 
 
-@query("t6_linear_between_holes")
+def _linear(step: int, hole: int) -> str:
+    return f"""WITH d AS (SELECT probe, t, seq, sum(CASE WHEN t - l > {hole} THEN 1 ELSE 0 END) OVER (PARTITION BY probe ORDER BY t, seq) AS h FROM (SELECT *, lag(t) OVER (PARTITION BY probe ORDER BY t, seq) AS l FROM doubled)),
+ k AS (SELECT *, row_number() OVER b - 1 AS k, count(*) OVER p AS n, min(t) OVER p AS s, max(t) OVER p AS e, coalesce(t > lag(t) OVER b, false) AS up FROM d WINDOW b AS (PARTITION BY probe, h ORDER BY t, seq), p AS (PARTITION BY probe, h)),
+ m AS (SELECT *, min(CASE WHEN up THEN k END) OVER p AS k1, max(CASE WHEN up THEN k END) OVER p AS k2, max(CASE WHEN up THEN k ELSE 0 END) OVER (PARTITION BY probe, h ORDER BY t, seq ROWS UNBOUNDED PRECEDING) AS kept FROM k WINDOW p AS (PARTITION BY probe, h))
+SELECT probe, seq, CAST(CASE WHEN abs(e - s - (n - 1) * {step}.0::DOUBLE) < {2 * hole} THEN s + k * {step} WHEN e - s > (n - 1) * {step} THEN t + (k - kept) * {step} ELSE s + floor(k * ((e - s)::DOUBLE / coalesce(k2 - k1 + 1, greatest(n - 1, 1))) + 0.5) END AS BIGINT) AS t FROM m"""
+
+
+@query("t6_rows_lost", ("doubled",), _linear(HOUR, 20 * HOUR))
+def t6_lost(get):
+    return timefix.linear_between_holes(get("doubled"), 1 / 3600, 20 * HOUR).select("probe", "seq", "t")
+
+
+@query("t6_linear_between_holes", ("doubled",), _linear(20 * HOUR, 20 * HOUR))
 def t6(get):
-    return timefix.linear_between_holes(get("raw"), 1 / 3600, 20 * HOUR).select("probe", "seq", "t")
+    return timefix.linear_between_holes(get("doubled"), 1 / 72000, 20 * HOUR).select("probe", "seq", "t")
+
+
+@query("t1_corrected_times", ("raw_lowres",), f"""WITH r AS (SELECT probe, seq, t - {HOUR} AS t FROM raw_lowres), q AS (SELECT *, sum(CASE WHEN l IS NULL OR t <> l THEN 1 ELSE 0 END) OVER (PARTITION BY probe ORDER BY seq) AS g FROM (SELECT *, lag(t) OVER (PARTITION BY probe ORDER BY seq) AS l FROM r)),
+ k AS (SELECT *, row_number() OVER (PARTITION BY probe, g ORDER BY seq) - 1 AS k, count(*) OVER (PARTITION BY probe, g) AS n FROM q), f AS (SELECT probe AS fp, g - 1 AS fg, min(t) AS following FROM q GROUP BY probe, g)
+SELECT probe, seq, CAST(t + floor(k * coalesce(least(60000000.0::DOUBLE, (following - t)::DOUBLE / n), 60000000.0::DOUBLE)) AS BIGINT) AS t, true AS ok FROM k LEFT JOIN f ON probe = fp AND g = fg""")
+def t1(get):
+    return timefix.corrected_times(get("raw_lowres"), fs=1 / 60, shift=HOUR).select("probe", "seq", "t", "ok")
+
+
+@query("t1_corrected_inversions")
+def t1_inversions(get):
+    return timefix.corrected_times(get("raw_swapped"), mode="delete_inversions").select("probe", "seq", "t", "ok")
+
+
+@query("t9_shifted_from", ("raw", "load_log"), f"SELECT r.probe, seq, CASE WHEN t >= t_start + {5 * DAY} AND t < t_start + {9 * DAY} THEN t - {HOUR} WHEN t >= t_start + {9 * DAY} THEN t + {DAY} ELSE t END AS t FROM raw r JOIN load_log l ON r.probe = l.probe")
+def t9_pairs(get):
+    log = get("load_log")
+    pairs = log.select("probe", (F.col("t_start") + 5 * DAY).alias("t_from"), (F.col("t_start") + 5 * DAY - HOUR).alias("t_to")).unionByName(log.select("probe", (F.col("t_start") + 9 * DAY).alias("t_from"), (F.col("t_start") + 10 * DAY).alias("t_to")))
+    return timefix.shifted_from(get("raw"), pairs).select("probe", "seq", "t")
+
+
+@query("t14_at_offset", ("raw",), "SELECT probe, seq, strftime(make_timestamp(t + 19800000000), '%Y-%m-%d %H:%M:%S') AS local FROM raw")
+def t14(get):
+    return get("raw").select("probe", "seq", F.date_format(timefix.at_offset(F.col("t"), 19800), "yyyy-MM-dd HH:mm:ss").alias("local"))
+
+
+@query("t15_two_times", ("load_log",), "SELECT probe, CAST(floor((floor(t_start / 1000000) + floor(t_end / 1000000)) / 2) AS BIGINT) * 1000000 AS middle, CAST(floor(t_end / 1000000) - floor(t_start / 1000000) AS BIGINT) AS seconds FROM load_log")
+def t15(get):
+    return get("load_log").select("probe", timefix.middle(F.col("t_start"), F.col("t_end")).alias("middle"), timefix.apart(F.col("t_end"), F.col("t_start")).alias("seconds"))
 
 
 @query("t7_linear_with_shifts")

@@ -26,6 +26,11 @@ DERIVED = {
     "load_log": "SELECT probe, min(t) AS t_start, max(t) AS t_end, count(*) AS \"rows\", concat(probe, '.csv') AS file, CAST(min(seq) % 7 AS BIGINT) AS changed FROM raw GROUP BY probe",
     "sphere": "SELECT concat('i', lpad(CAST(vec_id % 10 AS STRING), 2, '0')) AS probe, vec_id AS seq, vec_id * 1000000 AS t, 1.2 * (e1 / n) + 0.1 AS x, 0.9 * (e2 / n) - 0.2 AS y, 1.1 * (e3 / n) + 0.05 AS z FROM vectors",
 }
+DERIVED["raw_over"] = "SELECT probe, t, seq, CASE WHEN seq % 101 = 0 THEN CASE WHEN seq % 2 = 0 THEN Ax * 9 ELSE Ax * 7 END ELSE Ax END AS Ax, Ay, CASE WHEN seq % 101 = 0 THEN -32624 ELSE Az END AS Az, Mx, My, Mz FROM raw"
+DERIVED["raw_swapped"] = "SELECT probe, CASE WHEN seq % 211 = 0 THEN t - 86400000000 ELSE t END AS t, seq FROM raw"
+DERIVED["doubled"] = "SELECT probe, t, seq FROM raw UNION ALL SELECT probe, t, seq + 10000000 FROM raw WHERE seq % 5 < 2"
+DERIVED["days"] = "SELECT probe, CAST(floor(t / 86400000000) AS BIGINT) AS k, min(t) AS t_start, max(t) AS t_end FROM raw GROUP BY 1, 2"
+DERIVED["overlapping_ranges"] = "SELECT probe, t_start, t_end FROM intervals UNION ALL SELECT probe, t_start + 86400000000 AS t_start, t_end + 86400000000 AS t_end FROM intervals UNION ALL SELECT probe, t_start + 864000000000 AS t_start, t_start + 864000000000 + 3600000000 AS t_end FROM intervals"
 DERIVED["raw_spiked"] = "SELECT probe, t, seq, CASE WHEN seq % 97 = 0 THEN Ax + 20000 ELSE Ax END AS Ax, Ay, Az, Mx, My, Mz FROM raw"
 VECTORS = {
     "spark": "SELECT vec_id, e1, e2, e3, sqrt(e1*e1 + e2*e2 + e3*e3) AS n FROM (SELECT vec_id, CAST(embedding[0] AS DOUBLE) AS e1, CAST(embedding[1] AS DOUBLE) AS e2, CAST(embedding[2] AS DOUBLE) AS e3 FROM embeddings) q",
@@ -40,7 +45,7 @@ def _needs(name: str) -> list[str]:
     if name == "raw":
         return []
     text = VECTORS["spark"] if name == "vectors" else DERIVED[name]
-    return [t for t in ("raw", "vectors") if f"FROM {t}" in text]
+    return [t for t in ("raw", "vectors", "intervals") if f"FROM {t}" in text]
 
 
 def sql(name: str, dialect: str) -> str:
