@@ -536,14 +536,14 @@ def _linear(step: int, hole: int) -> str:
 SELECT probe, seq, CAST(CASE WHEN abs(e - s - (n - 1) * {step}.0::DOUBLE) < {2 * hole} THEN s + k * {step} WHEN e - s > (n - 1) * {step} THEN t + (k - kept) * {step} ELSE s + floor(k * ((e - s)::DOUBLE / coalesce(k2 - k1 + 1, greatest(n - 1, 1))) + 0.5) END AS BIGINT) AS t FROM m"""
 
 
-@query("t6_rows_lost", ("doubled",), _linear(HOUR, 20 * HOUR))
+@query("t6_rows_lost", ("doubled",), _linear(HOUR // 6, 5 * HOUR))
 def t6_lost(get):
-    return timefix.linear_between_holes(get("doubled"), 1 / 3600, 20 * HOUR).select("probe", "seq", "t")
+    return timefix.linear_between_holes(get("doubled"), 1 / 600, 5 * HOUR).select("probe", "seq", "t")
 
 
-@query("t6_linear_between_holes", ("doubled",), _linear(20 * HOUR, 20 * HOUR))
+@query("t6_linear_between_holes", ("doubled",), _linear(20 * HOUR, 5 * HOUR))
 def t6(get):
-    return timefix.linear_between_holes(get("doubled"), 1 / 72000, 20 * HOUR).select("probe", "seq", "t")
+    return timefix.linear_between_holes(get("doubled"), 1 / 72000, 5 * HOUR).select("probe", "seq", "t")
 
 
 @query("t1_corrected_times", ("raw_lowres",), f"""WITH r AS (SELECT probe, seq, t - {HOUR} AS t FROM raw_lowres), q AS (SELECT *, sum(CASE WHEN l IS NULL OR t <> l THEN 1 ELSE 0 END) OVER (PARTITION BY probe ORDER BY seq) AS g FROM (SELECT *, lag(t) OVER (PARTITION BY probe ORDER BY seq) AS l FROM r)),
@@ -831,7 +831,7 @@ def k11(get):
 # ---- streams ------------------------------------------------------------------------------------
 #: What the watermark has passed once all rows are read: ten minutes before the last one.
 _LATE = "e AS (SELECT max(t) - 600000000 AS late FROM raw)"
-GAP = 10 * HOUR + 1000
+GAP = 4 * HOUR + 1000
 
 
 def streamed(name: str, sql: str):
