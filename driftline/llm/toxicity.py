@@ -40,7 +40,7 @@ def subwords(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np
     length = np.fromiter(map(len, marked), np.int64, len(marked))
     owner = np.repeat(np.arange(len(words), dtype=np.int32), length)
     left = np.repeat(np.cumsum(length), length) - np.arange(len(data))  # bytes to the word's end
-    table, ids, owners = wordhash._odd(41, 256)[data], [], []
+    table, ids, owners = wordhash.odd(41, 256)[data], [], []
     value = np.zeros(len(data), np.uint64)
     for n in range(1, max(NGRAMS) + 1):
         if len(data) < n:

@@ -53,10 +53,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def odd(seed: int, n: int | None = None) -> np.ndarray:
+    """Random odd 64-bit numbers."""
+    return np.random.default_rng(seed).integers(0, 1 << 64, n, np.uint64, endpoint=False) | np.uint64(1)
+
+
 def runs(hashed: np.ndarray, length: int, seed: int = 3) -> np.ndarray:
     """Hash of the run of `length` words that starts at each word; len(hashed) - length + 1 of them."""
     n = max(0, len(hashed) - length + 1)
-    base = np.random.default_rng(seed).integers(0, 1 << 64, dtype=np.uint64, endpoint=False) | np.uint64(1)
+    base = odd(seed)
     out = np.zeros(n, np.uint64)
     for k in range(length):
         out = out * base + hashed[k : k + n]
