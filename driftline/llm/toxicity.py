@@ -50,7 +50,7 @@ def subwords(words: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np
             inside = left[: len(value)] >= n
             ids.append((wordhash.mix(value[inside] + np.uint64(n)) & np.uint64(buckets - 1)).astype(np.int32))
             owners.append(owner[: len(value)][inside])
-    whole = wordhash.words(marked)[0] if words else np.zeros(0, np.uint64)
+    whole = wordhash.digests(marked)
     ids.append((wordhash.mix(whole) & np.uint64(buckets - 1)).astype(np.int32))
     owners.append(np.arange(len(words), dtype=np.int32))
     return np.concatenate(ids), np.concatenate(owners)

@@ -42,8 +42,11 @@ def words(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> Words:
 
 def hashes(known: pa.StringArray) -> np.ndarray:
     """A 64-bit hash of each word."""
-    data = b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in known.cast(pa.binary()).to_pylist())
-    return np.frombuffer(data, np.uint64)
+    return digests(known.cast(pa.binary()).to_pylist())
+
+
+def digests(known: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=8).digest() for w in known), np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
