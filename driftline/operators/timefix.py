@@ -257,8 +257,9 @@ def corrected_times(
     judged = without_inversions(x.where("t is not null")).select("probe", "seq", F.col("ok").alias("_run"))
     rate = sampling_frequency(x.where("t is not null")).select("probe", F.coalesce(F.lit(fs), F.col("fs"), F.lit(1.0)).alias("_fs"))
     x = x.join(judged, ["probe", "seq"], "left").join(rate, "probe", "left").withColumn("_fs", F.coalesce("_fs", F.lit(float(fs or 1))))
+    # A NULL time is no inversion: it has no _run.
     x = filled_times(x.withColumn("_bad", F.col("t").isNull() | ~F.coalesce("_run", F.lit(False))), "_bad", F.col("_fs"))
-    dropped = ~F.coalesce("_run", F.lit(False)) & (F.lit(mode == "delete_inversions"))
+    dropped = F.coalesce(~F.col("_run"), F.lit(False)) & F.lit(mode == "delete_inversions")
     x = x.withColumn("_dropped", dropped).drop("_bad", "_run")
     if fs and accuracy:
         x = linear_with_shifts(x.withColumn("burst", F.lit(0)), fs, accuracy).drop("burst")

@@ -137,3 +137,24 @@ def test_streams(spark, tmp_path):
     r = run_to_end(resolved_times(spark.readStream.schema(low.schema).parquet(str(tmp_path / "low")), 0.1), str(tmp_path / "r"), str(tmp_path / "rc"))
     t = [x["t"] for x in r.orderBy("seq").collect()]
     assert len(t) == 200 and all(a < b for a, b in zip(t, t[1:]))
+
+
+def test_corrected_times(spark):
+    s = 1_000_000
+    times = [k * s for k in range(20)]
+    raw = list(times)
+    raw[5] -= 86_400 * s
+    raw[8] = None
+    df = spark.createDataFrame([("a", t, k) for k, t in enumerate(raw)], "probe string, t long, seq long")
+    got = {r["seq"]: (r["t"], r["ok"]) for r in timefix.corrected_times(df, mode="delete_inversions").collect()}
+    assert got == {k: (t, k != 5) for k, t in enumerate(times)}
+    got = {r["seq"]: (r["t"], r["ok"]) for r in timefix.corrected_times(df).collect()}
+    assert got == {k: (t, True) for k, t in enumerate(times)}
+    # Rows before the first allowed time get it and are not ok; the rest is shifted first.
+    got = {r["seq"]: (r["t"], r["ok"]) for r in timefix.corrected_times(df, shift=s, t_min=2 * s).collect()}
+    assert got == {k: (max(t - s, 2 * s), t - s >= 2 * s and k != 5) if k != 5 else (2 * s, False) for k, t in enumerate(times)}
+    # Five rows a second with the second's time: spread by the frequency that T2 finds.
+    low = spark.createDataFrame([("a", k // 5 * s, k) for k in range(100)], "probe string, t long, seq long")
+    found = [(r["t"], r["ok"]) for r in timefix.corrected_times(low).orderBy("seq").collect()]
+    assert all(ok for _, ok in found) and max(abs(t - k * s // 5) for k, (t, _) in enumerate(found)) <= 1.5 * s
+    assert timefix.corrected_times(df.where("false")).count() == 0
