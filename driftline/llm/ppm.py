@@ -90,7 +90,7 @@ def _batch_counts(order: int):
         for first, words, codes in _text_slices(table.column("text"), order):
             own = held[first : first + len(codes)]
             for w, h in zip(words, own):
-                seen.update(dict.fromkeys(set(w).difference(seen), 0) if h else w)
+                seen.update(dict.fromkeys([x for x in set(w) if x not in seen], 0) if h else w)
             grams, owner = _windows(codes, order)
             # The mark in the lowest bit: one sort counts learnt and merely asked ones.
             marked, n = np.unique((grams << 1) | own[owner], return_counts=True)
