@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, batched, id_residue, materialise
+from .common import batched, id_residue, materialise
 
 #: Context bytes; with the symbol, up to 6 fit the 64 bits of a row's key.
 ORDER = 5
@@ -34,8 +34,10 @@ SYMBOLS = 256
 END = b"\n"
 #: Text bytes of a batch. What a batch sends is its distinct contexts, which grow slower than its text.
 BATCH_BYTES = 32 << 20
+#: Text bytes that numpy works on at a time: about 80 bytes of arrays for each. A longer text is a slice of its own.
+SLICE_BYTES = 1 << 18
 #: Counts of slices that a task holds before it sums them up.
-HELD_ROWS = 1 << 20
+HELD_ROWS = 1 << 18
 
 
 def _tokens(text: str) -> list[bytes]:
