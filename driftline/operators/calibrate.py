@@ -13,7 +13,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import per_probe
 from ..scratch import allow_checkpoints
 from .aggregates import sphere_cells
 
@@ -132,8 +131,8 @@ def pressure_fit(df: DataFrame, degree: int) -> DataFrame:
 
     Inputs are scaled to their probe's mean and deviation first, so the normal equations stay solvable.
     """
-    w = per_probe()
-    scaled = df.withColumns({f"_{c}": (F.col(c) - F.avg(c).over(w)) / F.coalesce(F.nullif(F.stddev_pop(c).over(w), F.lit(0.0)), F.lit(1.0)) for c in ("U", "T")})
+    centre = df.groupBy("probe").agg(*[s(c).alias(f"_{n}{c}") for c in ("U", "T") for n, s in (("m", F.avg), ("d", F.stddev_pop))])
+    scaled = df.join(centre, "probe").withColumns({f"_{c}": (F.col(c) - F.col(f"_m{c}")) / F.coalesce(F.nullif(F.col(f"_d{c}"), F.lit(0.0)), F.lit(1.0)) for c in ("U", "T")})
     powers = [(i, k - i) for k in range(degree + 1) for i in range(k, -1, -1)]
     n = len(powers)
     terms = [F.pow("_U", F.lit(float(i))) * F.pow("_T", F.lit(float(j))) for i, j in powers]

@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +159,16 @@ def test_corrected_times(spark):
     found = [(r["t"], r["ok"]) for r in timefix.corrected_times(low).orderBy("seq").collect()]
     assert all(ok for _, ok in found) and max(abs(t - k * s // 5) for k, (t, _) in enumerate(found)) <= 1.5 * s
     assert timefix.corrected_times(df.where("false")).count() == 0
+
+
+def test_pressure_fit_matches_least_squares(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"probe": np.repeat(["a", "b"], 60), "U": rng.normal(5, 2, 120), "T": np.r_[rng.normal(10, 3, 60), np.full(60, 4.0)]})
+    pdf["P"] = 3 + 2 * pdf.U - 0.5 * pdf["T"] + 0.1 * pdf.U * pdf["T"] + rng.normal(0, 0.2, 120)
+    got = {r.probe: r for r in calibrate.pressure_fit(spark.createDataFrame(pdf), 2).collect()}
+    for probe, d in pdf.groupby("probe"):
+        u, t = ((d[c] - d[c].mean()) / (d[c].std(ddof=0) or 1.0) for c in ("U", "T"))
+        a = np.stack([u**i * t**j for i, j in [(0, 0), (1, 0), (0, 1), (2, 0), (1, 1), (0, 2)]], axis=1)
+        fit = np.linalg.lstsq(a, d.P, rcond=None)[0]
+        assert np.allclose(got[probe].coefs, fit, atol=1e-8)
+        assert abs(got[probe].rmse - np.sqrt(np.mean((a @ fit - d.P) ** 2))) < 1e-8
