@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ BATCH_BYTES = 32 << 20
 SLICE_BYTES = 1 << 18
 #: Counts of slices that a task holds before it sums them up.
 HELD_ROWS = 1 << 18
+#: Words whose counts are looked up at a time.
+ASKED_WORDS = 1 << 18
 
 
 def _tokens(text: str) -> list[bytes]:
@@ -84,31 +87,60 @@ def _text_slices(texts: pa.ChunkedArray, order: int) -> Iterator[tuple[int, list
         yield first, words, codes
 
 
+def _release() -> None:
+    """Give freed Arrow memory back; a worker that waits for its next task would keep it."""
+    pa.default_memory_pool().release_unused()
+
+
+class _Summed:
+    """Counts by key that come slice by slice; kept as arrays and summed up whenever HELD_ROWS more are there."""
+
+    def __init__(self, add):
+        self.add, self.parts, self.rows = add, [], 0
+
+    def take(self, part, rows: int) -> None:
+        self.parts.append(part)
+        self.rows += rows
+        if self.rows > HELD_ROWS:
+            self.parts, self.rows = [self.total()], 0
+            _release()
+
+    def total(self):
+        return self.add(self.parts) if len(self.parts) > 1 else self.parts[0]
+
+
+def _added_words(parts: list[pa.Table]) -> pa.Table:
+    summed = pa.concat_tables(parts).group_by("token", use_threads=False).aggregate([("n", "sum")])
+    return summed.rename_columns({"n_sum": "n"})
+
+
+def _added_grams(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return _sums(*(np.concatenate(x) for x in zip(*parts)))
+
+
 def _batch_counts(order: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         # A null mark holds out nothing.
         held = np.array([bool(h) for h in table.column("held_out").to_pylist()], bool)
-        seen, found, rows = Counter({END: int((~held).sum())}), [], 0
+        tokens, found = _Summed(_added_words), _Summed(_added_grams)
         for first, words, codes in _text_slices(table.column("text"), order):
             own = held[first : first + len(codes)]
+            seen = Counter({END: int((~own).sum())})
             for w, h in zip(words, own):
-                seen.update(dict.fromkeys([x for x in set(w) if x not in seen], 0) if h else w)
+                seen.update(dict.fromkeys(w, 0) if h else w)
+            tokens.take(pa.table({"token": pa.array(seen.keys(), pa.binary()), "n": pa.array(seen.values(), pa.int64())}), len(seen))
             grams, owner = _windows(codes, order)
             # The mark in the lowest bit: one sort counts learnt and merely asked ones.
             marked, n = np.unique((grams << 1) | own[owner], return_counts=True)
-            found.append(_sums(marked >> 1, np.where(marked & 1, 0, n)))
-            rows += len(found[-1][0])
-            if rows > HELD_ROWS and len(found) > 1:
-                found = [_sums(*(np.concatenate(x) for x in zip(*found)))]
-                rows = 0
-        grams, n = _sums(*(np.concatenate(x) for x in zip(*found)))
-        tokens = len(seen)
-        return pa.table({
-            "batch": pa.array(np.full(tokens + len(grams), key[0].as_py(), np.int32)),
-            "token": pa.concat_arrays([pa.array(list(seen.keys()), pa.binary()), pa.nulls(len(grams), pa.binary())]),
-            "gram": pa.concat_arrays([pa.nulls(tokens, pa.int64()), pa.array(grams, pa.int64())]),
-            "n": pa.array(np.r_[np.fromiter(seen.values(), np.int64, tokens), n], pa.int64()),
-        })
+            part = _sums(marked >> 1, np.where(marked & 1, 0, n))
+            found.take(part, len(part[0]))
+        (grams, n), words = found.total(), tokens.total()
+        _release()
+        none = {"token": pa.nulls(len(grams), pa.binary()), "gram": pa.nulls(words.num_rows, pa.int64())}
+        return pa.concat_tables([
+            pa.table({"batch": np.full(words.num_rows, key[0].as_py(), np.int32), "token": words["token"], "gram": none["gram"], "n": words["n"]}),
+            pa.table({"batch": np.full(len(grams), key[0].as_py(), np.int32), "token": none["token"], "gram": grams, "n": n.astype(np.int64)}),
+        ])
 
     return run
 
@@ -179,28 +211,53 @@ def _tail_codes(lower: list[np.ndarray], depth: int, order: int):
     return run
 
 
+class _Words:
+    """Counts and base scores of texts' words, looked up ASKED_WORDS at a time in a batch's vocabulary."""
+
+    def __init__(self, tokens: pa.Table, total: int, distinct: int):
+        self.names, self.c = tokens.column("token").combine_chunks(), tokens.column("c").to_numpy()
+        self.base = np.log10((self.c + 1) / (total + 1 * (distinct + 1)))
+        self.asked, self.held = [], 0
+        self.n, self.hits, self.bases = [], [], []
+
+    def ask(self, words: list[list[bytes]]) -> None:
+        self.asked += [[*w, END] for w in words]
+        self.held += sum(map(len, words))
+        if self.held >= ASKED_WORDS:
+            self.answer()
+
+    def answer(self) -> None:
+        texts, sizes = len(self.asked), np.fromiter(map(len, self.asked), np.int64, len(self.asked))
+        at = pc.index_in(pa.array([x for w in self.asked for x in w], pa.binary()), value_set=self.names).to_numpy()
+        owner = np.repeat(np.arange(texts), sizes)
+        self.n.append(sizes)
+        self.hits.append(np.bincount(owner[self.c[at] > 0], minlength=texts))
+        self.bases.append(np.bincount(owner, weights=self.base[at], minlength=texts))
+        self.asked, self.held = [], 0
+        _release()
+
+
 def _text_scores(total: int, distinct: int, order: int):
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        tokens = known.filter(known.column("token").is_valid())
-        index = dict(zip(tokens.column("token").to_pylist(), range(tokens.num_rows)))
-        c = tokens.column("c").to_numpy()
-        base = np.log10((c + 1) / (total + 1 * (distinct + 1)))
-        codes = known.filter(known.column("gram").is_valid())
+        tokens = _Words(known.filter(known.column("token").is_valid()).select(["token", "c"]), total, distinct)
+        codes = known.filter(known.column("gram").is_valid()).select(["gram", "log"])
         gram, log = codes.column("gram").to_numpy(), codes.column("log").to_numpy()
         by = np.argsort(gram)
         gram, log = gram[by], log[by]
-        end, get = index.get(END), index.__getitem__
-        n, hits, bases, scores = [], [], [], []
+        scores = []
         for _, words, coded in _text_slices(docs.column("text"), order):
-            for w in words:
-                at = np.append(np.fromiter(map(get, w), np.int64, len(w)), end)
-                n.append(len(at))
-                hits.append(int((c[at] > 0).sum()))
-                bases.append(float(base[at].sum()))
+            tokens.ask(words)
             grams, owner = _windows(coded, order)
-            scores.append(np.bincount(owner, weights=log[np.searchsorted(gram, grams)], minlength=len(coded)))
-        size = docs.num_rows
-        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(hits, pa.int64()), "train_tokens": pa.array(np.full(size, total, np.int64)), "base_score": pa.array(bases, pa.float64()), "score": pa.array(np.concatenate(scores) if scores else [], pa.float64())})
+            # Asked in order: neighbours of a sorted array lie in one another's cache lines.
+            asked, each = np.unique(grams, return_inverse=True)
+            scores.append(np.bincount(owner, weights=log[np.searchsorted(gram, asked)][each], minlength=len(coded)))
+        tokens.answer()
+        joined = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+        return pa.table({
+            "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": joined(tokens.n, np.int64),
+            "n_known": joined(tokens.hits, np.int64), "train_tokens": np.full(docs.num_rows, total, np.int64),
+            "base_score": joined(tokens.bases, float), "score": joined(scores, float),
+        })
 
     return run
 
