@@ -49,6 +49,20 @@ def binned_many(df: DataFrame, bins: Sequence[int], columns: Sequence[str]) -> D
     return out
 
 
+def binned_counts_or_physics(df: DataFrame, bins: Sequence[int], counts: Sequence[str], physical, columns: Sequence[str], short: int = 2) -> DataFrame:
+    """A3, all bins: those of at most `short` seconds average the counts and then make them physical, longer ones average
+    what physical(df) gives for each row."""
+    out = None
+    for seconds in bins:
+        if seconds <= short:
+            part = physical(binned(df, seconds, counts)).select("probe", "t", "rows", *columns)
+        else:
+            part = binned(physical(df), seconds, columns)
+        part = part.withColumn("bin_s", F.lit(seconds))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def first_per_bin(df: DataFrame, seconds: int, columns: Sequence[str]) -> DataFrame:
     """A4: the first row of each bin over stacked probes."""
     key = F.struct("t", "probe", "seq")

@@ -100,10 +100,12 @@ def calibrated(df: DataFrame, *, bins: int = 200, passes: int = 10, first: float
 
 
 def fit_axes(df: DataFrame, columns: Sequence[str] = ("x", "y", "z"), parameters: int = 9) -> DataFrame:
-    """Centre and radii by least squares of a quadric equal to 1; 9 terms, or 6 without rotation."""
-    x, y, z = (F.col(c) for c in columns)
-    terms = [x * x, y * y, z * z, 2 * x * y, 2 * x * z, 2 * y * z, 2 * x, 2 * y, 2 * z]
-    terms = terms if parameters == 9 else terms[:3] + terms[6:]
+    """Centre and radii by least squares of a quadric equal to 1; 9 terms, or 6 without rotation. Two columns: an
+    ellipse, with 5 terms, or 4 without rotation."""
+    axes = [F.col(c) for c in columns]
+    k = len(axes)
+    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)] if parameters in (5, 9) else []
+    terms = [x * x for x in axes] + [2 * axes[i] * axes[j] for i, j in pairs] + [2 * x for x in axes]
     n = len(terms)
     sums = df.groupBy("probe").agg(*[F.sum(terms[i] * terms[j]).alias(f"m{i}_{j}") for i in range(n) for j in range(i, n)], *[F.sum(t).alias(f"s{i}") for i, t in enumerate(terms)])
 
@@ -116,9 +118,10 @@ def fit_axes(df: DataFrame, columns: Sequence[str] = ("x", "y", "z"), parameters
                     for j in range(i, n):
                         d[i, j] = d[j, i] = r[f"m{i}_{j}"]
                 u = np.linalg.solve(d, [r[f"s{i}"] for i in range(n)])
-                u = u if n == 9 else np.concatenate([u[:3], np.zeros(3), u[3:]])
-                q = np.array([[u[0], u[3], u[4]], [u[3], u[1], u[5]], [u[4], u[5], u[2]]])
-                centre = -np.linalg.solve(q, u[6:])
+                q = np.diag(u[:k])
+                for (i, j), value in zip(pairs, u[k:]):
+                    q[i, j] = q[j, i] = value
+                centre = -np.linalg.solve(q, u[-k:])
                 radii = np.sort(1 / np.sqrt(np.abs(np.linalg.eigvalsh(q / (1 + centre @ q @ centre)))))
                 out.append((r["probe"], centre.tolist(), radii.tolist()))
             yield pd.DataFrame(out, columns=["probe", "centre", "radii"])

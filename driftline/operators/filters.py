@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import ordered, per_probe
+from ..schema import DAY, ordered, per_probe
 
 
 def _column(df: DataFrame, name: str) -> str | None:
@@ -38,12 +38,16 @@ def cells_within(df: DataFrame, low: dict[str, float] | None = None, high: dict[
 def mask_ranges(df: DataFrame, ranges: DataFrame) -> DataFrame:
     """good = t in one of its probe's [t_start, t_end], both ends inclusive; a NULL end is open.
 
-    Ranges of a probe are gathered into one array (they are a hand-kept list), so the rows are neither
-    sorted nor multiplied; the join is on the probe.
+    Ranges are cut to their probe's span and dealt to its days, so a row looks at the ranges of its own day alone and a
+    long probe is many keys of the join.
     """
-    own = ranges.groupBy("probe").agg(F.collect_list(F.struct("t_start", "t_end")).alias("ranges"))
-    inside = F.exists("ranges", lambda r: (F.col("t") >= r["t_start"]) & (r["t_end"].isNull() | (F.col("t") <= r["t_end"])))
-    return df.join(own, "probe", "left").withColumn("good", F.coalesce(inside, F.lit(False))).drop("ranges")
+    span = df.groupBy("probe").agg(F.min("t").alias("_t0"), F.max("t").alias("_t1"))
+    cut = ranges.join(span, "probe").select("probe", F.greatest("t_start", "_t0").alias("s"), F.least(F.coalesce("t_end", "_t1"), "_t1").alias("e"), F.col("t_start").alias("_given"))
+    day = lambda c: F.floor(F.col(c) / DAY)
+    dealt = cut.where("_given is not null and s <= e").withColumn("_day", F.explode(F.sequence(day("s"), day("e"))))
+    own = dealt.groupBy("probe", "_day").agg(F.collect_set(F.struct(F.greatest("s", F.col("_day") * DAY).alias("s"), F.least("e", (F.col("_day") + 1) * DAY).alias("e"))).alias("_ranges"))
+    inside = F.exists("_ranges", lambda r: F.col("t").between(r["s"], r["e"]))
+    return df.withColumn("_day", day("t")).join(own, ["probe", "_day"], "left").withColumn("good", F.coalesce(inside, F.lit(False))).select(*df.columns, "good")
 
 
 def clip_ranges(ranges: DataFrame, t_min: int | None, t_max: int | None) -> DataFrame:

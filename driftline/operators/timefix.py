@@ -191,6 +191,45 @@ def regular_grid(df: DataFrame, step: int, column: str) -> DataFrame:
     return g.select("probe", at.alias("t"), y.alias(column))
 
 
+def monotone_slopes(df: DataFrame, column: str) -> DataFrame:
+    """Slope of each row by the monotone cubic rule: 0 where the steps on both sides turn, else their harmonic mean
+    weighted by the distances; one-sided and limited at the ends. Rows have distinct times. Adds _h (to the next
+    row), _y2, _m and _m2 (the next row's slope)."""
+    w = ordered()
+    x = df.withColumns({"_h": (F.lead("t").over(w) - F.col("t")).cast("double"), "_y2": F.lead(column).over(w)})
+    x = x.withColumn("_d", (F.col("_y2") - F.col(column)) / F.col("_h"))
+    near = {"_hb": F.lag("_h"), "_db": F.lag("_d"), "_ha": F.lead("_h"), "_da": F.lead("_d"), "_hc": F.lag("_h", 2), "_dc": F.lag("_d", 2)}
+    x = x.withColumns({n: c.over(w) for n, c in near.items()})
+    h, d, hb, db = (F.col(c) for c in ("_h", "_d", "_hb", "_db"))
+    # try_divide: a branch that is not taken may have nothing to divide by.
+    inner = F.when(d * db <= 0, 0.0).otherwise(F.try_divide(3 * (h + hb), F.try_divide(2 * h + hb, db) + F.try_divide(h + 2 * hb, d)))
+
+    def end(h0: Column, d0: Column, h1: Column, d1: Column) -> Column:
+        s = ((2 * h0 + h1) * d0 - h0 * d1) / (h0 + h1)
+        return F.when(d1.isNull(), d0).when(F.signum(s) != F.signum(d0), 0.0).when((F.signum(d0) != F.signum(d1)) & (F.abs(s) > 3 * F.abs(d0)), 3 * d0).otherwise(s)
+
+    first, last = end(h, d, F.col("_ha"), F.col("_da")), end(hb, db, F.col("_hc"), F.col("_dc"))
+    m = F.when(db.isNull(), first).when(d.isNull(), last).otherwise(inner)
+    x = x.withColumn("_m", m).drop("_d", *near)
+    return x.withColumn("_m2", F.lead("_m").over(w))
+
+
+def monotone_grid(df: DataFrame, step: int, column: str) -> DataFrame:
+    """T11 by monotone cubics (PCHIP): the column on a regular grid from a probe's first time. Of rows of one time the
+    last in order counts, as in regular_grid()."""
+    w = ordered()
+    x = df.where(F.col(column).isNotNull()).select("probe", "t", "seq", F.col(column).cast("double").alias(column)).withColumn("_next", F.lead("t").over(w))
+    x = monotone_slopes(x.where("_next is null or _next > t").drop("_next"), column).withColumn("_t0", F.min("t").over(per_probe()))
+    first = F.ceil((F.col("t") - F.col("_t0")) / step)
+    last = F.when(F.col("_h").isNull(), F.floor((F.col("t") - F.col("_t0")) / step)).otherwise(F.ceil((F.col("t") + F.col("_h") - F.col("_t0")) / step) - 1)
+    g = x.withColumns({"_f": first.cast("long"), "_l": last.cast("long")}).where("_f <= _l").withColumn("_k", F.explode(F.sequence("_f", "_l")))
+    g = g.withColumn("_at", F.col("_t0") + F.col("_k") * step).withColumn("_u", (F.col("_at") - F.col("t")) / F.col("_h"))
+    u, h, y, y2 = (F.col(c) for c in ("_u", "_h", column, "_y2"))
+    # Written from y on, so that a flat stretch stays exactly flat.
+    cubic = y + (y2 - y) * u * u * (3 - 2 * u) + h * u * (1 - u) * ((1 - u) * F.col("_m") - u * F.col("_m2"))
+    return g.select("probe", F.col("_at").alias("t"), F.when(h.isNull() | (u == 0), y).otherwise(cubic).alias(column))
+
+
 def period_intervals(spans: DataFrame, period: int) -> DataFrame:
     """[t_start, t_end] split by a period; borders at midnight where it is a day or more."""
     origin = F.floor(F.col("t_start") / DAY) * DAY if period >= DAY else F.col("t_start")

@@ -55,10 +55,22 @@ def filled(df: DataFrame, column: str, bad: Column | None = None, x: str | None
 
 
 def despiked_counts(df: DataFrame, limits: dict[str, float]) -> DataFrame:
-    """W2 then W4 for each count channel (defaults of use: 1500 for A, 100 for M)."""
-    for column, most in limits.items():
-        df = filled(spikes(df, column, most), column, F.col("spike")).drop("spike")
-    return df
+    """W2 then W4 for each count channel (defaults of use: 1500 for A, 100 for M). One order forwards and one
+    backwards serve all channels."""
+    w = ordered()
+    back = Window.partitionBy("probe").orderBy(F.col("t").desc(), F.col("seq").desc())
+    x = df.withColumn("_x", F.row_number().over(w).cast("double"))
+    for c, most in limits.items():
+        x = spikes(x, c, most).withColumn(f"_y_{c}", F.when(~F.col("spike"), F.col(c).cast("double"))).drop("spike")
+    known = {c: F.when(F.col(f"_y_{c}").isNotNull(), F.struct("_x", F.col(f"_y_{c}").alias("y"))) for c in limits}
+    for side, order in (("p", w), ("n", back)):
+        x = x.withColumns({f"_{side}_{c}": F.last(k, True).over(order.rowsBetween(Window.unboundedPreceding, 0)) for c, k in known.items()})
+    out = {}
+    for c in limits:
+        before, after = F.col(f"_p_{c}"), F.col(f"_n_{c}")
+        line = before["y"] + (after["y"] - before["y"]) * ((F.col("_x") - before["_x"]) / F.nullif(after["_x"] - before["_x"], F.lit(0.0)))
+        out[c] = F.coalesce(F.col(f"_y_{c}"), line, before["y"], after["y"])
+    return x.withColumns(out).select(*df.columns)
 
 
 def sigma_despiked(df: DataFrame, column: str, offsets: Sequence[float] = (20.0, 5.0), blocks: Sequence[int] | int = 10, smooth: float | None = None, partition: Sequence[str] = (), reverse: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import streaming
 from ..functions import physics
 from ..operators import aggregates, calibrate, filters, joins, spectrum, store, timefix, velocity, windows
-from ..schema import DAY, SECOND, micros, rounded
+from ..schema import DAY, SECOND, micros, rounded, timestamp
 from ..scratch import scratch_path
 from ..sources import instruments, text
 from .fixtures import AZIMUTH, GAIN_A, GAIN_M, SPEED, coefs, ctes, table
@@ -883,3 +883,162 @@ SELECT probe, min(t) AS t_start, max(t) + {GAP} AS t_end, count(*) AS "rows" FRO
 def r5(stream):
     s = streaming.sessions(stream, f"{GAP // 1000} milliseconds")
     return s.select("probe", micros(F.col("t_start")).alias("t_start"), micros(F.col("t_end")).alias("t_end"), "rows")
+
+
+# ---- formats: times are written as an instrument would and read back -------------------------------
+def _written(t: str, pattern: str):
+    return F.date_format(timestamp(F.col(t)), pattern)
+
+
+#: form -> date pattern, time pattern, what the time is cut to.
+_FORMS = {
+    "idronaut": ("dd-MM-yyyy", "HH:mm:ss.SS", 10_000), "sbe": ("MM/dd/yyyy", "HH:mm:ss", SECOND), "sst": ("dd.MM.yyyy", "HH:mm:ss", SECOND), "rock": ("yyyy-MM-dd", "HH:mm:ss", SECOND),
+    "ctd_us": ("M/d/yyyy", "H:mm:ss", SECOND), "ctd_eu": ("d.M.yyyy", "H:mm", 60 * SECOND), "log": ("dd.MM.yyyy", "HH:mm:ss", SECOND),
+}
+
+
+@query("l3_l10_dated_logs", ("raw",), " UNION ALL ".join(f"SELECT probe, seq, '{form}' AS form, t // {cut} * {cut} AS t FROM raw" for form, (_, _, cut) in _FORMS.items()))
+def l3_l10(get):
+    out = None
+    for form, (date, time, _) in _FORMS.items():
+        quote = F.lit('"' if form.startswith("ctd") else "")
+        rows = get("raw").select("probe", "seq", F.concat(quote, _written("t", date), quote).alias("Date"), F.concat(quote, _written("t", time), quote).alias("Time"))
+        part = instruments.dated_log(rows, form).select("probe", "seq", F.lit(form).alias("form"), "t")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("l2_iso_log", ("raw",), "SELECT probe, seq, t // 1000000 * 1000000 AS t FROM raw")
+def l2(get):
+    return instruments.iso_log(get("raw").withColumn("Time", _written("t", "yyyy-MM-dd'T'HH:mm:ss"))).select("probe", "seq", "t")
+
+
+@query("l5_day_and_milliseconds", ("raw",), "SELECT probe, seq, t // 1000 * 1000 AS t FROM raw")
+def l5(get):
+    ms = F.floor(F.col("t") % DAY / 1000).cast("string").cast("binary")
+    return get("raw").select("probe", "seq", instruments.day_and_milliseconds(_written("t", "dd.MM.yyyy").cast("binary"), ms).alias("t"))
+
+
+@query("l6_l13_time_only", ("raw",), f"""WITH s AS (SELECT probe, seq, (t % {DAY}) // 1000000 * 1000000 AS s, min(t) OVER (PARTITION BY probe) // {DAY} * {DAY} AS d0 FROM raw), l AS (SELECT *, lag(s) OVER (PARTITION BY probe ORDER BY seq) AS l FROM s)
+SELECT probe, seq, CAST(d0 + s + {DAY} * sum(CASE WHEN s < l - {DAY // 2} THEN 1 ELSE 0 END) OVER (PARTITION BY probe ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS t FROM l""")
+def l6(get):
+    raw = get("raw")
+    files = raw.groupBy("probe").agg(F.min("t").alias("t0")).select("probe", F.concat(F.lit("runs/"), "probe", F.lit("/sst_"), _written("t0", "yyMMdd"), F.lit(".txt")).alias("path"))
+    rows = raw.select("probe", "seq", _written("t", "HH:mm:ss").alias("Time")).join(files, "probe")
+    return instruments.time_only(rows, instruments.file_day(F.col("path"))).select("probe", "seq", "t")
+
+
+@query("l7_degrees_minutes_seconds", ("raw",), f"SELECT seq, {r9('seq % 90 + (seq % 60) / 60.0::DOUBLE + (seq % 600) / 10.0::DOUBLE / 3600', 'deg')} FROM raw")
+def l7(get):
+    words = F.concat((F.col("seq") % 90).cast("string"), F.lit("°"), (F.col("seq") % 60).cast("string"), F.lit("'"), (F.col("seq") % 600 / 10).cast("string"), F.lit('"N'))
+    return get("raw").select("seq", rounded(instruments.dms(words), 9).alias("deg"))
+
+
+_LAT, _LON = "((seq % 90) + (seq % 600) / 10.0::DOUBLE / 60)", "((seq % 180) + (seq % 60) / 60.0::DOUBLE)"
+_SIDED = f"{r9(f'{_LAT} * CASE WHEN seq % 2 = 0 THEN -1 ELSE 1 END', 'Lat')}, {r9(f'{_LON} * CASE WHEN seq % 3 = 0 THEN -1 ELSE 1 END', 'Lon')}"
+
+
+def _sided(get, name: str) -> DataFrame:
+    seq = F.col("seq")
+    sides = {"NS": F.when(seq % 2 == 0, "S").otherwise("N"), "EW": F.when(seq % 3 == 0, "W").otherwise("E")}
+    return get(name).withColumns({"Lat": (seq % 90 * 100).cast("double") + seq % 600 / 10, "Lon": (seq % 180 * 100 + seq % 60).cast("double"), "Depth": F.col("Ax"), **sides})
+
+
+@query("l12_navigation", ("raw",), f"SELECT probe, seq, t // 1000000 * 1000000 AS t, {_SIDED}, Ax + 2.5 AS Depth FROM raw")
+def l12_navigation(get):
+    rows = _sided(get, "raw").withColumns({"Date": _written("t", "yy MM dd"), "Time": _written("t", "HH mm ss")})
+    return instruments.navigation(rows, 2.5).select("probe", "seq", "t", rounded("Lat", 9).alias("Lat"), rounded("Lon", 9).alias("Lon"), "Depth")
+
+
+@query("l14_echo_sounder", ("raw_dup",), f"SELECT probe, seq, {_SIDED}, -Ax + 0.0 AS Depth FROM raw_dup QUALIFY row_number() OVER (PARTITION BY probe, t ORDER BY seq) = 1")
+def l14_echo(get):
+    rows = _sided(get, "raw_dup")
+    rows = rows.withColumns({"Lat": F.concat_ws(",", F.col("Lat").cast("string"), "NS"), "Lon": F.concat_ws(",", F.col("Lon").cast("string"), "EW")})
+    return instruments.echo_sounder(rows).select("probe", "seq", rounded("Lat", 9).alias("Lat"), rounded("Lon", 9).alias("Lon"), (F.col("Depth") + 0.0).alias("Depth"))
+
+
+@query("l15_packed_clock", ("raw",), "SELECT probe, seq, t // 10000 * 10000 AS t FROM raw")
+def l15(get):
+    return get("raw").select("probe", "seq", instruments.packed_clock(_written("t", "ddMMyyyy"), _written("t", "HHmmss.SS")).alias("t"))
+
+
+@query("l16_adcp_clock", ("raw",), "SELECT probe, seq, t // 10000 * 10000 AS t FROM raw")
+def l16(get):
+    parts = [_written("t", p).cast("int") for p in ("yy", "M", "d", "H", "m", "s")]
+    return get("raw").select("probe", "seq", instruments.adcp_clock(*parts, F.floor(F.col("t") % SECOND / 10_000)).alias("t"))
+
+
+@query("l18_accelerations", ("raw",), f"""WITH g AS (SELECT probe, seq, sqrt(Ax * Ax + Ay * Ay + Az * Az) / 9.8 - 1 AS g, row_number() OVER w - 1 AS i, lag(sqrt(Ax * Ax + Ay * Ay + Az * Az) / 9.8 - 1) OVER w AS b, lead(sqrt(Ax * Ax + Ay * Ay + Az * Az) / 9.8 - 1) OVER w AS a FROM raw WINDOW w AS (PARTITION BY probe ORDER BY t, seq))
+SELECT probe, seq, {r6('(0.5 * g + coalesce(0.25 * b, 0) + coalesce(0.25 * a, 0)) / (0.5 + CASE WHEN b IS NULL THEN 0 ELSE 0.25 END + CASE WHEN a IS NULL THEN 0 ELSE 0.25 END)', 'GsumMinus1')} FROM g WHERE i % 3 = 0""")
+def l18(get):
+    rows = get("raw").select("probe", "t", "seq", F.col("Ax").alias("Gx"), F.col("Ay").alias("Gy"), F.col("Az").alias("Gz"))
+    return instruments.accelerations(rows, [0.25, 0.5, 0.25], 3).select("probe", "seq", *rd("GsumMinus1"))
+
+
+@query("s3_declared_csv", ("raw",), "SELECT probe, CAST(seq AS DOUBLE) AS seq, Ax, Temp FROM raw")
+def s3(get):
+    raw = get("raw").select("probe", "seq", "Ax", "Ay", "Temp")
+    path = scratch_path(raw.sparkSession, "declared")
+    raw.write.option("sep", ";").csv(path)
+    return text.read_csv(raw.sparkSession, path, "probe(text);seq;Ax(float);;Temp", delimiter=";", columns=["probe", "seq", "Ax", "Temp"])
+
+
+# ---- more numeric forms ---------------------------------------------------------------------------
+#: The offset keeps values of few rows off the middle between two roundings.
+_P = "(1.50000003 + 0.01 * Temp) + (0.002 + 0.00001 * Temp) * P_counts"
+
+
+def _tenth(seconds: int, what: str, source: str) -> str:
+    return f"(SELECT * FROM (SELECT *, avg(n) OVER (PARTITION BY probe) AS m FROM (SELECT probe, CAST(floor(t / {seconds}000000) AS BIGINT) * {seconds}000000 AS t, count(*) AS n, {what} FROM {source} GROUP BY 1, 2)) WHERE n > m / 10)"
+
+
+@query("a3_short_bins", ("raw",), f"""SELECT probe, t, 2 AS bin_s, {r6(_P, 'Pressure')} FROM {_tenth(2, 'avg(P_counts) AS P_counts, avg(Temp) AS Temp', 'raw')}
+ UNION ALL SELECT probe, t, 7200 AS bin_s, {r6('Pressure')} FROM {_tenth(7200, f'avg({_P}) AS Pressure', 'raw')}""")
+def a3_short(get):
+    physical = lambda x: x.withColumn("Pressure", physics.pressure(F.col("P_counts"), F.col("Temp"), [[1.50000003, 0.01], [0.002, 0.00001]]))
+    found = aggregates.binned_counts_or_physics(get("raw"), (2, 7200), ["P_counts", "Temp"], physical, ["Pressure"])
+    return found.select("probe", "t", "bin_s", *rd("Pressure"))
+
+
+@query("a11_flat_channel", ("sphere",), f"SELECT probe, {r6('2 / (max(x) - min(x))', 'A00')}, {r6('2 / (max(y) - min(y))', 'A11')}, 0.0::DOUBLE AS A22, {r6('(max(x) + min(x)) / 2', 'b0')}, 0.5::DOUBLE AS b2 FROM sphere GROUP BY probe")
+def a11(get):
+    f = calibrate.fit_ellipsoid(get("sphere").withColumn("z", F.lit(0.5)))
+    return f.select("probe", *[rounded(F.col("A")[i][i]).alias(f"A{i}{i}") for i in range(3)], *[rounded(F.col("b")[i]).alias(f"b{i}") for i in (0, 2)])
+
+
+@query("a12_ellipse", ("sphere",), "SELECT DISTINCT probe, 0.1::DOUBLE AS c0, -0.2::DOUBLE AS c1, 0.9::DOUBLE AS r0, 1.2::DOUBLE AS r1 FROM sphere")
+def a12_ellipse(get):
+    angle = F.atan2("y", "x")
+    f = calibrate.fit_axes(get("sphere").select("probe", (F.cos(angle) * 1.2 + 0.1).alias("x"), (F.sin(angle) * 0.9 - 0.2).alias("y")), ("x", "y"), 5)
+    return f.select("probe", *[rounded(F.col("centre")[i]).alias(f"c{i}") for i in range(2)], *[rounded(F.col("radii")[i]).alias(f"r{i}") for i in range(2)])
+
+
+@query("p16_azimuth", ("days",), f"SELECT probe, k, {r6('k % 360 + CASE WHEN k % 2 = 0 THEN 1.5 ELSE 0 END + CASE WHEN k % 3 < 2 THEN (54 + k % 3) * 0.1::DOUBLE + 20 * 0.01::DOUBLE ELSE 0 END', 'azimuth_shift_deg')} FROM days")
+def p16(get):
+    k = F.col("k")
+    sites = get("days").select("probe", "k", (k % 360).cast("double").alias("azimuth_shift_deg"), F.when(k % 2 == 0, 1.5).alias("azimuth_add"), (k % 3 + 54.3).alias("lat"), F.lit(19.8).alias("lon"), F.lit(2024).alias("year"))
+    known = sites.where("lat < 56").select(F.round("lat").cast("int").alias("lat"), F.lit(20).alias("lon"), "year").distinct()
+    look = known.withColumn("declination", F.col("lat") * 0.1 + F.col("lon") * 0.01)
+    return velocity.azimuth(sites, look).select("probe", "k", *rd("azimuth_shift_deg"))
+
+
+@query("p18_imported_speed", ("load_log",), "SELECT probe, CASE WHEN changed % 2 = 0 THEN \"rows\" * 0.5::DOUBLE ELSE 10.0::DOUBLE END AS k0, CASE WHEN changed % 2 = 0 THEN 3 ELSE 6 END AS terms, CASE WHEN changed % 2 = 0 THEN 60.0::DOUBLE ELSE 70.0::DOUBLE END AS limit_deg, changed % 2 = 0 AS turned FROM load_log")
+def p18(get):
+    log = get("load_log")
+    fitted = log.where("changed % 2 = 0").select("probe", F.array(F.col("rows") * F.lit(0.5), F.lit(2.0)).alias("k"), F.lit(60.0).alias("limit_deg"), F.array(F.array(F.lit(1.0))).alias("Rz"))
+    c = calibrate.imported_speed(coefs(log.sparkSession, log), fitted)
+    return c.select("probe", F.col("kVabs")[0].alias("k0"), F.size("kVabs").alias("terms"), F.element_at("kVabs", -1).alias("limit_deg"), F.col("Rz").isNotNull().alias("turned"))
+
+
+_END = "CASE WHEN {d1} IS NULL THEN {d0} WHEN sign(((2 * {h0} + {h1}) * {d0} - {h0} * {d1}) / ({h0} + {h1})) <> sign({d0}) THEN 0 WHEN sign({d0}) <> sign({d1}) AND abs(((2 * {h0} + {h1}) * {d0} - {h0} * {d1}) / ({h0} + {h1})) > 3 * abs({d0}) THEN 3 * {d0} ELSE ((2 * {h0} + {h1}) * {d0} - {h0} * {d1}) / ({h0} + {h1}) END"
+
+
+@query("t11_monotone_grid", ("raw",), f"""WITH k AS (SELECT probe, t, arg_max(Temp, seq) AS y FROM raw GROUP BY probe, t),
+ a AS (SELECT *, (lead(t) OVER w - t)::DOUBLE AS h, lead(y) OVER w AS y2, min(t) OVER (PARTITION BY probe) AS t0 FROM k WINDOW w AS (PARTITION BY probe ORDER BY t)), b AS (SELECT *, (y2 - y) / h AS d FROM a),
+ c AS (SELECT *, lag(h) OVER w AS hb, lag(d) OVER w AS db, lead(h) OVER w AS ha, lead(d) OVER w AS da, lag(h, 2) OVER w AS hc, lag(d, 2) OVER w AS dc FROM b WINDOW w AS (PARTITION BY probe ORDER BY t)),
+ e AS (SELECT *, CASE WHEN db IS NULL THEN {_END.format(h0='h', d0='d', h1='ha', d1='da')} WHEN d IS NULL THEN {_END.format(h0='hb', d0='db', h1='hc', d1='dc')} WHEN d * db <= 0 THEN 0 ELSE 3 * (h + hb) / ((2 * h + hb) / db + (h + 2 * hb) / d) END AS m FROM c),
+ f AS (SELECT *, lead(m) OVER (PARTITION BY probe ORDER BY t) AS m2 FROM e), g AS (SELECT probe, unnest(generate_series(min(t), max(t), {6 * HOUR})) AS mark FROM k GROUP BY probe),
+ j AS (SELECT g.probe, g.mark, f.y, f.y2, f.h, f.m, f.m2, (g.mark - f.t) / f.h AS u FROM g ASOF JOIN f ON g.probe = f.probe AND g.mark >= f.t)
+SELECT probe, mark AS t, {r6('CASE WHEN h IS NULL OR u = 0 THEN y ELSE y * (1 + 2 * u) * (1 - u) * (1 - u) + h * m * u * (1 - u) * (1 - u) + y2 * u * u * (3 - 2 * u) + h * m2 * u * u * (u - 1) END', 'Temp')} FROM j""")
+def t11_monotone(get):
+    return timefix.monotone_grid(get("raw"), 6 * HOUR, "Temp").select("probe", "t", *rd("Temp"))

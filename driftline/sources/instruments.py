@@ -54,6 +54,11 @@ def dated_log(df: DataFrame, form: str, date: str = "Date", time: str = "Time")
     return df.withColumn("t", clock(clean(date), clean(time), order, sep))
 
 
+def day_and_milliseconds(date: Column, ms: Column) -> Column:
+    """L5, the older form: dd.mm.yyyy, and milliseconds of the day as text or bytes."""
+    return clock(date.cast("string"), F.lit("0:0:0"), "dmy", ".") + F.round(ms.cast("string").try_cast("double") * 1000).cast("long")
+
+
 def time_only(df: DataFrame, day: Column, time: str = "Time") -> DataFrame:
     """H:M:S after a date from the header or the file name; a fall of the clock starts a new day."""
     t = F.split(time, ":")
