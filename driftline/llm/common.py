@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_process(key: tuple, make: Callable[[], object]) -> object:
+    """make(), once per Python worker: tasks that follow in it find it again. For what is dear to read and bounded in size."""
+    kept = sys.modules.setdefault("_driftline_kept", types.ModuleType("_driftline_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. lower() does it for ASCII-only text; translate() for the rest."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
