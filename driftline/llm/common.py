@@ -48,6 +48,14 @@ def per_process(key: tuple, make: Callable[[], object]) -> object:
     return kept[key]
 
 
+def discard(table: DataFrame) -> None:
+    """Delete what materialise() wrote. Only for a table that nothing lazy reads any more."""
+    spark = table.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. lower() does it for ASCII-only text; translate() for the rest."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -5,8 +5,9 @@ bounded size. Only words that are frequent in their language get an id, so a phr
 all others are. Then phrases grow by a word a round: a batch's sequence holds at each place the id of the frequent phrase
 that starts there; two neighbours are a phrase that is a word longer. They are counted in a HAT-trie: a shallow trie by
 the ids of the first two words, whose leaves are hash containers that burst into more when they grow. When the trie
-holds too many keys, whole subtrees leave it as sorted runs. The runs are merged per phrase, dealt by both of its
-parts, so a frequent first word is in no single task; the frequent ones get ids and go back to the batches they are in.
+holds too many keys, whole subtrees leave it as sorted runs, cut by prefix partition. A partition's runs are
+merged in one task, in arrays; what is frequent gets an id and goes back to the batches it is in. The partition is a hash of the prefix and
+of the last part, so the phrases of a frequent word are in many, and their number grows with the places there are.
 
 The phrases themselves, their texts and the frequencies of their parts come from joins of each round's table with the one before.
 """
@@ -19,30 +20,47 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, free_name, materialise, slices
+from .common import LOWER, UPPER, discard, materialise, slices
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words of a batch, and of one row of its sequence.
 BATCH_WORDS, ROW_WORDS = 4 << 20, 1 << 18
 #: Keys of a container before it bursts, and of a trie before subtrees leave it.
 BURST, MOST_KEYS = 1 << 13, 600_000
+#: Places of all sequences for each prefix partition: no partition has more phrases of batches than it has places.
+PART_PLACES = 4 << 20
 #: Candidates that are ranked together before the last ranking of a language.
 RANKED = 200_000
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Lower-cases A-Z, turns breaks to a byte that no UTF-8 has and tabs to spaces.
 FOLD = bytes.maketrans(UPPER.encode() + BREAKS + b"\t", LOWER.encode() + b"\xff" * len(BREAKS) + b" ")
 
 _NUMBERED = pa.schema([("batch", pa.int64()), ("kind", pa.int32()), ("at", pa.int32()), ("lang", pa.string()), ("word", pa.string()), ("no", pa.int64()), ("n", pa.int64()), ("blob", pa.binary())])
-_COUNTED = pa.schema([("batch", pa.int64()), ("kind", pa.int32()), ("at", pa.int32()), ("p", pa.int64()), ("s", pa.int64()), ("n", pa.int64()), ("blob", pa.binary())])
+_COUNTED = pa.schema([("batch", pa.int64()), ("kind", pa.int32()), ("at", pa.int32()), ("n", pa.int64()), ("blob", pa.binary())])
+_MERGED = pa.schema([("batch", pa.int64()), ("p", pa.int64()), ("s", pa.int64()), ("id", pa.int64()), ("f", pa.int64()), ("blob", pa.binary())])
 _NUMBERED_SQL = "batch long, kind int, at int, lang string, word string, no long, n long, blob binary"
-_COUNTED_SQL = "batch long, kind int, at int, p long, s long, n long, blob binary"
+_COUNTED_SQL = "batch long, kind int, at int, n long, blob binary"
+_MERGED_SQL = "batch long, p long, s long, id long, f long, blob binary"
 #: Rows of a batch in the order in which they are read: what its numbers mean, ids of its sequence's places, the sequence; and runs.
 MAP, NAMES, SEQUENCE, RUN = range(4)
 
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length in one blob: bytes of like weight lie together, so high zeros cost nothing."""
+    planes = [np.ascontiguousarray(a.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def _unpacked(blob: bytes, count: int) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(count, 8, -1)
+    return [np.ascontiguousarray(a.T).view("<i8").ravel() for a in raw]
+
+
 def _rows(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
     """A record batch of so many rows; a number stands for that many of it, a column that is not given is null."""
     arrays = []
@@ -79,7 +97,7 @@ class _Numbers:
         self.counts[: len(seen)] += seen
         self.words += len(whole)
         self.rows += 1
-        return whole.astype("<i4").tobytes()
+        return _packed(whole)
 
 
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,8 +109,8 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def sequence_row() -> pa.RecordBatch:
         nonlocal parts, size
-        blob, parts, size = held.row(parts), [], 0
-        return _rows(_NUMBERED, 1, batch=batch, kind=SEQUENCE, at=held.rows, blob=[blob])
+        blob, n, parts, size = held.row(parts), size, [], 0
+        return _rows(_NUMBERED, 1, batch=batch, kind=SEQUENCE, at=held.rows, n=n, blob=[blob])
 
     def word_rows() -> Iterator[pa.RecordBatch]:
         for lang, known in held.of.items():
@@ -219,19 +237,25 @@ class HatTrie:
             yield keys[order], counts[order]
 
 
+def _part(p: np.ndarray, s: np.ndarray, parts: int) -> np.ndarray:
+    """Prefix partition of phrases: by a product of both ids, so that the phrases of one prefix are spread."""
+    mixed = p.astype(np.uint64) * SPREAD ^ (s.astype(np.uint64) * SPREAD >> np.uint64(17))
+    return ((mixed * SPREAD >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
 class _Batch:
     """A batch in a round: its numbers' ids and first words, its trie."""
 
-    def __init__(self, number: int, names: np.ndarray | None, rows: list[pa.RecordBatch], level: int):
-        self.number, self.level, self.row = number, level, 0
-        p, s, ids = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in rows]).astype(np.int64) if rows else np.zeros(0, np.int64) for c in ("p", "s", "n"))
+    def __init__(self, number: int, names: np.ndarray | None, maps: list[np.ndarray], level: int, parts: int):
+        self.number, self.level, self.row, self.parts = number, level, 0, parts
+        p, s, ids = np.concatenate(maps, axis=1)
         if level == 2:
             # Words: p is the word's number.
             self.table = np.zeros(int(p.max(initial=0)) + 1, np.int64)
             self.table[p] = np.arange(1, len(p) + 1)
             self.ids, self.first = np.append(0, ids), np.append(0, ids)
         else:
-            old_ids, old_first = names.reshape(2, -1)
+            old_ids, old_first = names
             order = np.argsort(old_ids)
             place = lambda x: order[np.searchsorted(old_ids, x, sorter=order)]
             p, s = place(p), place(s)
@@ -241,14 +265,14 @@ class _Batch:
         self.trie = HatTrie(dense.astype(np.int64))
 
     def names(self) -> pa.RecordBatch:
-        return _rows(_COUNTED, 1, batch=self.number, kind=NAMES, at=0, blob=[np.stack([self.ids, self.first]).astype("<i8").tobytes()])
+        return _rows(_COUNTED, 1, batch=self.number, kind=NAMES, at=0, n=0, blob=[_packed(self.ids, self.first)])
 
     def relabelled(self, sequence: np.ndarray) -> np.ndarray:
         """The sequence by this round's numbers; 0 where no frequent phrase starts, and only one 0 in a row."""
         if self.level == 2:
             out = np.where(sequence < len(self.table), self.table[np.minimum(sequence, len(self.table) - 1)], 0)
         else:
-            pair = sequence[:-1].astype(np.int64) << 32 | sequence[1:]
+            pair = sequence[:-1] << 32 | sequence[1:]
             at = np.searchsorted(self.keys, pair)
             at[at == len(self.keys)] = 0
             out = np.where(self.keys[at] == pair, at + 1, 0) if len(self.keys) else np.zeros(len(pair), np.int64)
@@ -258,28 +282,36 @@ class _Batch:
 
     def read(self, blob: bytes) -> Iterator[pa.RecordBatch]:
         # Rows end with a text, so no phrase goes over their border.
-        sequence = self.relabelled(np.frombuffer(blob, "<i4"))
-        if not len(sequence):
-            return
+        sequence = self.relabelled(_unpacked(blob, 1)[0])
         both = np.flatnonzero((sequence[:-1] > 0) & (sequence[1:] > 0))
         if not len(both):
             return
         self.row += 1
-        yield _rows(_COUNTED, 1, batch=self.number, kind=SEQUENCE, at=self.row, blob=[np.append(sequence, 0).astype("<i4").tobytes()])
+        yield _rows(_COUNTED, 1, batch=self.number, kind=SEQUENCE, at=self.row, n=len(sequence) + 1, blob=[_packed(np.append(sequence, 0))])
         self.trie.add(sequence[both], sequence[both + 1])
         yield from self.runs()
 
     def runs(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
-        for keys, counts in self.trie.spill(everything):
-            for a in range(0, len(keys), 1 << 16):
-                k, n = keys[a : a + (1 << 16)], counts[a : a + (1 << 16)]
-                yield _rows(_COUNTED, len(k), batch=self.number, kind=RUN, p=self.ids[k >> 32], s=self.ids[k & 0xFFFFFFFF], n=n)
-
-
-def _count(level: int):
+        """What leaves the trie, cut by prefix partition."""
+        spilled = list(self.trie.spill(everything))
+        if not spilled:
+            return
+        keys, n = (np.concatenate(x) for x in zip(*spilled))
+        p, s = self.ids[keys >> 32], self.ids[keys & 0xFFFFFFFF]
+        part = _part(p, s, self.parts)
+        order = np.lexsort((s, p, part))
+        p, s, n, part = p[order], s[order], n[order], part[order]
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for lo in range(0, len(cuts) - 1, 256):
+            some = list(zip(cuts[lo : lo + 256], cuts[lo + 1 : lo + 257]))
+            blobs = [_packed(np.diff(p[a:b], prepend=0), s[a:b], n[a:b]) for a, b in some]
+            yield _rows(_COUNTED, len(blobs), batch=self.number, kind=RUN, at=part[[a for a, _ in some]].astype(np.int32), n=np.array([b - a for a, b in some]), blob=blobs)
+
+
+def _count(level: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: _Batch | None = None
-        number, names, rows = None, None, []
+        number, names, maps = None, None, []
         for big in batches:
             numbers, kinds = big.column("batch").to_numpy(), big.column("kind").to_numpy()
             cuts = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(kinds) != 0)) + 1
@@ -290,14 +322,17 @@ def _count(level: int):
                 if numbers[a] != number:
                     if own is not None:
                         yield from own.runs(True)
-                    own, names, rows, number = None, None, [], int(numbers[a])
-                if kinds[a] == MAP:
-                    rows.append(part)
+                    own, names, maps, number = None, None, [], int(numbers[a])
+                if kinds[a] == MAP and level == 2:
+                    no, ids = (part.column(c).to_numpy() for c in ("no", "n"))
+                    maps.append(np.stack([no, 0 * no, ids]))
+                elif kinds[a] == MAP:
+                    maps += [np.stack(_unpacked(x.as_py(), 3)) for x in part.column("blob")]
                 elif kinds[a] == NAMES:
-                    names = np.frombuffer(part.column("blob")[0].as_py(), "<i8")
-                elif rows:
+                    names = _unpacked(part.column("blob")[0].as_py(), 2)
+                elif maps or own is not None:
                     if own is None:
-                        own, rows_, rows = _Batch(number, names, rows, level), None, rows
+                        own, maps = _Batch(number, names, maps, level, parts), []
                         yield own.names()
                     for blob in part.column("blob"):
                         yield from own.read(blob.as_py())
@@ -307,6 +342,50 @@ def _count(level: int):
     return run
 
 
+def _merge(least: int, parts: int):
+    """Runs of prefix partitions, one after the other -> frequent phrases (p, s, id, f), and a blob of (p, s, id) for each batch."""
+
+    def merged(part: int, batch: list[int], blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        runs = [_unpacked(b, 3) for b in blobs]
+        size = np.array([len(r[0]) for r in runs])
+        p, s, n = (np.concatenate(x) for x in ([np.cumsum(r[0]) for r in runs], [r[1] for r in runs], [r[2] for r in runs]))
+        source = np.repeat(np.array(batch, np.int64), size)
+        order = np.lexsort((s, p))
+        p, s, n, source = p[order], s[order], n[order], source[order]
+        first = np.flatnonzero(np.append(True, (np.diff(p) != 0) | (np.diff(s) != 0)))
+        f = np.add.reduceat(n, first)
+        good = f >= least
+        if not good.any():
+            return
+        # Dense: the k-th frequent phrase of the partition.
+        ids = np.cumsum(good) * parts + part
+        yield _rows(_MERGED, int(good.sum()), p=p[first[good]], s=s[first[good]], id=ids[good], f=f[good])
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(p))))
+        keep = good[group]
+        p, s, own, source = p[keep], s[keep], ids[group[keep]], source[keep]
+        order = np.argsort(source, kind="stable")
+        p, s, own, source = p[order], s[order], own[order], source[order]
+        cuts = [0, *(np.flatnonzero(np.diff(source)) + 1).tolist(), len(source)]
+        for lo in range(0, len(cuts) - 1, 256):
+            some = list(zip(cuts[lo : lo + 256], cuts[lo + 1 : lo + 257]))
+            yield _rows(_MERGED, len(some), batch=source[[a for a, _ in some]], blob=[_packed(p[a:b], s[a:b], own[a:b]) for a, b in some])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, ([], [])
+        for b in batches:
+            for at, batch, blob in zip(*(b.column(c).to_pylist() for c in ("at", "batch", "blob"))):
+                if at != part:
+                    if held[0]:
+                        yield from merged(part, *held)
+                    part, held = at, ([], [])
+                held[0].append(batch)
+                held[1].append(blob)
+        if held[0]:
+            yield from merged(part, *held)
+
+    return run
+
+
 def _frequent(rows: DataFrame, key: list[str], least: int, name: str) -> DataFrame:
     """Rows whose key has `least` in all, with f and an id per key; head: one row of each key. Written down, so ids stay."""
     same = Window.partitionBy(*key)
@@ -327,24 +406,28 @@ def phrases(docs: DataFrame, *, least: int = LEAST, longest: int = LONGEST, top:
     text = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     read = materialise(text.mapInArrow(_number, _NUMBERED_SQL), "phrase-words")
     words = read.where(F.col("kind") == MAP).select("batch", "lang", "word", "no", "n")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = materialise(words.groupBy("lang").agg(F.sum("n").alias("total")), "phrase-totals")
     marked = _frequent(words, ["lang", "word"], least, "phrase-vocabulary")
     table = marked.where("head").select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array().cast("array<bigint>").alias("pf"), F.array().cast("array<bigint>").alias("sf"))
-    sequences = read.where(F.col("kind") == SEQUENCE).select("batch", "kind", "at", "blob")
-    maps = marked.select("batch", F.col("no").alias("p"), F.lit(0).cast("long").alias("s"), F.col("id").alias("n"))
-    tables = []
+    maps = marked.select("batch", "no", F.col("id").alias("n"))
+    before, tables = read, []
     for level in range(2, longest + 1):
-        given = maps.select("batch", F.lit(MAP).alias("kind"), F.lit(0).alias("at"), "p", "s", "n", F.lit(None).cast("binary").alias("blob")).unionByName(sequences, allowMissingColumns=True)
-        counted = materialise(given.repartition("batch").sortWithinPartitions("batch", "kind", "at").mapInArrow(_count(level), _COUNTED_SQL), f"phrase-{level}")
-        marked = _frequent(counted.where(F.col("kind") == RUN).select("batch", "p", "s", "n"), ["p", "s"], least, f"phrase-{level}-frequent")
+        sequences = before.where(F.col("kind").isin(NAMES, SEQUENCE)).select("batch", "kind", "at", "n", "blob")
+        places = sequences.where(F.col("kind") == SEQUENCE).agg(F.sum("n")).first()[0] or 0
+        parts = max(1, -(-places // PART_PLACES))
+        given = maps.select(F.lit(MAP).alias("kind"), F.lit(0).alias("at"), *maps.columns).unionByName(sequences, allowMissingColumns=True)
+        counted = materialise(given.repartition("batch").sortWithinPartitions("batch", "kind", "at").mapInArrow(_count(level, parts), _COUNTED_SQL), f"phrase-{level}")
+        discard(before)
+        runs = counted.where(F.col("kind") == RUN).select("at", "batch", "blob")
+        merged = materialise(runs.repartition("at").sortWithinPartitions("at").mapInArrow(_merge(least, parts), _MERGED_SQL), f"phrase-{level}-frequent")
         p, s = table.alias("p"), table.alias("s")
-        joined = marked.where("head").select("id", "p", "s", "f").alias("g").join(p, F.col("g.p") == F.col("p.id")).join(s, F.col("g.s") == F.col("s.id"))
+        joined = merged.where("id is not null").alias("g").join(p, F.col("g.p") == F.col("p.id")).join(s, F.col("g.s") == F.col("s.id"))
         table = materialise(joined.select(
             "g.id", "p.lang", F.concat_ws(" ", "p.phrase", "s.last").alias("phrase"), "s.last", "g.f", F.concat("p.pf", F.array("p.f")).alias("pf"), F.concat("s.sf", F.array("s.f")).alias("sf"),
             F.when(F.col("g.f") == F.col("p.f"), F.col("g.p")).alias("covers_p"), F.when(F.col("g.f") == F.col("s.f"), F.col("g.s")).alias("covers_s")), f"phrase-{level}-table")
         tables.append(table)
-        maps = marked.select("batch", "p", "s", F.col("id").alias("n"))
-        sequences = counted.where(F.col("kind").isin(NAMES, SEQUENCE)).select("batch", "kind", "at", "blob")
+        maps, before = merged.where("batch is not null").select("batch", "blob"), counted
+    discard(before)
     found = None
     for shorter, longer in zip(tables, [*tables[1:], None]):
         if longer is not None:

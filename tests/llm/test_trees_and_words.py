@@ -190,6 +190,7 @@ def test_phrases(spark, monkeypatch, least, longest, top):
     monkeypatch.setattr(phrases, "BATCH_WORDS", 900)
     monkeypatch.setattr(phrases, "ROW_WORDS", 200)
     monkeypatch.setattr(phrases, "RANKED", 10)
+    monkeypatch.setattr(phrases, "PART_PLACES", 700)
     rows = phrase_rows()
     table = spark.createDataFrame([(k, *r, 1, "q") for k, r in enumerate(rows)], "doc_id long, lang string, text string, batch int, word string")
     got = phrases.phrases(table.repartition(4), least=least, longest=longest, top=top).drop("k")
