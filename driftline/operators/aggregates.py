@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import physics
-from ..schema import DAY, SECOND, per_probe
+from ..schema import DAY, SECOND
+from .scan import SLICE, is_small, scan, total
 
 
 def bin_start(seconds: int) -> Column:
@@ -23,17 +24,17 @@ def binned(df: DataFrame, seconds: int, columns: Sequence[str]) -> DataFrame:
     """A1, A2: means per bin, and rows per bin. Bins with at most a tenth of the mean number of rows go,
     and so do bins without values; where the bin exceeds a probe's span its rows make one at their mean time.
 
-    One shuffle of partial sums; the tenth rule runs over bins. Without a bin that divides the day,
-    the first day of each probe comes from a second, equally small aggregate.
+    One shuffle of partial sums. A probe's span and mean number of rows come from its bins, by one more aggregate over them; the tenth
+    rule is a join with those few numbers. Without a bin that divides the day, the first day of each probe
+    comes from an aggregate of its own.
     """
     size = seconds * SECOND
-    span = df.groupBy("probe").agg(F.min("t").alias("_t0"), F.max("t").alias("_t1")).withColumn("_day0", F.floor(F.col("_t0") / DAY) * DAY)
-    rows = df if DAY % size == 0 else df.join(span.select("probe", "_day0"), "probe")
-    out = rows.groupBy("probe", bin_start(seconds).alias("t")).agg(F.count(F.lit(1)).alias("rows"), F.sum("t").alias("_sum_t"), *[F.count(c).alias(f"_n_{c}") for c in columns], *[F.sum(c).alias(f"_s_{c}") for c in columns])
+    rows = df if DAY % size == 0 else df.join(df.groupBy("probe").agg((F.floor(F.min("t") / DAY) * DAY).alias("_day0")), "probe")
+    out = rows.groupBy("probe", bin_start(seconds).alias("t")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("t").alias("_sum_t"), F.min("t").alias("_t0"), F.max("t").alias("_t1"), *[F.count(c).alias(f"_n_{c}") for c in columns], *[F.sum(c).alias(f"_s_{c}") for c in columns])
     out = out.withColumns({c: F.col(f"_s_{c}") / F.nullif(F.col(f"_n_{c}"), F.lit(0)) for c in columns})
-    out = out.join(span, "probe").withColumn("_one", F.col("_t1") - F.col("_t0") < size)
-    w = per_probe()
-    out = out.withColumn("_mean_rows", F.avg("rows").over(w)).where(F.col("_one") | (F.col("rows") > F.col("_mean_rows") / 10))
+    whole = out.groupBy("probe").agg((F.max("_t1") - F.min("_t0") < size).alias("_one"), F.avg("rows").alias("_mean_rows"))
+    out = out.join(whole, "probe").where(F.col("_one") | (F.col("rows") > F.col("_mean_rows") / 10))
     # A short probe may lie over a bin border: its one row joins its bins.
     one = out.where("_one").groupBy("probe").agg(F.floor(F.sum("_sum_t") / F.sum("rows")).alias("t"), F.sum("rows").alias("rows"), *[(F.sum(f"_s_{c}") / F.nullif(F.sum(f"_n_{c}"), F.lit(0))).alias(c) for c in columns])
     many = out.where(~F.col("_one") & F.coalesce(*columns).isNotNull()).select("probe", "t", "rows", *columns)
@@ -82,9 +83,32 @@ def mean_deviation(df: DataFrame, column: str) -> DataFrame:
     return df.join(mean, "probe").groupBy("probe").agg(F.avg(F.abs(F.col(column) - F.col("_m"))).alias("mad"))
 
 
+#: Ranges of values that a median is looked for in.
+MEDIAN_RANGES = 256
+
+
+def medians(df: DataFrame, column: str) -> DataFrame:
+    """The exact median of each probe: probe, median (the mean of the two middle values of an even number).
+
+    Values are counted by aggregation, and the counts, dealt into ranges of values, are summed up in order by a scan: no probe's values
+    are in one task, and nothing is held but counts. Small tables have Spark's own median.
+    """
+    v = df.where(F.col(column).isNotNull()).select("probe", F.col(column).cast("double").alias("v"))
+    if is_small(df):
+        return v.groupBy("probe").agg(F.median("v").alias("median"))
+    counts = v.groupBy("probe", "v").agg(F.count(F.lit(1)).alias("n"))
+    # From the counts as well, so that the values are shuffled once.
+    ends = counts.groupBy("probe").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"), F.sum("n").alias("_all"))
+    part = F.coalesce(F.floor((F.col("v") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * MEDIAN_RANGES), F.lit(0)).cast("long")
+    x = scan(counts.join(ends, "probe").withColumn(SLICE, part), {"_upto": total(F.col("n"))}, ("v",))
+    holds = lambda k: (F.col("_upto") > k) & (F.col("_upto") - F.col("n") <= k)
+    low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+    return x.groupBy("probe").agg(((F.max(F.when(holds(low), F.col("v"))) + F.max(F.when(holds(high), F.col("v")))) / 2).alias("median"))
+
+
 def median_direction(df: DataFrame) -> DataFrame:
     """A7."""
-    m = df.groupBy("probe").agg(F.median("u").alias("mu"), F.median("v").alias("mv"))
+    m = medians(df, "u").withColumnRenamed("median", "mu").join(medians(df, "v").withColumnRenamed("median", "mv"), "probe")
     return m.select("probe", (-F.degrees(F.atan2("mu", "mv"))).alias("azimuth_add"))
 
 

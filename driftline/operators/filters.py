@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import DAY, ordered, per_probe
+from ..schema import DAY
+from .scan import after, before, position, scan
 
 
 def _column(df: DataFrame, name: str) -> str | None:
@@ -67,19 +68,19 @@ def with_parameters(df: DataFrame, own: DataFrame, common: dict[str, object]) ->
 def moving(df: DataFrame, column: str, noise: float = 0.0) -> DataFrame:
     """works = the value moves by more than noise to the next row, or between stride starts of 16 or
     32 rows in either following block; all true where over 10 % of the steps are NULL."""
-    w = ordered()
-    x = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_d", F.col(column) - F.lag(column).over(w))
-    share = F.count_if((F.col("_i") > 0) & F.col("_d").isNull()).over(per_probe()) / F.count(F.lit(1)).over(per_probe())
+    x = scan(df, {"_i": position(), "_before": before(F.col(column)), "_after": after(F.col(column))}).withColumn("_d", F.col(column) - F.col("_before"))
+    share = x.groupBy("probe").agg((F.count_if((F.col("_i") > 0) & F.col("_d").isNull()) / F.count(F.lit(1))).alias("_share"))
     # A step belongs to the row before it; the first row repeats the first step.
-    step = F.coalesce(F.when(F.col("_i") == 0, F.lead("_d").over(w)).otherwise(F.col("_d")), F.lit(0.0))
+    step = F.coalesce(F.when(F.col("_i") == 0, F.col("_after") - F.col(column)).otherwise(F.col("_d")), F.lit(0.0))
     out = x.withColumn("_own", F.abs(step) > noise).withColumn("_p", F.greatest(F.col("_i") - 1, F.lit(0)))
     for stride in (16, 32):
         starts = x.where(F.col("_i") % stride == 0).select("probe", (F.col("_i") / stride).cast("long").alias("_b"), F.col(column).alias("_v"), "t", "seq")
-        jump = F.abs(F.lead("_v").over(ordered()) - F.col("_v")) > noise
+        starts = scan(starts, {"_next": after(F.col("_v"))})
+        jump = F.abs(F.col("_next") - F.col("_v")) > noise
         blocks = starts.select("probe", "_b", F.coalesce(jump, F.lit(False)).alias(f"_j{stride}"))
         out = out.withColumn("_b", F.floor(F.col("_p") / stride)).join(blocks, ["probe", "_b"], "left").drop("_b")
     works = F.col("_own") | F.coalesce("_j16", F.lit(False)) | F.coalesce("_j32", F.lit(False))
-    return out.withColumn("_share", share).withColumn("works", (F.col("_share") > 0.1) | works).drop("_i", "_d", "_own", "_p", "_j16", "_j32", "_share")
+    return out.join(share, "probe").withColumn("works", (F.col("_share") > 0.1) | works).select(*df.columns, "works")
 
 
 def too_frequent(df: DataFrame, column: str, percent: float = 0.5) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DAY
+from .scan import last, scan, upcoming
 
 
 def coefficients(stores: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
@@ -22,35 +23,38 @@ def coefficients(stores: DataFrame, overrides: DataFrame | None = None) -> DataF
     return joined.withColumns(pick).select("probe", *fields)
 
 
-def neighbours(queries: DataFrame, data: DataFrame, value: str) -> DataFrame:
-    """For each query the data rows before (or at) and after (or at) it, by one sort of both sides.
+def neighbours(queries: DataFrame, data: DataFrame, value: str, *, width: int | None = None) -> DataFrame:
+    """For each query the data rows before (or at) and after (or at) it, by one scan of both sides in slices of time.
 
-    queries(probe, qid, t), data(probe, t, value). One shuffle on the probe, no pairs.
+    queries(probe, qid, t), data(probe, t, value). No pairs; a row per slice and probe goes into one task.
     """
     both = data.select("probe", "t", F.struct(F.col("t").alias("t"), F.col(value).alias("v")).alias("_r"), F.lit(None).cast("long").alias("qid")).unionByName(
         queries.select("probe", "t", F.lit(None).cast(f"struct<t:bigint,v:{dict(data.dtypes)[value]}>").alias("_r"), F.col("qid").cast("long").alias("qid")))
-    w = Window.partitionBy("probe").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    # The following side runs over descending time: frames that end at UNBOUNDED FOLLOWING are quadratic.
-    a = Window.partitionBy("probe").orderBy(F.col("t").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = both.withColumns({"_b": F.last("_r", True).over(w), "_a": F.last("_r", True).over(a)}).where("qid is not null")
+    # At one time data come before queries, so the row at a query's own time is before it; it is the one after it as well.
+    both = both.withColumn("_q", F.col("qid").isNotNull().cast("int"))
+    seen = scan(both, {"_b": last(F.col("_r")), "_a": upcoming(F.col("_r"))}, ("t", "_q"), width).where("qid is not null")
+    seen = seen.withColumn("_a", F.when(F.col("_b.t") == F.col("t"), F.col("_b")).otherwise(F.col("_a")))
     return seen.select("probe", "qid", "t", F.col("_b.t").alias("before_t"), F.col("_b.v").alias("before_v"), F.col("_a.t").alias("after_t"), F.col("_a.v").alias("after_v"))
 
 
-def nearest(queries: DataFrame, data: DataFrame, value: str) -> DataFrame:
+def _use_before() -> Column:
+    return F.col("after_t").isNull() | ((F.col("before_t").isNotNull()) & (F.col("t") - F.col("before_t") < F.col("after_t") - F.col("t")))
+
+
+def nearest(queries: DataFrame, data: DataFrame, value: str, *, width: int | None = None) -> DataFrame:
     """The nearest row; the one before only if strictly closer; ends take what there is."""
-    n = neighbours(queries, data, value)
-    use_before = F.col("after_t").isNull() | ((F.col("before_t").isNotNull()) & (F.col("t") - F.col("before_t") < F.col("after_t") - F.col("t")))
-    return n.select("probe", "qid", "t", F.when(use_before, F.col("before_t")).otherwise(F.col("after_t")).alias("found_t"), F.when(use_before, F.col("before_v")).otherwise(F.col("after_v")).alias("found_v"))
+    n, use = neighbours(queries, data, value, width=width), _use_before()
+    return n.select("probe", "qid", "t", F.when(use, F.col("before_t")).otherwise(F.col("after_t")).alias("found_t"), F.when(use, F.col("before_v")).otherwise(F.col("after_v")).alias("found_v"))
 
 
-def points(queries: DataFrame, data: DataFrame, value: str, tolerance: int = 1_000_000) -> DataFrame:
+def points(queries: DataFrame, data: DataFrame, value: str, tolerance: int = 1_000_000, *, width: int | None = None) -> DataFrame:
     """Nearest values; if any query of a probe is farther than tolerance, all its queries are interpolated."""
-    n, near = neighbours(queries, data, value), nearest(queries, data, value)
-    joined = n.join(near.select("probe", "qid", "found_t", "found_v"), ["probe", "qid"])
-    far = F.max(F.abs(F.col("found_t") - F.col("t")) > tolerance).over(Window.partitionBy("probe"))
+    n, use = neighbours(queries, data, value, width=width), _use_before()
+    n = n.withColumns({"found_t": F.when(use, F.col("before_t")).otherwise(F.col("after_t")), "found_v": F.when(use, F.col("before_v")).otherwise(F.col("after_v"))})
+    far = n.groupBy("probe").agg(F.max(F.abs(F.col("found_t") - F.col("t")) > tolerance).alias("_far"))
     span = F.col("after_t") - F.col("before_t")
     line = F.when(span > 0, F.col("before_v") + (F.col("after_v") - F.col("before_v")) * ((F.col("t") - F.col("before_t")) / span)).otherwise(F.coalesce("before_v", "after_v"))
-    return joined.withColumn("_far", far).select("probe", "qid", "t", F.when(F.col("_far"), F.coalesce(line, "before_v", "after_v")).otherwise(F.col("found_v")).alias("value"), F.col("_far").alias("interpolated"))
+    return n.join(far, "probe").select("probe", "qid", "t", F.when(F.col("_far"), F.coalesce(line, "before_v", "after_v")).otherwise(F.col("found_v")).alias("value"), F.col("_far").alias("interpolated"))
 
 
 def time_difference(found: DataFrame, tolerance: int = 1_000_000) -> DataFrame:
@@ -71,11 +75,17 @@ def overlapping(log: DataFrame, t_start: int, t_end: int) -> DataFrame:
     return log.where((F.col("t_start") <= t_end) & (F.col("t_end") > t_start))
 
 
-def intersections(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Common parts of the ranges of two tables, per probe."""
-    x = a.select("probe", F.col("t_start").alias("_s"), F.col("t_end").alias("_e"))
-    both = x.join(b.select("probe", "t_start", "t_end"), "probe").where("_s <= t_end and t_start <= _e")
-    return both.select("probe", F.greatest("_s", "t_start").alias("t_start"), F.least("_e", "t_end").alias("t_end"))
+def intersections(a: DataFrame, b: DataFrame, slot: int = DAY) -> DataFrame:
+    """Common parts of the ranges of two tables, per probe. Both are cut into time slots, as in J6; a pair counts in the
+    slot in which its common part begins, so it counts once."""
+
+    def cut(x: DataFrame) -> DataFrame:
+        return x.withColumn("_slot", F.explode(F.sequence(F.floor(F.col("_s") / slot), F.floor(F.col("_e") / slot))))
+
+    x = cut(a.select("probe", F.col("t_start").alias("_s"), F.col("t_end").alias("_e")).where("_s <= _e"))
+    y = cut(b.select("probe", F.col("t_start").alias("_s"), F.col("t_end").alias("_e")).where("_s <= _e")).withColumnsRenamed({"_s": "_s2", "_e": "_e2"})
+    both = x.join(y, ["probe", "_slot"]).select("probe", "_slot", F.greatest("_s", "_s2").alias("t_start"), F.least("_e", "_e2").alias("t_end"))
+    return both.where((F.col("t_start") <= F.col("t_end")) & (F.floor(F.col("t_start") / slot) == F.col("_slot"))).drop("_slot")
 
 
 def wide(df: DataFrame, probes: list[str], columns: list[str], key: str = "t") -> DataFrame:

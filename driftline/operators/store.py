@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import DAY, SECOND, timestamp
+from ..scratch import kept_table
 from .joins import within_intervals
 
 DIGITS = {"Vdir": 4, "inclination": 4, "Pressure": 3}
@@ -89,6 +90,62 @@ def merged(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.join(start, "probe", "left").where("_t0 is null or t < _t0").drop("_t0").unionByName(new, allowMissingColumns=True)
 
 
+def last_delivery(old: DataFrame, new: DataFrame) -> DataFrame:
+    """K9, the seam: the stored rows that stay before new ones. Those from the probe's first new time on go. Where the store has
+    that time more than once, it was delivered more than once: only the rows between the last two of them, by their place (seq), stay.
+    A probe without new rows stays whole."""
+    start = new.groupBy("probe").agg(F.min("t").alias("_t0"))
+    x = old.join(start, "probe", "left")
+    at = F.when(F.col("t") == F.col("_t0"), F.col("seq"))
+    final = x.groupBy("probe").agg(F.max(at).alias("_last"))
+    x = x.join(final, "probe", "left")
+    again = x.groupBy("probe").agg(F.max(F.when(F.col("seq") < F.col("_last"), at)).alias("_again"))
+    x = x.join(again, "probe", "left")
+    inside = F.col("_again").isNull() | F.col("seq").between(F.col("_again") + 1, F.col("_last") - 1)
+    return x.where(F.col("_t0").isNull() | ((F.col("t") < F.col("_t0")) & inside)).select(*old.columns)
+
+
+def merged_log(old: DataFrame, new: DataFrame) -> DataFrame:
+    """K9, the log: of rows of a probe with one start the first stays: an old one, else the first of a table by its file's change time."""
+    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    w = Window.partitionBy("probe", "t_start").orderBy("_new", "changed", "t_end")
+    return both.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_new")
+
+
+def merge_into(path: str, new: DataFrame) -> DataFrame:
+    """K9: new rows into a store in partitions by probe and day; gives the partitions that were rewritten (probe, day, rows; 0: left empty).
+
+    From the seam's day on a probe's partitions are rewritten by dynamic overwrite (those that lose all rows keep an empty file's
+    place by one row that is marked and never read: `dead`). Days before the seam are touched only where a repeated delivery is cut.
+    """
+    spark = new.sparkSession
+    old = spark.read.parquet(path).where(~F.col("dead")).drop("dead")
+    day = F.floor(F.col("t") / DAY).cast("long")
+    new = kept_table(new.withColumn("day", day))
+    stays = last_delivery(old, new)
+    before = old.groupBy("probe", "day").agg(F.count(F.lit(1)).alias("_n"))
+    after = stays.groupBy("probe", "day").agg(F.count(F.lit(1)).alias("_m"))
+    fewer = before.join(after, ["probe", "day"], "left").where("_m is null or _m < _n").select("probe", "day")
+    touched = kept_table(fewer.union(new.select("probe", "day")).distinct())
+    rows = stays.join(touched, ["probe", "day"], "left_semi").unionByName(new.select(*old.columns)).withColumn("dead", F.lit(False))
+    rows = kept_table(rows)
+    counts = touched.join(rows.groupBy("probe", "day").agg(F.count(F.lit(1)).alias("rows")), ["probe", "day"], "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    empty = counts.where("rows = 0").select("probe", "day", F.lit(True).alias("dead"))
+    full = rows.unionByName(empty, allowMissingColumns=True)
+    write_days(full, path)
+    return counts
+
+
+def write_days(rows: DataFrame, path: str) -> None:
+    """Rows (probe, day, dead, ...) to partitions by probe and day; those that rows have take the place of old ones."""
+    rows.repartition("probe", "day").sortWithinPartitions("probe", "day", "t", "seq").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("probe", "day").parquet(path)
+
+
+def stored_days(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of such a store."""
+    return spark.read.parquet(path).where(~F.col("dead")).drop("dead", "day")
+
+
 def merged_runs(log: DataFrame, group: str) -> DataFrame:
     """Log rows of a run group as one: start of the first, end of the last, rows summed."""
     return log.groupBy("probe", group).agg(F.min("t_start").alias("t_start"), F.max_by("t_end", "t_start").alias("t_end"), F.sum("rows").alias("rows"))

@@ -1,35 +1,37 @@
-"""Time correction (T1-T15; T1 composes the others). All but T3 and T7 are windows over (probe; seq) or (probe; t, seq)."""
+"""Time correction (T1-T15; T1 composes the others). Rows are scanned in slices by source order or by time (scan.py);
+T3 and T7 go through Python where a step depends on all before it."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import DAY, SECOND, ordered, per_probe, timestamp
+from ..schema import DAY, SECOND, ordered, timestamp
+from .aggregates import medians
+from .scan import after, before, haloed, highest, kept_if_large, last, lowest_from, position, scan, total, upcoming
 
-def _source() -> WindowSpec:
-    return Window.partitionBy("probe").orderBy("seq")
+#: Order of the source.
+SOURCE = ("seq",)
 
 
-def sampling_frequency(df: DataFrame) -> DataFrame:
+def sampling_frequency(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """Rows per second of each probe by source order: rows per time step, without steps beyond three
     deviations of the median; and the numbers of equal and of decreasing steps."""
-    d = df.withColumn("_d", F.col("t") - F.lag("t").over(_source()))
-    steps = d.groupBy("probe").agg(F.count_if(F.col("_d") == 0).alias("equal"), F.count_if(F.col("_d") < 0).alias("decreasing"))
-    runs = d.withColumn("_r", F.sum(F.when(F.col("_d") != 0, 1).otherwise(0)).over(_source())).groupBy("probe", "_r").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t"))
-    rate = runs.withColumn("_step", F.lead("t").over(Window.partitionBy("probe").orderBy("_r")) - F.col("t")).where("_step > 0").withColumn("f", F.col("n") * SECOND / F.col("_step"))
-    mid = rate.groupBy("probe").agg(F.median("f").alias("_m"), F.stddev_pop("f").alias("_s"))
-    fs = rate.join(mid, "probe").where(F.abs(F.col("f") - F.col("_m")) <= 3 * F.col("_s")).groupBy("probe").agg(F.avg("f").alias("fs"))
+    x = scan(df.select("probe", "seq", "t"), {"_b": before(F.col("t")), "_i": position()}, SOURCE, width).withColumn("_d", F.col("t") - F.col("_b"))
+    steps = x.groupBy("probe").agg(F.count_if(F.col("_d") == 0).alias("equal"), F.count_if(F.col("_d") < 0).alias("decreasing"))
+    # Where a run of one time starts; the next start tells how many rows it has.
+    starts = scan(x.where("_i = 0 or _d <> 0"), {"_next": after(F.struct("_i", "t"))}, SOURCE, width)
+    rate = starts.withColumn("_step", F.col("_next.t") - F.col("t")).where("_step > 0").select("probe", ((F.col("_next._i") - F.col("_i")) * SECOND / F.col("_step")).alias("f"))
+    mid = medians(rate, "f").join(rate.groupBy("probe").agg(F.stddev_pop("f").alias("_s")), "probe")
+    fs = rate.join(mid, "probe").where(F.abs(F.col("f") - F.col("median")) <= 3 * F.col("_s")).groupBy("probe").agg(F.avg("f").alias("fs"))
     return steps.join(fs, "probe", "left").select("probe", "fs", "equal", "decreasing")
 
 
-def _backwards() -> WindowSpec:
-    """For what follows a row: a frame that ends at UNBOUNDED FOLLOWING is rebuilt for every row."""
-    return Window.partitionBy("probe").orderBy(F.col("seq").desc()).rowsBetween(Window.unboundedPreceding, 0)
-
-
 def longest_increasing(times: np.ndarray) -> np.ndarray:
     """Mask of a longest non-decreasing subsequence (patience piles with back links)."""
     tails = np.empty(len(times), np.int64)
@@ -59,17 +61,16 @@ def _by_chunk(df: DataFrame, mask, out: str) -> DataFrame:
     return df.select("probe", "_part", "t", "seq").groupBy("probe", "_part").applyInPandas(run, schema)
 
 
-def without_inversions(df: DataFrame) -> DataFrame:
+def without_inversions(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """ok = the row is in a longest non-decreasing subsequence of times by source order.
 
     Where no later time lies before a row and none before it lies after, the series splits: a longest
     subsequence of the whole is one of each part. Parts in order need no Python at all; the others
     go to it one by one, so a group is as long as a disorder reaches, not as a probe.
     """
-    upto = F.max("t").over(_source().rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min("t").over(_backwards())
-    cut = F.when(upto.isNull() | (upto <= after), 1).otherwise(0)
-    parts = df.withColumn("_cut", cut).withColumn("_part", F.sum("_cut").over(_source())).drop("_cut")
+    seen = scan(df, {"_upto": highest(F.col("t"), own=False), "_from": lowest_from(F.col("t"))}, SOURCE, width, keep_slices=True)
+    cut = F.when(F.col("_upto").isNull() | (F.col("_upto") <= F.col("_from")), 1).otherwise(0)
+    parts = scan(seen.withColumn("_cut", cut), {"_part": total(F.col("_cut"))}, SOURCE, width).select(*df.columns, "_part")
     size = F.count(F.lit(1)).over(Window.partitionBy("probe", "_part"))
     sized = parts.withColumn("_size", size)
     judged = _by_chunk(sized.where("_size > 1"), longest_increasing, "ok")
@@ -77,83 +78,115 @@ def without_inversions(df: DataFrame) -> DataFrame:
         sized.where("_size > 1").drop("_part", "_size").join(judged, ["probe", "seq"]))
 
 
-def spread_repeats(df: DataFrame, freq: float | Column) -> DataFrame:
+def spread_repeats(df: DataFrame, freq: float | Column, *, width: int | None = None) -> DataFrame:
     """T4: rows with one time are spread by 1/freq from the first; closer where the run would pass the next time."""
-    d = df.withColumn("_run", F.sum(F.when(F.col("t") != F.lag("t").over(_source()), 1).otherwise(0)).over(_source()))
-    w = Window.partitionBy("probe", "_run")
-    d = d.withColumns({"_k": F.row_number().over(w.orderBy("seq")) - 1, "_n": F.count(F.lit(1)).over(w)})
-    following = F.min(F.when(F.col("_k") == 0, F.col("t"))).over(Window.partitionBy("probe").orderBy("_run").rangeBetween(1, 1))
-    step = F.least(F.lit(SECOND / freq), (following - F.col("t")) / F.col("_n"))
-    return d.withColumn("_step", F.coalesce(step, F.lit(SECOND / freq))).withColumn("t", (F.col("t") + F.floor(F.col("_k") * F.col("_step"))).cast("long")).drop("_run", "_k", "_n", "_step")
+    x = scan(df, {"_b": before(F.struct("t")), "_i": position()}, SOURCE, width, keep_slices=True)
+    start = F.when(F.col("_b").isNull() | F.coalesce(F.col("_b.t") != F.col("t"), F.lit(False)), F.struct("_i", "t"))
+    x = scan(x.withColumn("_start", start), {"_own": last(F.col("_start")), "_next": upcoming(F.col("_start"), own=False)}, SOURCE, width)
+    step = F.least(F.lit(SECOND / freq), (F.col("_next.t") - F.col("t")) / (F.col("_next._i") - F.col("_own._i")))
+    moved = (F.col("t") + F.floor((F.col("_i") - F.col("_own._i")) * F.coalesce(step, F.lit(SECOND / freq)))).cast("long")
+    return x.withColumn("t", moved).select(*df.columns)
 
 
-def day_jumps(df: DataFrame) -> DataFrame:
+def day_jumps(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """T5: steps of a day, up or down (within ten median steps, at least ten seconds), bound stretches that are
     a day off: between the first and second jump, the third and fourth, and so on. A stretch moves
     against its first jump."""
-    d = df.withColumn("_d", F.col("t") - F.lag("t").over(_source()))
-    mid = d.groupBy("probe").agg((F.greatest(F.median("_d"), F.lit(float(SECOND))) * 10).alias("_tol"))
-    j = d.join(mid, "probe")
+    d = scan(df, {"_b": before(F.col("t"))}, SOURCE, width, keep_slices=True).withColumn("_d", F.col("t") - F.col("_b"))
+    mid = medians(d, "_d").select("probe", (F.greatest("median", F.lit(float(SECOND))) * 10).alias("_tol"))
+    j = d.join(mid, "probe", "left").withColumn("_tol", F.coalesce("_tol", F.lit(10.0 * SECOND)))
     up = (F.col("_d") > DAY - F.col("_tol")) & (F.col("_d") <= DAY + F.col("_tol"))
     down = (F.col("_d") < -DAY + F.col("_tol")) & (F.col("_d") >= -DAY - F.col("_tol"))
-    j = j.withColumn("_j", F.when(up, 1).when(down, -1).otherwise(0)).withColumn("_n", F.sum(F.abs("_j")).over(_source()))
-    sign = F.last(F.when((F.col("_j") != 0) & (F.col("_n") % 2 == 1), F.col("_j")), True).over(_source())
-    return j.withColumn("_sign", sign).withColumn("t", F.when(F.col("_n") % 2 == 1, F.col("t") - F.col("_sign") * DAY).otherwise(F.col("t"))).drop("_d", "_tol", "_j", "_n", "_sign")
+    j = j.withColumn("_j", F.when(up, 1).when(down, -1))
+    # Inside a stretch the latest jump is the one it began with.
+    j = scan(j, {"_n": total(F.abs("_j")), "_sign": last(F.col("_j"))}, SOURCE, width)
+    return j.withColumn("t", F.when(F.col("_n") % 2 == 1, F.col("t") - F.col("_sign") * DAY).otherwise(F.col("t"))).select(*df.columns)
 
 
-def linear_between_holes(df: DataFrame, freq: float | Column, hole: int = 20 * SECOND) -> DataFrame:
+def linear_between_holes(df: DataFrame, freq: float | Column, hole: int = 20 * SECOND, *, width: int | None = None) -> DataFrame:
     """Between holes longer than `hole`, steps of 1/freq from the first time, in three cases by where they end:
     nearer than two holes to the real end, they are the times; short of it (rows were lost), only rows whose
     time does not grow are moved, by steps after the last row that does; beyond it, the steps are made shorter,
     so that rows that repeat the first or the last time do not count."""
-    w = ordered()
-    h = df.withColumn("_h", F.sum(F.when(F.col("t") - F.lag("t").over(w) > hole, 1).otherwise(0)).over(w))
-    p, by = Window.partitionBy("probe", "_h"), Window.partitionBy("probe", "_h").orderBy("t", "seq")
-    h = h.withColumns({"_k": F.row_number().over(by) - 1, "_n": F.count(F.lit(1)).over(p), "_s": F.min("t").over(p), "_e": F.max("t").over(p), "_up": F.coalesce(F.col("t") > F.lag("t").over(by), F.lit(False))})
-    up = F.when(F.col("_up"), F.col("_k"))
-    h = h.withColumns({"_first": F.min(up).over(p), "_last": F.max(up).over(p), "_kept": F.coalesce(F.last(up, True).over(by), F.lit(0))})
+    h = scan(df, {"_b": before(F.col("t")), "_i": position()}, width=width, keep_slices=True)
+    h = h.withColumns({"_new": F.col("_b").isNull() | (F.col("t") - F.col("_b") > hole), "_up": F.coalesce((F.col("t") > F.col("_b")) & (F.col("t") - F.col("_b") <= hole), F.lit(False))})
+    # A stretch is known at its first row: where it starts, and what came before it, which is the end of the one before.
+    up = F.when(F.col("_up"), F.col("_i"))
+    ends = h.groupBy("probe").agg(F.count(F.lit(1)).alias("_rows"), F.max("t").alias("_t1"), F.max(up).alias("_all_ups"))
+    h = scan(h, {"_ups": last(up, own=False), "_next_up": upcoming(up, own=False)}, width=width, keep_slices=True)
+    start = F.when(F.col("_new"), F.struct("_i", "t", "_b", "_ups", "_next_up"))
+    h = scan(h.withColumn("_start", start), {"_own": last(F.col("_start")), "_then": upcoming(F.col("_start"), own=False), "_kept_i": last(up)}, width=width)
+    h = h.join(ends, "probe")
+    s0, k0 = F.col("_own.t"), F.col("_own._i")
+    h = h.withColumns({"_k": F.col("_i") - k0, "_n": F.coalesce("_then._i", "_rows") - k0, "_s": s0, "_e": F.coalesce("_then._b", "_t1"), "_kept": F.greatest(F.coalesce(F.col("_kept_i") - k0, F.lit(0)), F.lit(0)),
+                       "_first": F.col("_own._next_up") - k0, "_last": F.when(F.col("_then").isNull(), F.col("_all_ups")).otherwise(F.col("_then._ups")) - k0})
+    some = (F.col("_first") < F.col("_n")) & (F.col("_last") > 0)  # rows that grow are inside the stretch
+    h = h.withColumns({"_first": F.when(some, F.col("_first")), "_last": F.when(some, F.col("_last"))})
     ideal = SECOND / (F.lit(freq) if not isinstance(freq, Column) else freq)
     error = F.col("_e") - F.col("_s") - (F.col("_n") - 1) * ideal
     shorter = (F.col("_e") - F.col("_s")) / F.coalesce(F.col("_last") - F.col("_first") + 1, F.greatest(F.col("_n") - 1, F.lit(1)))
     near, lost = F.abs(error) < 2 * hole, error > 0
     start = F.when(near | ~lost, F.col("_s")).otherwise(F.col("t"))
     steps = F.when(near, F.col("_k") * ideal).when(lost, (F.col("_k") - F.col("_kept")) * ideal).otherwise(F.col("_k") * shorter)
-    return h.withColumn("t", (start + F.floor(steps + 0.5)).cast("long")).drop("_h", "_k", "_n", "_s", "_e", "_up", "_first", "_last", "_kept")
+    return h.withColumn("t", (start + F.floor(steps + 0.5)).cast("long")).select(*df.columns)
+
+
+def _follow(t: np.ndarray, step: float, accuracy: int, base: float, k: int, block: int = 1 << 12) -> tuple[np.ndarray, float, int]:
+    """Times t on a line base + k step that steps to the real time wherever it is off by more than accuracy; the base and k of
+    the row after the last. Looked at in blocks, so a step costs a block and not the rest of the series."""
+    out, i = np.empty(len(t)), 0
+    while i < len(t):
+        part = t[i : i + block]
+        line = base + (k + np.arange(len(part))) * step
+        off = np.flatnonzero(np.abs(line - part) > accuracy)
+        end = int(off[0]) if len(off) else len(part)
+        out[i : i + end] = line[:end]
+        i, k = i + end, k + end
+        if len(off):
+            base, k = float(t[i]), 1
+            out[i] = base
+            i += 1
+    return out, base, k
 
 
 def linear_with_shifts(df: DataFrame, freq: float, accuracy: int) -> DataFrame:
-    """An ideal line that steps to the real time wherever it is off by more than accuracy. Each step
-    depends on the one before, so a (probe, burst) group is walked in Python; rows carry burst."""
-    step = SECOND / freq
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    """An ideal line that steps to the real time wherever it is off by more than accuracy. Each step depends on the one before,
+    so a (probe, burst) group is walked in order; rows carry burst.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "seq"])
-        t = pdf["t"].to_numpy()
-        out, base, k0, i = np.empty(len(t)), float(t[0]), 0, 0
-        while i < len(t):
-            line = base + (np.arange(i, len(t)) - k0) * step
-            off = np.flatnonzero(np.abs(line - t[i:]) > accuracy)
-            end = i + (int(off[0]) if len(off) else len(line))
-            out[i:end] = line[: end - i]
-            i = end
-            if i < len(t):
-                base, k0 = float(t[i]), i
-                out[i] = base
-                i += 1
-        return pdf.assign(t=np.rint(out).astype("int64"))
-
-    return df.groupBy("probe", "burst").applyInPandas(run, ", ".join(f"`{c}` {k}" for c, k in kinds.items()))
-
-
-def filled_times(df: DataFrame, bad: str, freq: float | Column) -> DataFrame:
+    The rows come sorted, a batch at a time, and only the line (base, rows since) is carried from batch to batch: memory does not grow
+    with the group. Groups are dealt by (probe, burst); one group is one task's work, a few numpy operations for a block.
+    """
+    step = SECOND / freq
+    at = df.columns.index("t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, base, k = None, 0.0, 0
+        for b in batches:
+            probe, burst = b.column("probe").to_pylist(), b.column("burst").to_pylist()
+            t = b.column("t").to_numpy(zero_copy_only=False)
+            out, keys = np.empty(len(t), np.int64), list(zip(probe, burst))
+            i = 0
+            while i < len(keys):
+                end = i + 1
+                while end < len(keys) and keys[end] == keys[i]:
+                    end += 1
+                if keys[i] != group:
+                    group, base, k = keys[i], float(t[i]), 0
+                moved, base, k = _follow(t[i:end], step, accuracy, base, k)
+                out[i:end] = np.rint(moved)
+                i = end
+            yield b.set_column(at, "t", pa.array(out))
+
+    return df.repartition("probe", "burst").sortWithinPartitions("probe", "burst", "t", "seq").mapInArrow(run, df.schema)
+
+
+def filled_times(df: DataFrame, bad: str, freq: float | Column, *, width: int | None = None) -> DataFrame:
     """Bad times by interpolation over rows; at the ends by steps of 1/freq."""
-    w = _source()
-    x = df.withColumn("_i", F.row_number().over(w)).withColumn("_g", F.when(~F.col(bad), F.struct("_i", "t")))
-    x = x.withColumns({"_p": F.last("_g", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.last("_g", True).over(_backwards())})
+    x = scan(df, {"_i": position()}, SOURCE, width, keep_slices=True).withColumn("_g", F.when(~F.col(bad), F.struct("_i", "t")))
+    x = scan(x, {"_p": last(F.col("_g")), "_n": upcoming(F.col("_g"))}, SOURCE, width)
     inner = F.col("_p.t") + (F.col("_n.t") - F.col("_p.t")) * ((F.col("_i") - F.col("_p._i")) / F.nullif(F.col("_n._i") - F.col("_p._i"), F.lit(0)))
     tail = F.coalesce(F.col("_p.t") + (F.col("_i") - F.col("_p._i")) * SECOND / freq, F.col("_n.t") - (F.col("_n._i") - F.col("_i")) * SECOND / freq)
-    return x.withColumn("t", F.when(~F.col(bad), F.col("t")).otherwise(F.floor(F.coalesce(inner, tail) + 0.5).cast("long"))).drop("_i", "_g", "_p", "_n")
+    return x.withColumn("t", F.when(~F.col(bad), F.col("t")).otherwise(F.floor(F.coalesce(inner, tail) + 0.5).cast("long"))).select(*df.columns)
 
 
 def shifted(df: DataFrame, shifts: DataFrame) -> DataFrame:
@@ -168,35 +201,37 @@ def drift_removed(df: DataFrame, true_ends: DataFrame) -> DataFrame:
     return df.join(span, "probe").withColumn("t", (F.col("_a") + F.floor((F.col("t") - F.col("_a")) * F.coalesce(ratio, F.lit(1.0)) + 0.5)).cast("long")).drop("_a", "_b", "_c")
 
 
-def equal_spacing(df: DataFrame) -> DataFrame:
+def equal_spacing(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """T10, by row number: equal steps from a probe's first to its last time."""
-    k, n = F.row_number().over(ordered()) - 1, F.count(F.lit(1)).over(per_probe())
-    a, b = F.min("t").over(per_probe()), F.max("t").over(per_probe())
-    return df.withColumns({"_k": k, "_n": n, "_a": a, "_b": b}).withColumn("t", (F.col("_a") + F.floor((F.col("_b") - F.col("_a")) * F.col("_k") / F.greatest(F.col("_n") - 1, F.lit(1)) + 0.5)).cast("long")).drop("_k", "_n", "_a", "_b")
+    ends = df.groupBy("probe").agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_a"), F.max("t").alias("_b"))
+    x = scan(df, {"_k": position()}, width=width).join(ends, "probe")
+    return x.withColumn("t", (F.col("_a") + F.floor((F.col("_b") - F.col("_a")) * F.col("_k") / F.greatest(F.col("_n") - 1, F.lit(1)) + 0.5)).cast("long")).select(*df.columns)
 
 
-def regular_grid(df: DataFrame, step: int, column: str) -> DataFrame:
+def regular_grid(df: DataFrame, step: int, column: str, *, width: int | None = None) -> DataFrame:
     """The column on a regular grid from a probe's first time, by linear interpolation.
 
     Each row fills the grid points up to the next row, so nothing is joined and a probe's grid is
     made where its rows are.
     """
-    w = ordered()
-    x = df.where(F.col(column).isNotNull()).withColumns({"_t0": F.min("t").over(per_probe()), "_t2": F.lead("t").over(w), "_y2": F.lead(column).over(w)})
+    known = df.where(F.col(column).isNotNull())
+    x = scan(known, {"_next": after(F.struct(F.col("t").alias("t"), F.col(column).alias("y")))}, width=width)
+    x = x.join(known.groupBy("probe").agg(F.min("t").alias("_t0")), "probe").withColumns({"_t2": F.col("_next.t"), "_y2": F.col("_next.y")})
     first = F.ceil((F.col("t") - F.col("_t0")) / step)
-    last = F.when(F.col("_t2").isNull(), F.floor((F.col("t") - F.col("_t0")) / step)).otherwise(F.ceil((F.col("_t2") - F.col("_t0")) / step) - 1)
-    g = x.withColumns({"_f": first, "_l": last}).where("_f <= _l").withColumn("_k", F.explode(F.sequence("_f", "_l")))
+    last_ = F.when(F.col("_t2").isNull(), F.floor((F.col("t") - F.col("_t0")) / step)).otherwise(F.ceil((F.col("_t2") - F.col("_t0")) / step) - 1)
+    g = x.withColumns({"_f": first, "_l": last_}).where("_f <= _l").withColumn("_k", F.explode(F.sequence("_f", "_l")))
     at = F.col("_t0") + F.col("_k") * step
     y = F.when(F.col("_t2").isNull() | (at == F.col("t")), F.col(column)).otherwise(F.col(column) + (F.col("_y2") - F.col(column)) * ((at - F.col("t")) / (F.col("_t2") - F.col("t"))))
     return g.select("probe", at.alias("t"), y.alias(column))
 
 
-def monotone_slopes(df: DataFrame, column: str) -> DataFrame:
+def monotone_slopes(df: DataFrame, column: str, *, rows: int | None = None) -> DataFrame:
     """Slope of each row by the monotone cubic rule: 0 where the steps on both sides turn, else their harmonic mean
     weighted by the distances; one-sided and limited at the ends. Rows have distinct times. Adds _h (to the next
-    row), _y2, _m and _m2 (the next row's slope)."""
-    w = ordered()
-    x = df.withColumns({"_h": (F.lead("t").over(w) - F.col("t")).cast("double"), "_y2": F.lead(column).over(w)})
+    row), _y2, _m and _m2 (the next row's slope). rows: of a slice; a row depends on three on either side."""
+    halo = haloed(df, 4, rows=rows)
+    w = halo.forth
+    x = halo.rows.withColumns({"_h": (F.lead("t").over(w) - F.col("t")).cast("double"), "_y2": F.lead(column).over(w)})
     x = x.withColumn("_d", (F.col("_y2") - F.col(column)) / F.col("_h"))
     near = {"_hb": F.lag("_h"), "_db": F.lag("_d"), "_ha": F.lead("_h"), "_da": F.lead("_d"), "_hc": F.lag("_h", 2), "_dc": F.lag("_d", 2)}
     x = x.withColumns({n: c.over(w) for n, c in near.items()})
@@ -208,21 +243,21 @@ def monotone_slopes(df: DataFrame, column: str) -> DataFrame:
         s = ((2 * h0 + h1) * d0 - h0 * d1) / (h0 + h1)
         return F.when(d1.isNull(), d0).when(F.signum(s) != F.signum(d0), 0.0).when((F.signum(d0) != F.signum(d1)) & (F.abs(s) > 3 * F.abs(d0)), 3 * d0).otherwise(s)
 
-    first, last = end(h, d, F.col("_ha"), F.col("_da")), end(hb, db, F.col("_hc"), F.col("_dc"))
-    m = F.when(db.isNull(), first).when(d.isNull(), last).otherwise(inner)
+    first, last_ = end(h, d, F.col("_ha"), F.col("_da")), end(hb, db, F.col("_hc"), F.col("_dc"))
+    m = F.when(db.isNull(), first).when(d.isNull(), last_).otherwise(inner)
     x = x.withColumn("_m", m).drop("_d", *near)
-    return x.withColumn("_m2", F.lead("_m").over(w))
+    return halo.done(x.withColumn("_m2", F.lead("_m").over(w)))
 
 
-def monotone_grid(df: DataFrame, step: int, column: str) -> DataFrame:
+def monotone_grid(df: DataFrame, step: int, column: str, *, width: int | None = None, rows: int | None = None) -> DataFrame:
     """T11 by monotone cubics (PCHIP): the column on a regular grid from a probe's first time. Of rows of one time the
     last in order counts, as in regular_grid()."""
-    w = ordered()
-    x = df.where(F.col(column).isNotNull()).select("probe", "t", "seq", F.col(column).cast("double").alias(column)).withColumn("_next", F.lead("t").over(w))
-    x = monotone_slopes(x.where("_next is null or _next > t").drop("_next"), column).withColumn("_t0", F.min("t").over(per_probe()))
+    x = scan(df.where(F.col(column).isNotNull()).select("probe", "t", "seq", F.col(column).cast("double").alias(column)), {"_next": after(F.col("t"))}, width=width)
+    x = x.where("_next is null or _next > t").drop("_next")
+    x = monotone_slopes(x, column, rows=rows).join(x.groupBy("probe").agg(F.min("t").alias("_t0")), "probe")
     first = F.ceil((F.col("t") - F.col("_t0")) / step)
-    last = F.when(F.col("_h").isNull(), F.floor((F.col("t") - F.col("_t0")) / step)).otherwise(F.ceil((F.col("t") + F.col("_h") - F.col("_t0")) / step) - 1)
-    g = x.withColumns({"_f": first.cast("long"), "_l": last.cast("long")}).where("_f <= _l").withColumn("_k", F.explode(F.sequence("_f", "_l")))
+    last_ = F.when(F.col("_h").isNull(), F.floor((F.col("t") - F.col("_t0")) / step)).otherwise(F.ceil((F.col("t") + F.col("_h") - F.col("_t0")) / step) - 1)
+    g = x.withColumns({"_f": first.cast("long"), "_l": last_.cast("long")}).where("_f <= _l").withColumn("_k", F.explode(F.sequence("_f", "_l")))
     g = g.withColumn("_at", F.col("_t0") + F.col("_k") * step).withColumn("_u", (F.col("_at") - F.col("t")) / F.col("_h"))
     u, h, y, y2 = (F.col(c) for c in ("_u", "_h", column, "_y2"))
     # Written from y on, so that a flat stretch stays exactly flat.
@@ -296,10 +331,12 @@ def corrected_times(
     judged = without_inversions(x.where("t is not null")).select("probe", "seq", F.col("ok").alias("_run"))
     rate = sampling_frequency(x.where("t is not null")).select("probe", F.coalesce(F.lit(fs), F.col("fs"), F.lit(1.0)).alias("_fs"))
     x = x.join(judged, ["probe", "seq"], "left").join(rate, "probe", "left").withColumn("_fs", F.coalesce("_fs", F.lit(float(fs or 1))))
+    # Each step scans what the one before gave more than once, so the steps' tables are written down.
+    x = kept_if_large(x)
     # A NULL time is no inversion: it has no _run.
     x = filled_times(x.withColumn("_bad", F.col("t").isNull() | ~F.coalesce("_run", F.lit(False))), "_bad", F.col("_fs"))
     dropped = F.coalesce(~F.col("_run"), F.lit(False)) & F.lit(mode == "delete_inversions")
-    x = x.withColumn("_dropped", dropped).drop("_bad", "_run")
+    x = kept_if_large(x.withColumn("_dropped", dropped).drop("_bad", "_run"))
     if fs and accuracy:
         x = linear_with_shifts(x.withColumn("burst", F.lit(0)), fs, accuracy).drop("burst")
     elif fs:
@@ -307,7 +344,8 @@ def corrected_times(
     else:
         line = linear_between_holes(x.withColumn("_before", F.col("t")), F.col("_fs"), hole)
         x = line.withColumn("t", F.when((F.col("_fs") > 1) & (F.abs(F.col("t") - F.col("_before")) <= most_error), F.col("t")).otherwise(F.col("_before"))).drop("_before")
-    highest = F.max("t").over(_source().rowsBetween(Window.unboundedPreceding, -1))
-    x = filled_times(x.withColumn("_same", F.coalesce(F.col("t") <= highest, F.lit(False))), "_same", F.col("_fs"))
-    ok = F.coalesce(F.col("t") > F.lag("t").over(_source()), F.lit(True)) & ~F.col("_dropped")
+    x = scan(kept_if_large(x), {"_top": highest(F.col("t"), own=False)}, SOURCE)
+    x = filled_times(x.withColumn("_same", F.coalesce(F.col("t") <= F.col("_top"), F.lit(False))), "_same", F.col("_fs"))
+    x = scan(x, {"_b": before(F.col("t"))}, SOURCE)
+    ok = F.coalesce(F.col("t") > F.col("_b"), F.lit(True)) & ~F.col("_dropped")
     return x.withColumn("ok", ok).select(*df.columns, "ok").unionByName(outside)

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import physics
-from ..schema import VECTORS, ordered, per_probe
-from .windows import battery_tail, burst_starts_nulled, despiked_counts, filled, smoothed_steps
+from ..schema import VECTORS
+from .aggregates import medians
+from .scan import is_small, kept_if_large, last, scan
+from .windows import battery_tail, burst_starts_nulled, despiked_counts, filled_all, smoothed_steps
 
 OVERSCALED = -32624.0
 A_SPIKE, M_SPIKE = 1500.0, 100.0
@@ -18,19 +20,19 @@ A_SPIKE, M_SPIKE = 1500.0, 100.0
 def recovered_magnetometer(df: DataFrame) -> DataFrame:
     """A lost Hx from Hy, Hz by the probe's median field strength; the sign of the last good Hx."""
     h = F.sqrt(F.col("Hx") ** 2 + F.col("Hy") ** 2 + F.col("Hz") ** 2)
-    mid = df.groupBy("probe").agg(F.median(h).alias("_h"))
-    sign = F.coalesce(F.signum(F.last("Hx", True).over(ordered())), F.lit(1.0))
+    mid = medians(df.withColumn("_h", h), "_h").withColumnRenamed("median", "_h")
+    x = scan(df, {"_good": last(F.signum("Hx"))}).join(mid, "probe", "left")
     lost = F.sqrt(F.greatest(F.lit(0.0), F.col("_h") ** 2 - F.col("Hy") ** 2 - F.col("Hz") ** 2))
-    return df.join(mid, "probe", "left").withColumn("Hx", F.coalesce(F.col("Hx"), lost * sign)).drop("_h")
+    return x.withColumn("Hx", F.coalesce(F.col("Hx"), lost * F.coalesce("_good", F.lit(1.0)))).select(*df.columns)
 
 
 def recovered_overscale(df: DataFrame, column: str, others: Sequence[str]) -> DataFrame:
     """P10: an over-scaled gravity channel from the others, with the probe's largest norm of good rows; its
     sign is positive, as the sensor saturates at the positive end of that channel."""
     whole = F.col(column) ** 2 + sum((F.col(c) ** 2 for c in others[1:]), F.col(others[0]) ** 2)
-    largest = F.max(F.when(~F.col("overscaled"), whole)).over(per_probe())
-    rest = largest - sum((F.col(c) ** 2 for c in others[1:]), F.col(others[0]) ** 2)
-    return df.withColumn(column, F.when(F.col("overscaled"), F.sqrt(F.greatest(F.lit(0.0), rest))).otherwise(F.col(column)))
+    largest = df.groupBy("probe").agg(F.max(F.when(~F.col("overscaled"), whole)).alias("_largest"))
+    rest = F.col("_largest") - sum((F.col(c) ** 2 for c in others[1:]), F.col(others[0]) ** 2)
+    return df.join(largest, "probe").withColumn(column, F.when(F.col("overscaled"), F.sqrt(F.greatest(F.lit(0.0), rest))).otherwise(F.col(column))).select(*df.columns)
 
 
 def velocity(df: DataFrame, coefs: DataFrame, *, harmonics: int = 2, g_minus_1: float = 1.0, h_minus_1: float = 8.0, despike: bool = False) -> DataFrame:
@@ -61,14 +63,25 @@ def velocity(df: DataFrame, coefs: DataFrame, *, harmonics: int = 2, g_minus_1:
 def recovered_counts_x(df: DataFrame, *, h_minus_1: float) -> DataFrame:
     """P11 and W4 in counts: a lost Mx from My and Mz such that |Ah (M - Ch)| is the probe's median field below 1 + h_minus_1;
     where that median is off by half and hardly any Mx is good, the field is 1 and all Mx are made anew. Of the two
-    solutions the lower one is taken. What is still missing in the three channels is interpolated. df has Ah and Ch."""
+    solutions the lower one is taken. What is still missing in a channel is interpolated, but a channel of a probe with under a
+    hundredth as many good rows as bad ones is lost whole. df has Ah and Ch.
+
+    Adds _with_yz (rows of the probe with both My and Mz: without any, the field can't be recovered) and _unset (the row's value is in a lost channel)."""
     d = [F.col(c).cast("double") - F.col("Ch")[i] for i, c in enumerate(VECTORS[3:])]
     a = [[F.col("Ah")[i][j] for j in range(3)] for i in range(3)]
     strength = physics.norm(physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))) - 1
     wanted = F.col("Mx").isNull() & (F.col("My").isNotNull() | F.col("Mz").isNotNull())
-    mid = df.withColumn("_s", strength).groupBy("probe").agg(F.median(F.when(F.col("_s") < h_minus_1, F.col("_s"))).alias("_m"), F.avg(wanted.cast("double")).alias("_share"))
+    both = F.col("My").isNotNull() & F.col("Mz").isNotNull()
+    good = F.when(strength < h_minus_1, strength)
+    stats = [F.avg(wanted.cast("double")).alias("_share"), F.count_if(both).alias("_with_yz"), F.count_if(F.col("Mx").isNotNull() | both).alias("_good_Mx"), F.count("My").alias("_good_My"), F.count("Mz").alias("_good_Mz"), F.count(F.lit(1)).alias("_all")]
+    if is_small(df):
+        mid = df.groupBy("probe").agg(*stats, F.median(good).alias("_m"))
+    else:
+        mid = df.groupBy("probe").agg(*stats).join(medians(df.select("probe", good.alias("_s")), "_s").withColumnRenamed("median", "_m"), "probe", "left")
     anew = F.col("_m").isNull() | ((F.abs("_m") > 0.5) & (F.col("_share") > 0.95))
-    mid = mid.select("probe", anew.alias("_anew"), F.when(anew, 1.0).otherwise(F.col("_m") + 1).alias("_h"))
+    # A channel is lost where good / bad rows are at most a hundredth; Mx is good where it is given or can be made.
+    number = {"Mx": F.when(anew, F.col("_with_yz")).otherwise(F.col("_good_Mx")), "My": F.col("_good_My"), "Mz": F.col("_good_Mz")}
+    mid = mid.select("probe", "_with_yz", *[(n <= 0.01 * (F.col("_all") - n)).alias(f"_lost_{c}") for c, n in number.items()], anew.alias("_anew"), F.when(anew, 1.0).otherwise(F.col("_m") + 1).alias("_h"))
     # |x a0 + q| = h for the first column a0 of Ah and what the other channels give, q.
     q = [a[i][1] * d[1] + a[i][2] * d[2] for i in range(3)]
     square = sum((a[i][0] * a[i][0] for i in (1, 2)), a[0][0] * a[0][0])
@@ -76,9 +89,11 @@ def recovered_counts_x(df: DataFrame, *, h_minus_1: float) -> DataFrame:
     beyond = sum((q[i] * q[i] for i in (1, 2)), q[0] * q[0]) - F.col("_h") * F.col("_h")
     lower = F.col("Ch")[0] - (along + F.sqrt(F.abs(along * along - square * beyond))) / square
     x = df.join(mid, "probe").withColumn("Mx", F.when(F.col("Mx").isNotNull() & ~F.col("_anew"), F.col("Mx").cast("double")).otherwise(lower)).drop("_anew", "_h")
+    unset = F.lit(False)
     for c in VECTORS[3:]:
-        x = filled(x, c)
-    return x
+        unset = unset | (F.col(c).isNull() & F.col(f"_lost_{c}"))
+    x = filled_all(x.withColumn("_unset", unset), {c: F.lit(False) for c in VECTORS[3:]})
+    return x.withColumns({c: F.when(~F.col(f"_lost_{c}"), F.col(c)) for c in VECTORS[3:]}).drop(*[f"_lost_{c}" for c in VECTORS[3:]])
 
 
 def recovered_gravity(df: DataFrame) -> DataFrame:
@@ -109,16 +124,17 @@ def recovered_velocity(df: DataFrame, coefs: DataFrame, *, force_coefs: Sequence
     the recovered gravity; rows off the norm by more than g_minus_1 lose it unless they were recovered.
     """
     rest = [c for c in df.columns if c not in VECTORS and c not in ("probe", "t", "seq")]
-    x = despiked_counts(df, {c: A_SPIKE if c[0] == "A" else M_SPIKE for c in VECTORS}) if despike else df
-    # Whether a channel is over-scaled is read from the raw counts.
-    x = x.withColumns({f"_{c}": F.col(c) for c in VECTORS[:3]}) if not despike else x.join(df.select("probe", "t", "seq", *[F.col(c).alias(f"_{c}") for c in VECTORS[:3]]), ["probe", "t", "seq"])
+    # Whether a channel is over-scaled is read from the raw counts, which stay beside the despiked ones.
+    x = df.withColumns({f"_{c}": F.col(c) for c in VECTORS[:3]})
+    x = kept_if_large(despiked_counts(x, {c: A_SPIKE if c[0] == "A" else M_SPIKE for c in VECTORS})) if despike else x
     ends = physics.line_end(F.col("kVabs"), harmonics, F.element_at("kVabs", -1))
     x = x.join(coefs.select("probe", "Ag", "Cg", "Ah", "Ch", "kVabs", "azimuth_shift_deg", *[c.alias(n) for n, c in zip(("_x0", "_at", "_slope"), ends)]), "probe")
     gs = physics.calibrate(tuple(F.col(c) for c in VECTORS[:3]), F.col("Ag"), F.col("Cg"))
     x = x.withColumns(dict(zip(("Gx", "Gy", "Gz"), gs))).withColumns({c: F.col(f"_{c}") for c in VECTORS[:3]})
     raw_norm = physics.norm(tuple(F.col(c) for c in ("Gx", "Gy", "Gz")))
     x = recovered_gravity(x.withColumn("_bad", F.abs(raw_norm - 1) > g_minus_1))
-    x = recovered_counts_x(x, h_minus_1=h_minus_1)
+    # The field's statistics and two scans read it from here.
+    x = recovered_counts_x(kept_if_large(x), h_minus_1=h_minus_1)
     hs = physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))
     x = x.withColumns(dict(zip(("Hx", "Hy", "Hz"), hs)))
     g, h = tuple(F.col(c) for c in ("Gx", "Gy", "Gz")), tuple(F.col(c) for c in ("Hx", "Hy", "Hz"))
@@ -128,7 +144,10 @@ def recovered_velocity(df: DataFrame, coefs: DataFrame, *, force_coefs: Sequence
     else:
         x = x.withColumn("_f", physics.force(F.col("_r")))
         speed = physics.polynomial_speed(F.col("_f"), force_coefs)
-    x = x.withColumns({"Vabs": speed, "Vdir": physics.direction(g, h, F.col("azimuth_shift_deg")), "inclination": F.degrees("_r")})
+    # Without a field the direction is that of the tilt alone; where a channel is lost, 0 for the rows that lost it.
+    known = ~F.col("_unset") | F.coalesce(physics.norm(h) - 1 < h_minus_1, F.lit(False))
+    facing = F.when(F.col("_with_yz") == 0, physics.direction_without_field(g, F.col("azimuth_shift_deg"))).when(known, physics.direction(g, h, F.col("azimuth_shift_deg"))).otherwise(0.0)
+    x = x.withColumns({"Vabs": speed, "Vdir": facing, "inclination": F.degrees("_r")})
     v, u = physics.components(F.col("Vabs"), F.col("Vdir"))
     return x.select("probe", "t", "seq", "Vabs", "Vdir", v.alias("v"), u.alias("u"), "inclination", *rest)
 

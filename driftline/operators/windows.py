@@ -1,4 +1,4 @@
-"""Ordered operators per probe (W1-W13). All share the window (probe; t, seq), so Spark sorts once."""
+"""Ordered operators per probe (W1-W13). Rows are scanned in slices (scan.py), so a long probe is many tasks."""
 
 from __future__ import annotations
 
@@ -7,93 +7,109 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import SECOND, ordered, per_probe
+from ..schema import SECOND
+from .scan import after, before, haloed, kept_if_large, last, position, scan, total, upcoming
 
 #: How far above the least good battery voltage the tail's line begins, ends and takes over.
 TAIL_MARKS = (0.08, 0.02, 0.001)
 
 
-def bursts(df: DataFrame, gap: int | None = None) -> DataFrame:
+def bursts(df: DataFrame, gap: int | None = None, *, width: int | None = None) -> DataFrame:
     """burst = number of gaps longer than `gap` microseconds so far. None: the smaller of the
-    first two gaps of the probe plus a second."""
-    w = ordered()
-    x = df.withColumn("_d", F.col("t") - F.lag("t").over(w))
+    first two gaps of the probe plus a second. width: of a slice, as in every operator here that has it."""
+    want = {"_t": before(F.col("t"))} | ({"_i": position()} if gap is None else {})
+    x = scan(df, want, width=width, keep_slices=True).withColumn("_d", F.col("t") - F.col("_t"))
     if gap is None:
-        x = x.withColumn("_i", F.row_number().over(w)).withColumn("_g", F.min(F.when(F.col("_i").isin(2, 3), F.col("_d"))).over(per_probe()) + SECOND)
+        least = x.where(F.col("_i").isin(1, 2)).groupBy("probe").agg((F.min("_d") + SECOND).alias("_g"))
+        x = x.join(least, "probe", "left")
     else:
         x = x.withColumn("_g", F.lit(gap))
-    return x.withColumn("burst", F.sum(F.when(F.col("_d") > F.col("_g"), 1).otherwise(0)).over(w)).drop("_d", "_g", "_i")
+    x = scan(x, {"burst": total(F.when(F.col("_d") > F.col("_g"), 1).otherwise(0))}, width=width)
+    return x.select(*df.columns, "burst")
 
 
-def spikes(df: DataFrame, column: str, most: float, up_only: bool = False) -> DataFrame:
-    """spike = steps of more than `most` into and out of the row, in opposite directions; a missing
-    neighbour at an end of the series counts as such a step, a NULL one does not."""
-    w = ordered()
-    x = F.col(column)
-    into, out = x - F.lag(column).over(w), F.lead(column).over(w) - x
-    first, last = F.lag(F.lit(1)).over(w).isNull(), F.lead(F.lit(1)).over(w).isNull()
+def _spike(x: Column, back: Column, ahead: Column, most: float, up_only: bool = False) -> Column:
+    """Steps of more than most into and out of x; back and ahead: the neighbours as structs (v), NULL where there is none."""
+    into, out = x - back["v"], ahead["v"] - x
+
     def step(d: Column, edge: Column, up: bool) -> Column:
         return edge | F.coalesce(d > most if up else d < -most, F.lit(False))
 
-    rise_fall = step(into, first, True) & step(out, last, False)
-    fall_rise = step(into, first, False) & step(out, last, True)
-    return df.withColumn("spike", fall_rise if up_only else rise_fall | fall_rise)
+    rise_fall = step(into, back.isNull(), True) & step(out, ahead.isNull(), False)
+    fall_rise = step(into, back.isNull(), False) & step(out, ahead.isNull(), True)
+    return fall_rise if up_only else rise_fall | fall_rise
+
+
+def spikes(df: DataFrame, column: str, most: float, up_only: bool = False, *, width: int | None = None) -> DataFrame:
+    """spike = steps of more than `most` into and out of the row, in opposite directions; a missing
+    neighbour at an end of the series counts as such a step, a NULL one does not."""
+    v = F.struct(F.col(column).alias("v"))
+    x = scan(df, {"_before": before(v), "_after": after(v)}, width=width)
+    return x.withColumn("spike", _spike(F.col(column), F.col("_before"), F.col("_after"), most, up_only)).drop("_before", "_after")
+
+
+def _line(p: Column, n: Column, x: Column) -> Column:
+    """Between known points (x, y) before and after; the nearer one where there is one only."""
+    line = p["y"] + (n["y"] - p["y"]) * ((x - p["x"]) / F.nullif(n["x"] - p["x"], F.lit(0.0)))
+    return F.coalesce(line, p["y"], n["y"])
 
 
-def filled(df: DataFrame, column: str, bad: Column | None = None, x: str | None = None, partition: Sequence[str] = ()) -> DataFrame:
+def _fill(x: DataFrame, bad: dict[str, Column], pos: Column, width: int | None) -> DataFrame:
+    """Columns by interpolation where NULL or bad; _x is added, and slices kept."""
+    x = x.withColumn("_x", pos).withColumns({f"_y_{c}": F.when(~F.coalesce(b, F.lit(False)), F.col(c).cast("double")) for c, b in bad.items()})
+    known = {c: F.when(F.col(f"_y_{c}").isNotNull(), F.struct(F.col("_x").alias("x"), F.col(f"_y_{c}").alias("y"))) for c in bad}
+    x = scan(x, {f"_p_{c}": last(k) for c, k in known.items()} | {f"_n_{c}": upcoming(k) for c, k in known.items()}, width=width)
+    x = x.withColumns({c: F.coalesce(f"_y_{c}", _line(F.col(f"_p_{c}"), F.col(f"_n_{c}"), F.col("_x"))) for c in bad})
+    return x.drop("_x", *[f"_{k}_{c}" for c in bad for k in "ypn"])
+
+
+def filled(df: DataFrame, column: str, bad: Column | None = None, x: str | None = None, *, width: int | None = None) -> DataFrame:
     """NULL or bad values by linear interpolation over row position (or x); constant at the ends."""
-    w = Window.partitionBy("probe", *partition).orderBy("t", "seq")
-    # The same order backwards: a frame from the row to the end would be rebuilt for every row.
-    back = Window.partitionBy("probe", *partition).orderBy(F.col("t").desc(), F.col("seq").desc())
-    pos = F.row_number().over(w).cast("double") if x is None else F.col(x).cast("double")
-    y = F.col(column).cast("double") if bad is None else F.when(~F.coalesce(bad, F.lit(False)), F.col(column).cast("double"))
-    r = df.withColumn("_x", pos).withColumn("_y", y)
-    known = F.when(F.col("_y").isNotNull(), F.struct("_x", "_y"))
-    r = r.withColumn("_p", F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_n", F.last(known, True).over(back.rowsBetween(Window.unboundedPreceding, 0)))
-    line = F.col("_p._y") + (F.col("_n._y") - F.col("_p._y")) * ((F.col("_x") - F.col("_p._x")) / F.nullif(F.col("_n._x") - F.col("_p._x"), F.lit(0.0)))
-    return r.withColumn(column, F.coalesce(F.col("_y"), line, F.col("_p._y"), F.col("_n._y"))).drop("_x", "_y", "_p", "_n")
-
-
-def despiked_counts(df: DataFrame, limits: dict[str, float]) -> DataFrame:
-    """W2 then W4 for each count channel (defaults of use: 1500 for A, 100 for M). One order forwards and one
-    backwards serve all channels."""
-    w = ordered()
-    back = Window.partitionBy("probe").orderBy(F.col("t").desc(), F.col("seq").desc())
-    x = df.withColumn("_x", F.row_number().over(w).cast("double"))
-    for c, most in limits.items():
-        x = spikes(x, c, most).withColumn(f"_y_{c}", F.when(~F.col("spike"), F.col(c).cast("double"))).drop("spike")
-    known = {c: F.when(F.col(f"_y_{c}").isNotNull(), F.struct("_x", F.col(f"_y_{c}").alias("y"))) for c in limits}
-    for side, order in (("p", w), ("n", back)):
-        x = x.withColumns({f"_{side}_{c}": F.last(k, True).over(order.rowsBetween(Window.unboundedPreceding, 0)) for c, k in known.items()})
-    out = {}
-    for c in limits:
-        before, after = F.col(f"_p_{c}"), F.col(f"_n_{c}")
-        line = before["y"] + (after["y"] - before["y"]) * ((F.col("_x") - before["_x"]) / F.nullif(after["_x"] - before["_x"], F.lit(0.0)))
-        out[c] = F.coalesce(F.col(f"_y_{c}"), line, before["y"], after["y"])
-    return x.withColumns(out).select(*df.columns)
-
-
-def sigma_despiked(df: DataFrame, column: str, offsets: Sequence[float] = (20.0, 5.0), blocks: Sequence[int] | int = 10, smooth: float | None = None, partition: Sequence[str] = (), reverse: bool = False) -> DataFrame:
+    return filled_all(df, {column: F.lit(False) if bad is None else bad}, x, width=width)
+
+
+def filled_all(df: DataFrame, bad: dict[str, Column], x: str | None = None, *, width: int | None = None) -> DataFrame:
+    """W4 for several columns in one scan: the rows whose values are bad, for each."""
+    r = df if x is not None else scan(df, {"_i": position()}, width=width, keep_slices=True)
+    return _fill(r, bad, F.col(x or "_i").cast("double"), width).select(*df.columns)
+
+
+def despiked_counts(df: DataFrame, limits: dict[str, float], *, width: int | None = None) -> DataFrame:
+    """W2 then W4 for each count channel (defaults of use: 1500 for A, 100 for M), all channels in the same two scans."""
+    v = {c: F.struct(F.col(c).alias("v")) for c in limits}
+    x = scan(df, {"_i": position()} | {f"_b_{c}": before(k) for c, k in v.items()} | {f"_a_{c}": after(k) for c, k in v.items()}, width=width, keep_slices=True)
+    bad = {c: _spike(F.col(c), F.col(f"_b_{c}"), F.col(f"_a_{c}"), most) for c, most in limits.items()}
+    return _fill(x, bad, F.col("_i").cast("double"), width).select(*df.columns)
+
+
+def _reach(blocks: Sequence[int], smooth: float | None) -> int:
+    """Rows that a value depends on, on either side, after all passes, the nearest full window at an end included."""
+    return sum(2 * b + (int(4 * smooth + 0.5) if smooth else 0) for b in blocks)
+
+
+def sigma_despiked(df: DataFrame, column: str, offsets: Sequence[float] = (20.0, 5.0), blocks: Sequence[int] | int = 10, smooth: float | None = None, reverse: bool = False, *, rows: int | None = None) -> DataFrame:
     """Passes of (offset, block): values off the centred rolling mean by more than offset times the
-    rolling deviation become NULL; rows near the ends take the nearest full window."""
+    rolling deviation become NULL; rows near the ends take the nearest full window. rows: of a slice."""
     sizes = [blocks] * len(offsets) if isinstance(blocks, int) else list(blocks)
-    order = [F.col("t").desc(), F.col("seq").desc()] if reverse else ["t", "seq"]
-    w = Window.partitionBy("probe", *partition).orderBy(*order)
-    whole = Window.partitionBy("probe", *partition)
-    df = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(whole))
+    counts = df.groupBy("probe").agg(F.count(F.lit(1)).alias("_n"))
+    h = haloed(df.join(counts, "probe"), _reach(sizes, smooth), rows=rows)
+    # Backwards, the row's place is counted from the end.
+    x = h.rows.withColumn("_k", F.col("_n") - 1 - F.col("_i") if reverse else F.col("_i"))
+    w = h.whole.orderBy("_k")
     for offset, block in zip(offsets, sizes):
         start = block // 2
         r = w.rowsBetween(-start, block - start - 1)
-        full = (F.col("_i") >= start) & (F.col("_i") < F.col("_n") - block + start + 1)
-        df = df.withColumn("_m", F.when(full, F.avg(column).over(r))).withColumn("_s", F.when(full, F.stddev_pop(column).over(r)))
+        # In a slice with a halo, windows at the edge of the halo are cut off; no row that counts reaches them.
+        full = (F.col("_k") >= start) & (F.col("_k") < F.col("_n") - block + start + 1)
+        x = x.withColumn("_m", F.when(full, F.avg(column).over(r))).withColumn("_s", F.when(full, F.stddev_pop(column).over(r)))
         # Full windows are a contiguous stretch: its first and last values serve the ends.
         for c in ("_m", "_s"):
-            lo, hi = F.max(F.when(F.col("_i") == start, F.col(c))).over(whole), F.max(F.when(F.col("_i") == F.col("_n") - block + start, F.col(c))).over(whole)
-            df = df.withColumn(c, F.when(F.col("_i") < start, lo).when(F.col("_i") > F.col("_n") - block + start, hi).otherwise(F.col(c)))
+            lo, hi = F.max(F.when(F.col("_k") == start, F.col(c))).over(h.whole), F.max(F.when(F.col("_k") == F.col("_n") - block + start, F.col(c))).over(h.whole)
+            x = x.withColumn(c, F.when(F.col("_k") < start, lo).when(F.col("_k") > F.col("_n") - block + start, hi).otherwise(F.col(c)))
         if smooth:
-            df = df.withColumn("_s", gaussian("_s", smooth, w))
-        df = df.withColumn(column, F.when(F.abs(F.col(column) - F.col("_m")) > offset * F.col("_s"), F.lit(None)).otherwise(F.col(column)))
-    return df.drop("_i", "_n", "_m", "_s")
+            x = x.withColumn("_s", gaussian("_s", smooth, w))
+        x = x.withColumn(column, F.when(F.abs(F.col(column) - F.col("_m")) > offset * F.col("_s"), F.lit(None)).otherwise(F.col(column)))
+    return h.done(x).select(*df.columns)
 
 
 def gaussian(column: str, sigma: float, w) -> Column:
@@ -110,30 +126,33 @@ def gaussian(column: str, sigma: float, w) -> Column:
     return total / F.nullif(weights, F.lit(0.0))
 
 
-def vector_despiked(df: DataFrame, columns: Sequence[str], offsets: Sequence[float] = (1.5, 2.0), blocks: Sequence[int] = (21, 7), smooth: float | None = 4.0) -> DataFrame:
+def vector_despiked(df: DataFrame, columns: Sequence[str], offsets: Sequence[float] = (1.5, 2.0), blocks: Sequence[int] = (21, 7), smooth: float | None = 4.0, *, rows: int | None = None) -> DataFrame:
     """W5 backwards, then forwards, on each channel in turn with smoothed deviations. Rows that a channel loses
-    are no part of the next channel's series; ok = the row is left after all of them."""
-    x = df.select("probe", "t", "seq", *[F.col(c).cast("double").alias(c) for c in columns])
+    are no part of the next channel's series; ok = the row is left after all of them. A row is known by its position, so
+    rows without a time and rows with the same one are judged each."""
+    numbered = scan(df, {"_row": position()}, width=None)
+    # Written down: each pass reads what the one before left, more than once.
+    x = kept_if_large(numbered.select("probe", "t", "seq", "_row", *[F.col(c).cast("double").alias(c) for c in columns]))
     for c in columns:
         x = x.where(F.col(c).isNotNull())
         for back in (True, False):
-            x = sigma_despiked(x, c, offsets, blocks, smooth, reverse=back)
+            x = kept_if_large(sigma_despiked(x, c, offsets, blocks, smooth, back, rows=rows))
         x = x.where(F.col(c).isNotNull())
-    left = x.select("probe", "t", "seq", F.lit(True).alias("_ok"))
-    return df.join(left, ["probe", "t", "seq"], "left").withColumn("ok", F.coalesce("_ok", F.lit(False))).drop("_ok")
+    left = x.select("probe", "_row", F.lit(True).alias("_ok"))
+    return numbered.join(left, ["probe", "_row"], "left").withColumn("ok", F.coalesce("_ok", F.lit(False))).select(*df.columns, "ok")
 
 
-def true_regions(df: DataFrame, flag: str) -> DataFrame:
+def true_regions(df: DataFrame, flag: str, *, width: int | None = None) -> DataFrame:
     """[start, end) row positions of contiguous true stretches."""
-    w = ordered()
-    x = df.withColumn("_i", F.row_number().over(w) - 1).where(flag).withColumn("_g", F.col("_i") - F.row_number().over(w))
-    return x.groupBy("probe", "_g").agg(F.min("_i").alias("start"), (F.max("_i") + 1).alias("end")).drop("_g")
+    x = scan(df, {"_i": position(), "_k": total(F.when(F.col(flag), 1).otherwise(0))}, width=width).where(flag)
+    return x.groupBy("probe", (F.col("_i") - F.col("_k")).alias("_g")).agg(F.min("_i").alias("start"), (F.max("_i") + 1).alias("end")).drop("_g")
 
 
-def kept_position(df: DataFrame, bad: str, side: str = "left") -> DataFrame:
+def kept_position(df: DataFrame, bad: str, side: str = "left", *, width: int | None = None) -> DataFrame:
     """Position among the rows that stay: of the next kept row (left) or the kept row before (right)."""
-    before = F.coalesce(F.sum(F.when(~F.col(bad), 1).otherwise(0)).over(ordered().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("kept_i", before if side == "left" else F.when(F.col(bad), before - 1).otherwise(before))
+    x = scan(df, {"_before": total(F.when(~F.col(bad), 1).otherwise(0), own=False)}, width=width)
+    before_ = F.coalesce("_before", F.lit(0))
+    return x.withColumn("kept_i", before_ if side == "left" else F.when(F.col(bad), before_ - 1).otherwise(before_)).drop("_before")
 
 
 def burst_despiked(df: DataFrame, column: str, offset: float = 3.0) -> DataFrame:
@@ -148,17 +167,17 @@ def burst_starts_nulled(df: DataFrame, column: str, period: int, rows: int = 2)
     return df.withColumn(column, F.when(F.row_number().over(w) > rows, F.col(column)))
 
 
-def smoothed_steps(df: DataFrame, column: str) -> DataFrame:
+def smoothed_steps(df: DataFrame, column: str, *, width: int | None = None) -> DataFrame:
     """Only rows where the value changes are trusted; between them it is interpolated."""
-    w = ordered()
-    change = F.lag(column).over(w).isNull() | (F.lag(column).over(w) != F.col(column))
-    return filled(df.withColumn("_c", change), column, ~F.col("_c")).drop("_c")
+    x = scan(df, {"_i": position(), "_b": before(F.col(column))}, width=width, keep_slices=True)
+    same = F.col("_b").isNotNull() & ~F.coalesce(F.col("_b") != F.col(column), F.lit(False))
+    return _fill(x, {column: same}, F.col("_i").cast("double"), width).select(*df.columns)
 
 
-def battery_tail(df: DataFrame, column: str, least: float) -> DataFrame:
+def battery_tail(df: DataFrame, column: str, least: float, *, width: int | None = None) -> DataFrame:
     """From the first row below least + 0.001 on, the value goes on from there with the slope between the
     first rows below least + 0.08 and below least + 0.02; a probe whose two rows are one is left as it is."""
-    x = df.withColumn("_i", F.row_number().over(ordered()))
+    x = scan(df, {"_i": position()}, width=width)
 
     def below(limit: float) -> Column:
         return F.min(F.when(F.col(column) < limit, F.struct(F.col("_i").alias("i"), F.col(column).alias("y"))))
@@ -177,6 +196,21 @@ def recovered_channel(df: DataFrame, lost: str, others: Sequence[str], helper: s
     return df.withColumn(lost, F.coalesce(F.col(lost), F.sqrt(F.greatest(F.lit(0.0), rest)) * F.signum(helper)))
 
 
+def recovered_by_gradient(df: DataFrame, lost: str, others: Sequence[str], *, width: int | None = None) -> DataFrame:
+    """W13 without a helper: the whole channel anew, from the magnitude that the others leave. It goes on through zero where it
+    turns: at a row whose magnitude fell and does not fall after it, if turning the sign there changes the gradient less.
+    From each such row on the sign is the other one."""
+    rest = F.lit(1.0)
+    for c in others:
+        rest = rest - F.col(c) * F.col(c)
+    x = scan(df.withColumn("_s", F.sqrt(F.greatest(F.lit(0.0), rest))), {"_b": before(F.col("_s")), "_a": after(F.col("_s"))}, width=width, keep_slices=True)
+    x = x.withColumn("_d", F.coalesce(F.col("_s") - F.col("_b"), F.lit(0.0)))
+    x = scan(x, {"_d0": before(F.col("_d"))}, width=width, keep_slices=True)
+    turned = (F.col("_d") < 0) & (F.col("_a") >= F.col("_s")) & (F.abs(F.col("_d0") - (F.col("_s") + F.col("_a"))) < F.abs(F.col("_d0") - F.col("_d")))
+    x = scan(x, {"_n": total(F.when(turned, 1).otherwise(0))}, width=width)
+    return x.withColumn(lost, F.when(F.col("_n") % 2 == 1, -F.col("_s")).otherwise(F.col("_s"))).select(*dict.fromkeys([*df.columns, lost]))
+
+
 def last_stored(df: DataFrame) -> DataFrame:
     """K5: of rows with one time, the one stored last."""
     w = Window.partitionBy("probe", "t").orderBy(F.col("seq").desc())

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from .. import streaming
 from ..functions import physics
-from ..operators import aggregates, calibrate, filters, joins, spectrum, store, timefix, velocity, windows
+from ..operators import aggregates, calibrate, filters, joins, spectrum, stages, store, timefix, velocity, windows
 from ..schema import DAY, SECOND, micros, rounded, timestamp
 from ..scratch import scratch_path
+from ..sinks import tsv
 from ..sources import instruments, text
 from .fixtures import AZIMUTH, GAIN_A, GAIN_M, SPEED, coefs, ctes, table
 
@@ -255,7 +256,7 @@ def j4(get):
     return joins.points(get("query_times"), get("raw"), "Temp").select("probe", "qid", *rd("value"))
 
 
-#: The same over every order; query_times has a third of them.
+#: The same by the names that these queries have had since they took every order.
 _NEAR_ALL = _NEAR.replace("query_times", "order_times")
 
 
@@ -288,17 +289,14 @@ def j7(get):
     return joins.wide(b.withColumn("Temp", rounded("Temp")), PROBES, ["Temp"])
 
 
-@query("j8_nearest_node", ("raw",), """WITH nodes AS (SELECT seq AS node, Ax AS x, Ay AS y FROM raw WHERE seq % 997 = 0), pts AS (SELECT seq, Mx * 8 AS x, My * 8 AS y FROM raw WHERE seq % 5 = 0)
-SELECT seq, node, d2 FROM (SELECT p.seq, n.node, (n.x - p.x) * (n.x - p.x) + (n.y - p.y) * (n.y - p.y) AS d2, row_number() OVER (PARTITION BY p.seq ORDER BY (n.x - p.x) * (n.x - p.x) + (n.y - p.y) * (n.y - p.y), n.node) AS k FROM pts p CROSS JOIN nodes n) WHERE k = 1""")
-def j8(get):
-    raw = get("raw")
-    nodes = raw.where("seq % 997 = 0").select(F.col("seq").alias("node"), F.col("Ax").alias("x"), F.col("Ay").alias("y"))
-    return joins.nearest_node(raw.where("seq % 5 = 0").select("seq", (F.col("Mx") * 8).alias("x"), (F.col("My") * 8).alias("y")), nodes).select("seq", "node", "d2")
+_NODES = """WITH nodes AS (SELECT min(seq) AS node, avg(Ax) AS x, avg(Ay) AS y FROM raw GROUP BY floor(seq / 100)), pts AS (SELECT seq, Mx * 8 AS x, My * 8 AS y FROM raw)
+SELECT p.seq, min(struct_pack(d := (n.x - p.x) * (n.x - p.x) + (n.y - p.y) * (n.y - p.y), k := n.node)).k AS node, min((n.x - p.x) * (n.x - p.x) + (n.y - p.y) * (n.y - p.y)) AS d2 FROM pts p CROSS JOIN nodes n GROUP BY p.seq"""
 
 
-@query("j8_nearest_node_of_all")
+@query("j8_nearest_node", ("raw",), _NODES)
+@query("j8_nearest_node_of_all", ("raw",), _NODES)
 def j8_all(get):
-    """Every row's point; a node is the mean place of 100 successive rows, so nodes grow with the rows. A cross join in SQL would too, squared."""
+    """Every row's point; a node is the mean place of 100 successive rows, so nodes grow with the rows."""
     raw = get("raw")
     nodes = raw.groupBy(F.floor(F.col("seq") / 100).alias("hundred")).agg(F.min("seq").alias("node"), F.avg("Ax").alias("x"), F.avg("Ay").alias("y"))
     return joins.nearest_node(raw.select("seq", (F.col("Mx") * 8).alias("x"), (F.col("My") * 8).alias("y")), nodes).select("seq", "node", "d2")
@@ -393,13 +391,18 @@ def a9(get):
     return c.select("probe", F.col("cell_a").cast("long").alias("cell_a"), F.col("cell_b").cast("long").alias("cell_b"), *rd("x"), "t", "n")
 
 
-@query("a10_ellipsoid")
+#: What the points of `sphere` were made with.
+_CENTRE = ", ".join(f"{v!r}::DOUBLE AS {{}}{i}" for i, v in enumerate((0.1, -0.2, 0.05)))
+_GAINS = ", ".join(f"round(1 / {v!r}::DOUBLE, 6) AS A{i}{i}" for i, v in enumerate((1.2, 0.9, 1.1)))
+
+
+@query("a10_ellipsoid", ("sphere",), f"SELECT DISTINCT probe, {_CENTRE.format('b', 'b', 'b')}, {_GAINS} FROM sphere")
 def a10(get):
     f = calibrate.fit_ellipsoid(get("sphere"))
     return f.select("probe", *[rounded(F.col("b")[i]).alias(f"b{i}") for i in range(3)], *[rounded(F.col("A")[i][i]).alias(f"A{i}{i}") for i in range(3)])
 
 
-@query("a12_axes")
+@query("a12_axes", ("sphere",), f"SELECT DISTINCT probe, {_CENTRE.format('c', 'c', 'c')}, 0.9::DOUBLE AS r0, 1.1::DOUBLE AS r1, 1.2::DOUBLE AS r2 FROM sphere")
 def a12(get):
     f = calibrate.fit_axes(get("sphere"))
     return f.select("probe", *[rounded(F.col("centre")[i]).alias(f"c{i}") for i in range(3)], *[rounded(F.col("radii")[i]).alias(f"r{i}") for i in range(3)])
@@ -738,7 +741,22 @@ def s1(get):
     return x.select("seq", "t", F.col("Ax").cast("double").alias("Ax"), F.col("Mz").cast("double").alias("Mz"), "Temp")
 
 
-@query("l17_utm")
+def _utm_sql() -> str:
+    """L17 in SQL, in doubles: powers of the flattening are numbers."""
+    f = instruments.WGS_F
+    e2 = f * (2 - f)
+    ep2, e1 = e2 / (1 - e2), (1 - (1 - e2) ** 0.5) / (1 + (1 - e2) ** 0.5)
+    k = instruments.SCALE * instruments.WGS_A
+    mu = f"(y / {k * (1 - e2 / 4 - 3 * e2**2 / 64 - 5 * e2**3 / 256)!r}::DOUBLE)"
+    series = " + ".join(f"{c!r}::DOUBLE * sin({2 * n} * {mu})" for n, c in ((1, 3 * e1 / 2 - 27 * e1**3 / 32), (2, 21 * e1**2 / 16 - 55 * e1**4 / 32), (3, 151 * e1**3 / 96), (4, 1097 * e1**4 / 512)))
+    return f"""WITH a AS (SELECT probe, seq, Ax * 50 + 500000 AS x, Ay * 50 + 6000000 AS y FROM raw), b AS (SELECT *, {mu} + {series} AS p FROM a),
+ c AS (SELECT *, pow(tan(p), 2) AS t2, {ep2!r}::DOUBLE * cos(p) * cos(p) AS c1, {instruments.WGS_A!r}::DOUBLE / sqrt(1 - {e2!r}::DOUBLE * sin(p) * sin(p)) AS n, {instruments.WGS_A * (1 - e2)!r}::DOUBLE / pow(1 - {e2!r}::DOUBLE * sin(p) * sin(p), 1.5) AS r FROM b),
+ d AS (SELECT *, (x - 500000) / (n * {instruments.SCALE!r}::DOUBLE) AS d FROM c)
+SELECT probe, seq, {r6(f'degrees(p - n * tan(p) / r * (d * d / 2 - (5 + 3 * t2 + 10 * c1 - 4 * c1 * c1 - 9 * {ep2!r}::DOUBLE) * pow(d, 4) / 24 + (61 + 90 * t2 + 298 * c1 + 45 * t2 * t2 - 252 * {ep2!r}::DOUBLE - 3 * c1 * c1) * pow(d, 6) / 720))', 'lat')},
+ {r6(f'degrees((d - (1 + 2 * t2 + c1) * pow(d, 3) / 6 + (5 - 2 * c1 + 28 * t2 - 3 * c1 * c1 + 8 * {ep2!r}::DOUBLE + 24 * t2 * t2) * pow(d, 5) / 120) / cos(p)) + 21', 'lon')} FROM d"""
+
+
+@query("l17_utm", ("raw",), _utm_sql())
 def l17(get):
     raw = get("raw").select("probe", "seq", (F.col("Ax") * 50 + 500000).alias("x"), (F.col("Ay") * 50 + 6_000_000).alias("y"))
     lat, lon = instruments.utm_to_degrees(F.col("x"), F.col("y"))
@@ -1042,3 +1060,184 @@ _END = "CASE WHEN {d1} IS NULL THEN {d0} WHEN sign(((2 * {h0} + {h1}) * {d0} - {
 SELECT probe, mark AS t, {r6('CASE WHEN h IS NULL OR u = 0 THEN y ELSE y * (1 + 2 * u) * (1 - u) * (1 - u) + h * m * u * (1 - u) * (1 - u) + y2 * u * u * (3 - 2 * u) + h * m2 * u * u * (u - 1) END', 'Temp')} FROM j""")
 def t11_monotone(get):
     return timefix.monotone_grid(get("raw"), 6 * HOUR, "Temp").select("probe", "t", *rd("Temp"))
+
+
+# ---- whole steps ----------------------------------------------------------------------------------
+def _despiked_sql(source: str, limits: dict[str, float], keep: str) -> str:
+    """W3 of several channels: tables sp, hole and w3, the last with the channels despiked."""
+    near = ", ".join(f"lag({c}) OVER w AS l_{c}, lead({c}) OVER w AS n_{c}" for c in limits)
+
+    def step(d: str, edge: str, up: bool, most: float) -> str:
+        return f"({edge} OR coalesce({d} {'> ' if up else '< -'}{most}, false))"
+
+    def spike(c: str, most: float) -> str:
+        a, b = f"{c} - l_{c}", f"n_{c} - {c}"
+        return f"({step(a, 'i = 1', True, most)} AND {step(b, 'i = m', False, most)} OR {step(a, 'i = 1', False, most)} AND {step(b, 'i = m', True, most)})"
+
+    held = ", ".join(f"CASE WHEN NOT {spike(c, most)} THEN {c} END AS y_{c}" for c, most in limits.items())
+    known = ", ".join(f"last_value(CASE WHEN y_{c} IS NOT NULL THEN i END IGNORE NULLS) OVER a AS pi_{c}, last_value(y_{c} IGNORE NULLS) OVER a AS py_{c}, first_value(CASE WHEN y_{c} IS NOT NULL THEN i END IGNORE NULLS) OVER b AS ni_{c}, first_value(y_{c} IGNORE NULLS) OVER b AS ny_{c}" for c in limits)
+    line = ", ".join(f"CASE WHEN y_{c} IS NOT NULL THEN y_{c} WHEN pi_{c} IS NULL THEN ny_{c} WHEN ni_{c} IS NULL THEN py_{c} ELSE py_{c} + (ny_{c} - py_{c}) * ((i - pi_{c})::DOUBLE / (ni_{c} - pi_{c})) END AS {c}" for c in limits)
+    return f"""sp AS (SELECT *, {near}, row_number() OVER w AS i, count(*) OVER (PARTITION BY probe) AS m FROM {source} WINDOW w AS (PARTITION BY probe ORDER BY t NULLS FIRST, seq)),
+ hole AS (SELECT {keep}, i, {held} FROM sp), known AS (SELECT *, {known} FROM hole WINDOW a AS (PARTITION BY probe ORDER BY i ROWS UNBOUNDED PRECEDING), b AS (PARTITION BY probe ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+ w3 AS (SELECT {keep}, {line} FROM known)"""
+
+
+_COUNT_LIMITS = {"Ax": 1500.0, "Ay": 1500.0, "Az": 1500.0, "Mx": 100.0, "My": 100.0, "Mz": 100.0}
+#: Spikes, over-scaled rows, rows without a time; i03 has no Mx, i05 hardly any Mz, i07 neither My nor Mz.
+_HARD = """hard AS (SELECT probe, CASE WHEN seq % 389 = 7 THEN NULL ELSE t END AS t, seq, CASE WHEN seq % 97 = 0 THEN Ax + 20000 ELSE Ax * 0.2::DOUBLE END AS Ax, Ay * 0.2::DOUBLE AS Ay,
+ CASE WHEN seq % 101 < 3 THEN -32624 ELSE Az END AS Az, CASE WHEN probe = 'i03' THEN NULL ELSE Mx * 0.1::DOUBLE END AS Mx, CASE WHEN probe = 'i07' THEN NULL ELSE My * 0.1::DOUBLE END AS My,
+ CASE WHEN probe = 'i07' OR (probe = 'i05' AND seq % 20000 > 100) THEN NULL ELSE 500 + Mz * 0.1::DOUBLE END AS Mz FROM raw)"""
+_FULL = f"""WITH {_HARD}, raws AS (SELECT *, Az IS NOT NULL AND Az = -32624 AS over FROM hard),
+ {_despiked_sql('raws', _COUNT_LIMITS, 'probe, t, seq, over')},
+ n AS (SELECT *, Ax * {GAIN_A} AS gx, Ay * {GAIN_A} AS gy, Az * {GAIN_A} AS gz, sqrt((Mx * Mx + My * My + Mz * Mz)) * {GAIN_M} - 1 AS hn FROM w3),
+ md AS (SELECT probe AS mp, median(CASE WHEN hn < 8 THEN hn END) AS hm, avg(CASE WHEN Mx IS NULL AND (My IS NOT NULL OR Mz IS NOT NULL) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS wanted, count(CASE WHEN My IS NOT NULL AND Mz IS NOT NULL THEN 1 END) AS yz,
+  avg(CASE WHEN over AND gx * gx + gy * gy > 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS share, avg(CASE WHEN over AND gx * gx + gy * gy > 1 THEN gx * gx + gy * gy END) AS mean, max(CASE WHEN over THEN gx * gx + gy * gy END) AS most FROM n GROUP BY probe),
+ w AS (SELECT *, CASE WHEN share > 0.001 THEN CASE WHEN most = mean THEN 1.0::DOUBLE WHEN most - mean < (most - 1) / 2 THEN mean ELSE most END ELSE 1.0::DOUBLE END AS whole,
+  hm IS NULL OR (abs(hm) > 0.5 AND wanted > 0.95) AS anew, CASE WHEN hm IS NULL OR (abs(hm) > 0.5 AND wanted > 0.95) THEN 1.0::DOUBLE ELSE hm + 1 END AS h FROM n JOIN md ON probe = mp),
+ r AS (SELECT * EXCLUDE (gz, Mx), CASE WHEN over THEN sqrt(greatest(0.0, whole - CASE WHEN gx * gx + gy * gy > 1 AND NOT (share > 0.001 AND whole = most) THEN whole ELSE gx * gx + gy * gy END)) ELSE gz END AS gz,
+  abs(sqrt(gx * gx + gy * gy + gz * gz) - 1) > 1 AND NOT over AS bad,
+  CASE WHEN Mx IS NOT NULL AND NOT anew THEN Mx ELSE -sqrt(abs(h * h - (My * My + Mz * Mz) * {GAIN_M} * {GAIN_M})) / {GAIN_M} END AS Mx FROM w),
+ g AS (SELECT *, count(Mx) OVER p <= 0.01 * (count(*) OVER p - count(Mx) OVER p) AS lx, count(My) OVER p <= 0.01 * (count(*) OVER p - count(My) OVER p) AS ly, count(Mz) OVER p <= 0.01 * (count(*) OVER p - count(Mz) OVER p) AS lz FROM r WINDOW p AS (PARTITION BY probe)),
+ q AS (SELECT *, CASE WHEN NOT bad THEN atan2(sqrt(gx * gx + gy * gy), gz) END AS a, CASE WHEN NOT lx THEN Mx * {GAIN_M} END AS hx, CASE WHEN NOT ly THEN My * {GAIN_M} END AS hy, CASE WHEN NOT lz THEN Mz * {GAIN_M} END AS hz,
+  (lx AND Mx IS NULL) OR (ly AND My IS NULL) OR (lz AND Mz IS NULL) AS unset FROM g), fo AS (SELECT *, sqrt(tan(a) / cos(a)) AS f FROM q)
+SELECT probe, t, seq, {r6(_by_force('f'), 'Vabs')}, {r6(f'CASE WHEN yz = 0 THEN {AZIMUTH} - degrees(atan2(gx, gy)) WHEN NOT unset OR coalesce(sqrt(hx * hx + hy * hy + hz * hz) - 1 < 8, false) THEN {AZIMUTH} - degrees(atan2((gx * hy - gy * hx) * sqrt(gx * gx + gy * gy + gz * gz), hz * (gx * gx + gy * gy) - gz * (gx * hx + gy * hy))) ELSE 0.0::DOUBLE END', 'Vdir')}, {r6('degrees(a)', 'inclination')} FROM fo"""
+
+
+def _hard(get) -> DataFrame:
+    c, raw = F.col, get("raw")
+    own = c("probe")
+    return raw.select(
+        "probe", F.when(c("seq") % 389 != 7, c("t")).alias("t"), "seq", F.when(c("seq") % 97 == 0, c("Ax") + 20000).otherwise(c("Ax") * 0.2).alias("Ax"), (c("Ay") * 0.2).alias("Ay"),
+        F.when(c("seq") % 101 < 3, -32624.0).otherwise(c("Az")).alias("Az"), F.when(own != "i03", c("Mx") * 0.1).alias("Mx"), F.when(own != "i07", c("My") * 0.1).alias("My"),
+        F.when((own != "i07") & ~((own == "i05") & (c("seq") % 20000 > 100)), 500 + c("Mz") * 0.1).alias("Mz"))
+
+
+QUERIES["p12_full"] = lambda spark, d: _p12_full(lambda n: table(spark, d, n))
+ORACLES["p12_full"] = ctes("raw") + ", " + _FULL[5:]
+
+
+def _p12_full(get) -> DataFrame:
+    """P12 with its defaults: despiking, over-scaled gravity, lost and unrecoverable magnetometers, rows without a time."""
+    x = _hard(get)
+    return velocity.recovered_velocity(x, coefs(x.sparkSession, x), force_coefs=FORCE).select("probe", "t", "seq", *rd("Vabs", "Vdir", "inclination"))
+
+
+@query("w13_gradient", ("raw",), f"""WITH s AS (SELECT probe, t, seq, sqrt(greatest(0.0, 1 - x * x - y * y)) AS s FROM (SELECT probe, t, seq, Ax / 2500 AS x, Ay / 2500 AS y FROM raw)),
+ d AS (SELECT *, coalesce(s - lag(s) OVER w, 0) AS d, lead(s) OVER w AS a FROM s WINDOW w AS (PARTITION BY probe ORDER BY t, seq)), e AS (SELECT *, lag(d) OVER (PARTITION BY probe ORDER BY t, seq) AS d0 FROM d),
+ f AS (SELECT *, sum(CASE WHEN d < 0 AND a >= s AND abs(d0 - (s + a)) < abs(d0 - d) THEN 1 ELSE 0 END) OVER (PARTITION BY probe ORDER BY t, seq) AS n FROM e) SELECT probe, seq, {r6('CASE WHEN n % 2 = 1 THEN -s ELSE s END', 'z')} FROM f""")
+def w13_gradient(get):
+    x = get("raw").select("probe", "t", "seq", (F.col("Ax") / 2500).alias("x"), (F.col("Ay") / 2500).alias("y"))
+    return windows.recovered_by_gradient(x, "z", ("x", "y")).select("probe", "seq", *rd("z"))
+
+
+@query("k1_named_files", ("raw",), f"""WITH b AS (SELECT probe, CAST(floor(t / {HOUR}) AS BIGINT) * {HOUR} AS t, avg(Temp) AS Temp, avg(Az) AS Az, count(CASE WHEN seq % 3 = 0 THEN Battery END) AS k, avg(CASE WHEN seq % 3 = 0 THEN Battery END) AS Battery FROM raw GROUP BY 1, 2),
+ f AS (SELECT *, strftime(make_timestamp(min(t) OVER (PARTITION BY probe, t // {DAY})), '%y%m%d_%H%M') || 'bin3600s@' || probe || '.tsv' AS file FROM b)
+SELECT file, strftime(make_timestamp(t), '%Y-%m-%d %H:%M:%S') || chr(9) || printf('%.5g', Temp) || chr(9) || printf('%.5g', Az) || chr(9) || coalesce(printf('%.5g', Battery), '') AS line FROM f
+UNION ALL SELECT DISTINCT file, 'Time' || chr(9) || 'Temp' || chr(9) || 'Az' || chr(9) || 'Battery' FROM f""")
+def k1_named(get):
+    """Hourly means to a file for each probe and day, read back as lines."""
+    raw = get("raw")
+    path = scratch_path(raw.sparkSession, "named")
+    b = raw.groupBy("probe", (F.floor(F.col("t") / HOUR) * HOUR).alias("t")).agg(F.avg("Temp").alias("Temp"), F.avg("Az").alias("Az"), F.avg(F.when(F.col("seq") % 3 == 0, F.col("Battery"))).alias("Battery"))
+    tsv.write_files(b, path, ["Temp", "Az", "Battery"], bin_s=3600, period=DAY)
+    return raw.sparkSession.read.text(path).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
+
+
+#: Rows with the time since the probe's first one, d; and the first time of its third day.
+_SEAM = f"""z AS (SELECT probe AS zp, min(t) AS a FROM raw GROUP BY probe), o AS (SELECT raw.*, t - a AS d FROM raw JOIN z ON probe = zp),
+ third AS (SELECT probe AS tp, min(t) AS b FROM o WHERE d >= {2 * DAY} GROUP BY probe)"""
+
+
+@query("k9_seam", ("raw",), f"WITH {_SEAM} SELECT probe, t, 'new' AS src, count(*) AS n FROM o JOIN third ON probe = tp WHERE t >= b AND d < {9 * DAY} GROUP BY ALL")
+def k9_seam(get):
+    """Stored are eight days and, behind them, days three to six once more, so the third day's first time is there twice: what lies
+    before the second of them was superseded and goes. The new rows start at that time too, and take the place of the rest."""
+    raw = get("raw").select("probe", "t", "seq", "Temp")
+    d = raw.join(raw.groupBy("probe").agg(F.min("t").alias("a")), "probe").withColumn("d", F.col("t") - F.col("a")).drop("a")
+    spark, path = raw.sparkSession, scratch_path(raw.sparkSession, "seam")
+    again = d.where(f"d >= {2 * DAY} and d < {6 * DAY}").withColumn("seq", F.col("seq") + 10_000_000)
+    stored = d.where(f"d < {8 * DAY}").unionByName(again).drop("d").withColumns({"src": F.lit("old"), "day": F.floor(F.col("t") / DAY), "dead": F.lit(False)})
+    store.write_days(stored, path)
+    store.merge_into(path, d.where(f"d >= {2 * DAY} and d < {9 * DAY}").drop("d").withColumn("src", F.lit("new")))
+    return store.stored_days(spark, path).groupBy("probe", "t", "src").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("k9_rewritten", ("raw",), f"""WITH {_SEAM.split(', third')[0]}, c AS (SELECT probe AS cp, min(t) AS c FROM o WHERE d >= {DAY * 9 // 2} GROUP BY probe), f AS (SELECT *, CAST(floor(t / {DAY}) AS BIGINT) AS day FROM o JOIN c ON probe = cp),
+ was AS (SELECT probe, day, count(*) AS n FROM f WHERE d < {8 * DAY} GROUP BY ALL), goes AS (SELECT probe, day, count(*) AS n FROM f WHERE d < {8 * DAY} AND t >= c GROUP BY ALL), comes AS (SELECT probe, day, count(*) AS n FROM f WHERE t >= c AND d < {6 * DAY} GROUP BY ALL)
+SELECT coalesce(g.probe, m.probe) AS probe, coalesce(g.day, m.day) AS day, coalesce(w.n, 0) - coalesce(g.n, 0) + coalesce(m.n, 0) AS "rows" FROM goes g FULL JOIN comes m ON g.probe = m.probe AND g.day = m.day LEFT JOIN was w ON w.probe = coalesce(g.probe, m.probe) AND w.day = coalesce(g.day, m.day)""")
+def k9_rewritten(get):
+    """Eight days are stored; new rows reach from the middle of the fifth day to the sixth: which partitions are rewritten, and to how many rows."""
+    raw = get("raw").select("probe", "t", "seq", "Temp")
+    d = raw.join(raw.groupBy("probe").agg(F.min("t").alias("a")), "probe").withColumn("d", F.col("t") - F.col("a")).drop("a")
+    path = scratch_path(raw.sparkSession, "rewritten")
+    store.write_days(d.where(f"d < {8 * DAY}").drop("d").withColumns({"day": F.floor(F.col("t") / DAY), "dead": F.lit(False)}), path)
+    return store.merge_into(path, d.where(f"d >= {DAY * 9 // 2} and d < {6 * DAY}").drop("d")).select("probe", "day", "rows")
+
+
+@query("k9_log", ("days",), "SELECT probe, t_start, arg_min(t_end, src) AS t_end, min(src) AS src FROM (SELECT probe, k - k % 2 AS t_start, t_end, 0 AS src FROM days WHERE k % 2 = 0 UNION ALL SELECT probe, k - k % 2 AS t_start, t_end + 5 AS t_end, 1 AS src FROM days WHERE k % 2 = 0 UNION ALL SELECT probe, k, t_end, 1 FROM days WHERE k % 2 = 1) GROUP BY probe, t_start")
+def k9_log(get):
+    days = get("days").select("probe", F.col("k").alias("t_start"), "t_end", F.lit(0).cast("long").alias("changed"))
+    old = days.where("t_start % 2 = 0").withColumn("src", F.lit(0))
+    new = days.where("t_start % 2 = 0").withColumn("t_end", F.col("t_end") + 5).unionByName(days.where("t_start % 2 = 1")).withColumn("src", F.lit(1))
+    return store.merged_log(old, new).select("probe", "t_start", "t_end", "src")
+
+
+_STAGE_SQL = f"""WITH d AS (SELECT probe, CAST(floor(t / {DAY}) AS BIGINT) AS day, count(*) AS n, count(DISTINCT floor(t / {HOUR})) AS b FROM raw GROUP BY 1, 2), v AS (SELECT min(day) + 6 AS again FROM d),
+ w AS (SELECT CAST(floor(t / {DAY}) AS BIGINT) AS day, count(DISTINCT floor(t / {HOUR})) AS n FROM raw GROUP BY 1)
+SELECT stage, probe, day, run, CASE stage WHEN 'bins' THEN b ELSE n END AS "rows" FROM d, v, (VALUES ('raw'), ('physical'), ('bins')) s(stage), (VALUES (1), (2)) r(run) WHERE run = 1 OR (day = again AND probe < 'i04')
+UNION ALL SELECT 'wide', NULL, day, run, n FROM w, v, (VALUES (1), (2)) r(run) WHERE run = 1 OR day = again"""
+
+
+@query("k11_stages", ("raw",), _STAGE_SQL)
+def k11_stages(get):
+    """Two deliveries, the second of one day of four probes: the log of what was made, by stage, partition and run."""
+    return _staged(get).log()
+
+
+def _staged(get) -> stages.StagedStore:
+    raw = get("raw").drop("P_counts", "value")
+    spark = raw.sparkSession
+    c = coefs(spark, raw)
+    kept = stages.StagedStore(spark, scratch_path(spark, "stages"), lambda x: velocity.velocity(x, c), ["Vabs", "Temp"], PROBES, 3600)
+    kept.deliver(raw, 1)
+    kept.refresh(1)
+    again = raw.agg(F.floor(F.min("t") / DAY)).first()[0] + 6
+    kept.deliver(raw.where((F.floor(F.col("t") / DAY) == again) & (F.col("probe") < "i04")).withColumn("Temp", F.col("Temp") + 1), 2)
+    kept.refresh(2)
+    return kept
+
+
+@query("k11_wide", ("raw",), f"""WITH d AS (SELECT CAST(floor(t / {HOUR}) AS BIGINT) * {HOUR} AS t, probe, avg(CASE WHEN probe < 'i04' AND floor(t / {DAY}) = (SELECT floor(min(t) / {DAY}) + 6 FROM raw) THEN Temp + 1 ELSE Temp END) AS Temp FROM raw GROUP BY 1, 2)
+SELECT t, {', '.join(f"round(max(CASE WHEN probe = '{p}' THEN Temp END), 6) + 0.0 AS Temp_{p}" for p in PROBES)} FROM d GROUP BY t""")
+def k11_wide(get):
+    """The last of the four tables after both deliveries."""
+    return _staged(get).read("wide").select("t", *rd(*[f"Temp_{p}" for p in PROBES]))
+
+
+ORACLES["r2_corrected"] = ORACLES["t1_corrected_times"]
+
+
+@query("r2_corrected")
+def r2_corrected(get):
+    """T1 over a stream that arrives in four chunks, each cut anywhere in runs of one time: the same as over the whole."""
+    raw = get("raw_lowres").select("probe", "seq", timestamp(F.col("t")).alias("ts"))
+    spark, path = raw.sparkSession, scratch_path(raw.sparkSession, "chunks")
+    border = raw.agg(F.max("seq")).first()[0] // 4 + 1
+    for k in range(4):
+        # One file a chunk: a stream takes files in the order in which they came.
+        raw.where(F.floor(F.col("seq") / border) == k).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return streaming.corrected_to(stream, scratch_path(spark, "corrected"), scratch_path(spark, "corrected-state"), fs=1 / 60, overlap=50, shift=HOUR)
+
+
+def _spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spectra of sliding windows of two-hour means' stream, as the watermark closes them; tests hold them against the batch form."""
+    raw = table(spark, sf_dir, "raw").select("probe", (F.floor(F.col("t") / (2 * HOUR)) * 2 * HOUR).alias("t"), "Temp")
+    path = scratch_path(spark, "grid")
+    raw.groupBy("probe", "t").agg(F.avg("Temp").alias("Temp")).select("probe", timestamp(F.col("t")).alias("ts"), "Temp").write.parquet(path)
+    stream = spark.readStream.schema("probe string, ts timestamp_ntz, Temp double").parquet(path)
+    out = streaming.sliding_spectra(stream, 4 * 86400, 2 * 86400, "Temp", step=2 * HOUR)
+    return streaming.run_to_end(out, scratch_path(spark, "spectra"), scratch_path(spark, "spectra-state")).withColumns({c: rounded(F.col(c)) for c in ("freq", "psd")})
+
+
+QUERIES["r4_spectra"] = _spectra

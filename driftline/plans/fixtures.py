@@ -21,7 +21,7 @@ DERIVED = {
     "raw_lowres": "SELECT probe, CAST(floor(t / 3600000000) AS BIGINT) * 3600000000 AS t, seq FROM raw",
     "raw_dayjump": "SELECT probe, t + CASE WHEN row_number() OVER w * 3 > c AND row_number() OVER w * 3 <= 2 * c THEN 86400000000 ELSE 0 END AS t, seq FROM (SELECT probe, t, seq, count(*) OVER (PARTITION BY probe) AS c FROM raw) x WINDOW w AS (PARTITION BY probe ORDER BY seq)",
     "intervals": "SELECT probe, CAST(floor(min(t) / 86400000000) AS BIGINT) * 86400000000 + k * 6 * 86400000000 AS t_start, CAST(floor(min(t) / 86400000000) AS BIGINT) * 86400000000 + (k * 6 + 2) * 86400000000 AS t_end, k AS run FROM raw CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) n GROUP BY probe, k",
-    "query_times": "SELECT concat('i', lpad(CAST(o_custkey % 10 AS STRING), 2, '0')) AS probe, CAST(1704067200000000 + (o_orderkey % 4320) * 600000000 AS BIGINT) AS t, o_orderkey AS qid FROM orders WHERE o_orderkey % 3 = 0",
+    "query_times": "SELECT concat('i', lpad(CAST(o_custkey % 10 AS STRING), 2, '0')) AS probe, CAST(1704067200000000 + (o_orderkey % 4320) * 600000000 AS BIGINT) AS t, o_orderkey AS qid FROM orders",
     "order_times": "SELECT concat('i', lpad(CAST(o_custkey % 10 AS STRING), 2, '0')) AS probe, CAST(1704067200000000 + (o_orderkey % 4320) * 600000000 AS BIGINT) AS t, o_orderkey AS qid FROM orders",
     "load_log": "SELECT probe, min(t) AS t_start, max(t) AS t_end, count(*) AS \"rows\", concat(probe, '.csv') AS file, CAST(min(seq) % 7 AS BIGINT) AS changed FROM raw GROUP BY probe",
     "sphere": "SELECT concat('i', lpad(CAST(vec_id % 10 AS STRING), 2, '0')) AS probe, vec_id AS seq, vec_id * 1000000 AS t, 1.2 * (e1 / n) + 0.1 AS x, 0.9 * (e2 / n) - 0.2 AS y, 1.1 * (e3 / n) + 0.05 AS z FROM vectors",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
@@ -32,3 +32,10 @@ def allow_checkpoints(spark: SparkSession) -> None:
     """Name a folder for DataFrame.checkpoint() where the session has none."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
+def kept_table(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back: lineage ends here, and what reads it twice makes it once."""
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

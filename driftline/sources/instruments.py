@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.physics import degrees_minutes
-from ..schema import DAY, micros, ordered
+from ..operators.scan import before, haloed, last, scan, total
+from ..schema import DAY, micros
 
 #: Serial day number of 1970-01-01.
 SERIAL_DAY_0 = 719529
@@ -63,10 +64,9 @@ def time_only(df: DataFrame, day: Column, time: str = "Time") -> DataFrame:
     """H:M:S after a date from the header or the file name; a fall of the clock starts a new day."""
     t = F.split(time, ":")
     s = (F.get(t, F.lit(0)).cast("long") * 3600 + F.get(t, F.lit(1)).cast("long") * 60) * 1_000_000 + F.round(F.get(t, F.lit(2)).cast("double") * 1_000_000).cast("long")
-    w = Window.partitionBy("probe").orderBy("seq")
-    x = df.withColumn("_s", s)
-    over = F.sum(F.when(F.col("_s") < F.lag("_s").over(w) - DAY // 2, 1).otherwise(0)).over(w)
-    return x.withColumn("t", F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long") * DAY + F.col("_s") + over * DAY).drop("_s")
+    x = scan(df.withColumn("_s", s), {"_b": before(F.col("_s"))}, ("seq",), keep_slices=True)
+    x = scan(x, {"_over": total(F.when(F.col("_s") < F.col("_b") - DAY // 2, 1).otherwise(0))}, ("seq",))
+    return x.withColumn("t", F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long") * DAY + F.col("_s") + F.col("_over") * DAY).select(*[c for c in df.columns if c != "t"], "t")
 
 
 def file_day(path: Column, century: str = "20") -> Column:
@@ -136,20 +136,21 @@ def utm_to_degrees(x: Column, y: Column, zone: int = 34) -> tuple[Column, Column
 
 def accelerations(df: DataFrame, taps: list[float], every: int) -> DataFrame:
     """GsumMinus1 from m/s2, low-passed by a FIR of windowed weighted sums, then each every-th row."""
-    w = ordered()
+    halo = haloed(df, len(taps))
+    w = halo.forth
     g = F.sqrt(F.col("Gx") ** 2 + F.col("Gy") ** 2 + F.col("Gz") ** 2) / 9.8 - 1
-    x = df.withColumn("_g", g).withColumn("_i", F.row_number().over(w) - 1)
+    x = halo.rows.withColumn("_g", g)
     mid = len(taps) // 2
-    total, weight = F.lit(0.0), F.lit(0.0)
+    sums, weight = F.lit(0.0), F.lit(0.0)
     for k, tap in enumerate(taps):
         v = F.lag("_g", mid - k).over(w) if k <= mid else F.lead("_g", k - mid).over(w)
-        total, weight = total + F.coalesce(v * tap, F.lit(0.0)), weight + F.when(v.isNotNull(), tap).otherwise(0.0)
-    return x.withColumn("GsumMinus1", total / weight).where(F.col("_i") % every == 0).drop("_g", "_i")
+        sums, weight = sums + F.coalesce(v * tap, F.lit(0.0)), weight + F.when(v.isNotNull(), tap).otherwise(0.0)
+    return halo.done(x.withColumn("GsumMinus1", sums / weight).where(F.col("_i") % every == 0).drop("_g"))
 
 
 def carried_forward(df: DataFrame, column: str = "t") -> DataFrame:
     """A time that could not be read is the one before."""
-    return df.withColumn(column, F.last(column, True).over(Window.partitionBy("probe").orderBy("seq")))
+    return scan(df, {column: last(F.col(column))}, ("seq",)).select(*df.columns)
 
 
 def tweaked(df: DataFrame, tweaks: dict[str, object]) -> DataFrame:

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..schema import SECOND, micros
+from ..operators.scan import SLICE_ROWS
+from ..operators.spectrum import SCHEMA, density
+from ..operators.timefix import corrected_times
+from ..schema import SECOND, micros, timestamp
+from ..scratch import kept_table
 from ..sources.text import header_schema
 
 
@@ -19,28 +24,52 @@ def ingest(spark: SparkSession, path: str, header: str, *, files_per_trigger: in
     return spark.readStream.schema(header_schema(header)).option("maxFilesPerTrigger", files_per_trigger).option("mode", "DROPMALFORMED").csv(path)
 
 
+def _micros(stream: DataFrame) -> Column:
+    """ts as microseconds: a TIMESTAMP is an instant, a TIMESTAMP_NTZ is read as UTC, whatever the session's zone."""
+    return F.unix_micros("ts") if dict(stream.dtypes)["ts"] == "timestamp" else micros(F.col("ts"))
+
+
 def _timed(stream: DataFrame) -> DataFrame:
-    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ is read in the session's zone, which should be UTC."""
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    """Watermarks need TIMESTAMP."""
+    return stream.withColumn("ts", F.timestamp_micros(_micros(stream)))
+
+
+def _utc(instant: Column) -> Column:
+    """A TIMESTAMP as TIMESTAMP_NTZ in UTC."""
+    return timestamp(F.unix_micros(instant))
 
 
 def bins(stream: DataFrame, seconds: int, columns: Sequence[str], late: str = "10 minutes") -> DataFrame:
     """Tumbling means as data arrives. stream(probe, ts TIMESTAMP_NTZ or TIMESTAMP, ...)."""
     w = F.window("ts", f"{seconds} seconds")
-    return _timed(stream).withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in columns]).select("probe", F.col("window.start").alias("ts"), "rows", *columns)
+    return _timed(stream).withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows"), *[F.avg(c).alias(c) for c in columns]).select("probe", _utc(F.col("window.start")).alias("ts"), "rows", *columns)
 
 
 def sliding(stream: DataFrame, length: int, hop: int, column: str, late: str = "10 minutes") -> DataFrame:
     """Sliding windows with their ordered values, for a spectrum of each."""
     w = F.window("ts", f"{length} seconds", f"{hop} seconds")
     out = _timed(stream).withWatermark("ts", late).groupBy("probe", w).agg(F.sort_array(F.collect_list(F.struct("ts", column))).alias("_s"))
-    return out.select("probe", F.col("window.start").alias("w_start"), F.transform("_s", lambda r: r[column]).alias("values"))
+    return out.select("probe", _utc(F.col("window.start")).alias("w_start"), F.transform("_s", lambda r: r[column]).alias("values"))
+
+
+def sliding_spectra(stream: DataFrame, length: int, hop: int, column: str, *, step: int, method: str = "eigen", low: float = 0.0, high: float | None = None, late: str = "10 minutes") -> DataFrame:
+    """R4 into X2: the density of each sliding window, when the watermark has passed its end: probe, w_start (microseconds), freq,
+    psd. What spectra() gives for the same windows; step: microseconds from row to row. The state holds the rows of open windows."""
+    closed = sliding(stream, length, hop, column, late).select("probe", micros(F.col("w_start")).alias("w_start"), "values")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples(index=False):
+                f, p = density(np.array(r.values, float), step, method=method, low=low, high=high)
+                yield pd.DataFrame({"probe": r.probe, "w_start": r.w_start, "freq": f, "psd": p})
+
+    return closed.mapInPandas(run, SCHEMA)
 
 
 def sessions(stream: DataFrame, gap: str, late: str = "10 minutes") -> DataFrame:
     """Bursts on arrival: rows less than gap apart."""
     w = F.session_window("ts", gap)
-    return _timed(stream).withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows")).select("probe", F.col("session_window.start").alias("t_start"), F.col("session_window.end").alias("t_end"), "rows")
+    return _timed(stream).withWatermark("ts", late).groupBy("probe", w).agg(F.count(F.lit(1)).alias("rows")).select("probe", _utc(F.col("session_window.start")).alias("t_start"), _utc(F.col("session_window.end")).alias("t_end"), "rows")
 
 
 def resolved_times(stream: DataFrame, freq: float) -> DataFrame:
@@ -61,10 +90,36 @@ def resolved_times(stream: DataFrame, freq: float) -> DataFrame:
         state.update((int(t[-1]), int(k[-1]) + 1))
         yield pd.DataFrame({"probe": key[0], "seq": rows["seq"], "t": t + np.rint(k * SECOND / freq).astype("int64")})
 
-    timed = stream.withColumn("t", micros(F.col("ts"))).select("probe", "seq", "t")
+    timed = stream.withColumn("t", _micros(stream)).select("probe", "seq", "t")
     return timed.groupBy("probe").applyInPandasWithState(run, schema, "last long, n long", "append", GroupStateTimeout.NoTimeout)
 
 
+def corrected_to(stream: DataFrame, path: str, checkpoint: str, *, fs: float | None = None, overlap: int | None = None, **options) -> DataFrame:
+    """R2: T1 over what is there now, chunk by chunk, to Parquet: probe, seq, t and ok. A later call goes on from the checkpoint.
+
+    Each chunk is corrected behind the last `overlap` (2 * ceil(fs), 50 without fs) uncorrected times of its probe, so that a run of one
+    time that a chunk's border cuts is spread as one. Those tails are the state: a row for each of so few times a probe, one table a
+    chunk. A chunk that is run again overwrites what it wrote, so each row is there once. stream(probe, seq, ts).
+    """
+    keep, spark = overlap or (2 * math.ceil(fs) if fs else 50), stream.sparkSession
+    plain = stream.select("probe", F.col("seq").cast("long").alias("seq"), _micros(stream).alias("t"))
+
+    def correct(chunk: DataFrame, number: int) -> None:
+        chunk = kept_table(chunk.select("probe", "seq", "t", F.lit(True).alias("_new")))
+        before = chunk.where("false") if number == 0 else spark.read.schema(chunk.schema).parquet(f"{checkpoint}/tails/{number - 1}").withColumn("_new", F.lit(False))
+        both = kept_table(before.unionByName(chunk))
+        corrected_times(both, fs=fs, **options).where("_new").select("probe", "seq", "t", "ok").write.mode("overwrite").parquet(f"{path}/chunk={number}")
+        # The first `keep` of each slice of the source, then of them: no probe's rows meet in one task.
+        backwards = F.col("seq").desc()
+        part = Window.partitionBy("probe", F.floor(F.col("seq") / SLICE_ROWS)).orderBy(backwards)
+        few = both.withColumn("_rn", F.row_number().over(part)).where(F.col("_rn") <= keep)
+        tail = few.withColumn("_rn", F.row_number().over(Window.partitionBy("probe").orderBy(backwards))).where(F.col("_rn") <= keep)
+        tail.drop("_rn").write.mode("overwrite").parquet(f"{checkpoint}/tails/{number}")
+
+    plain.writeStream.foreachBatch(correct).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.option("basePath", path).schema("probe string, seq long, t long, ok boolean").parquet(path).select("probe", "seq", "t", "ok")
+
+
 def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """All that is there now, to Parquet; the next call goes on from the checkpoint."""
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
