@@ -197,9 +197,10 @@ def recovered_channel(df: DataFrame, lost: str, others: Sequence[str], helper: s
 
 
 def recovered_by_gradient(df: DataFrame, lost: str, others: Sequence[str], *, width: int | None = None) -> DataFrame:
-    """W13 without a helper: the whole channel anew, from the magnitude that the others leave. It goes on through zero where it
-    turns: at a row whose magnitude fell and does not fall after it, if turning the sign there changes the gradient less.
-    From each such row on the sign is the other one."""
+    """W13 without a helper: the whole channel anew, from the magnitude s that the others leave. Its sign turns at rows whose s fell
+    and does not fall after them, and where |d' - (s + s_next)| < |d' - d|, with d the step into the row and d' the one before
+    it (0 for the first row). The sign of the first row is positive; from each such row on it is the other one. By this rule a
+    smooth run through zero is not turned: it takes a row before the least one that rose."""
     rest = F.lit(1.0)
     for c in others:
         rest = rest - F.col(c) * F.col(c)
