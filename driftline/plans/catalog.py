@@ -1230,7 +1230,7 @@ def r2_corrected(get):
     return streaming.corrected_to(stream, scratch_path(spark, "corrected"), scratch_path(spark, "corrected-state"), fs=1 / 60, overlap=50, shift=HOUR)
 
 
-def _spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _closed_spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spectra of sliding windows of two-hour means' stream, as the watermark closes them; tests hold them against the batch form."""
     raw = table(spark, sf_dir, "raw").select("probe", (F.floor(F.col("t") / (2 * HOUR)) * 2 * HOUR).alias("t"), "Temp")
     path = scratch_path(spark, "grid")
@@ -1240,4 +1240,4 @@ def _spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaming.run_to_end(out, scratch_path(spark, "spectra"), scratch_path(spark, "spectra-state")).withColumns({c: rounded(F.col(c)) for c in ("freq", "psd")})
 
 
-QUERIES["r4_spectra"] = _spectra
+QUERIES["r4_spectra"] = _closed_spectra
