@@ -1,8 +1,9 @@
 """Time correction (T1-T15; T1 composes the others). Rows are scanned in slices by source order or by time (scan.py);
-T3 and T7 go through Python where a step depends on all before it."""
+T3 and T7 go through Python where a step depends on all before it, T3 in blocks of rows that are in order."""
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,69 +14,105 @@ from pyspark.sql import functions as F
 
 from ..schema import DAY, SECOND, ordered, timestamp
 from .aggregates import medians
-from .scan import after, before, haloed, highest, kept_if_large, last, lowest_from, position, scan, total, upcoming
+from .scan import after, before, haloed, highest, kept_if_large, last, position, scan, total, upcoming
 
 #: Order of the source.
 SOURCE = ("seq",)
 
 
-def sampling_frequency(df: DataFrame, *, width: int | None = None) -> DataFrame:
-    """Rows per second of each probe by source order: rows per time step, without steps beyond three
-    deviations of the median; and the numbers of equal and of decreasing steps."""
-    x = scan(df.select("probe", "seq", "t"), {"_b": before(F.col("t")), "_i": position()}, SOURCE, width).withColumn("_d", F.col("t") - F.col("_b"))
-    steps = x.groupBy("probe").agg(F.count_if(F.col("_d") == 0).alias("equal"), F.count_if(F.col("_d") < 0).alias("decreasing"))
-    # Where a run of one time starts; the next start tells how many rows it has.
-    starts = scan(x.where("_i = 0 or _d <> 0"), {"_next": after(F.struct("_i", "t"))}, SOURCE, width)
-    rate = starts.withColumn("_step", F.col("_next.t") - F.col("t")).where("_step > 0").select("probe", ((F.col("_next._i") - F.col("_i")) * SECOND / F.col("_step")).alias("f"))
+def sampling_frequency(df: DataFrame, *, precision: int = 0, width: int | None = None) -> DataFrame:
+    """Rows per second of each probe by source order, and the numbers of equal and of decreasing steps.
+
+    1. Where a probe has decreasing steps, rows that stand out alone are left out: above or below both neighbours, a
+       missing neighbour counting as either. A row before a step that still falls is not counted.
+    2. A step upwards has the rows from it to the next one (from the last one: to the end) over its length as frequency.
+    3. Packets: a step longer than the mean one by 10^precision s, and the steps beside it, take no part.
+    4. The mean of the frequencies within three deviations of the median, of all where that leaves fewer than two;
+       rounded to as many digits as it has whole ones after the first, at least `precision`. What would round to 0 is not rounded.
+
+    Rows without a time are ignored; a probe without a step upwards, or with packets only, has NULL.
+    """
+    x = scan(df.where("t is not null").select("probe", "seq", "t"), {"_b": before(F.col("t")), "_a": after(F.col("t"))}, SOURCE, width, keep_slices=True)
+    t, b, a = F.col("t"), F.col("_b"), F.col("_a")
+    steps = x.groupBy("probe").agg(F.count_if(b == t).alias("equal"), F.count_if(t < b).alias("decreasing"))
+    peak = (b.isNull() | (b < t)) & (a.isNull() | (a < t))
+    pit = (b.isNull() | (b > t)) & (a.isNull() | (a > t))
+    left = kept_if_large(x.join(steps.where("decreasing > 0").select("probe", F.lit(True).alias("_falls")), "probe", "left").where(F.col("_falls").isNull() | ~(peak | pit)).select("probe", "seq", "t"))
+    x = scan(left, {"_b": before(t)}, SOURCE, width, keep_slices=True).withColumn("_step", t - b)
+    x = kept_if_large(scan(x, {"_rows": total(F.when(F.col("_step") >= 0, 1).otherwise(0))}, SOURCE, width).select("probe", "seq", "_step", "_rows"))
+    up = F.when(F.col("_step") > 0, F.col("_step"))
+    # The end of the series closes the last run, as a step of no length.
+    whole = x.groupBy("probe").agg((F.max("_rows") + 1).alias("_end"), (F.sum(up) / (F.count(up) + 1) + SECOND * 10.0**precision).alias("_long"))
+    ups = scan(x.where("_step > 0"), {"_next": after(F.struct("_rows", "_step")), "_prev": before(F.col("_step"))}, SOURCE, width).join(whole, "probe")
+    short = lambda c: F.coalesce(F.col(c) < F.col("_long"), F.lit(True))
+    rate = ups.where(short("_step") & short("_prev") & short("_next._step")).select("probe", ((F.coalesce("_next._rows", "_end") - F.col("_rows")) * SECOND / F.col("_step")).alias("f"))
     mid = medians(rate, "f").join(rate.groupBy("probe").agg(F.stddev_pop("f").alias("_s")), "probe")
-    fs = rate.join(mid, "probe").where(F.abs(F.col("f") - F.col("median")) <= 3 * F.col("_s")).groupBy("probe").agg(F.avg("f").alias("fs"))
-    return steps.join(fs, "probe", "left").select("probe", "fs", "equal", "decreasing")
-
-
-def longest_increasing(times: np.ndarray) -> np.ndarray:
-    """Mask of a longest non-decreasing subsequence (patience piles with back links)."""
-    tails = np.empty(len(times), np.int64)
-    piles = np.empty(len(times), times.dtype)
-    back = np.empty(len(times), np.int64)
-    n = 0
-    for i, x in enumerate(times):
-        at = int(np.searchsorted(piles[:n], x, side="right"))
-        back[i] = tails[at - 1] if at else -1
-        piles[at], tails[at] = x, i
-        n = max(n, at + 1)
-    keep = np.zeros(len(times), bool)
-    i = tails[n - 1] if n else -1
+    good = F.when(F.abs(F.col("f") - F.col("median")) < 3 * F.col("_s"), F.col("f"))
+    fs = rate.join(mid, "probe").groupBy("probe").agg(F.when(F.count(good) > 1, F.avg(good)).otherwise(F.avg("f")).alias("_f"))
+    digits = F.greatest(F.lit(precision), F.log10("_f").cast("int"))
+    scale = F.pow(F.lit(10.0), digits)
+    near = F.rint(F.col("_f") * scale) / scale
+    return steps.join(fs.select("probe", F.when(near == 0, F.col("_f")).otherwise(near).alias("fs")), "probe", "left").select("probe", "fs", "equal", "decreasing")
+
+
+def heaviest_increasing(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Mask of an increasing subsequence of distinct values with the largest sum of weights. Only values that end a
+    heavier subsequence than all smaller ones do are held, in order."""
+    tops: list[int] = []
+    sums: list[int] = []
+    at: list[int] = []
+    back = np.full(len(values), -1, np.int64)
+    for i, (v, w) in enumerate(zip(values.tolist(), weights.tolist())):
+        p = bisect_left(tops, v)
+        if p:
+            back[i], w = at[p - 1], w + sums[p - 1]
+        end = p
+        while end < len(tops) and sums[end] <= w:
+            end += 1
+        tops[p:end], sums[p:end], at[p:end] = [v], [w], [i]
+    keep = np.zeros(len(values), bool)
+    i = at[-1] if at else -1
     while i >= 0:
         keep[i] = True
         i = back[i]
     return keep
 
 
-def _by_chunk(df: DataFrame, mask, out: str) -> DataFrame:
-    schema = f"probe string, seq long, {out} boolean"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seq")
-        return pd.DataFrame({"probe": pdf["probe"], "seq": pdf["seq"], out: mask(pdf["t"].to_numpy())})
-
-    return df.select("probe", "_part", "t", "seq").groupBy("probe", "_part").applyInPandas(run, schema)
+def blocks_in_order(df: DataFrame, *, width: int | None = None) -> DataFrame:
+    """The blocks of T3: rows that follow each other both by seq and by (t, seq). A row per block: probe, _part, seq of its first
+    row, _rank (that row's place by time), _n rows. Where all blocks before have all the smaller places, a new _part begins."""
+    places = scan(df.where("t is not null").select("probe", "seq", "t"), {"_rank": position()}, width=None if width is None else min(width * SECOND, 1 << 60))
+    places = kept_if_large(places)
+    x = scan(places, {"_i": position(), "_b": before(F.col("_rank"))}, SOURCE, width)
+    starts = kept_if_large(x.where(F.col("_b").isNull() | (F.col("_rank") != F.col("_b") + 1)).select("probe", "seq", "_i", "_rank"))
+    rows = places.groupBy("probe").agg(F.count(F.lit(1)).alias("_all"))
+    blocks = scan(starts, {"_next": after(F.col("_i"))}, SOURCE, width).join(rows, "probe").withColumn("_n", F.coalesce("_next", "_all") - F.col("_i"))
+    blocks = scan(blocks, {"_top": highest(F.col("_rank") + F.col("_n") - 1, own=False)}, SOURCE, width, keep_slices=True)
+    blocks = scan(blocks.withColumn("_cut", F.when(F.coalesce(F.col("_top") < F.col("_i"), F.lit(True)), 1).otherwise(0)), {"_part": total(F.col("_cut"))}, SOURCE, width)
+    return blocks.select("probe", "_part", "seq", "_rank", "_n")
 
 
 def without_inversions(df: DataFrame, *, width: int | None = None) -> DataFrame:
-    """ok = the row is in a longest non-decreasing subsequence of times by source order.
+    """ok = the row is in a longest non-decreasing subsequence of times by source order. A row without a time is not ok.
 
-    Where no later time lies before a row and none before it lies after, the series splits: a longest
-    subsequence of the whole is one of each part. Parts in order need no Python at all; the others
-    go to it one by one, so a group is as long as a disorder reaches, not as a probe.
+    A row has a place by (t, seq) as well as by seq, so the series is a permutation, and a longest subsequence an increasing
+    one. One that has a row of a block can have the whole block, so what is searched are blocks weighted by their rows: about three
+    for each disturbance, however long the series is and however far a time is off. Parts go to Python one by one, a
+    single block not at all. A part is one task's work, in blocks.
     """
-    seen = scan(df, {"_upto": highest(F.col("t"), own=False), "_from": lowest_from(F.col("t"))}, SOURCE, width, keep_slices=True)
-    cut = F.when(F.col("_upto").isNull() | (F.col("_upto") <= F.col("_from")), 1).otherwise(0)
-    parts = scan(seen.withColumn("_cut", cut), {"_part": total(F.col("_cut"))}, SOURCE, width).select(*df.columns, "_part")
-    size = F.count(F.lit(1)).over(Window.partitionBy("probe", "_part"))
-    sized = parts.withColumn("_size", size)
-    judged = _by_chunk(sized.where("_size > 1"), longest_increasing, "ok")
-    return sized.where("_size = 1").withColumn("ok", F.lit(True)).drop("_part", "_size").unionByName(
-        sized.where("_size > 1").drop("_part", "_size").join(judged, ["probe", "seq"]))
+
+    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq")
+        keep = heaviest_increasing(pdf["_rank"].to_numpy(), pdf["_n"].to_numpy())
+        return pd.DataFrame({"probe": pdf["probe"], "seq": pdf["seq"], "_keep": keep})
+
+    several = F.count(F.lit(1)).over(Window.partitionBy("probe", "_part"))
+    sized = blocks_in_order(df, width=width).withColumn("_size", several)
+    judged = sized.where("_size > 1").groupBy("probe", "_part").applyInPandas(judge, "probe string, seq long, _keep boolean")
+    # A block's first row has the answer; the rows behind it carry it on.
+    first = sized.where("_size = 1").select("probe", "seq", F.lit(True).alias("_keep")).unionByName(judged)
+    marked = scan(df.join(first, ["probe", "seq"], "left"), {"_ok": last(F.col("_keep"))}, SOURCE, width)
+    return marked.select(*df.columns, (F.col("t").isNotNull() & F.coalesce("_ok", F.lit(False))).alias("ok"))
 
 
 def spread_repeats(df: DataFrame, freq: float | Column, *, width: int | None = None) -> DataFrame:
@@ -329,7 +366,7 @@ def corrected_times(
     if mode == "none":
         return x.withColumn("ok", F.lit(True)).unionByName(outside)
     judged = without_inversions(x.where("t is not null")).select("probe", "seq", F.col("ok").alias("_run"))
-    rate = sampling_frequency(x.where("t is not null")).select("probe", F.coalesce(F.lit(fs), F.col("fs"), F.lit(1.0)).alias("_fs"))
+    rate = sampling_frequency(x, precision=6).select("probe", F.coalesce(F.lit(fs), F.col("fs"), F.lit(1.0)).alias("_fs"))
     x = x.join(judged, ["probe", "seq"], "left").join(rate, "probe", "left").withColumn("_fs", F.coalesce("_fs", F.lit(float(fs or 1))))
     # Each step scans what the one before gave more than once, so the steps' tables are written down.
     x = kept_if_large(x)

@@ -507,11 +507,29 @@ def w13(get):
 
 
 # ---- time ---------------------------------------------------------------------------------------
-@query("t2_sampling_frequency", ("raw_lowres",), f"""WITH d AS (SELECT *, t - lag(t) OVER (PARTITION BY probe ORDER BY seq) AS d FROM raw_lowres), r AS (SELECT *, sum(CASE WHEN d <> 0 THEN 1 ELSE 0 END) OVER (PARTITION BY probe ORDER BY seq) AS g FROM d),
- s AS (SELECT probe, g, count(*) AS n, min(t) AS t FROM r GROUP BY probe, g), q AS (SELECT *, n * 1000000.0::DOUBLE / (lead(t) OVER (PARTITION BY probe ORDER BY g) - t) AS f FROM s), m AS (SELECT probe, median(f) AS m, stddev_pop(f) AS s FROM q WHERE f > 0 GROUP BY probe)
-SELECT q.probe, {r6('avg(f)', 'fs')}, min(e.equal) AS equal, min(e.decreasing) AS decreasing FROM q JOIN m ON q.probe = m.probe JOIN (SELECT probe, count(*) FILTER (d = 0) AS equal, count(*) FILTER (d < 0) AS decreasing FROM d GROUP BY probe) e ON e.probe = q.probe WHERE f > 0 AND abs(f - m.m) <= 3 * m.s GROUP BY q.probe""")
+def _frequency(table: str, precision: int) -> str:
+    """T2; with precision 0 the fixtures' frequencies would round to 0, so they are not rounded."""
+    return f"""WITH s0 AS (SELECT probe, seq, t, lag(t) OVER w AS b, lead(t) OVER w AS a FROM {table} WINDOW w AS (PARTITION BY probe ORDER BY seq)),
+ cnt AS (SELECT probe, count(*) FILTER (t = b) AS equal, count(*) FILTER (t < b) AS decreasing FROM s0 GROUP BY probe),
+ k AS (SELECT s0.* FROM s0 JOIN cnt USING (probe) WHERE decreasing = 0 OR NOT (((b IS NULL OR b < t) AND (a IS NULL OR a < t)) OR ((b IS NULL OR b > t) AND (a IS NULL OR a > t)))),
+ u AS (SELECT probe, seq, t - lag(t) OVER (PARTITION BY probe ORDER BY seq) AS u FROM k),
+ n AS (SELECT *, count(*) FILTER (u >= 0) OVER (PARTITION BY probe ORDER BY seq ROWS UNBOUNDED PRECEDING) AS c FROM u),
+ m AS (SELECT probe, max(c) + 1 AS ends, (sum(u) FILTER (u > 0))::DOUBLE / (count(*) FILTER (u > 0) + 1) + 1{'0' * (precision + 6)} AS longest FROM n GROUP BY probe),
+ i AS (SELECT probe, u, c, lead(c) OVER w AS nc, lag(u) OVER w AS bu, lead(u) OVER w AS nu FROM n WHERE u > 0 WINDOW w AS (PARTITION BY probe ORDER BY seq)),
+ f AS (SELECT i.probe, (coalesce(nc, ends) - c) * 1000000.0::DOUBLE / u AS f FROM i JOIN m USING (probe) WHERE u < longest AND coalesce(bu < longest, true) AND coalesce(nu < longest, true)),
+ q AS (SELECT probe, median(f) AS m, stddev_pop(f) AS s FROM f GROUP BY probe),
+ g AS (SELECT f.probe, avg(f) AS every, avg(f) FILTER (abs(f - q.m) < 3 * q.s) AS good, count(*) FILTER (abs(f - q.m) < 3 * q.s) AS n FROM f JOIN q USING (probe) GROUP BY f.probe)
+SELECT cnt.probe, round(CASE WHEN n > 1 THEN good ELSE every END, {precision or 9}) + 0.0 AS fs, equal, decreasing FROM cnt LEFT JOIN g USING (probe)"""
+
+
+@query("t2_sampling_frequency", ("raw_lowres",), _frequency("raw_lowres", 0))
 def t2(get):
-    return timefix.sampling_frequency(get("raw_lowres")).select("probe", *rd("fs"), "equal", "decreasing")
+    return timefix.sampling_frequency(get("raw_lowres")).select("probe", rounded("fs", 9).alias("fs"), "equal", "decreasing")
+
+
+@query("t2_among_inversions", ("raw_swapped",), _frequency("raw_swapped", 6))
+def t2_inversions(get):
+    return timefix.sampling_frequency(get("raw_swapped"), precision=6).select("probe", *rd("fs"), "equal", "decreasing")
 
 
 @query("t3_without_inversions")

@@ -1,5 +1,6 @@
 """What SQL cannot express, against brute force or known truth."""
 
+import bisect
 import itertools
 
 import numpy as np
@@ -12,26 +13,101 @@ from driftline.sources import instruments, text
 from driftline.streaming import bins, resolved_times, run_to_end, sessions
 
 
-def test_longest_increasing_is_longest():
+def longest(t):
+    """Length of a longest non-decreasing subsequence."""
+    ends = []
+    for x in t:
+        at = bisect.bisect_right(ends, x)
+        ends[at : at + 1] = [x]
+    return len(ends)
+
+
+def test_heaviest_increasing_is_heaviest():
     rng = np.random.default_rng(1)
     for _ in range(60):
-        t = rng.integers(0, 8, 9)
-        keep = timefix.longest_increasing(t)
-        assert (np.diff(t[keep]) >= 0).all()
-        best = max(len(c) for k in range(10) for c in itertools.combinations(t.tolist(), k) if all(a <= b for a, b in zip(c, c[1:])))
-        assert keep.sum() == best
+        v, w = rng.permutation(9), rng.integers(1, 5, 9)
+        keep = timefix.heaviest_increasing(v, w)
+        assert (np.diff(v[keep]) > 0).all()
+        best = max(w[list(c)].sum() for k in range(1, 10) for c in itertools.combinations(range(9), k) if all(v[a] < v[b] for a, b in zip(c, c[1:])))
+        assert w[keep].sum() == best
+    assert len(timefix.heaviest_increasing(np.array([], int), np.array([], int))) == 0
 
 
-def test_inversions_split_as_whole(spark):
+def series_with_inversions():
     rng = np.random.default_rng(2)
     t = np.arange(300) * 10
     t[50:60] += 200
     t[200] -= 900
     t[rng.integers(0, 300, 10)] += 35
-    df = spark.createDataFrame([("a", int(x), i) for i, x in enumerate(t)], "probe string, t long, seq long")
-    got = {r["seq"]: r["ok"] for r in timefix.without_inversions(df).collect()}
-    kept = t[[got[i] for i in range(300)]]
-    assert (np.diff(kept) >= 0).all() and len(kept) == timefix.longest_increasing(t).sum()
+    far = np.r_[10**9, np.arange(500)]
+    last = np.r_[np.arange(500), -5]
+    return [t, far, last, rng.integers(0, 40, 400), np.arange(50)[::-1], np.zeros(40, int), rng.permutation(300) // 3, np.array([7])]
+
+
+@pytest.mark.parametrize("case", range(8))
+def test_without_inversions_keeps_longest(spark, case):
+    t = series_with_inversions()[case]
+    rows = [("a", int(x), i) for i, x in enumerate(t)] + [("b", 5, 0), ("c", None, 0), ("a", None, len(t))]
+    df = spark.createDataFrame(rows, "probe string, t long, seq long")
+    found = timefix.without_inversions(df, width=64).collect()
+    assert len(found) == len(rows)
+    got = {(r["probe"], r["seq"]): r["ok"] for r in found}
+    kept = t[[got["a", i] for i in range(len(t))]]
+    assert (np.diff(kept) >= 0).all() and len(kept) == longest(t)
+    assert (got["b", 0], got["c", 0], got["a", len(t)]) == (True, False, False)
+
+
+def test_one_far_time_is_two_blocks(spark):
+    """What reaches Python does not grow with the rows between two disturbances."""
+    df = spark.range(20_000).select(F.lit("a").alias("probe"), F.when(F.col("id") == 0, 10**12).otherwise(F.col("id") * 10).alias("t"), F.col("id").alias("seq"))
+    assert [(r["seq"], r["_n"]) for r in timefix.blocks_in_order(df).orderBy("seq").collect()] == [(0, 1), (1, 19_999)]
+    assert [r["seq"] for r in timefix.without_inversions(df).where("not ok").collect()] == [0]
+
+
+def frequency(t, precision):
+    """T2, step by step."""
+    equal, falls = sum(b == a for a, b in zip(t, t[1:])), sum(b < a for a, b in zip(t, t[1:]))
+    if falls:
+        def alone(i):
+            sides = [np.sign(t[i] - t[j]) for j in (i - 1, i + 1) if 0 <= j < len(t)]
+            return all(s > 0 for s in sides) or all(s < 0 for s in sides)
+
+        t = [x for i, x in enumerate(t) if not alone(i)]
+    ups, count = [], 0  # steps upwards, and how many steps that do not fall there are up to each
+    for a, b in zip(t, t[1:]):
+        count += b >= a
+        if b > a:
+            ups.append((b - a, count))
+    if not ups:
+        return None, equal, falls
+    most = sum(u for u, _ in ups) / (len(ups) + 1) + 1e6 * 10**precision
+    ends = [c for _, c in ups[1:]] + [count + 1]
+    f = [(e - c) * 1e6 / u for i, ((u, c), e) in enumerate(zip(ups, ends)) if all(ups[j][0] < most for j in (i - 1, i, i + 1) if 0 <= j < len(ups))]
+    if not f:
+        return None, equal, falls
+    good = [x for x in f if abs(x - np.median(f)) < 3 * np.std(f)]
+    mean = np.mean(good if len(good) > 1 else f)
+    near = round(mean, max(precision, int(np.log10(mean))))
+    return near or mean, equal, falls
+
+
+@pytest.mark.parametrize("precision", [0, 6])
+def test_sampling_frequency_step_by_step(spark, precision):
+    rng = np.random.default_rng(7)
+    s = 1_000_000
+    packets = np.concatenate([k * 3600 * s + np.arange(200) * s // 20 for k in range(6)])
+    whole = np.sort(rng.integers(0, 60, 700)) * s
+    spiked = np.arange(400) * s // 8
+    spiked[[40, 90]] += 50 * s
+    spiked[200:204] -= 30 * s
+    cases = {"packets": packets // s * s, "whole": whole, "spiked": spiked, "one": np.array([5]), "same": np.full(9, 5), "slow": np.arange(50) * 100 * s, "fast": np.arange(3000) * s // 512, "down": np.arange(20)[::-1] * s}
+    df = spark.createDataFrame([(p, int(x), i) for p, t in cases.items() for i, x in enumerate(t)] + [("none", None, 0)], "probe string, t long, seq long")
+    got = {r["probe"]: (r["fs"], r["equal"], r["decreasing"]) for r in timefix.sampling_frequency(df, precision=precision, width=50).collect()}
+    assert set(got) == set(cases)
+    for p, t in cases.items():
+        fs, equal, falls = frequency(t.tolist(), precision)
+        assert got[p][1:] == (equal, falls), p
+        assert got[p][0] == (None if fs is None else pytest.approx(fs, rel=1e-9)), p
 
 
 def test_ellipsoid_is_recovered(spark):
