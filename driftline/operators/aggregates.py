@@ -119,14 +119,18 @@ def zeroing(df: DataFrame, columns: Sequence[str] = ("Gx", "Gy", "Gz")) -> DataF
     return m.select("probe", "g0", "g1", "g2", F.array(*[F.array(*row) for row in r]).alias("Rz"))
 
 
-def sphere_cells(df: DataFrame, bins: int = 200, columns: Sequence[str] = ("x", "y", "z")) -> DataFrame:
-    """Points of a sphere by cells of polar angle (0 to 2 pi) and cosine of azimuth; a cell's mean
-    point, its first time and its number of points."""
+def in_cells(df: DataFrame, bins: int = 200, columns: Sequence[str] = ("x", "y", "z")) -> DataFrame:
+    """df with the cell of each point of a sphere: by polar angle (0 to 2 pi) and cosine of azimuth."""
     x, y, z = (F.col(c) for c in columns)
     polar = F.acos(z / F.sqrt(x * x + y * y + z * z))
     a = F.least(F.floor(polar / (2 * 3.141592653589793) * bins), F.lit(bins - 1))
     b = F.least(F.floor((F.cos(F.atan2(y, x)) + 1) / 2 * bins), F.lit(bins - 1))
-    cells = df.groupBy("probe", a.alias("cell_a"), b.alias("cell_b"))
+    return df.withColumns({"cell_a": a, "cell_b": b})
+
+
+def sphere_cells(df: DataFrame, bins: int = 200, columns: Sequence[str] = ("x", "y", "z")) -> DataFrame:
+    """Points of a sphere by cells; a cell's mean point, its first time and its number of points."""
+    cells = in_cells(df, bins, columns).groupBy("probe", "cell_a", "cell_b")
     return cells.agg(*[F.avg(c).alias(c) for c in columns], F.min("t").alias("t"), F.count(F.lit(1)).alias("n"))
 
 

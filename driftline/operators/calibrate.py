@@ -10,12 +10,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import allow_checkpoints
-from .aggregates import sphere_cells
+from ..scratch import kept_table
+from .aggregates import in_cells
 
+#: Fits that rows were held against, and their limits.
+USED = "array<struct<A:array<array<double>>,b:array<double>,limit:double>>"
 FIT_SCHEMA = "probe string, A array<array<double>>, b array<double>"
 
 
@@ -31,16 +33,30 @@ def moments(df: DataFrame, columns: Sequence[str] = ("x", "y", "z")) -> DataFram
     return df.groupBy("probe").agg(*sums, *spans)
 
 
+#: The quadratic form 4 (ab + bc + ca) - (a + b + c)^2 - 4 (f^2 + g^2 + h^2) of a quadric's first six coefficients; where it is positive,
+#: the quadric is an ellipsoid.
+ELLIPSOID = np.diag([-1.0, -1.0, -1.0, -4.0, -4.0, -4.0])
+ELLIPSOID[:3, :3] += 2 * (1 - np.eye(3)) - (1 - np.eye(3))
+
+
 def solve_ellipsoid(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Quadric (M, n, d) from the moments, under the constraint that makes it an ellipsoid (k = 4)."""
-    s11, s12, s22 = s[:6, :6], s[:6, 6:], s[6:, 6:]
-    c = np.array([[-1, 1, 1, 0, 0, 0], [1, -1, 1, 0, 0, 0], [1, 1, -1, 0, 0, 0], [0, 0, 0, -4, 0, 0], [0, 0, 0, 0, -4, 0], [0, 0, 0, 0, 0, -4]], float)
-    e, v = np.linalg.eig(np.linalg.solve(c, s11 - s12 @ np.linalg.solve(s22, s12.T)))
-    v1 = np.real(v[:, np.argmax(np.real(e))])
-    v1 = -v1 if v1[0] < 0 else v1
-    v2 = -np.linalg.solve(s22, s12.T) @ v1
-    m = np.array([[v1[0], v1[5], v1[4]], [v1[5], v1[1], v1[3]], [v1[4], v1[3], v1[2]]])
-    return m, v2[:3], float(v2[3])
+    """Quadric (M, n, d) of least squared error v' S v under v' ELLIPSOID v = 1.
+
+    For given quadratic coefficients the best linear ones follow by least squares, which leaves a 6 x 6 error form. In
+    coordinates where that form is the identity, the constraint is a symmetric matrix, and its largest eigenvalue, the only positive one,
+    belongs to the smallest error. Points that lie on a quadric exactly leave a form without an inverse, so its
+    smallest eigenvalues are kept above rounding.
+    """
+    linear = -np.linalg.solve(s[6:, 6:], s[6:, :6])
+    error = s[:6, :6] + s[:6, 6:] @ linear
+    size, axes = np.linalg.eigh((error + error.T) / 2)
+    unit = axes / np.sqrt(np.maximum(size, size[-1] * 1e-18))
+    q = unit @ np.linalg.eigh(unit.T @ ELLIPSOID @ unit)[1][:, -1]
+    q = q / np.sign(q[:3].sum()) / np.linalg.norm(q)
+    rest = linear @ q
+    m = np.diag(q[:3])
+    m[np.triu_indices(3, 1)] = q[[5, 4, 3]]
+    return np.triu(m) + np.triu(m, 1).T, rest[:3], float(rest[3])
 
 
 def gain_and_shift(m: np.ndarray, n: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray]:
@@ -85,18 +101,35 @@ def residual(df: DataFrame, fit: DataFrame, columns: Sequence[str] = ("x", "y",
 
 def calibrated(df: DataFrame, *, bins: int = 200, passes: int = 10, first: float = 0.5, shrink: float = 0.7, most: float = 0.1) -> DataFrame:
     """Fit on cell means, drop rows beyond a shrinking limit, fit again; a probe stops before a limit
-    that would take more than `most` of its rows. The limits of all passes are known, so the share of
-    rows beyond each comes from one aggregate per pass; only per-probe numbers move between passes."""
-    allow_checkpoints(df.sparkSession)
-    fit = fit_ellipsoid(sphere_cells(df, bins))
-    kept = df.withColumn("_stop", F.lit(False))
+    that would take more than `most` of its rows.
+
+    Rows are never written: a row is in the series if it is within the limits of all fits so far, which are a short array per
+    probe. A pass is one aggregate by cell: how many rows are left in it, how many of them the limit leaves, and the
+    mean of the latter. Only the fits, a row per probe, are kept between passes.
+    """
+    point = ("x", "y", "z")
+    x = in_cells(df, bins)
+
+    def away(f: Column) -> Column:
+        d = [F.col(c) - f["b"][i] for i, c in enumerate(point)]
+        return F.abs(1 - F.sqrt(sum(((f["A"][i][0] * d[0] + f["A"][i][1] * d[1] + f["A"][i][2] * d[2]) ** 2 for i in range(3)), F.lit(0.0))))
+
+    means = x.groupBy("probe", "cell_a", "cell_b").agg(*[F.avg(c).alias(c) for c in point])
+    fits = kept_table(fit_ellipsoid(means).select("probe", "A", "b", F.array().cast(USED).alias("_used"), F.lit(False).alias("_stop")))
     for k in range(passes):
         limit = first * shrink**k
-        judged = residual(kept, fit)
-        share = judged.groupBy("probe").agg((F.count_if(F.col("residual") > limit) / F.count(F.lit(1)) > most).alias("_over"))
-        kept = judged.join(share, "probe").withColumn("_stop", F.col("_stop") | F.col("_over")).where(F.col("_stop") | (F.col("residual") <= limit)).drop("_over", "residual").checkpoint()
-        fit = fit_ellipsoid(sphere_cells(kept, bins))
-    return fit
+        kept = x.join(fits.where("not _stop"), "probe").where(F.forall("_used", lambda f: away(f) <= f["limit"]))
+        left = away(F.struct("A", "b")) <= limit
+        cells = kept.groupBy("probe", "cell_a", "cell_b").agg(F.count(F.lit(1)).alias("_all"), F.count_if(left).alias("_left"), *[F.avg(F.when(left, F.col(c))).alias(c) for c in point])
+        cells = kept_table(cells)
+        share = cells.groupBy("probe").agg((1 - F.sum("_left") / F.sum("_all") > most).alias("_over"))
+        went_on = cells.where("_left > 0").join(share.where("not _over").select("probe"), "probe", "left_semi")
+        new = fit_ellipsoid(went_on.select("probe", *point)).select("probe", F.col("A").alias("_A"), F.col("b").alias("_b"))
+        used = F.concat("_used", F.array(F.struct("A", "b", F.lit(limit).alias("limit"))).cast(USED))
+        on = F.col("_A").isNotNull()
+        fits = kept_table(fits.join(new, "probe", "left").select(
+            "probe", F.coalesce("_A", "A").alias("A"), F.coalesce("_b", "b").alias("b"), F.when(on, used).otherwise(F.col("_used")).alias("_used"), (~on).alias("_stop")))
+    return fits.select("probe", "A", "b")
 
 
 def fit_axes(df: DataFrame, columns: Sequence[str] = ("x", "y", "z"), parameters: int = 9) -> DataFrame:
@@ -129,31 +162,40 @@ def fit_axes(df: DataFrame, columns: Sequence[str] = ("x", "y", "z"), parameters
     return sums.mapInPandas(solve, "probe string, centre array<double>, radii array<double>")
 
 
-def pressure_fit(df: DataFrame, degree: int) -> DataFrame:
-    """Least squares of P on all products U^i T^j with i + j <= degree, and the root mean square error.
+def pressure_fits(df: DataFrame, degrees: Sequence[int] = range(1, 8)) -> DataFrame:
+    """For each degree, least squares of P on all products U^i T^j with i + j <= degree (the coefficients by degree, powers
+    of U falling), and the root mean square error. Rows with a NULL in U, T or P take no part.
 
-    Inputs are scaled to their probe's mean and deviation first, so the normal equations stay solvable.
+    U and T are scaled to their probe's mean and deviation first, so the normal equations stay solvable; coefficients are those of
+    the scaled inputs. The sums of the highest degree hold those of all others, so all fits are one aggregate.
     """
-    centre = df.groupBy("probe").agg(*[s(c).alias(f"_{n}{c}") for c in ("U", "T") for n, s in (("m", F.avg), ("d", F.stddev_pop))])
-    scaled = df.join(centre, "probe").withColumns({f"_{c}": (F.col(c) - F.col(f"_m{c}")) / F.coalesce(F.nullif(F.col(f"_d{c}"), F.lit(0.0)), F.lit(1.0)) for c in ("U", "T")})
-    powers = [(i, k - i) for k in range(degree + 1) for i in range(k, -1, -1)]
-    n = len(powers)
-    terms = [F.pow("_U", F.lit(float(i))) * F.pow("_T", F.lit(float(j))) for i, j in powers]
-    sums = scaled.groupBy("probe").agg(*[F.sum(terms[i] * terms[j]).alias(f"m{i}_{j}") for i in range(n) for j in range(i, n)], *[F.sum(t * F.col("P")).alias(f"s{i}") for i, t in enumerate(terms)], F.sum(F.col("P") ** 2).alias("pp"))
+    df = df.where("U is not null and T is not null and P is not null")
+    top = max(degrees)
+    centre = df.groupBy("probe").agg(*[s(c).alias(f"_{n}{c}") for c in ("U", "T", "P") for n, s in (("m", F.avg), ("d", F.stddev_pop))])
+    scale = lambda c: (F.col(c) - F.col(f"_m{c}")) / F.coalesce(F.nullif(F.col(f"_d{c}"), F.lit(0.0)), F.lit(1.0))
+    x = df.join(centre, "probe").select("probe", "_mP", scale("U").alias("_u1"), scale("T").alias("_t1"), (F.col("P") - F.col("_mP")).alias("_p"))
+    for k in range(2, 2 * top + 1):
+        x = x.withColumns({f"_u{k}": F.col(f"_u{k // 2}") * F.col(f"_u{k - k // 2}"), f"_t{k}": F.col(f"_t{k // 2}") * F.col(f"_t{k - k // 2}")})
+    power = lambda c, k: F.col(f"_{c}{k}") if k else F.lit(1.0)
+    products = {(i, j): power("u", i) * power("t", j) for i in range(2 * top + 1) for j in range(2 * top + 1 - i)}
+    sums = [F.sum(v).alias(f"m{i}_{j}") for (i, j), v in products.items()] + [F.sum(v * F.col("_p")).alias(f"s{i}_{j}") for (i, j), v in products.items() if i + j <= top]
+    sums = x.groupBy("probe").agg(*sums, F.sum(F.col("_p") ** 2).alias("pp"), F.first("_mP").alias("mean"))
 
     def solve(batches):
         for pdf in batches:
             out = []
             for r in pdf.to_dict("records"):
-                a, s = np.zeros((n, n)), np.array([r[f"s{i}"] for i in range(n)])
-                for i in range(n):
-                    for j in range(i, n):
-                        a[i, j] = a[j, i] = r[f"m{i}_{j}"]
-                c = np.linalg.lstsq(a, s, rcond=None)[0]
-                out.append((r["probe"], c.tolist(), float(np.sqrt(max(0.0, r["pp"] - 2 * c @ s + c @ a @ c) / a[0, 0]))))
-            yield pd.DataFrame(out, columns=["probe", "coefs", "rmse"])
-
-    return sums.mapInPandas(solve, "probe string, coefs array<double>, rmse double")
+                for degree in degrees:
+                    powers = [(i, k - i) for k in range(degree + 1) for i in range(k, -1, -1)]
+                    a = np.array([[r[f"m{i + k}_{j + l}"] for k, l in powers] for i, j in powers])
+                    s = np.array([r[f"s{i}_{j}"] for i, j in powers])
+                    c = np.linalg.lstsq(a, s, rcond=None)[0]
+                    rmse = float(np.sqrt(max(0.0, r["pp"] - 2 * c @ s + c @ a @ c) / r["m0_0"]))
+                    c[0] += r["mean"]
+                    out.append((r["probe"], degree, c.tolist(), rmse))
+            yield pd.DataFrame(out, columns=["probe", "degree", "coefs", "rmse"])
+
+    return sums.mapInPandas(solve, "probe string, degree int, coefs array<double>, rmse double")
 
 
 def imported_speed(coefs: DataFrame, fitted: DataFrame) -> DataFrame:

@@ -41,6 +41,11 @@ def r9(c: str, name: str | None = None) -> str:
     return f"round({c}, 9) + 0.0 AS {name or c}"
 
 
+def r4(c: str, name: str | None = None) -> str:
+    """For values of fits."""
+    return f"round({c}, 4) + 0.0 AS {name or c}"
+
+
 def rd(*columns: str):
     return [rounded(F.col(c)).alias(c) for c in columns]
 
@@ -410,8 +415,19 @@ def a12(get):
 
 @query("a14_pressure_fit")
 def a14(get):
+    """Degrees 1 to 7, on pressures with a part that no polynomial has."""
     d = get("raw").select("probe", F.col("P_counts").alias("U"), F.col("Temp").alias("T"), (F.col("P_counts") * 0.002 + F.col("Temp") * 0.01 + F.col("Mx") * 0.001).alias("P"))
-    return calibrate.pressure_fit(d, 2).select("probe", F.size("coefs").alias("terms"), *rd("rmse"))
+    return calibrate.pressure_fits(d).select("probe", "degree", F.transform("coefs", lambda c: F.round(c, 4)).alias("coefs"), *rd("rmse"))
+
+
+@query("a14_known_surface", ("raw",), f"""SELECT probe, CAST(d AS INTEGER) AS degree, {r4('0.002 * u + 0.01 * v + 1e-5 * u * v', 'c0')}, {r4('(0.002 + 1e-5 * v) * su', 'c1')}, {r4('(0.01 + 1e-5 * u) * sv', 'c2')}, 0.0::DOUBLE AS c3, {r4('1e-5 * su * sv', 'c4')}, 0.0::DOUBLE AS c5, 0.0::DOUBLE AS rmse
+ FROM (SELECT probe, avg(P_counts) AS u, avg(Mx / 50 + 10) AS v, stddev_pop(P_counts) AS su, stddev_pop(Mx / 50 + 10) AS sv FROM raw GROUP BY probe) q CROSS JOIN range(2, 8) n(d)""")
+def a14_known(get):
+    """A surface of degree 2: all fits from there on find its coefficients and leave no error."""
+    d = get("raw").select("probe", F.col("P_counts").alias("U"), (F.col("Mx") / 50 + 10).alias("T"))
+    d = d.withColumn("P", F.col("U") * 0.002 + F.col("T") * 0.01 + F.col("U") * F.col("T") * 1e-5)
+    fits = calibrate.pressure_fits(d).where("degree > 1")
+    return fits.select("probe", "degree", *[rounded(F.col("coefs")[i], 4).alias(f"c{i}") for i in range(6)], rounded("rmse", 3).alias("rmse"))
 
 
 @query("a15_burst_statistics", ("raw_gaps",), f"""WITH d AS (SELECT probe, t, seq, sum(CASE WHEN t - l > {6 * HOUR} THEN 1 ELSE 0 END) OVER (PARTITION BY probe ORDER BY t, seq) AS burst FROM (SELECT *, lag(t) OVER (PARTITION BY probe ORDER BY t, seq) AS l FROM raw_gaps)),
@@ -832,9 +848,11 @@ def p11(get):
     return velocity.recovered_magnetometer(x).select("probe", "seq", *rd("Hx"))
 
 
-@query("a13_calibrated")
+@query("a13_calibrated", ("sphere_off",), f"SELECT DISTINCT probe, {_CENTRE.format('b', 'b', 'b')}, {_GAINS} FROM sphere_off")
 def a13(get):
-    f = calibrate.calibrated(get("sphere"), passes=4)
+    """All ten limits; the points that are off go, and the fit is that of the points that are not. Cells are so fine that
+    a point's is its own: the mean of two points lies inside the sphere."""
+    f = calibrate.calibrated(get("sphere_off"), bins=1 << 24)
     return f.select("probe", *[rounded(F.col("b")[i]).alias(f"b{i}") for i in range(3)], *[rounded(F.col("A")[i][i]).alias(f"A{i}{i}") for i in range(3)])
 
 

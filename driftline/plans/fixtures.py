@@ -26,6 +26,8 @@ DERIVED = {
     "load_log": "SELECT probe, min(t) AS t_start, max(t) AS t_end, count(*) AS \"rows\", concat(probe, '.csv') AS file, CAST(min(seq) % 7 AS BIGINT) AS changed FROM raw GROUP BY probe",
     "sphere": "SELECT concat('i', lpad(CAST(vec_id % 10 AS STRING), 2, '0')) AS probe, vec_id AS seq, vec_id * 1000000 AS t, 1.2 * (e1 / n) + 0.1 AS x, 0.9 * (e2 / n) - 0.2 AS y, 1.1 * (e3 / n) + 0.05 AS z FROM vectors",
 }
+#: 30 % off for one point in 37, 10 % for one in 41: early limits find the former, later ones the latter.
+DERIVED["sphere_off"] = "SELECT probe, seq, t, (x - 0.1) * k + 0.1 AS x, (y + 0.2) * k - 0.2 AS y, (z - 0.05) * k + 0.05 AS z FROM (SELECT *, CASE WHEN seq % 37 = 0 THEN 1.3 WHEN seq % 41 = 0 THEN 0.9 ELSE 1.0 END AS k FROM sphere) q"
 DERIVED["raw_over"] = "SELECT probe, t, seq, CASE WHEN seq % 101 = 0 THEN CASE WHEN seq % 2 = 0 THEN Ax * 9 ELSE Ax * 7 END ELSE Ax END AS Ax, Ay, CASE WHEN seq % 101 = 0 THEN -32624 ELSE Az END AS Az, Mx, My, Mz FROM raw"
 DERIVED["raw_swapped"] = "SELECT probe, CASE WHEN seq % 211 = 0 THEN t - 86400000000 ELSE t END AS t, seq FROM raw"
 DERIVED["doubled"] = "SELECT probe, t, seq FROM raw UNION ALL SELECT probe, t, seq + 10000000 FROM raw WHERE seq % 5 < 2"
@@ -45,7 +47,7 @@ def _needs(name: str) -> list[str]:
     if name == "raw":
         return []
     text = VECTORS["spark"] if name == "vectors" else DERIVED[name]
-    return [t for t in ("raw", "vectors", "intervals") if f"FROM {t}" in text]
+    return [t for t in ("raw", "vectors", "intervals", "sphere") if f"FROM {t}" in text]
 
 
 def sql(name: str, dialect: str) -> str:
@@ -64,10 +66,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ctes(*names: str) -> str:
     """WITH clause for DuckDB."""
     order: list[str] = []
+
+    def add(name: str) -> None:
+        for n in _needs(name):
+            add(n)
+        if name not in order:
+            order.append(name)
+
     for name in names:
-        for n in (*_needs(name), name):
-            if n not in order:
-                order.append(n)
+        add(name)
     return "WITH " + ",\n".join(f"{n} AS ({sql(n, 'duckdb')})" for n in order)
 
 

@@ -237,14 +237,49 @@ def test_corrected_times(spark):
     assert timefix.corrected_times(df.where("false")).count() == 0
 
 
-def test_pressure_fit_matches_least_squares(spark):
+def test_pressure_fits_match_least_squares(spark):
     rng = np.random.default_rng(4)
-    pdf = pd.DataFrame({"probe": np.repeat(["a", "b"], 60), "U": rng.normal(5, 2, 120), "T": np.r_[rng.normal(10, 3, 60), np.full(60, 4.0)]})
-    pdf["P"] = 3 + 2 * pdf.U - 0.5 * pdf["T"] + 0.1 * pdf.U * pdf["T"] + rng.normal(0, 0.2, 120)
-    got = {r.probe: r for r in calibrate.pressure_fit(spark.createDataFrame(pdf), 2).collect()}
+    pdf = pd.DataFrame({"probe": np.repeat(["a", "b"], 160), "U": rng.normal(5, 2, 320), "T": np.r_[rng.normal(10, 3, 160), np.full(160, 4.0)]})
+    pdf["P"] = 3 + 2 * pdf.U - 0.5 * pdf["T"] + 0.1 * pdf.U * pdf["T"] + rng.normal(0, 0.2, 320)
+    df = spark.createDataFrame(pdf).union(spark.createDataFrame([("a", None, 1.0, 2.0), ("c", 1.0, None, 2.0)], "probe string, U double, T double, P double"))
+    got = {(r.probe, r.degree): r for r in calibrate.pressure_fits(df).collect()}
+    assert set(got) == {(p, d) for p in "ab" for d in range(1, 8)}
     for probe, d in pdf.groupby("probe"):
         u, t = ((d[c] - d[c].mean()) / (d[c].std(ddof=0) or 1.0) for c in ("U", "T"))
-        a = np.stack([u**i * t**j for i, j in [(0, 0), (1, 0), (0, 1), (2, 0), (1, 1), (0, 2)]], axis=1)
-        fit = np.linalg.lstsq(a, d.P, rcond=None)[0]
-        assert np.allclose(got[probe].coefs, fit, atol=1e-8)
-        assert abs(got[probe].rmse - np.sqrt(np.mean((a @ fit - d.P) ** 2))) < 1e-8
+        for degree in range(1, 8):
+            a = np.stack([u**i * t ** (k - i) for k in range(degree + 1) for i in range(k, -1, -1)], axis=1)
+            fit = np.linalg.lstsq(a, d.P, rcond=None)[0]
+            assert np.allclose(got[probe, degree].coefs, fit, atol=1e-5), (probe, degree)
+            assert abs(got[probe, degree].rmse - np.sqrt(np.mean((a @ fit - d.P) ** 2))) < 1e-6
+
+
+def test_calibrated_drops_what_is_off(spark):
+    """Against the same passes over arrays: which points stay, and a probe that stops early."""
+    rng = np.random.default_rng(8)
+
+    def points(n, off, by):
+        v = rng.normal(size=(n, 3))
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        v[:off] *= by
+        return v * [1.2, 0.9, 1.1] + [0.1, -0.2, 0.05]
+
+    probes = {"few": points(600, 20, 1.3), "many": points(600, 150, 1.25), "none": points(300, 0, 1.0)}
+    df = spark.createDataFrame([(p, i, i, *map(float, r)) for p, v in probes.items() for i, r in enumerate(v)], "probe string, t long, seq long, x double, y double, z double")
+    got = {r["probe"]: r for r in calibrate.calibrated(df, bins=40).collect()}
+
+    def fit(v):
+        polar = np.arccos(v[:, 2] / np.linalg.norm(v, axis=1))
+        cell = np.minimum(polar / (2 * np.pi) * 40, 39).astype(int) * 40 + np.minimum((np.cos(np.arctan2(v[:, 1], v[:, 0])) + 1) / 2 * 40, 39).astype(int)
+        x, y, z = (pd.DataFrame(v).groupby(cell).mean().to_numpy()).T
+        terms = np.stack([x * x, y * y, z * z, 2 * y * z, 2 * x * z, 2 * x * y, 2 * x, 2 * y, 2 * z, np.ones_like(x)])
+        return calibrate.gain_and_shift(*calibrate.solve_ellipsoid(terms @ terms.T))
+
+    for p, v in probes.items():
+        a, b = fit(v)
+        for k in range(10):
+            off = np.abs(1 - np.linalg.norm((v - b) @ a.T, axis=1)) > 0.5 * 0.7**k
+            if off.mean() > 0.1:
+                break
+            v = v[~off]
+            a, b = fit(v)
+        assert np.allclose(got[p]["A"], a, atol=1e-6) and np.allclose(got[p]["b"], b, atol=1e-6), p
