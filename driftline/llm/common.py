@@ -74,12 +74,13 @@ def n_words(text: Column) -> Column:
 def batched(docs: DataFrame, batch_bytes: int, *keep: Column) -> tuple[DataFrame, int]:
     """(batch, *keep, text) with documents dealt by hash into batches of about batch_bytes text bytes.
 
-    The number of batches follows the input; a null text is empty. Only one sum goes to the driver.
+    The number of batches follows the input; a null text is empty. Rows of one id (or none) are dealt by their texts, so only
+    rows that are equal in both meet. Only one sum goes to the driver.
     """
     total = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     count = max(1, -(-int(total) // batch_bytes))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    batch = F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(count)).cast("int").alias("batch")
+    batch = F.pmod(F.xxhash64("doc_id", text), F.lit(count)).cast("int").alias("batch")
     return docs.select(batch, *keep, text.alias("text")), count
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from driftline.llm import exact_dedup, hnsw, html_extract, langid, minhash, mixing, packing, ppm, queries, substring, toxicity
+from driftline.llm import common, exact_dedup, hnsw, html_extract, langid, minhash, mixing, packing, ppm, queries, substring, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -83,6 +83,14 @@ def test_ppm_query_depends_on_the_order_of_words(spark, tmp_path):
     assert own[1000] > own[1001] + 5
 
 
+def test_rows_of_one_id_are_dealt_by_text(spark):
+    """Null ids and one length: no batch holds much more than its share."""
+    df = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.format_string("%0100d", "id").alias("text"))
+    rows, count = common.batched(df, 10_000)
+    sizes = [r["n"] for r in rows.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert count == 20 and len(sizes) == 20 and max(sizes) < 200
+
+
 def test_mix(spark, docs, empty):
     got = mixing.mix(docs).collect()
     sizes, texts = Counter(), {r["doc_id"]: r["text"] for r in docs.collect()}
