@@ -1,10 +1,11 @@
 """Main text of web pages: text-to-tag ratios of blocks, smoothed and clustered by a threshold.
 
 The standard library's parser streams a page's events into blocks. Each block has a ratio, its
-characters by its tags; a Gaussian smooths the ratios along the page, and blocks above the threshold
+characters that are no link by its tags (at most CLIP, so that long paragraphs do not hide short ones); a
+Gaussian smooths the ratios along the page, and blocks above the threshold
 (the ratios' standard deviation, at most the largest smoothed ratio) are the cluster of content. Two
-answers are formed of it: the article and main elements that hold its blocks, whole; and outside of
-these the stretch from its first to its last block, grown over the adjoining blocks to the ends of the
+answers are formed of it: the article and main elements that hold its blocks, without runs of links at
+their ends; and outside of these the stretch from its first to its last block, grown over the adjoining blocks to the ends of the
 container of both (a link list of another container ends it), with the headings before it. The one with
 more text that is no link is kept. Elements that are never article text (menus, scripts, forms, adverts,
 comments and so on, by tag, role or class) are left out of both; an article or main that only a name
@@ -24,6 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIGMA = 1.0
+#: Characters by tags that a block counts at most.
+CLIP = 100.0
+#: Blocks whose ratios are below this part of the threshold are links and the like.
+LOW = 0.02
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("aside button canvas dialog fieldset footer form head iframe label menu nav noscript object option script select style svg template textarea title".split())
@@ -238,13 +243,17 @@ def _chosen(blocks: list[Block], page: Blocks, sigma: float) -> list[int]:
     fit = [i for i, b in enumerate(blocks) if not b.out]
     if not fit:
         return []
-    ratios = [0.0 if b.out else len(b.text) / b.tags for b in blocks]
+    ratios = [0.0 if b.out else min(CLIP, (len(b.text) - b.linked) / b.tags) for b in blocks]
     near = smooth(ratios, sigma)
     mean = sum(near) / len(near)
     threshold = min(math.sqrt(sum((x - mean) ** 2 for x in near) / len(near)), max(near[i] for i in fit))
     content = [i for i in fit if near[i] >= threshold]
     regions = {blocks[i].region for i in content} - {0}
-    inside = [i for i in fit if blocks[i].region in regions]
+    held: dict[int, list[int]] = {}
+    for i in fit:
+        if blocks[i].region in regions:
+            held.setdefault(blocks[i].region, []).append(i)
+    inside = sorted(i for own in held.values() for i in _trimmed(own, blocks, ratios, near, LOW * threshold))
     content = [i for i in content if not blocks[i].region]
     if not content:
         return inside
@@ -253,6 +262,20 @@ def _chosen(blocks: list[Block], page: Blocks, sigma: float) -> list[int]:
     return inside if regions and _mass(blocks, inside) >= _mass(blocks, [i for i in outside if not blocks[i].region]) else outside
 
 
+def _trimmed(own: list[int], blocks: list[Block], ratios: list[float], near: list[float], low: float) -> list[int]:
+    """A region's blocks without the runs of links at its ends. A link or two beside text keep some of its
+    smoothed ratio and stay; a run with a block that has none goes whole. Headings before the text are no part of a run."""
+    text = [k for k, i in enumerate(own) if ratios[i] > low or blocks[i].heading]
+    if not text:
+        return own
+    first, last = text[0], text[-1] + 1
+    if all(near[i] > low for i in own[:first]):
+        first = 0
+    if all(near[i] > low for i in own[last:]):
+        last = len(own)
+    return own[first:last]
+
+
 def _grown(blocks: list[Block], page: Blocks, content: list[int]) -> list[int]:
     """The stretch of the content blocks to the ends of the innermost container of them all."""
 

@@ -372,6 +372,26 @@ def test_html_without_regions_keeps_short_ends_of_the_text():
     assert html_extract.main_text(f"<body>{menu}{text}</body>") == want
 
 
+def test_html_ratios_decide_about_links_in_regions(monkeypatch):
+    """Runs of links at an article's ends are menus, by their ratios alone; links beside or between text stay."""
+    links = "".join(f"<li><a href=/{k}>Item number {k}</a></li>" for k in range(6))
+    body = ["word " * 60 + str(k) for k in range(4)]
+    text = "".join(f"<p>{b}</p>" for b in body)
+    pages = {
+        f"<article><ul>{links}</ul><h1>Title</h1>{text}<p>End.</p><ul>{links}</ul></article>": ["Title", *body, "End."],
+        f"<article>{text}<p><a href=x>Source</a></p></article>": [*body, "Source"],
+        f"<article><p>{body[0]}</p><ul>{links}</ul><p>Short end.</p></article>": [body[0], *(f"Item number {k}" for k in range(6)), "Short end."],
+        f"<main><h2><a href=x>Linked title</a></h2>{text}</main><ul>{links}</ul>": ["Linked title", *body],
+        f"<article><p>Hi.</p>{text * 30}<p>Bye.</p></article>": ["Hi.", *body * 30, "Bye."],
+        f"<article><ul>{links}</ul></article>": [f"Item number {k}" for k in range(6)],
+    }
+    for page, want in pages.items():
+        assert html_extract.main_text(f"<body>{page}</body>").split("\n") == want
+    monkeypatch.setattr(html_extract, "_trimmed", lambda own, blocks, ratios, near, low, f=html_extract._trimmed: f(own, blocks, [1.0] * len(ratios), [1.0] * len(near), 0.0))
+    first = next(iter(pages))
+    assert html_extract.main_text(first).count("Item number") == 12
+
+
 def test_html_takes_the_heavier_of_regions_and_the_rest():
     body = ["word " * 80 + str(k) for k in range(6)]
     cards = "".join(f"<article><p>{'teaser ' * 12}{k}</p></article>" for k in range(3))
