@@ -96,8 +96,9 @@ def slices(batch: pa.RecordBatch, *columns: int, rows: int = 512, most: int = SL
         at = upto
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 1 << 15) -> Iterator[pa.Table]:
-    """Rows sorted by a number, in tables of about `rows` rows that end where the key changes."""
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 1 << 15, most: int | None = None) -> Iterator[pa.Table]:
+    """Rows sorted by a number, in tables of about `rows` rows that end where the key changes. With `most`, a key of more
+    rows than that comes in several tables, all but the last of at least `most` rows of it alone."""
     held: list[pa.RecordBatch] = []
     count = 0
     for b in batches:
@@ -116,6 +117,9 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 1 << 1
         elif len(held) > 1 and held[-2].column(key)[-1].as_py() != keys[0]:
             yield pa.Table.from_batches(held[:-1])
             held = [b]
+        elif most is not None and count >= most:
+            yield pa.Table.from_batches(held)
+            held = []
         count = sum(x.num_rows for x in held)
     if held:
         yield pa.Table.from_batches(held)

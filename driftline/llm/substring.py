@@ -12,18 +12,22 @@ below such a node are moved, with their words:
    prefix. Where an anchor has more occurrences than a group should hold, each window is a piece of its own and
    the prefix is all its 35 words. A batch sends a row per distinct piece, with its number of
    occurrences, so a passage in a third of all documents makes a row per batch and window.
-3. A group's suffixes are named at depths 1, 2, 4, ... by pairs of shorter names, down to depth 35:
-   the order of the names is the order of the suffixes, and suffixes with one name are the
-   leaves below one node. The names come from the words themselves; hashes only deal rows out.
-4. Nodes with two leaves or more go back to the batches as the marks of their pieces; the stretches
-   of words that they cover are the maximal repeats.
-
-Below depth 35 the trees are not built: which of a node's leaves differ later changes nothing.
+3. The suffixes of a group are sorted by ranks at depths 1, 2, 4, ... (each a pair of the ranks before), and the same ranks
+   give the common prefix of neighbours in that order: the group's tree, as a suffix array with its longest common
+   prefixes. Each piece ends in a word of its own, so no path runs over an end. The ranks come from the words themselves; hashes
+   only deal rows out.
+4. Where neighbours share `window` words or more they lie below one deep internal node. Nodes with two
+   occurrences or more below them go back to the batches as the marks of their pieces; the stretches of
+   words that they cover are the repeats.
+
+A piece ends with its last window, so a node whose path is longer than the piece is cut there; the next piece goes on. A prefix with more
+rows than a task should hold goes through in parts: what has been found twice needs one row to be known again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -68,10 +72,15 @@ def _repeated(limit: int):
     """Rows of anchors that occur twice or more in all, and whether they are more than a group should hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, "anchor"):
+        before = None
+        for table in whole_groups(batches, "anchor", most=max(2, limit + 1)):
             anchor = table.column("anchor").to_numpy()
             starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-            total = np.repeat(np.add.reduceat(table.column("n").to_numpy(), starts), np.diff(np.r_[starts, len(anchor)]))
+            total = np.add.reduceat(table.column("n").to_numpy(), starts)
+            if anchor[0] == before:  # in parts: the first of them was over the limit by itself
+                total[0] += max(2, limit + 1)
+            before = anchor[-1]
+            total = np.repeat(total, np.diff(np.r_[starts, len(anchor)]))
             found = table.select(["batch", "anchor"]).append_column("large", pa.array(total > limit))
             yield from found.filter(pa.array(total > 1)).combine_chunks().to_batches()
 
@@ -133,34 +142,79 @@ def _suffixes(window: int, anchor: int):
     return run
 
 
-def _trees(window: int):
+class Tree(NamedTuple):
+    """The suffixes of texts that have `window` words or more, in order: text, first word there, and the words
+    shared with the suffix before (0 for the first)."""
+
+    text: np.ndarray
+    first: np.ndarray
+    shared: np.ndarray
+
+
+def suffix_tree(texts: pa.StringArray, window: int) -> Tree:
+    """Suffixes of all texts in the order of their words (each text closed by a word of its own), with common prefixes."""
+    found = wordhash.words(texts)
+    per, count = found.per_text, len(found.per_text)
+    number = np.empty(len(found.number) + count, np.int64)
+    base = np.cumsum(per) - per + np.arange(count)
+    number[np.arange(len(found.number)) + np.repeat(np.arange(count), per)] = found.number
+    number[base + per] = len(found.known) + np.arange(count)
+    ranks, span = [number], 1
+    while 2 * span <= int(per.max(initial=0)):
+        last = ranks[-1]
+        after = np.concatenate([last[span:], np.zeros(min(span, len(last)), np.int64)])
+        ranks.append(np.unique(last * (int(last.max()) + 1) + after, return_inverse=True)[1])
+        span *= 2
+    suffixes = np.maximum(per - window + 1, 0)
+    text = np.repeat(np.arange(count), suffixes)
+    first = np.arange(len(text)) - np.repeat(np.cumsum(suffixes) - suffixes, suffixes)
+    place, end = base[text] + first, len(number) - 1
+    # Two ranks reach past the longest text; a suffix that ends within the first of them ties with none.
+    by = np.lexsort((ranks[-1][np.minimum(place + span, end)], ranks[-1][place]))
+    left, right = place[by][:-1], place[by][1:]
+    shared = np.zeros(max(0, len(by) - 1), np.int64)
+    for k in range(len(ranks) - 1, -1, -1):
+        shared += (ranks[k][np.minimum(left + shared, end)] == ranks[k][np.minimum(right + shared, end)]) * (1 << k)
+    return Tree(text[by], first[by], np.concatenate([np.zeros(min(1, len(by)), np.int64), shared]))
+
+
+def _trees(window: int, rows: int = 1 << 15, most: int = 1 << 16):
     """Pieces sorted by prefix -> the pieces with windows that occur twice, and which: bit k for their k-th."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, "prefix"):
-            prefix = table.column("prefix").to_numpy()
-            group = np.cumsum(np.r_[False, prefix[1:] != prefix[:-1]])
+        held = None
+        for table in whole_groups(batches, "prefix", rows, most):
+            fresh = table.num_rows
+            if held is not None and held.column("prefix")[0].as_py() == table.column("prefix")[0].as_py():
+                table = pa.concat_tables([held, table])
             text = table.column("piece").combine_chunks().dictionary_encode()
-            # Equal pieces of batches are one, with the sum of their occurrences.
-            both, index = np.unique(group * len(text.dictionary) + text.indices.to_numpy(), return_inverse=True)
-            leaves = np.bincount(index, weights=table.column("n").to_numpy())
-            group, distinct = both // len(text.dictionary), both % len(text.dictionary)
-            found = wordhash.words(text.dictionary.take(pa.array(distinct)))
-            windows = found.per_text - window + 1
-            owner = np.repeat(np.arange(len(both)), windows)
-            offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-            start = np.repeat(np.cumsum(found.per_text) - found.per_text, windows) + offset
-            # A node of depth `window` in the tree of a group: all leaves with one name there.
-            _, name = np.unique(wordhash.names(found.number, window)[start], return_inverse=True)
-            _, node = np.unique(group[owner] * (len(name) + 1) + name, return_inverse=True)
-            deep = np.bincount(node, weights=leaves[owner])[node] >= 2
-            mark = np.bincount(owner, weights=deep * 2.0**offset, minlength=len(both)).astype(np.int64)[index]
+            # Equal pieces of batches are one leaf for each suffix, with the sum of their occurrences.
+            index = text.indices.to_numpy()
+            occurs = np.bincount(index, weights=table.column("n").to_numpy(), minlength=len(text.dictionary))
+            tree = suffix_tree(text.dictionary, window)
+            # A deep internal node: all suffixes that follow each other with `window` common words or more.
+            node = np.cumsum(tree.shared < window) - 1
+            deep = np.bincount(node, weights=occurs[tree.text])[node] >= 2
+            mark = np.bincount(tree.text, weights=deep * 2.0**tree.first, minlength=len(occurs)).astype(np.int64)[index]
             out = table.select(["batch", "anchor", "large", "rank"]).append_column("mark", pa.array(mark))
-            yield from out.filter(pa.array(mark > 0)).combine_chunks().to_batches()
+            wanted = (mark > 0) & (table.column("batch").to_numpy() >= 0)
+            yield from out.filter(pa.array(wanted)).combine_chunks().to_batches()
+            windows = np.bincount(tree.text, minlength=len(occurs))[index]
+            held = _unsettled(table, mark == (1 << windows) - 1, index) if fresh >= most else None
 
     return run
 
 
+def _unsettled(table: pa.Table, settled: np.ndarray, index: np.ndarray) -> pa.Table:
+    """Of a table whose last prefix may go on: its rows that are not marked whole, and one row of batch -1 for each piece that is."""
+    prefix = table.column("prefix").to_numpy()
+    one = np.zeros(len(prefix), bool)
+    one[np.unique(index, return_index=True)[1]] = True
+    batch = np.where(settled, -1, table.column("batch").to_numpy()).astype(np.int32)
+    table = table.set_column(table.column_names.index("batch"), "batch", pa.array(batch))
+    return table.filter(pa.array((prefix == prefix[-1]) & (~settled | one)))
+
+
 def _cover(window: int, anchor: int):
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, repeats: pa.Table) -> pa.Table:
         found = wordhash.words(docs.column("text"))
@@ -168,7 +222,7 @@ def _cover(window: int, anchor: int):
         marks = np.zeros(len(p.n), np.int64)
         if repeats.num_rows:
             begin = np.searchsorted(p.anchor, repeats.column("anchor").to_numpy())
-            marks[begin + repeats.column("rank").to_numpy()] = repeats.column("mark").to_numpy()
+            np.bitwise_or.at(marks, begin + repeats.column("rank").to_numpy(), repeats.column("mark").to_numpy())
         offset = np.arange(int(p.windows.sum())) - np.repeat(np.cumsum(p.windows) - p.windows, p.windows)
         repeated = np.repeat(marks[p.index], p.windows) >> offset & 1
         begins = (np.repeat(p.first, p.windows) + offset)[repeated == 1]

@@ -513,6 +513,55 @@ def test_remove_repeats(spark, docs, empty, group_rows):
     assert substring.remove_repeats(empty).count() == 0
 
 
+def test_suffix_tree_orders_suffixes_and_counts_shared_words():
+    rng = random.Random(3)
+    for window in (1, 2, 5):
+        texts = [" ".join(rng.choice("ab") for _ in range(rng.randrange(1, 23))) for _ in range(40)] + ["a"] * 2
+        tree = substring.suffix_tree(pa.array(texts), window)
+        words = [t.split() for t in texts]
+        suffixes = [words[t][f:] for t, f in zip(tree.text, tree.first)]
+        assert sorted(zip(tree.text.tolist(), tree.first.tolist())) == [(t, f) for t, w in enumerate(words) for f in range(len(w) - window + 1)]
+        shared = lambda x, y: next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+        assert tree.shared.tolist() == [0] + [shared(x, y) for x, y in zip(suffixes, suffixes[1:])]
+        # Neighbours in the order share the most: whatever any two suffixes share, all between them share as well.
+        for i in range(0, len(suffixes), 17):
+            for j in range(i + 1, len(suffixes), 29):
+                assert shared(suffixes[i], suffixes[j]) == min(tree.shared[i + 1 : j + 1])
+    assert len(substring.suffix_tree(pa.array([], pa.string()), 3).text) == 0
+
+
+def test_hot_prefixes_in_parts():
+    """One prefix in parts gives the marks that it gives whole, and so do counted anchors."""
+    rng = random.Random(5)
+    window, rows = 4, []
+    for prefix in range(30):
+        for batch in range(300 if prefix == 7 else rng.randrange(1, 9)):
+            n = window if prefix == 7 else rng.randrange(window, 9)
+            rows.append((batch, prefix, prefix, True, len(rows), 1, " ".join(rng.choice(f"p{prefix} q{prefix}".split()) for _ in range(n))))
+    schema = pa.schema([("batch", pa.int32()), ("prefix", pa.int64()), ("anchor", pa.int64()), ("large", pa.bool_()), ("rank", pa.int32()), ("n", pa.int64()), ("piece", pa.string())])
+    table = pa.table([list(c) for c in zip(*rows)], schema=schema)
+    seen = Counter()
+    for r in rows:
+        w = r[6].split()
+        seen.update((r[1], *w[k : k + window]) for k in range(len(w) - window + 1))
+    want = {}
+    for r in rows:
+        w = r[6].split()
+        mark = sum(1 << k for k in range(len(w) - window + 1) if seen[(r[1], *w[k : k + window])] > 1)
+        want |= {r[4]: mark} if mark else {}
+    for chunk, held, most in ((10_000, 1 << 15, 1 << 16), (7, 10, 20), (50, 20, 100), (1, 1, 2)):
+        got = Counter()
+        for b in substring._trees(window, held, most)(iter(table.to_batches(chunk))):
+            for rank, mark in zip(b.column("rank").to_pylist(), b.column("mark").to_pylist()):
+                got[rank] |= mark
+        assert got == want
+    counted = table.select(["batch", "anchor", "n"])
+    kept = [b for b in substring._repeated(40)(iter(counted.to_batches(9)))]
+    got = Counter((a, big) for b in kept for a, big in zip(b.column("anchor").to_pylist(), b.column("large").to_pylist()))
+    n = Counter(r[2] for r in rows)
+    assert got == Counter({(a, k > 40): k for a, k in n.items() if k > 1})
+
+
 def test_repeats_query(spark, tmp_path, docs):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     want = sorted((i, n, r, hashlib.sha256(k.encode()).hexdigest()) for i, n, r, k, _ in repeats_brute([(r["doc_id"], r["text"]) for r in docs.collect()]))
