@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import streaming
@@ -193,6 +193,19 @@ def p15(get):
     return get("raw").select("probe", "seq", *[rounded(m[i][0] * v[0] + m[i][1] * v[1] + m[i][2] * v[2]).alias(n) for i, n in enumerate(("rx", "ry", "rz"))])
 
 
+_TURNED = {  # rows of the matrices about x and y at 30 degrees
+    "x": ("Ax", "cos(radians(30)) * Ay - sin(radians(30)) * Az", "sin(radians(30)) * Ay + cos(radians(30)) * Az"),
+    "y": ("cos(radians(30)) * Ax + sin(radians(30)) * Az", "Ay", "cos(radians(30)) * Az - sin(radians(30)) * Ax"),
+}
+
+
+@query("p15_rotation_x_y", ("raw",), "SELECT probe, seq, " + ", ".join(r6(c, f"{axis}{k}") for axis, row in _TURNED.items() for k, c in enumerate(row)) + " FROM raw")
+def p15_x_y(get):
+    v = [F.col("Ax"), F.col("Ay"), F.col("Az")]
+    turned = {axis: physics.rotation(axis, F.lit(30.0)) for axis in "xy"}
+    return get("raw").select("probe", "seq", *[rounded(m[k][0] * v[0] + m[k][1] * v[1] + m[k][2] * v[2]).alias(f"{axis}{k}") for axis, m in turned.items() for k in range(3)])
+
+
 # ---- filters ------------------------------------------------------------------------------------
 @query("f1_rows_within", ("raw",), "SELECT probe, seq, Ax, Temp FROM raw WHERE Ax > -1500 AND Ax < 1500 AND Temp > 6 AND Temp < 18")
 def f1(get):
@@ -775,6 +788,21 @@ def s1(get):
     return x.select("seq", "t", F.col("Ax").cast("double").alias("Ax"), F.col("Mz").cast("double").alias("Mz"), "Temp")
 
 
+@query("s2_other_kinds", ("raw",), """SELECT substr('bpdw', CAST(seq % 4 AS INTEGER) + 1, 1) AS kind, seq, t // 1000000 * 1000000 AS t, CASE WHEN seq % 4 > 0 THEN CAST(seq * 7 + 1000 AS BIGINT) END AS counts,
+ CASE WHEN seq % 4 < 3 THEN Ax END AS Ax, CASE WHEN seq % 4 < 3 THEN Mz END AS Mz, CAST(12.5 AS DOUBLE) AS Temp, CAST(5.9 AS DOUBLE) AS Battery FROM raw WHERE seq % 40 >= 4""")
+def s2_kinds(get):
+    """Kinds b, p, d and w, written in the order of their own fields; four in forty lines are cut short."""
+    raw, found = get("raw"), []
+    cell = {c: F.col(c).cast("int").cast("string") for c in text.VECTOR} | {"P_counts": (F.col("seq") * 7 + 1000).cast("string"), "Temp": F.lit("12.5"), "Battery": F.lit("5.9")}
+    for k, kind in enumerate("bpdw"):
+        good = F.concat_ws(",", F.date_format(timestamp(F.col("t")), "yyyy,M,d,H,m,s"), *[cell[c] for c in text.KINDS[kind][len(text.DATE) :]])
+        lines = raw.where(F.col("seq") % 4 == k).select("seq", F.when(F.col("seq") % 40 < 4, F.substring(good, 1, 22)).otherwise(F.concat(F.lit("@"), good, F.lit(";"))).alias("value"))
+        x = instruments.inclinometer(text.parsed(text.repaired(lines, text.record_pattern(kind)), kind))
+        has = lambda c, to: F.col(c).cast(to) if c in x.columns else F.lit(None).cast(to)  # noqa: B023, E731
+        found.append(x.select(F.lit(kind).alias("kind"), "seq", "t", has("P_counts", "long").alias("counts"), has("Ax", "double").alias("Ax"), has("Mz", "double").alias("Mz"), "Temp", "Battery"))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
 def _utm_sql() -> str:
     """L17 in SQL, in doubles: powers of the flattening are numbers."""
     f = instruments.WGS_F
@@ -873,6 +901,19 @@ def k6(get):
     return raw.sparkSession.read.parquet(path)
 
 
+@query("k6_sorted_order", ("raw",), "SELECT probe, t, row_number() OVER (PARTITION BY probe ORDER BY t) AS place FROM raw")
+def k6_order(get):
+    """The places of rows in the files, file by file: those of their times."""
+    raw = get("raw").select("probe", "t", "seq", "Temp")
+    path = scratch_path(raw.sparkSession, "sorted")
+    store.sorted_store(raw, path)
+    rows = raw.sparkSession.read.parquet(path).select("probe", "t", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    # Files are few rows of counts; a row's place is its own in the file behind the probe's rows in files before.
+    own = rows.groupBy("probe", "file").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("probe").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(own.withColumn("before", before), ["probe", "file"]).select("probe", "t", (F.col("before") + F.col("at") - F.col("first") + 1).alias("place"))
+
+
 @query("k11_staged", ("raw", "load_log"), "SELECT r.probe, r.seq FROM raw r JOIN load_log l ON r.probe = l.probe WHERE NOT 3 <= l.changed")
 def k11(get):
     raw, log = get("raw"), get("load_log")
@@ -982,6 +1023,18 @@ def l6(get):
     return instruments.time_only(rows, instruments.file_day(F.col("path"))).select("probe", "seq", "t")
 
 
+@query("l6_t5_day_jumps", ("raw",), f"""WITH s AS (SELECT probe, seq, (t % {DAY}) // 1000000 * 1000000 + min(t) OVER (PARTITION BY probe) // {DAY} * {DAY} AS t FROM raw), d AS (SELECT *, t - lag(t) OVER (PARTITION BY probe ORDER BY seq) AS d FROM s),
+ m AS (SELECT probe, 10 * greatest(median(d), 1000000) AS tol FROM d GROUP BY probe),
+ j AS (SELECT d.*, CASE WHEN d > {DAY} - tol AND d <= {DAY} + tol THEN 1 WHEN d < -{DAY} + tol AND d >= -{DAY} - tol THEN -1 END AS j FROM d JOIN m USING (probe)),
+ n AS (SELECT *, sum(abs(j)) OVER w AS n, last_value(j IGNORE NULLS) OVER w AS sign FROM j WINDOW w AS (PARTITION BY probe ORDER BY seq ROWS UNBOUNDED PRECEDING))
+SELECT probe, seq, CAST(t - CASE WHEN n % 2 = 1 THEN sign * {DAY} ELSE 0 END AS BIGINT) AS t FROM n""")
+def l6_jumps(get):
+    raw = get("raw")
+    files = raw.groupBy("probe").agg(F.min("t").alias("t0")).select("probe", F.concat(F.lit("runs/"), "probe", F.lit("/sst_"), _written("t0", "yyMMdd"), F.lit(".txt")).alias("path"))
+    rows = raw.select("probe", "seq", _written("t", "HH:mm:ss").alias("Time")).join(files, "probe")
+    return instruments.time_only_by_jumps(rows, instruments.file_day(F.col("path"))).select("probe", "seq", "t")
+
+
 @query("l7_degrees_minutes_seconds", ("raw",), f"SELECT seq, {r9('seq % 90 + (seq % 60) / 60.0::DOUBLE + (seq % 600) / 10.0::DOUBLE / 3600', 'deg')} FROM raw")
 def l7(get):
     words = F.concat((F.col("seq") % 90).cast("string"), F.lit("°"), (F.col("seq") % 60).cast("string"), F.lit("'"), (F.col("seq") % 600 / 10).cast("string"), F.lit('"N'))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.physics import degrees_minutes
 from ..operators.scan import before, haloed, last, scan, total
+from ..operators.timefix import day_jumps
 from ..schema import DAY, micros
 
 #: Serial day number of 1970-01-01.
@@ -69,6 +70,14 @@ def time_only(df: DataFrame, day: Column, time: str = "Time") -> DataFrame:
     return x.withColumn("t", F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long") * DAY + F.col("_s") + F.col("_over") * DAY).select(*[c for c in df.columns if c != "t"], "t")
 
 
+def time_only_by_jumps(df: DataFrame, day: Column, time: str = "Time") -> DataFrame:
+    """L6 with T5, for a log that crosses midnight by mistake or once: all times are of the given day, and stretches between two jumps
+    of a day move by it. A log of many days is time_only's."""
+    t = F.split(time, ":")
+    s = (F.get(t, F.lit(0)).cast("long") * 3600 + F.get(t, F.lit(1)).cast("long") * 60) * 1_000_000 + F.round(F.get(t, F.lit(2)).cast("double") * 1_000_000).cast("long")
+    return day_jumps(df.withColumn("t", F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long") * DAY + s))
+
+
 def file_day(path: Column, century: str = "20") -> Column:
     """Yymmdd in a file name."""
     return F.try_to_date(F.concat(F.lit(century), F.regexp_extract(path, r"(\d{6})[^/\d]*$", 1)), "yyyyMMdd")

@@ -14,6 +14,7 @@ from driftline.operators import spectrum, stages, timefix, velocity, windows
 from driftline.plans.fixtures import coefs
 from driftline.schema import DAY, SECOND, micros
 from driftline.sinks import tsv
+from driftline.sources import text
 
 HOUR = 3600 * SECOND
 
@@ -178,3 +179,16 @@ def test_sign_by_gradient(spark):
     for width in (None, 7):
         got = {(r["probe"], r["t"]): r["z"] for r in windows.recovered_by_gradient(df, "z", ["x"], width=width).collect()}
         assert got == pytest.approx(want)
+
+
+def test_files_are_listed_and_claimed_once(spark, tmp_path):
+    for name in ("incl_i05.txt", "sub/inclp12.txt", "sub/other.csv", "i7@coef.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("x")
+    files = text.list_files(spark, str(tmp_path), "*.txt")
+    found = text.discovered(files)
+    assert sorted((r["path"].rsplit("/", 1)[1], r["probe"]) for r in found.collect()) == [("incl_i05.txt", "i05"), ("inclp12.txt", "p12")]
+    assert files.where("changed is null").count() == 0 and text.double_claims(found).count() == 0
+    # The same file found for another probe too.
+    again = found.unionByName(found.where("probe = 'i05'").select("path", "changed", F.lit("b05").alias("probe")))
+    assert [(r["path"].rsplit("/", 1)[1], r["probes"]) for r in text.double_claims(again.unionByName(found)).collect()] == [("incl_i05.txt", 2)]
