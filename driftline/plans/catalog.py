@@ -830,8 +830,10 @@ def l12(get):
     return get("raw").select("seq", rounded(physics.degrees_minutes(F.col("P_counts") / 3000)).alias("deg"))
 
 
-@query("l11_serial_day", ("raw",), "SELECT seq, CAST(round((t / 86400000000.0::DOUBLE) * 86400000000.0::DOUBLE / 1000000) AS BIGINT) AS s FROM raw")
+@query("l11_serial_day", ("raw",), f"SELECT seq, CAST(round(CAST(round(((t / 86400000000.0::DOUBLE + {instruments.SERIAL_DAY_0}::DOUBLE) - {instruments.SERIAL_DAY_0}::DOUBLE) * 86400000000.0::DOUBLE) AS BIGINT) / 1000000) AS BIGINT) AS s FROM raw")
 def l11(get):
+    """Times as serial days and back, in whole seconds. A DOUBLE holds serial days of today to some ten microseconds, so a time that near to
+    half a second may go to either side: the SQL goes by the same days and the same whole microseconds."""
     return get("raw").select("seq", F.round(instruments.serial_day(F.col("t") / F.lit(86400000000.0) + instruments.SERIAL_DAY_0) / 1000000).cast("long").alias("s"))
 
 

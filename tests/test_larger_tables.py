@@ -2,9 +2,11 @@
 
 from datetime import datetime, timezone
 
+import duckdb
 from pyspark.sql import functions as F
 
 from driftline.operators import aggregates
+from driftline.plans.catalog import ORACLES, QUERIES
 
 T0 = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp()) * 1_000_000
 
@@ -17,3 +19,13 @@ def test_mean_time_of_many_rows(spark):
     assert (whole["t"], whole["rows"], whole["x"]) == (T0 + (n - 1) * 50_000, n, (n - 1) / 2)
     late = df.unionByName(df.withColumn("t", F.col("t") + 86400 * 1_000_000))
     assert sorted((r["t"], r["rows"]) for r in aggregates.binned(late, 7200, ["x"]).collect()) == [(T0, n), (T0 + 86400 * 1_000_000, n)]
+
+
+def test_serial_days_near_half_seconds(spark, tmp_path):
+    """5,000 times within 20 microseconds of half a second, and some before 1970: the query and its SQL round each alike."""
+    folder = str(tmp_path)
+    ts = F.timestamp_add("MICROSECOND", F.col("id") * 86_413_000_000 % 1_700_000_000_000_000 - F.col("id") % 7 * 10_000_000_000_000 + 500_000 + F.col("id") % 41 - 20, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    spark.range(5000).select(F.col("id").alias("event_id"), ts.alias("ts"), (F.col("id") % 50).alias("user_id"), F.lit(1.0).alias("value")).write.parquet(f"{folder}/events.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view events as from '{folder}/events.parquet/*.parquet'")
+    assert sorted(map(tuple, QUERIES["l11_serial_day"](spark, folder).collect())) == sorted(con.sql(f"select seq, s from ({ORACLES['l11_serial_day']})").fetchall())
