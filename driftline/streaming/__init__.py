@@ -94,30 +94,45 @@ def resolved_times(stream: DataFrame, freq: float) -> DataFrame:
     return timed.groupBy("probe").applyInPandasWithState(run, schema, "last long, n long", "append", GroupStateTimeout.NoTimeout)
 
 
+def _still_open(rows: DataFrame) -> DataFrame:
+    """rows with _held: the row is in the run of one time that its probe ends with, or behind it without a time, so that
+    rows that are yet to come may belong to it. Two aggregates of a row per probe; no probe's rows meet in one task."""
+    end = rows.where("t is not null").groupBy("probe").agg(F.max_by("t", "seq").alias("_end"))
+    closed = rows.join(F.broadcast(end), "probe").where("t <> _end").groupBy("probe").agg(F.max("seq").alias("_closed"))
+    return rows.join(F.broadcast(closed), "probe", "left").withColumn("_held", F.coalesce(F.col("seq") > F.col("_closed"), F.lit(True))).drop("_closed")
+
+
 def corrected_to(stream: DataFrame, path: str, checkpoint: str, *, fs: float | None = None, overlap: int | None = None, **options) -> DataFrame:
     """R2: T1 over what is there now, chunk by chunk, to Parquet: probe, seq, t and ok. A later call goes on from the checkpoint.
 
-    Each chunk is corrected behind the last `overlap` (2 * ceil(fs), 50 without fs) uncorrected times of its probe, so that a run of one
-    time that a chunk's border cuts is spread as one. Those tails are the state: a row for each of so few times a probe, one table a
-    chunk. A chunk that is run again overwrites what it wrote, so each row is there once. stream(probe, seq, ts).
+    How a run of one time is spread depends on all of its rows and on the time behind it. So the run that a probe's rows end with is
+    held back, however long it is: its rows are corrected with the next chunk. Each chunk is corrected behind those and the last
+    `overlap` (2 * ceil(fs), 50 without fs) uncorrected times before them, which are the state: one table a chunk. Rows held
+    by the last chunk so far are in the result as if nothing came behind them (chunk=n/held=1); the next chunk replaces them.
+    A chunk that is run again overwrites what it wrote, so each row is there once. stream(probe, seq, ts).
     """
     keep, spark = overlap or (2 * math.ceil(fs) if fs else 50), stream.sparkSession
     plain = stream.select("probe", F.col("seq").cast("long").alias("seq"), _micros(stream).alias("t"))
 
     def correct(chunk: DataFrame, number: int) -> None:
+        # _new: not in the result for good yet.
         chunk = kept_table(chunk.select("probe", "seq", "t", F.lit(True).alias("_new")))
-        before = chunk.where("false") if number == 0 else spark.read.schema(chunk.schema).parquet(f"{checkpoint}/tails/{number - 1}").withColumn("_new", F.lit(False))
-        both = kept_table(before.unionByName(chunk))
-        corrected_times(both, fs=fs, **options).where("_new").select("probe", "seq", "t", "ok").write.mode("overwrite").parquet(f"{path}/chunk={number}")
+        before = chunk.where("false") if number == 0 else spark.read.schema(chunk.schema).parquet(f"{checkpoint}/tails/{number - 1}")
+        both = kept_table(_still_open(before.unionByName(chunk)))
+        made = corrected_times(both, fs=fs, **options).where("_new").select("probe", "seq", "t", "ok", F.col("_held").cast("int").alias("held"))
+        made.write.mode("overwrite").partitionBy("held").parquet(f"{path}/chunk={number}")
         # The first `keep` of each slice of the source, then of them: no probe's rows meet in one task.
         backwards = F.col("seq").desc()
         part = Window.partitionBy("probe", F.floor(F.col("seq") / SLICE_ROWS)).orderBy(backwards)
-        few = both.withColumn("_rn", F.row_number().over(part)).where(F.col("_rn") <= keep)
+        few = both.where("not _held").withColumn("_rn", F.row_number().over(part)).where(F.col("_rn") <= keep)
         tail = few.withColumn("_rn", F.row_number().over(Window.partitionBy("probe").orderBy(backwards))).where(F.col("_rn") <= keep)
-        tail.drop("_rn").write.mode("overwrite").parquet(f"{checkpoint}/tails/{number}")
+        state = tail.select("probe", "seq", "t", F.lit(False).alias("_new")).unionByName(both.where("_held").select("probe", "seq", "t", "_new"))
+        state.write.mode("overwrite").parquet(f"{checkpoint}/tails/{number}")
 
     plain.writeStream.foreachBatch(correct).option("checkpointLocation", f"{checkpoint}/stream").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.option("basePath", path).schema("probe string, seq long, t long, ok boolean").parquet(path).select("probe", "seq", "t", "ok")
+    found = spark.read.option("basePath", path).schema("probe string, seq long, t long, ok boolean, chunk long, held int").parquet(path)
+    newest = F.broadcast(found.agg(F.max("chunk").alias("_newest")))
+    return found.crossJoin(newest).where("held = 0 or chunk = _newest").select("probe", "seq", "t", "ok")
 
 
 def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

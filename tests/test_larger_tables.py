@@ -5,8 +5,10 @@ from datetime import datetime, timezone
 import duckdb
 from pyspark.sql import functions as F
 
-from driftline.operators import aggregates
-from driftline.plans.catalog import ORACLES, QUERIES
+from driftline import streaming
+from driftline.operators import aggregates, timefix
+from driftline.plans.catalog import HOUR, ORACLES, QUERIES
+from driftline.schema import timestamp
 
 T0 = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp()) * 1_000_000
 
@@ -29,3 +31,21 @@ def test_serial_days_near_half_seconds(spark, tmp_path):
     con = duckdb.connect()
     con.sql(f"create view events as from '{folder}/events.parquet/*.parquet'")
     assert sorted(map(tuple, QUERIES["l11_serial_day"](spark, folder).collect())) == sorted(con.sql(f"select seq, s from ({ORACLES['l11_serial_day']})").fetchall())
+
+
+def test_chunks_cut_long_runs(spark, tmp_path):
+    """Runs of 90 rows of one time, more than the overlap of 50, in four chunks by two calls: as over the whole after each call, also for a
+    probe that ends early, one with a single time and a row without a time at a chunk's end."""
+    row = F.col("id")
+    probe = F.when(row % 10 == 3, "short").when(row % 10 == 7, "one").otherwise("long")
+    time = F.when(row % 10 == 7, 0).otherwise(F.floor(row / 128)) * HOUR + T0
+    rows = spark.range(1200).where("id % 10 <> 3 or id < 250").select(probe.alias("probe"), row.alias("seq"), F.when(~row.isin(299, 905), time).alias("t")).persist()
+    folders = [str(tmp_path / n) for n in ("in", "out", "state")]
+    for calls, chunks in ((1, (0, 1)), (2, (2, 3))):
+        for k in chunks:
+            part = rows.where(F.floor(F.col("seq") / 300) == k).select("probe", "seq", timestamp(F.col("t")).alias("ts"))
+            part.coalesce(1).write.mode("append").parquet(folders[0])
+        stream = spark.readStream.schema("probe string, seq long, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(folders[0])
+        got = streaming.corrected_to(stream, folders[1], folders[2], fs=1 / 60, overlap=50)
+        whole = timefix.corrected_times(rows.where(F.col("seq") < calls * 600), fs=1 / 60).select("probe", "seq", "t", "ok")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
