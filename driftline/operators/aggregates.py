@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import physics
 from ..schema import DAY, SECOND
-from .scan import SLICE, is_small, scan, total
+from .scan import SLICE, is_small, scan, total, with_facts
 
 
 def bin_start(seconds: int) -> Column:
@@ -29,12 +29,12 @@ def binned(df: DataFrame, seconds: int, columns: Sequence[str]) -> DataFrame:
     comes from an aggregate of its own. Times are summed as decimals: a LONG overflows at some 5,400 times of today.
     """
     size = seconds * SECOND
-    rows = df if DAY % size == 0 else df.join(df.groupBy("probe").agg((F.floor(F.min("t") / DAY) * DAY).alias("_day0")), "probe")
+    rows = df if DAY % size == 0 else with_facts(df, df.groupBy("probe").agg((F.floor(F.min("t") / DAY) * DAY).alias("_day0")))
     out = rows.groupBy("probe", bin_start(seconds).alias("t")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("t").cast("decimal(20,0)")).alias("_sum_t"), F.min("t").alias("_t0"), F.max("t").alias("_t1"), *[F.count(c).alias(f"_n_{c}") for c in columns], *[F.sum(c).alias(f"_s_{c}") for c in columns])
     out = out.withColumns({c: F.col(f"_s_{c}") / F.nullif(F.col(f"_n_{c}"), F.lit(0)) for c in columns})
     whole = out.groupBy("probe").agg((F.max("_t1") - F.min("_t0") < size).alias("_one"), F.avg("rows").alias("_mean_rows"))
-    out = out.join(whole, "probe").where(F.col("_one") | (F.col("rows") > F.col("_mean_rows") / 10))
+    out = with_facts(out, whole).where(F.col("_one") | (F.col("rows") > F.col("_mean_rows") / 10))
     # A short probe may lie over a bin border: its one row joins its bins.
     one = out.where("_one").groupBy("probe").agg(F.floor(F.sum("_sum_t").cast("double") / F.sum("rows")).alias("t"), F.sum("rows").alias("rows"), *[(F.sum(f"_s_{c}") / F.nullif(F.sum(f"_n_{c}"), F.lit(0))).alias(c) for c in columns])
     many = out.where(~F.col("_one") & F.coalesce(*columns).isNotNull()).select("probe", "t", "rows", *columns)
@@ -80,7 +80,7 @@ def modes(df: DataFrame, column: str) -> DataFrame:
 def mean_deviation(df: DataFrame, column: str) -> DataFrame:
     """Mean absolute deviation around the mean: two passes of partial aggregates, no window."""
     mean = df.groupBy("probe").agg(F.avg(column).alias("_m"))
-    return df.join(mean, "probe").groupBy("probe").agg(F.avg(F.abs(F.col(column) - F.col("_m"))).alias("mad"))
+    return with_facts(df, mean).groupBy("probe").agg(F.avg(F.abs(F.col(column) - F.col("_m"))).alias("mad"))
 
 
 #: Ranges of values that a median is looked for in.
@@ -100,7 +100,7 @@ def medians(df: DataFrame, column: str) -> DataFrame:
     # From the counts as well, so that the values are shuffled once.
     ends = counts.groupBy("probe").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"), F.sum("n").alias("_all"))
     part = F.coalesce(F.floor((F.col("v") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * MEDIAN_RANGES), F.lit(0)).cast("long")
-    x = scan(counts.join(ends, "probe").withColumn(SLICE, part), {"_upto": total(F.col("n"))}, ("v",))
+    x = scan(with_facts(counts, ends).withColumn(SLICE, part), {"_upto": total(F.col("n"))}, ("v",))
     holds = lambda k: (F.col("_upto") > k) & (F.col("_upto") - F.col("n") <= k)
     low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
     return x.groupBy("probe").agg(((F.max(F.when(holds(low), F.col("v"))) + F.max(F.when(holds(high), F.col("v")))) / 2).alias("median"))

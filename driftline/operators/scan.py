@@ -185,6 +185,13 @@ def _both(c: Carried, own: Column, carried: Column) -> Column:
     return F.least(own, carried)
 
 
+def with_facts(df: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
+    """df with what is known of its probe; facts: a row per probe, so few that every task has them. A shuffled join would put a probe's
+    rows into one task, and the windows and aggregates behind it would leave them there; Spark by itself shuffles where the facts' few
+    probes leave most partitions empty."""
+    return df.join(F.broadcast(facts), "probe", how)
+
+
 def scan(df: DataFrame, want: dict[str, Carried], by: Sequence[str] = ("t", "seq"), width: int | None = None, keep_slices: bool = False) -> DataFrame:
     """df with the wanted columns, each what a window over (probe; by) would give."""
     if width is None and SLICE not in df.columns and is_small(df):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import physics
 from ..schema import VECTORS
 from .aggregates import medians
-from .scan import is_small, kept_if_large, last, scan
+from .scan import is_small, kept_if_large, last, scan, with_facts
 from .windows import battery_tail, burst_starts_nulled, despiked_counts, filled_all, smoothed_steps
 
 OVERSCALED = -32624.0
@@ -21,7 +21,7 @@ def recovered_magnetometer(df: DataFrame) -> DataFrame:
     """A lost Hx from Hy, Hz by the probe's median field strength; the sign of the last good Hx."""
     h = F.sqrt(F.col("Hx") ** 2 + F.col("Hy") ** 2 + F.col("Hz") ** 2)
     mid = medians(df.withColumn("_h", h), "_h").withColumnRenamed("median", "_h")
-    x = scan(df, {"_good": last(F.signum("Hx"))}).join(mid, "probe", "left")
+    x = with_facts(scan(df, {"_good": last(F.signum("Hx"))}), mid, "left")
     lost = F.sqrt(F.greatest(F.lit(0.0), F.col("_h") ** 2 - F.col("Hy") ** 2 - F.col("Hz") ** 2))
     return x.withColumn("Hx", F.coalesce(F.col("Hx"), lost * F.coalesce("_good", F.lit(1.0)))).select(*df.columns)
 
@@ -32,21 +32,21 @@ def recovered_overscale(df: DataFrame, column: str, others: Sequence[str]) -> Da
     whole = F.col(column) ** 2 + sum((F.col(c) ** 2 for c in others[1:]), F.col(others[0]) ** 2)
     largest = df.groupBy("probe").agg(F.max(F.when(~F.col("overscaled"), whole)).alias("_largest"))
     rest = F.col("_largest") - sum((F.col(c) ** 2 for c in others[1:]), F.col(others[0]) ** 2)
-    return df.join(largest, "probe").withColumn(column, F.when(F.col("overscaled"), F.sqrt(F.greatest(F.lit(0.0), rest))).otherwise(F.col(column))).select(*df.columns)
+    return with_facts(df, largest).withColumn(column, F.when(F.col("overscaled"), F.sqrt(F.greatest(F.lit(0.0), rest))).otherwise(F.col(column))).select(*df.columns)
 
 
 def velocity(df: DataFrame, coefs: DataFrame, *, harmonics: int = 2, g_minus_1: float = 1.0, h_minus_1: float = 8.0, despike: bool = False) -> DataFrame:
     """Probe, t, seq, Vabs, Vdir, v, u, inclination and the channels that are not counts.
 
     coefs: one row per probe (Ag, Cg, Ah, Ch, kVabs, azimuth_shift_deg); the last of kVabs is the limit
-    angle. The join is left to Spark, which broadcasts a small coefficient table.
+    angle. Every task has them; no row takes them through a shuffle.
     """
     if despike:
         df = despiked_counts(df, {c: A_SPIKE if c[0] == "A" else M_SPIKE for c in VECTORS})
     rest = [c for c in df.columns if c not in VECTORS and c not in ("probe", "t", "seq")]
     ends = physics.line_end(F.col("kVabs"), harmonics, F.element_at("kVabs", -1))
     per_probe_ = coefs.select("probe", "Ag", "Cg", "Ah", "Ch", "kVabs", "azimuth_shift_deg", *[c.alias(n) for n, c in zip(("_x0", "_at", "_slope"), ends)])
-    x = df.join(per_probe_, "probe")
+    x = with_facts(df, per_probe_)
     gs = physics.calibrate(tuple(F.col(c) for c in VECTORS[:3]), F.col("Ag"), F.col("Cg"))
     hs = physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))
     x = x.withColumns({n: c for n, c in zip(("Gx", "Gy", "Gz", "Hx", "Hy", "Hz"), (*gs, *hs))})
@@ -60,13 +60,14 @@ def velocity(df: DataFrame, coefs: DataFrame, *, harmonics: int = 2, g_minus_1:
     return x.select("probe", "t", "seq", "Vabs", "Vdir", v.alias("v"), u.alias("u"), "inclination", *rest)
 
 
-def recovered_counts_x(df: DataFrame, *, h_minus_1: float) -> DataFrame:
+def recovered_counts_x(df: DataFrame, coefs: DataFrame, *, h_minus_1: float) -> DataFrame:
     """P11 and W4 in counts: a lost Mx from My and Mz such that |Ah (M - Ch)| is the probe's median field below 1 + h_minus_1;
     where that median is off by half and hardly any Mx is good, the field is 1 and all Mx are made anew. Of the two
     solutions the lower one is taken. What is still missing in a channel is interpolated, but a channel of a probe with under a
-    hundredth as many good rows as bad ones is lost whole. df has Ah and Ch.
+    hundredth as many good rows as bad ones is lost whole. coefs has Ah and Ch of each probe; they are not in the rows that are scanned.
 
     Adds _with_yz (rows of the probe with both My and Mz: without any, the field can't be recovered) and _unset (the row's value is in a lost channel)."""
+    x = with_facts(df, coefs.select("probe", "Ah", "Ch"))
     d = [F.col(c).cast("double") - F.col("Ch")[i] for i, c in enumerate(VECTORS[3:])]
     a = [[F.col("Ah")[i][j] for j in range(3)] for i in range(3)]
     strength = physics.norm(physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))) - 1
@@ -75,9 +76,9 @@ def recovered_counts_x(df: DataFrame, *, h_minus_1: float) -> DataFrame:
     good = F.when(strength < h_minus_1, strength)
     stats = [F.avg(wanted.cast("double")).alias("_share"), F.count_if(both).alias("_with_yz"), F.count_if(F.col("Mx").isNotNull() | both).alias("_good_Mx"), F.count("My").alias("_good_My"), F.count("Mz").alias("_good_Mz"), F.count(F.lit(1)).alias("_all")]
     if is_small(df):
-        mid = df.groupBy("probe").agg(*stats, F.median(good).alias("_m"))
+        mid = x.groupBy("probe").agg(*stats, F.median(good).alias("_m"))
     else:
-        mid = df.groupBy("probe").agg(*stats).join(medians(df.select("probe", good.alias("_s")), "_s").withColumnRenamed("median", "_m"), "probe", "left")
+        mid = with_facts(x.groupBy("probe").agg(*stats), medians(x.select("probe", good.alias("_s")), "_s").withColumnRenamed("median", "_m"), "left")
     anew = F.col("_m").isNull() | ((F.abs("_m") > 0.5) & (F.col("_share") > 0.95))
     # A channel is lost where good / bad rows are at most a hundredth; Mx is good where it is given or can be made.
     number = {"Mx": F.when(anew, F.col("_with_yz")).otherwise(F.col("_good_Mx")), "My": F.col("_good_My"), "Mz": F.col("_good_Mz")}
@@ -88,7 +89,7 @@ def recovered_counts_x(df: DataFrame, *, h_minus_1: float) -> DataFrame:
     along = sum((a[i][0] * q[i] for i in (1, 2)), a[0][0] * q[0])
     beyond = sum((q[i] * q[i] for i in (1, 2)), q[0] * q[0]) - F.col("_h") * F.col("_h")
     lower = F.col("Ch")[0] - (along + F.sqrt(F.abs(along * along - square * beyond))) / square
-    x = df.join(mid, "probe").withColumn("Mx", F.when(F.col("Mx").isNotNull() & ~F.col("_anew"), F.col("Mx").cast("double")).otherwise(lower)).drop("_anew", "_h")
+    x = with_facts(x, mid).withColumn("Mx", F.when(F.col("Mx").isNotNull() & ~F.col("_anew"), F.col("Mx").cast("double")).otherwise(lower)).drop("_anew", "_h", "Ah", "Ch")
     unset = F.lit(False)
     for c in VECTORS[3:]:
         unset = unset | (F.col(c).isNull() & F.col(f"_lost_{c}"))
@@ -107,7 +108,7 @@ def recovered_gravity(df: DataFrame) -> DataFrame:
     x = df.withColumns({f"_r{i}": F.when(one & over[i], rest[i]) for i in range(3)})
     big = [F.when(F.col(f"_r{i}") > 1, F.col(f"_r{i}")) for i in range(3)]
     stats = [c for i in range(3) for c in (F.avg(F.coalesce(F.col(f"_r{i}") > 1, F.lit(False)).cast("double")).alias(f"_n{i}"), F.avg(big[i]).alias(f"_a{i}"), F.max(f"_r{i}").alias(f"_m{i}"))]
-    x = x.join(x.groupBy("probe").agg(*stats), "probe")
+    x = with_facts(x, x.groupBy("probe").agg(*stats))
     for i, own in enumerate(names):
         r, mean, most = F.col(f"_r{i}"), F.col(f"_a{i}"), F.col(f"_m{i}")
         many = F.col(f"_n{i}") > 0.001
@@ -128,13 +129,14 @@ def recovered_velocity(df: DataFrame, coefs: DataFrame, *, force_coefs: Sequence
     x = df.withColumns({f"_{c}": F.col(c) for c in VECTORS[:3]})
     x = kept_if_large(despiked_counts(x, {c: A_SPIKE if c[0] == "A" else M_SPIKE for c in VECTORS})) if despike else x
     ends = physics.line_end(F.col("kVabs"), harmonics, F.element_at("kVabs", -1))
-    x = x.join(coefs.select("probe", "Ag", "Cg", "Ah", "Ch", "kVabs", "azimuth_shift_deg", *[c.alias(n) for n, c in zip(("_x0", "_at", "_slope"), ends)]), "probe")
+    x = with_facts(x, coefs.select("probe", "Ag", "Cg"))
     gs = physics.calibrate(tuple(F.col(c) for c in VECTORS[:3]), F.col("Ag"), F.col("Cg"))
     x = x.withColumns(dict(zip(("Gx", "Gy", "Gz"), gs))).withColumns({c: F.col(f"_{c}") for c in VECTORS[:3]})
     raw_norm = physics.norm(tuple(F.col(c) for c in ("Gx", "Gy", "Gz")))
-    x = recovered_gravity(x.withColumn("_bad", F.abs(raw_norm - 1) > g_minus_1))
+    x = recovered_gravity(x.withColumn("_bad", F.abs(raw_norm - 1) > g_minus_1)).drop("Ag", "Cg", *VECTORS[:3], *[f"_{c}" for c in VECTORS[:3]])
     # The field's statistics and two scans read it from here.
-    x = recovered_counts_x(kept_if_large(x), h_minus_1=h_minus_1)
+    x = recovered_counts_x(kept_if_large(x), coefs, h_minus_1=h_minus_1)
+    x = with_facts(x, coefs.select("probe", "Ah", "Ch", "kVabs", "azimuth_shift_deg", *[c.alias(n) for n, c in zip(("_x0", "_at", "_slope"), ends)]))
     hs = physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))
     x = x.withColumns(dict(zip(("Hx", "Hy", "Hz"), hs)))
     g, h = tuple(F.col(c) for c in ("Gx", "Gy", "Gz")), tuple(F.col(c) for c in ("Hx", "Hy", "Hz"))
@@ -173,7 +175,7 @@ def pressure_old(
         change = physics.horner(F.col("_battery"), p_battery)
         if battery_min is not None:
             fallen = x.groupBy("probe").agg(F.min(F.when(F.col("_battery") <= battery_min, F.struct("t", "seq"))).alias("_fallen"))
-            x = x.join(fallen, "probe")
+            x = with_facts(x, fallen)
             before = F.col("_fallen").isNull() | (F.struct("t", "seq") < F.col("_fallen"))
             change = F.when(before, physics.horner(F.lit(float(battery_min)), p_battery)).otherwise(change)
         counts = counts + change

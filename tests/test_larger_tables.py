@@ -1,8 +1,10 @@
 """What only larger tables show: sums that overflow, ties, long runs, joins by few probes."""
 
+import re
 from datetime import datetime, timezone
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from driftline import streaming
@@ -49,3 +51,18 @@ def test_chunks_cut_long_runs(spark, tmp_path):
         got = streaming.corrected_to(stream, folders[1], folders[2], fs=1 / 60, overlap=50)
         whole = timefix.corrected_times(rows.where(F.col("seq") < calls * 600), fs=1 / 60).select("probe", "seq", "t", "ok")
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+
+
+@pytest.mark.parametrize("name", ["p12_recovered", "p12_full", "flow_2h", "t2_sampling_frequency"])
+def test_no_shuffle_by_probe_alone(spark, name):
+    """At the size where slices begin and Spark broadcasts nothing by itself, no join has the rows of a probe in one task."""
+    wanted = {"driftline.scan.smallBytes": "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert not re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[probe#\w+\], ", plan)
