@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..schema import DAY, SECOND, ordered, timestamp
 from .aggregates import medians
-from .scan import after, before, haloed, highest, kept_if_large, last, position, scan, total, upcoming
+from .scan import after, before, haloed, highest, kept_if_large, last, position, scan, total, upcoming, with_facts
 
 #: Order of the source.
 SOURCE = ("seq",)
@@ -37,22 +37,22 @@ def sampling_frequency(df: DataFrame, *, precision: int = 0, width: int | None =
     steps = x.groupBy("probe").agg(F.count_if(b == t).alias("equal"), F.count_if(t < b).alias("decreasing"))
     peak = (b.isNull() | (b < t)) & (a.isNull() | (a < t))
     pit = (b.isNull() | (b > t)) & (a.isNull() | (a > t))
-    left = kept_if_large(x.join(steps.where("decreasing > 0").select("probe", F.lit(True).alias("_falls")), "probe", "left").where(F.col("_falls").isNull() | ~(peak | pit)).select("probe", "seq", "t"))
+    left = kept_if_large(with_facts(x, steps.where("decreasing > 0").select("probe", F.lit(True).alias("_falls")), "left").where(F.col("_falls").isNull() | ~(peak | pit)).select("probe", "seq", "t"))
     x = scan(left, {"_b": before(t)}, SOURCE, width, keep_slices=True).withColumn("_step", t - b)
     x = kept_if_large(scan(x, {"_rows": total(F.when(F.col("_step") >= 0, 1).otherwise(0))}, SOURCE, width).select("probe", "seq", "_step", "_rows"))
     up = F.when(F.col("_step") > 0, F.col("_step"))
     # The end of the series closes the last run, as a step of no length.
     whole = x.groupBy("probe").agg((F.max("_rows") + 1).alias("_end"), (F.sum(up) / (F.count(up) + 1) + SECOND * 10.0**precision).alias("_long"))
-    ups = scan(x.where("_step > 0"), {"_next": after(F.struct("_rows", "_step")), "_prev": before(F.col("_step"))}, SOURCE, width).join(whole, "probe")
+    ups = with_facts(scan(x.where("_step > 0"), {"_next": after(F.struct("_rows", "_step")), "_prev": before(F.col("_step"))}, SOURCE, width), whole)
     short = lambda c: F.coalesce(F.col(c) < F.col("_long"), F.lit(True))
     rate = ups.where(short("_step") & short("_prev") & short("_next._step")).select("probe", ((F.coalesce("_next._rows", "_end") - F.col("_rows")) * SECOND / F.col("_step")).alias("f"))
-    mid = medians(rate, "f").join(rate.groupBy("probe").agg(F.stddev_pop("f").alias("_s")), "probe")
+    mid = with_facts(medians(rate, "f"), rate.groupBy("probe").agg(F.stddev_pop("f").alias("_s")))
     good = F.when(F.abs(F.col("f") - F.col("median")) < 3 * F.col("_s"), F.col("f"))
-    fs = rate.join(mid, "probe").groupBy("probe").agg(F.when(F.count(good) > 1, F.avg(good)).otherwise(F.avg("f")).alias("_f"))
+    fs = with_facts(rate, mid).groupBy("probe").agg(F.when(F.count(good) > 1, F.avg(good)).otherwise(F.avg("f")).alias("_f"))
     digits = F.greatest(F.lit(precision), F.log10("_f").cast("int"))
     scale = F.pow(F.lit(10.0), digits)
     near = F.rint(F.col("_f") * scale) / scale
-    return steps.join(fs.select("probe", F.when(near == 0, F.col("_f")).otherwise(near).alias("fs")), "probe", "left").select("probe", "fs", "equal", "decreasing")
+    return with_facts(steps, fs.select("probe", F.when(near == 0, F.col("_f")).otherwise(near).alias("fs")), "left").select("probe", "fs", "equal", "decreasing")
 
 
 def heaviest_increasing(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -86,7 +86,7 @@ def blocks_in_order(df: DataFrame, *, width: int | None = None) -> DataFrame:
     x = scan(places, {"_i": position(), "_b": before(F.col("_rank"))}, SOURCE, width)
     starts = kept_if_large(x.where(F.col("_b").isNull() | (F.col("_rank") != F.col("_b") + 1)).select("probe", "seq", "_i", "_rank"))
     rows = places.groupBy("probe").agg(F.count(F.lit(1)).alias("_all"))
-    blocks = scan(starts, {"_next": after(F.col("_i"))}, SOURCE, width).join(rows, "probe").withColumn("_n", F.coalesce("_next", "_all") - F.col("_i"))
+    blocks = with_facts(scan(starts, {"_next": after(F.col("_i"))}, SOURCE, width), rows).withColumn("_n", F.coalesce("_next", "_all") - F.col("_i"))
     blocks = scan(blocks, {"_top": highest(F.col("_rank") + F.col("_n") - 1, own=False)}, SOURCE, width, keep_slices=True)
     blocks = scan(blocks.withColumn("_cut", F.when(F.coalesce(F.col("_top") < F.col("_i"), F.lit(True)), 1).otherwise(0)), {"_part": total(F.col("_cut"))}, SOURCE, width)
     return blocks.select("probe", "_part", "seq", "_rank", "_n")
@@ -131,7 +131,7 @@ def day_jumps(df: DataFrame, *, width: int | None = None) -> DataFrame:
     against its first jump."""
     d = scan(df, {"_b": before(F.col("t"))}, SOURCE, width, keep_slices=True).withColumn("_d", F.col("t") - F.col("_b"))
     mid = medians(d, "_d").select("probe", (F.greatest("median", F.lit(float(SECOND))) * 10).alias("_tol"))
-    j = d.join(mid, "probe", "left").withColumn("_tol", F.coalesce("_tol", F.lit(10.0 * SECOND)))
+    j = with_facts(d, mid, "left").withColumn("_tol", F.coalesce("_tol", F.lit(10.0 * SECOND)))
     up = (F.col("_d") > DAY - F.col("_tol")) & (F.col("_d") <= DAY + F.col("_tol"))
     down = (F.col("_d") < -DAY + F.col("_tol")) & (F.col("_d") >= -DAY - F.col("_tol"))
     j = j.withColumn("_j", F.when(up, 1).when(down, -1))
@@ -153,7 +153,7 @@ def linear_between_holes(df: DataFrame, freq: float | Column, hole: int = 20 * S
     h = scan(h, {"_ups": last(up, own=False), "_next_up": upcoming(up, own=False)}, width=width, keep_slices=True)
     start = F.when(F.col("_new"), F.struct("_i", "t", "_b", "_ups", "_next_up"))
     h = scan(h.withColumn("_start", start), {"_own": last(F.col("_start")), "_then": upcoming(F.col("_start"), own=False), "_kept_i": last(up)}, width=width)
-    h = h.join(ends, "probe")
+    h = with_facts(h, ends)
     s0, k0 = F.col("_own.t"), F.col("_own._i")
     h = h.withColumns({"_k": F.col("_i") - k0, "_n": F.coalesce("_then._i", "_rows") - k0, "_s": s0, "_e": F.coalesce("_then._b", "_t1"), "_kept": F.greatest(F.coalesce(F.col("_kept_i") - k0, F.lit(0)), F.lit(0)),
                        "_first": F.col("_own._next_up") - k0, "_last": F.when(F.col("_then").isNull(), F.col("_all_ups")).otherwise(F.col("_then._ups")) - k0})
@@ -228,20 +228,20 @@ def filled_times(df: DataFrame, bad: str, freq: float | Column, *, width: int |
 
 def shifted(df: DataFrame, shifts: DataFrame) -> DataFrame:
     """T - shift of the probe (microseconds ahead of UTC); probes without one stay."""
-    return df.join(shifts.select("probe", F.col("shift").alias("_s")), "probe", "left").withColumn("t", F.col("t") - F.coalesce(F.col("_s"), F.lit(0))).drop("_s")
+    return with_facts(df, shifts.select("probe", F.col("shift").alias("_s")), "left").withColumn("t", F.col("t") - F.coalesce(F.col("_s"), F.lit(0))).drop("_s")
 
 
 def drift_removed(df: DataFrame, true_ends: DataFrame) -> DataFrame:
     """Times stretched so that a probe's last raw time meets its true end."""
     span = df.groupBy("probe").agg(F.min("t").alias("_a"), F.max("t").alias("_b")).join(true_ends.select("probe", F.col("t_end").alias("_c")), "probe")
     ratio = (F.col("_c") - F.col("_a")) / F.nullif(F.col("_b") - F.col("_a"), F.lit(0))
-    return df.join(span, "probe").withColumn("t", (F.col("_a") + F.floor((F.col("t") - F.col("_a")) * F.coalesce(ratio, F.lit(1.0)) + 0.5)).cast("long")).drop("_a", "_b", "_c")
+    return with_facts(df, span).withColumn("t", (F.col("_a") + F.floor((F.col("t") - F.col("_a")) * F.coalesce(ratio, F.lit(1.0)) + 0.5)).cast("long")).drop("_a", "_b", "_c")
 
 
 def equal_spacing(df: DataFrame, *, width: int | None = None) -> DataFrame:
     """T10, by row number: equal steps from a probe's first to its last time."""
     ends = df.groupBy("probe").agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_a"), F.max("t").alias("_b"))
-    x = scan(df, {"_k": position()}, width=width).join(ends, "probe")
+    x = with_facts(scan(df, {"_k": position()}, width=width), ends)
     return x.withColumn("t", (F.col("_a") + F.floor((F.col("_b") - F.col("_a")) * F.col("_k") / F.greatest(F.col("_n") - 1, F.lit(1)) + 0.5)).cast("long")).select(*df.columns)
 
 
@@ -253,7 +253,7 @@ def regular_grid(df: DataFrame, step: int, column: str, *, width: int | None = N
     """
     known = df.where(F.col(column).isNotNull())
     x = scan(known, {"_next": after(F.struct(F.col("t").alias("t"), F.col(column).alias("y")))}, width=width)
-    x = x.join(known.groupBy("probe").agg(F.min("t").alias("_t0")), "probe").withColumns({"_t2": F.col("_next.t"), "_y2": F.col("_next.y")})
+    x = with_facts(x, known.groupBy("probe").agg(F.min("t").alias("_t0"))).withColumns({"_t2": F.col("_next.t"), "_y2": F.col("_next.y")})
     first = F.ceil((F.col("t") - F.col("_t0")) / step)
     last_ = F.when(F.col("_t2").isNull(), F.floor((F.col("t") - F.col("_t0")) / step)).otherwise(F.ceil((F.col("_t2") - F.col("_t0")) / step) - 1)
     g = x.withColumns({"_f": first, "_l": last_}).where("_f <= _l").withColumn("_k", F.explode(F.sequence("_f", "_l")))
@@ -291,7 +291,7 @@ def monotone_grid(df: DataFrame, step: int, column: str, *, width: int | None =
     last in order counts, as in regular_grid()."""
     x = scan(df.where(F.col(column).isNotNull()).select("probe", "t", "seq", F.col(column).cast("double").alias(column)), {"_next": after(F.col("t"))}, width=width)
     x = x.where("_next is null or _next > t").drop("_next")
-    x = monotone_slopes(x, column, rows=rows).join(x.groupBy("probe").agg(F.min("t").alias("_t0")), "probe")
+    x = with_facts(monotone_slopes(x, column, rows=rows), x.groupBy("probe").agg(F.min("t").alias("_t0")))
     first = F.ceil((F.col("t") - F.col("_t0")) / step)
     last_ = F.when(F.col("_h").isNull(), F.floor((F.col("t") - F.col("_t0")) / step)).otherwise(F.ceil((F.col("t") + F.col("_h") - F.col("_t0")) / step) - 1)
     g = x.withColumns({"_f": first.cast("long"), "_l": last_.cast("long")}).where("_f <= _l").withColumn("_k", F.explode(F.sequence("_f", "_l")))
@@ -367,7 +367,7 @@ def corrected_times(
         return x.withColumn("ok", F.lit(True)).unionByName(outside)
     judged = without_inversions(x.where("t is not null")).select("probe", "seq", F.col("ok").alias("_run"))
     rate = sampling_frequency(x, precision=6).select("probe", F.coalesce(F.lit(fs), F.col("fs"), F.lit(1.0)).alias("_fs"))
-    x = x.join(judged, ["probe", "seq"], "left").join(rate, "probe", "left").withColumn("_fs", F.coalesce("_fs", F.lit(float(fs or 1))))
+    x = with_facts(x.join(judged, ["probe", "seq"], "left"), rate, "left").withColumn("_fs", F.coalesce("_fs", F.lit(float(fs or 1))))
     # Each step scans what the one before gave more than once, so the steps' tables are written down.
     x = kept_if_large(x)
     # A NULL time is no inversion: it has no _run.
