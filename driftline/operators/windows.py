@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import SECOND
-from .scan import after, before, haloed, kept_if_large, last, position, scan, total, upcoming
+from .scan import Haloed, after, before, haloed, kept_if_large, last, position, scan, total, upcoming, with_facts
 
 #: How far above the least good battery voltage the tail's line begins, ends and takes over.
 TAIL_MARKS = (0.08, 0.02, 0.001)
@@ -21,7 +21,7 @@ def bursts(df: DataFrame, gap: int | None = None, *, width: int | None = None) -
     x = scan(df, want, width=width, keep_slices=True).withColumn("_d", F.col("t") - F.col("_t"))
     if gap is None:
         least = x.where(F.col("_i").isin(1, 2)).groupBy("probe").agg((F.min("_d") + SECOND).alias("_g"))
-        x = x.join(least, "probe", "left")
+        x = with_facts(x, least, "left")
     else:
         x = x.withColumn("_g", F.lit(gap))
     x = scan(x, {"burst": total(F.when(F.col("_d") > F.col("_g"), 1).otherwise(0))}, width=width)
@@ -91,10 +91,19 @@ def sigma_despiked(df: DataFrame, column: str, offsets: Sequence[float] = (20.0,
     """Passes of (offset, block): values off the centred rolling mean by more than offset times the
     rolling deviation become NULL; rows near the ends take the nearest full window. rows: of a slice."""
     sizes = [blocks] * len(offsets) if isinstance(blocks, int) else list(blocks)
-    counts = df.groupBy("probe").agg(F.count(F.lit(1)).alias("_n"))
-    h = haloed(df.join(counts, "probe"), _reach(sizes, smooth), rows=rows)
+    h = _counted_halo(df, _reach(sizes, smooth), rows)
+    return h.done(_sigma_passes(h, h.rows, column, offsets, sizes, smooth, reverse)).select(*df.columns)
+
+
+def _counted_halo(df: DataFrame, reach: int, rows: int | None) -> Haloed:
+    """haloed() with _n, the number of the probe's rows."""
+    return haloed(with_facts(df, df.groupBy("probe").agg(F.count(F.lit(1)).alias("_n"))), reach, rows=rows)
+
+
+def _sigma_passes(h: Haloed, x: DataFrame, column: str, offsets: Sequence[float], sizes: Sequence[int], smooth: float | None, reverse: bool) -> DataFrame:
+    """The passes of W5 over rows of a halo with _n."""
     # Backwards, the row's place is counted from the end.
-    x = h.rows.withColumn("_k", F.col("_n") - 1 - F.col("_i") if reverse else F.col("_i"))
+    x = x.withColumn("_k", F.col("_n") - 1 - F.col("_i") if reverse else F.col("_i"))
     w = h.whole.orderBy("_k")
     for offset, block in zip(offsets, sizes):
         start = block // 2
@@ -109,7 +118,7 @@ def sigma_despiked(df: DataFrame, column: str, offsets: Sequence[float] = (20.0,
         if smooth:
             x = x.withColumn("_s", gaussian("_s", smooth, w))
         x = x.withColumn(column, F.when(F.abs(F.col(column) - F.col("_m")) > offset * F.col("_s"), F.lit(None)).otherwise(F.col(column)))
-    return h.done(x).select(*df.columns)
+    return x.drop("_k", "_m", "_s")
 
 
 def gaussian(column: str, sigma: float, w) -> Column:
@@ -134,10 +143,13 @@ def vector_despiked(df: DataFrame, columns: Sequence[str], offsets: Sequence[flo
     # Written down: each pass reads what the one before left, more than once.
     x = kept_if_large(numbered.select("probe", "t", "seq", "_row", *[F.col(c).cast("double").alias(c) for c in columns]))
     for c in columns:
+        # No row goes between the two directions, so both are made in one halo of twice the reach.
         x = x.where(F.col(c).isNotNull())
+        h = _counted_halo(x, 2 * _reach(blocks, smooth), rows)
+        made = h.rows
         for back in (True, False):
-            x = kept_if_large(sigma_despiked(x, c, offsets, blocks, smooth, back, rows=rows))
-        x = x.where(F.col(c).isNotNull())
+            made = _sigma_passes(h, made, c, offsets, blocks, smooth, back)
+        x = kept_if_large(h.done(made).select(*x.columns)).where(F.col(c).isNotNull())
     left = x.select("probe", "_row", F.lit(True).alias("_ok"))
     return numbered.join(left, ["probe", "_row"], "left").withColumn("ok", F.coalesce("_ok", F.lit(False))).select(*df.columns, "ok")
 
@@ -185,7 +197,7 @@ def battery_tail(df: DataFrame, column: str, least: float, *, width: int | None
     marks = x.groupBy("probe").agg(*(below(least + more).alias(name) for more, name in zip(TAIL_MARKS, ("_a", "_b", "_c"))))
     slope = (F.col("_b.y") - F.col("_a.y")) / F.nullif(F.col("_b.i") - F.col("_a.i"), F.lit(0))
     tail = F.when(F.col("_i") >= F.col("_c.i"), F.col("_c.y") + (F.col("_i") - F.col("_c.i")) * slope)
-    return x.join(marks, "probe").withColumn(column, F.coalesce(tail, F.col(column))).drop("_i", "_a", "_b", "_c")
+    return with_facts(x, marks).withColumn(column, F.coalesce(tail, F.col(column))).drop("_i", "_a", "_b", "_c")
 
 
 def recovered_channel(df: DataFrame, lost: str, others: Sequence[str], helper: str) -> DataFrame:
