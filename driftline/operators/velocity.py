@@ -60,14 +60,16 @@ def velocity(df: DataFrame, coefs: DataFrame, *, harmonics: int = 2, g_minus_1:
     return x.select("probe", "t", "seq", "Vabs", "Vdir", v.alias("v"), u.alias("u"), "inclination", *rest)
 
 
-def recovered_counts_x(df: DataFrame, coefs: DataFrame, *, h_minus_1: float) -> DataFrame:
+def recovered_counts_x(df: DataFrame, coefs: DataFrame, *, h_minus_1: float, gaps: bool = True) -> DataFrame:
     """P11 and W4 in counts: a lost Mx from My and Mz such that |Ah (M - Ch)| is the probe's median field below 1 + h_minus_1;
     where that median is off by half and hardly any Mx is good, the field is 1 and all Mx are made anew. Of the two
     solutions the lower one is taken. What is still missing in a channel is interpolated, but a channel of a probe with under a
     hundredth as many good rows as bad ones is lost whole. coefs has Ah and Ch of each probe; they are not in the rows that are scanned.
+    gaps: False where each channel is known in all rows of a probe or in none, as W3 leaves it: then nothing is interpolated.
 
     Adds _with_yz (rows of the probe with both My and Mz: without any, the field can't be recovered) and _unset (the row's value is in a lost channel)."""
-    x = with_facts(df, coefs.select("probe", "Ah", "Ch"))
+    field = coefs.select("probe", "Ah", "Ch")
+    x = with_facts(df, field)
     d = [F.col(c).cast("double") - F.col("Ch")[i] for i, c in enumerate(VECTORS[3:])]
     a = [[F.col("Ah")[i][j] for j in range(3)] for i in range(3)]
     strength = physics.norm(physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))) - 1
@@ -89,11 +91,14 @@ def recovered_counts_x(df: DataFrame, coefs: DataFrame, *, h_minus_1: float) ->
     along = sum((a[i][0] * q[i] for i in (1, 2)), a[0][0] * q[0])
     beyond = sum((q[i] * q[i] for i in (1, 2)), q[0] * q[0]) - F.col("_h") * F.col("_h")
     lower = F.col("Ch")[0] - (along + F.sqrt(F.abs(along * along - square * beyond))) / square
-    x = with_facts(x, mid).withColumn("Mx", F.when(F.col("Mx").isNotNull() & ~F.col("_anew"), F.col("Mx").cast("double")).otherwise(lower)).drop("_anew", "_h", "Ah", "Ch")
+    # The rows take all that is known of their probe in one join.
+    x = with_facts(df, with_facts(mid, field)).withColumn("Mx", F.when(F.col("Mx").isNotNull() & ~F.col("_anew"), F.col("Mx").cast("double")).otherwise(lower)).drop("_anew", "_h", "Ah", "Ch")
     unset = F.lit(False)
     for c in VECTORS[3:]:
         unset = unset | (F.col(c).isNull() & F.col(f"_lost_{c}"))
-    x = filled_all(x.withColumn("_unset", unset), {c: F.lit(False) for c in VECTORS[3:]})
+    x = x.withColumn("_unset", unset)
+    # Mx is made of My and Mz and what is known of the probe, so without gaps in these it has none.
+    x = filled_all(x, {c: F.lit(False) for c in VECTORS[3:]}) if gaps else x
     return x.withColumns({c: F.when(~F.col(f"_lost_{c}"), F.col(c)) for c in VECTORS[3:]}).drop(*[f"_lost_{c}" for c in VECTORS[3:]])
 
 
@@ -108,14 +113,17 @@ def recovered_gravity(df: DataFrame) -> DataFrame:
     x = df.withColumns({f"_r{i}": F.when(one & over[i], rest[i]) for i in range(3)})
     big = [F.when(F.col(f"_r{i}") > 1, F.col(f"_r{i}")) for i in range(3)]
     stats = [c for i in range(3) for c in (F.avg(F.coalesce(F.col(f"_r{i}") > 1, F.lit(False)).cast("double")).alias(f"_n{i}"), F.avg(big[i]).alias(f"_a{i}"), F.max(f"_r{i}").alias(f"_m{i}"))]
-    x = with_facts(x, x.groupBy("probe").agg(*stats))
-    for i, own in enumerate(names):
-        r, mean, most = F.col(f"_r{i}"), F.col(f"_a{i}"), F.col(f"_m{i}")
-        many = F.col(f"_n{i}") > 0.001
+    facts = x.groupBy("probe").agg(*stats)
+    for i in range(3):
+        mean, most, many = F.col(f"_a{i}"), F.col(f"_m{i}"), F.col(f"_n{i}") > 0.001
         whole = F.when(many & (most == mean), 1.0).when(many & (most - mean < (most - 1) / 2), mean).when(many, most).otherwise(1.0)
-        level = F.when((r > 1) & ~(many & (whole == most)), whole).otherwise(r)
+        facts = facts.withColumn(f"_w{i}", whole).withColumn(f"_k{i}", many & (F.col(f"_w{i}") == most))
+    x = with_facts(x, facts.select("probe", *[f"_{k}{i}" for k in "wk" for i in range(3)]))
+    for i, own in enumerate(names):
+        r, whole = F.col(f"_r{i}"), F.col(f"_w{i}")
+        level = F.when((r > 1) & ~F.col(f"_k{i}"), whole).otherwise(r)
         x = x.withColumn(own, F.when(r.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), whole - level))).otherwise(F.col(own)))
-    return x.withColumn("overscaled", one).drop(*[f"_{k}{i}" for k in "rnam" for i in range(3)])
+    return x.withColumn("overscaled", one).drop(*[f"_{k}{i}" for k in "rwk" for i in range(3)])
 
 
 def recovered_velocity(df: DataFrame, coefs: DataFrame, *, force_coefs: Sequence[float] | None = None, harmonics: int = 2, g_minus_1: float = 1.0, h_minus_1: float = 8.0, despike: bool = True) -> DataFrame:
@@ -127,7 +135,7 @@ def recovered_velocity(df: DataFrame, coefs: DataFrame, *, force_coefs: Sequence
     rest = [c for c in df.columns if c not in VECTORS and c not in ("probe", "t", "seq")]
     # Whether a channel is over-scaled is read from the raw counts, which stay beside the despiked ones.
     x = df.withColumns({f"_{c}": F.col(c) for c in VECTORS[:3]})
-    x = kept_if_large(despiked_counts(x, {c: A_SPIKE if c[0] == "A" else M_SPIKE for c in VECTORS})) if despike else x
+    x = despiked_counts(x, {c: A_SPIKE if c[0] == "A" else M_SPIKE for c in VECTORS}) if despike else x
     ends = physics.line_end(F.col("kVabs"), harmonics, F.element_at("kVabs", -1))
     x = with_facts(x, coefs.select("probe", "Ag", "Cg"))
     gs = physics.calibrate(tuple(F.col(c) for c in VECTORS[:3]), F.col("Ag"), F.col("Cg"))
@@ -135,7 +143,7 @@ def recovered_velocity(df: DataFrame, coefs: DataFrame, *, force_coefs: Sequence
     raw_norm = physics.norm(tuple(F.col(c) for c in ("Gx", "Gy", "Gz")))
     x = recovered_gravity(x.withColumn("_bad", F.abs(raw_norm - 1) > g_minus_1)).drop("Ag", "Cg", *VECTORS[:3], *[f"_{c}" for c in VECTORS[:3]])
     # The field's statistics and two scans read it from here.
-    x = recovered_counts_x(kept_if_large(x), coefs, h_minus_1=h_minus_1)
+    x = recovered_counts_x(kept_if_large(x), coefs, h_minus_1=h_minus_1, gaps=not despike)
     x = with_facts(x, coefs.select("probe", "Ah", "Ch", "kVabs", "azimuth_shift_deg", *[c.alias(n) for n, c in zip(("_x0", "_at", "_slope"), ends)]))
     hs = physics.calibrate(tuple(F.col(c) for c in VECTORS[3:]), F.col("Ah"), F.col("Ch"))
     x = x.withColumns(dict(zip(("Hx", "Hy", "Hz"), hs)))
@@ -144,8 +152,9 @@ def recovered_velocity(df: DataFrame, coefs: DataFrame, *, force_coefs: Sequence
     if force_coefs is None:
         speed = physics.speed(F.col("_r"), F.col("kVabs"), harmonics, F.col("_x0"), F.col("_at"), F.col("_slope"))
     else:
-        x = x.withColumn("_f", physics.force(F.col("_r")))
-        speed = physics.polynomial_speed(F.col("_f"), force_coefs)
+        # Never NULL in the many pieces of the speed, which halves their code: the JVM compiles no method of over 8,000 bytes.
+        x = x.withColumn("_f", F.coalesce(physics.force(F.col("_r")), F.lit(0.0)))
+        speed = F.when(F.col("_r").isNotNull(), physics.polynomial_speed(F.col("_f"), force_coefs))
     # Without a field the direction is that of the tilt alone; where a channel is lost, 0 for the rows that lost it.
     known = ~F.col("_unset") | F.coalesce(physics.norm(h) - 1 < h_minus_1, F.lit(False))
     facing = F.when(F.col("_with_yz") == 0, physics.direction_without_field(g, F.col("azimuth_shift_deg"))).when(known, physics.direction(g, h, F.col("azimuth_shift_deg"))).otherwise(0.0)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from ..schema import SECOND
-from .scan import Haloed, after, before, haloed, kept_if_large, last, position, scan, total, upcoming, with_facts
+from ..scratch import kept_table
+from .scan import SLICE, Haloed, after, before, haloed, in_slices, is_small, kept_if_large, last, position, scan, total, upcoming, with_facts
 
 #: How far above the least good battery voltage the tail's line begins, ends and takes over.
 TAIL_MARKS = (0.08, 0.02, 0.001)
@@ -75,11 +80,97 @@ def filled_all(df: DataFrame, bad: dict[str, Column], x: str | None = None, *, w
 
 
 def despiked_counts(df: DataFrame, limits: dict[str, float], *, width: int | None = None) -> DataFrame:
-    """W2 then W4 for each count channel (defaults of use: 1500 for A, 100 for M), all channels in the same two scans."""
+    """W2 then W4 for each count channel (defaults of use: 1500 for A, 100 for M), all channels in the same two scans.
+
+    Large tables go through Arrow, a slice at a time: as columns of one plan six channels are so much code that the JVM does not compile it."""
+    if width is not None or not is_small(df):
+        return _despiked_in_slices(df, limits, width)
     v = {c: F.struct(F.col(c).alias("v")) for c in limits}
-    x = scan(df, {"_i": position()} | {f"_b_{c}": before(k) for c, k in v.items()} | {f"_a_{c}": after(k) for c, k in v.items()}, width=width, keep_slices=True)
+    x = scan(df, {"_i": position()} | {f"_b_{c}": before(k) for c, k in v.items()} | {f"_a_{c}": after(k) for c, k in v.items()}, keep_slices=True)
     bad = {c: _spike(F.col(c), F.col(f"_b_{c}"), F.col(f"_a_{c}"), most) for c, most in limits.items()}
-    return _fill(x, bad, F.col("_i").cast("double"), width).select(*df.columns)
+    return _fill(x, bad, F.col("_i").cast("double"), None).select(*df.columns)
+
+
+def _despiked_in_slices(df: DataFrame, limits: dict[str, float], width: int | None) -> DataFrame:
+    """despiked_counts() in three steps.
+
+    1. By aggregation, each slice's number of rows and its first and last row; from these its neighbours' rows and the place of its own.
+    2. Each slice by itself: spikes go, gaps between its known values are filled. Beside its rows, which are written down, a slice has one
+       row more with the first and last known place and value of each channel.
+    3. What is left is at a slice's ends: between its known values and those of the slices before and after.
+    """
+    names, keys = list(limits), ["probe", SLICE]
+    x = in_slices(df, ("t", "seq"), width).withColumns({c: F.col(c).cast("double") for c in names})
+    row = F.struct("t", "seq", F.array(*names).alias("v"))
+    ends = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_first"), F.max(row).alias("_last"))
+    forth, back = Window.partitionBy("probe").orderBy(SLICE), Window.partitionBy("probe").orderBy(F.col(SLICE).desc())
+    so_far = (Window.unboundedPreceding, -1)
+    borders = ends.select(*keys, F.coalesce(F.sum("_n").over(forth.rowsBetween(*so_far)), F.lit(0)).alias("_at"), F.lag("_last").over(forth)["v"].alias("_b"), F.lead("_first").over(forth)["v"].alias("_a"))
+    schema = StructType([StructField(f.name, f.dataType) for f in x.schema] + [StructField("_x", LongType()), StructField("_known", ArrayType(DoubleType()))])
+    kept = kept_table(x.groupBy(*keys).cogroup(borders.groupBy(*keys)).applyInArrow(_slice_despiker(limits), schema))
+
+    k = F.col("_known")
+    place = lambda c, i: F.when(k[4 * c + i].isNotNull(), F.struct(k[4 * c + i].alias("x"), k[4 * c + i + 1].alias("y")))
+    own = kept.where(k.isNotNull()).select(*keys, *[place(c, i).alias(f"_{e}{c}") for c in range(len(names)) for i, e in ((0, "f"), (2, "l"))])
+    # Of each channel: the known point before the slice, its first and last one, and the one after it.
+    points = [F.struct(F.last(f"_l{c}", True).over(forth.rowsBetween(*so_far)).alias("p"), F.col(f"_f{c}").alias("f"), F.col(f"_l{c}").alias("l"), F.last(f"_f{c}", True).over(back.rowsBetween(*so_far)).alias("n")) for c in range(len(names))]
+    # Written down, so that Spark knows its size and sends it to every task where it is small.
+    points = kept_table(own.select(*keys, F.array(*points).alias("_points")))
+    at = F.col("_x").cast("double")
+
+    def between(v: Column, p: Column) -> Column:
+        line = _line(F.when(at >= p["f"]["x"], p["l"]).otherwise(p["p"]), F.when(at < p["f"]["x"], p["f"]).otherwise(p["n"]), at)
+        return F.coalesce(v, line)
+
+    rows = kept.where(k.isNull()).join(points, keys)
+    whole = F.array(*names)
+    some = F.col(names[0]).isNull()
+    for c in names[1:]:
+        some = some | F.col(c).isNull()
+    rows = rows.withColumn("_filled", F.when(some, F.zip_with(whole, F.col("_points"), between)))
+    return rows.withColumns({c: F.coalesce(F.col(c), F.col("_filled")[i]) for i, c in enumerate(names)}).select(*df.columns)
+
+
+def _slice_despiker(limits: dict[str, float]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Step 2 of _despiked_in_slices() for a slice's rows and its one row of borders."""
+    names = list(limits)
+
+    def despiked(rows: pa.Table, border: pa.Table) -> pa.Table:
+        n = rows.num_rows
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[("t", "ascending"), ("seq", "ascending")], null_placement="at_start"))
+        at, back, ahead = (border.column(c)[0].as_py() for c in ("_at", "_b", "_a"))
+        first, final = np.arange(n) == 0, np.arange(n) == n - 1
+        edge_b, edge_a = first & (back is None), final & (ahead is None)
+        place, known = np.arange(at, at + n, dtype="float64"), []
+        for i, (c, most) in enumerate(limits.items()):
+            given = rows.column(c).combine_chunks()
+            y = given.fill_null(float("nan")).to_numpy(zero_copy_only=False)
+            nan = float("nan")
+            b = nan if back is None or back[i] is None else back[i]
+            a = nan if ahead is None or ahead[i] is None else ahead[i]
+            steps = np.diff(np.concatenate(([b], y, [a])))
+            into, out = steps[:-1], steps[1:]
+            spike = (edge_b | (into > most)) & (edge_a | (out < -most)) | (edge_b | (into < -most)) & (edge_a | (out > most))
+            good = given.is_valid().to_numpy(zero_copy_only=False) & ~spike
+            here = np.flatnonzero(good)
+            missing = np.ones(n, bool)
+            if len(here):
+                known += [place[here[0]], y[here[0]], place[here[-1]], y[here[-1]]]
+                missing[here[0] : here[-1] + 1] = False
+                gap = np.flatnonzero(~good & ~missing)
+                upper = np.searchsorted(here, gap)
+                lo, hi = here[upper - 1], here[upper]
+                y = y.copy()
+                y[gap] = y[lo] + (y[hi] - y[lo]) * ((place[gap] - place[lo]) / (place[hi] - place[lo]))
+            else:
+                known += [None] * 4
+            rows = rows.set_column(rows.schema.get_field_index(c), c, pa.array(y, mask=missing))
+        rows = rows.append_column("_x", pa.array(place.astype("int64"))).append_column("_known", pa.nulls(n, pa.list_(pa.float64())))
+        own = {"probe": rows.column("probe")[:1], SLICE: rows.column(SLICE)[:1], "_known": pa.array([known], pa.list_(pa.float64()))}
+        more = pa.table([own.get(f.name, pa.nulls(1, f.type)) for f in rows.schema], names=rows.column_names)
+        return pa.concat_tables([rows, more.cast(rows.schema)])
+
+    return despiked
 
 
 def _reach(blocks: Sequence[int], smooth: float | None) -> int:

@@ -1,5 +1,6 @@
 """What only larger tables show: sums that overflow, ties, long runs, joins by few probes."""
 
+import random
 import re
 from datetime import datetime, timezone
 
@@ -8,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline import streaming
-from driftline.operators import aggregates, timefix
+from driftline.operators import aggregates, scan, timefix, windows
 from driftline.plans.catalog import HOUR, ORACLES, QUERIES
 from driftline.schema import timestamp
+from driftline.scratch import kept_table
 
 T0 = int(datetime(2024, 1, 1, tzinfo=timezone.utc).timestamp()) * 1_000_000
 
@@ -66,3 +68,43 @@ def test_no_shuffle_by_probe_alone(spark, name):
         for k, v in kept.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert not re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[probe#\w+\], ", plan)
+
+
+@pytest.mark.parametrize("name", ["p12_full", "p12_recovered"])
+def test_generated_methods_are_compiled(spark, name, monkeypatch):
+    """In slices, no plan that is written or returned has a generated method of 8,000 bytes or more: the JVM would interpret it row by row."""
+    plans = []
+    for module in (scan, windows):
+        monkeypatch.setattr(module, "kept_table", lambda df: plans.append(df) or kept_table(df))
+    wanted = {"driftline.scan.smallBytes": "0", "spark.sql.adaptive.enabled": "false"}
+    kept = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        plans.append(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        code = [spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(df._jdf.queryExecution().executedPlan()) for df in plans]
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    sizes = [int(n) for text in code for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert len(plans) > 1 and sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize("width", [2, 7, 1000])
+def test_despiked_slices_are_the_windows(spark, width):
+    """Spikes and gaps at slices' borders, over whole slices and at a series' ends, rows without a time, a channel without values,
+    series of one and two rows: each channel as by W2 and W4 with a window per probe."""
+    r = random.Random(5)
+    rows = [("one", 3, 0, 5.0, None, 1.0), ("two", 1, 0, 5.0, 2.0, None), ("two", 1, 1, 90.0, None, None)]
+    for p, n in (("a", 120), ("b", 31)):
+        for k in range(n):
+            a = None if 40 <= k < 70 or r.random() < 0.2 else r.choice([1.0, 2.0, 3.0, 80.0, -70.0])
+            rows.append((p, None if k % 19 == 4 else k // 2, k, a, None if p == "a" else float(k * k % 11), r.choice([0.0, 50.0, None])))
+    df = spark.createDataFrame(rows, "probe string, t long, seq long, Ax double, My double, Mz double").repartition(3)
+    limits = {"Ax": 20.0, "My": 4.0, "Mz": 30.0}
+    want = df
+    for c, most in limits.items():
+        want = windows.filled(windows.spikes(want, c, most, width=1 << 40), c, F.col("spike"), width=1 << 40).drop("spike")
+    got = windows.despiked_counts(df, limits, width=width)
+    assert got.columns == df.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*df.columns).collect()))
