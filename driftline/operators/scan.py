@@ -35,9 +35,9 @@ SMALL_BYTES, SMALL_CONF = 32 << 20, "driftline.scan.smallBytes"
 _FIRST_SLICE = -(1 << 62)
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether all that df reads (files, by their size; anything else is taken for large) is under the limit."""
-    limit = int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_BYTES)))
+def is_small(df: DataFrame, most: int = SMALL_BYTES) -> bool:
+    """Whether all that df reads (files, by their size; anything else is taken for large) is under the limit, or under `most` where that is less."""
+    limit = min(most, int(df.sparkSession.conf.get(SMALL_CONF, str(SMALL_BYTES))))
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return limit > 0 and sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())) < limit
 
