@@ -24,21 +24,21 @@ def binned(df: DataFrame, seconds: int, columns: Sequence[str]) -> DataFrame:
     """A1, A2: means per bin, and rows per bin. Bins with at most a tenth of the mean number of rows go,
     and so do bins without values; where the bin exceeds a probe's span its rows make one at their mean time.
 
-    One shuffle of partial sums. A probe's span and mean number of rows come from its bins, by one more aggregate over them; the tenth
-    rule is a join with those few numbers. Without a bin that divides the day, the first day of each probe
-    comes from an aggregate of its own. Times are summed as decimals: a LONG overflows at some 5,400 times of today.
+    One shuffle of partial sums. A probe's span and mean number of rows come from its bins, by one more aggregate over them, for which times
+    are read once more without the columns; the tenth rule is a join with those few numbers. The rows of short probes are read again by
+    a join with the same numbers, which adaptive execution leaves out where there is no such probe. Without a bin that divides the day, the first day of
+    each probe comes from an aggregate of its own. Times are summed as decimals: a LONG overflows at some 5,400 times of today.
     """
     size = seconds * SECOND
     rows = df if DAY % size == 0 else with_facts(df, df.groupBy("probe").agg((F.floor(F.min("t") / DAY) * DAY).alias("_day0")))
-    out = rows.groupBy("probe", bin_start(seconds).alias("t")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col("t").cast("decimal(20,0)")).alias("_sum_t"), F.min("t").alias("_t0"), F.max("t").alias("_t1"), *[F.count(c).alias(f"_n_{c}") for c in columns], *[F.sum(c).alias(f"_s_{c}") for c in columns])
-    out = out.withColumns({c: F.col(f"_s_{c}") / F.nullif(F.col(f"_n_{c}"), F.lit(0)) for c in columns})
+    means = [(F.sum(c) / F.nullif(F.count(c), F.lit(0))).alias(c) for c in columns]
+    out = rows.groupBy("probe", bin_start(seconds).alias("t")).agg(F.count(F.lit(1)).alias("rows"), F.min("t").alias("_t0"), F.max("t").alias("_t1"), *means)
     whole = out.groupBy("probe").agg((F.max("_t1") - F.min("_t0") < size).alias("_one"), F.avg("rows").alias("_mean_rows"))
-    out = with_facts(out, whole).where(F.col("_one") | (F.col("rows") > F.col("_mean_rows") / 10))
-    # A short probe may lie over a bin border: its one row joins its bins.
-    one = out.where("_one").groupBy("probe").agg(F.floor(F.sum("_sum_t").cast("double") / F.sum("rows")).alias("t"), F.sum("rows").alias("rows"), *[(F.sum(f"_s_{c}") / F.nullif(F.sum(f"_n_{c}"), F.lit(0))).alias(c) for c in columns])
-    many = out.where(~F.col("_one") & F.coalesce(*columns).isNotNull()).select("probe", "t", "rows", *columns)
-    return many.unionByName(one.select("probe", "t", "rows", *columns))
+    many = with_facts(out, whole).where(~F.col("_one") & (F.col("rows") > F.col("_mean_rows") / 10) & F.coalesce(*columns).isNotNull())
+    # A short probe may lie over a bin border: its one row is made of all its rows. Both numbers are asked for, so that whole is made once.
+    short = whole.where(F.col("_one") & F.col("_mean_rows").isNotNull()).select("probe")
+    one = with_facts(df, short).groupBy("probe").agg(F.floor(F.sum(F.col("t").cast("decimal(20,0)")).cast("double") / F.count(F.lit(1))).alias("t"), F.count(F.lit(1)).alias("rows"), *means)
+    return many.select("probe", "t", "rows", *columns).unionByName(one.select("probe", "t", "rows", *columns))
 
 
 def binned_many(df: DataFrame, bins: Sequence[int], columns: Sequence[str]) -> DataFrame:

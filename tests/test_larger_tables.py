@@ -27,6 +27,24 @@ def test_mean_time_of_many_rows(spark):
     assert sorted((r["t"], r["rows"]) for r in aggregates.binned(late, 7200, ["x"]).collect()) == [(T0, n), (T0 + 86400 * 1_000_000, n)]
 
 
+def test_bins_make_their_columns_once(spark):
+    """Where no probe is shorter than a bin, no row is read a second time for such probes; one that is has its row, over a bin's border too."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def costly(x):
+        made.add(1)
+        return x
+
+    row = F.col("id")
+    df = spark.range(4000).select(F.when(row % 2 == 0, "a").otherwise("b").alias("probe"), (row * 60_000_000 + T0).alias("t"), row.cast("double").alias("x"))
+    short = spark.range(30).select(F.lit("c").alias("probe"), (row * 60_000_000 + T0 + 6_600_000_000).alias("t"), row.cast("double").alias("x"))
+    assert sum(r["rows"] for r in aggregates.binned(df.withColumn("x", costly("x")), 7200, ["x"]).collect()) == made.value == 4000
+    got = aggregates.binned(df.unionByName(short), 7200, ["x"]).collect()
+    assert sum(r["rows"] for r in got) == 4030
+    assert [(r["t"], r["rows"], r["x"]) for r in got if r["probe"] == "c"] == [(T0 + 7_470_000_000, 30, 14.5)]
+
+
 def test_serial_days_near_half_seconds(spark, tmp_path):
     """5,000 times within 20 microseconds of half a second, and some before 1970: the query and its SQL round each alike."""
     folder = str(tmp_path)
